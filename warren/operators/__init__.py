@@ -1,0 +1 @@
+"""Operators of the engine; every public callable takes and returns DataFrames."""

@@ -1,0 +1 @@
+"""Plans of the engine; every public callable takes and returns DataFrames."""

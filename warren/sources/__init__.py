@@ -1,0 +1 @@
+"""Sources of the engine; every public callable takes and returns DataFrames."""

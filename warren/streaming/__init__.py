@@ -1,0 +1 @@
+"""Streaming of the engine; every public callable takes and returns DataFrames."""
