@@ -21,6 +21,8 @@ RULES = {
 BASE = ("too_short", "repetitive")
 #: A host is rejected where its shrunk failure rate of some rule is above this.
 WORST_RATE = 0.5
+#: Hosts whose verdicts are broadcast; more are joined by host and one of so many salts, which splits hot hosts.
+BROADCAST_HOSTS, SALTS = 100_000, 64
 
 _SYMBOLS, _SPACES, _CONTINUED = b"#*$%&|<>", b" \t\n\x0b\x0c\r", bytes(range(0x80, 0xC0))
 
@@ -78,16 +80,21 @@ def host_verdicts(rows: DataFrame, host: str = "source", worst: float = WORST_RA
     return out.withColumn("host_rejected", bad).select("host", "host_docs", *[f"rate_{n}" for n in RULES], "host_rejected")
 
 
-def judged(rows: DataFrame, host: str = "source", worst: float = WORST_RATE) -> DataFrame:
-    """Adds base_failed, failed (any rule), host_rejected and kept to rows with the measures.
+def with_verdicts(rows: DataFrame, host: str, verdicts: DataFrame) -> DataFrame:
+    """Joins each row's host verdict (host, host_rejected): a broadcast up to a checked number of hosts, else salted."""
+    verdicts = checkpointed(verdicts.select(F.coalesce(F.concat(F.lit("h"), F.col("host")), F.lit("")).alias("__host"), "host_rejected"))
+    rows = rows.withColumn("__host", F.coalesce(F.concat(F.lit("h"), F.col(host)), F.lit("")))
+    if verdicts.count() <= BROADCAST_HOSTS:
+        return rows.join(F.broadcast(verdicts), "__host").drop("__host")
+    salted = verdicts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__salt", F.floor(F.rand(1) * SALTS).cast("int")).join(salted, ["__host", "__salt"]).drop("__host", "__salt")
 
-    The verdicts are one row a host; Spark broadcasts them only if they turn out small, else it splits hot hosts.
-    """
-    verdicts = host_verdicts(rows, host, worst).select("host", "host_rejected")
+
+def judged(rows: DataFrame, host: str = "source", worst: float = WORST_RATE) -> DataFrame:
+    """Adds base_failed, failed (any rule), host_rejected and kept to rows with the measures."""
     any_of = lambda names: F.expr(" or ".join(f"({RULES[n]})" for n in names))
     return (
-        rows.join(verdicts, F.col(host).eqNullSafe(F.col("host")))
-        .drop("host")
+        with_verdicts(rows, host, host_verdicts(rows, host, worst))
         .withColumn("base_failed", any_of(BASE))
         .withColumn("failed", any_of(RULES))
         .withColumn("kept", ~F.col("failed") & ~F.col("host_rejected"))
@@ -108,11 +115,11 @@ def kept_documents(docs: DataFrame) -> DataFrame:
 
     The host verdicts come from a first pass; the second measures again, which is cheaper than a shuffle of texts.
     """
-    verdicts = host_verdicts(checkpointed(measured(docs, ["source"]))).filter("host_rejected").select("host")
+    verdicts = host_verdicts(checkpointed(measured(docs, ["source"])))
     names, hidden = docs.columns, [f"__kept_{c}" for c in docs.columns]  # so that no column can clash with a measure
     rows = measured(docs.select(*[F.col(c).alias(h) for c, h in zip(names, hidden)], "text"), hidden)
     good = rows.filter(~F.expr(" or ".join(f"({x})" for x in RULES.values())))
-    return good.join(verdicts, F.col("__kept_source").eqNullSafe(F.col("host")), "left_anti").select(*[F.col(h).alias(c) for c, h in zip(names, hidden)])
+    return with_verdicts(good, "__kept_source", verdicts).filter(~F.col("host_rejected")).select(*[F.col(h).alias(c) for c, h in zip(names, hidden)])
 
 
 ORACLE = r"""
