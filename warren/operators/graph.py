@@ -179,19 +179,20 @@ def performance(trials: DataFrame, dist: DataFrame) -> DataFrame:
     return rows.select("row_id", F.when((n > 0) & (F.col("d") > 0), F.log10(F.col("d") / n)).alias("performance"))
 
 
-def hop_vs_weight(hops: DataFrame, dist: DataFrame, arcs: DataFrame) -> DataFrame:
+def hop_vs_weight(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Pairs whose cheapest way is longer in hops than the way of fewest hops.
 
-    The fewest hops among cheapest ways follow from the arcs that lie on one: a small fixed point over hops.
+    Weight first and hops second grow together by squaring, as in `all_pairs`.
     """
-    on = dist.withColumnRenamed("d", "total").join(arcs.select(F.col("u"), F.col("v").alias("m"), "w"), "u").join(dist.select(F.col("u").alias("m"), "v", F.col("d").alias("rest")), ["m", "v"]).filter(F.abs(F.col("w") + F.col("rest") - F.col("total")) < 1e-9).select("u", "m", "v")
-    far = checkpointed(dist.select("u", "v", F.when(F.col("u") == F.col("v"), 0.0).otherwise(1e9).alias("h")))
-    seen = None
-    while True:
-        step = on.join(far.select(F.col("u").alias("m"), "v", "h"), ["m", "v"]).groupBy("u", "v").agg((F.min("h") + 1).alias("n"))
-        far = checkpointed(far.join(step, ["u", "v"], "left").select("u", "v", F.least("h", F.coalesce("n", F.lit(1e9))).alias("h")))
-        state = far.agg(F.sum("h")).first()[0]
+    arcs = both_ways(edges.select("u", "v", F.struct(F.round("w", 9).alias("w"), F.lit(1).alias("h")).alias("d")))
+    now, seen = checkpointed(arcs.unionByName(arcs.select("u", F.col("u").alias("v"), F.struct(F.lit(0.0).alias("w"), F.lit(0).alias("h")).alias("d"))).groupBy("u", "v").agg(F.min("d").alias("d"))), None
+    for _ in range(most_rounds):
+        right = now.select(F.col("u").alias("m"), F.col("v").alias("v2"), F.col("d").alias("d2"))
+        both = F.struct(F.round(F.col("d.w") + F.col("d2.w"), 9).alias("w"), (F.col("d.h") + F.col("d2.h")).alias("h"))
+        now = checkpointed(now.withColumnRenamed("v", "m").join(right, "m").select("u", F.col("v2").alias("v"), both.alias("d")).groupBy("u", "v").agg(F.min("d").alias("d")))
+        state = tuple(now.agg(F.count("*"), F.round(F.sum("d.w"), 6), F.sum("d.h")).first())
         if state == seen:
             break
         seen = state
-    return far.join(hops, ["u", "v"]).filter(F.col("d") < F.col("h")).select("u", "v", F.col("d").alias("hops"), F.col("h").alias("cheapest_hops"))
+    fewest = all_pairs(edges).select("u", "v", F.col("d").alias("hops"))
+    return now.join(fewest, ["u", "v"]).filter(F.col("hops") < F.col("d.h")).select("u", "v", "hops", F.col("d.h").cast("double").alias("cheapest_hops"))

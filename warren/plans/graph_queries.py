@@ -32,7 +32,7 @@ query("g2_distance_edges", """WITH n AS (SELECT * FROM fx_nodes WHERE node_id <
 SELECT u, v, round(w, 6) AS w FROM p WHERE w < 65 OR (u, v) IN ((124, 201), (220, 305), (324, 401), (121, 302), (223, 404))""")(lambda fx: G.distance_edges(fx("fx_nodes")))
 query("g5_all_pairs", f"WITH {PAIRS} SELECT u, v, CAST(d AS DOUBLE) AS d FROM dist")(hops)
 query("g6_tied_paths", f"WITH {PAIRS} SELECT a.u, a.v, CAST(s.d AS DOUBLE) AS before FROM arcs a JOIN dist s ON s.u = 101 AND s.v = a.u JOIN dist t ON t.u = a.v AND t.v = 412 WHERE s.d + 1 + t.d = (SELECT d FROM dist WHERE u = 101 AND v = 412)")(lambda fx: G.tied_paths(G.both_ways(fx("fx_edges")).withColumn("w", F.lit(1.0)), hops(fx), 101, 412))
-query("g7_hop_vs_weight")(lambda fx: G.hop_vs_weight(G.all_pairs(G.distance_edges(fx("fx_nodes"))), G.all_pairs(G.distance_edges(fx("fx_nodes")), "w"), G.both_ways(G.distance_edges(fx("fx_nodes")))))
+query("g7_hop_vs_weight")(lambda fx: G.hop_vs_weight(G.distance_edges(fx("fx_nodes"))))
 query("g8_node_metrics", f"""WITH {PAIRS}, {TRIALS}, r AS (SELECT t.*, d.d AS shortest FROM trials t LEFT JOIN dist d ON d.u = t.path[1] AND d.v = t.goal_node_n),
 f AS (SELECT *, CASE WHEN path[1] <> start_node_n THEN 'start mismatch' WHEN shortest IS NULL THEN 'unreachable goal' END AS flag FROM r)
 SELECT row_id, flag, CASE WHEN flag IS NULL THEN CAST(shortest + 1 AS INT) END AS distance_nodes, CASE WHEN flag IS NULL THEN CAST(len(path) AS INT) END AS path_nodes, CASE WHEN flag IS NULL THEN round(len(path) / (shortest + 1), 6) END AS norm_path,
