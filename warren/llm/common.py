@@ -55,12 +55,13 @@ def texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def running_total(df: DataFrame, group: list[str], order: list[Column], bucket: Column, amount: Column, name: str) -> DataFrame:
+def running_total(df: DataFrame, group: list[str], order: list[Column], bucket: Column, amount: Column, name: str, per_group: DataFrame | None = None) -> DataFrame:
     """Adds `name`: the sum of `amount` over the group's earlier rows, without ever gathering a group in one task.
 
     `bucket` must rise with `order`. Each (group, bucket) is summed first; a window over those sums (one row per
     bucket) gives each bucket's start, and a window inside each bucket does the rest. Both passes read the same
-    deterministic values, so a lost executor changes nothing.
+    deterministic values, so a lost executor changes nothing. Other columns of `per_group` (a row for each group)
+    travel with the buckets' starts, so the rows themselves are shuffled once.
     """
     rows = df.withColumn("__bucket", bucket).withColumn("__amount", amount)
     keys = [*group, "__bucket"]
@@ -68,7 +69,15 @@ def running_total(df: DataFrame, group: list[str], order: list[Column], bucket:
     key = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\0null")) for k in group], F.col("__bucket"))
     sums = rows.groupBy(*keys).agg(F.sum("__amount").alias("__sum"))
     before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(key.alias("__key"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__from"))
+    starts = sums.withColumn("__from", F.coalesce(F.sum("__sum").over(before), F.lit(0))).withColumn("__key", key)
+    more = [c for c in per_group.columns if c not in group] if per_group is not None else []
+    if per_group is not None:
+        named = per_group.select(*[F.col(g).alias(f"__of_{g}") for g in group], *more)
+        same = F.lit(True)
+        for g in group:
+            same = same & F.col(g).eqNullSafe(F.col(f"__of_{g}"))
+        starts = starts.join(named, same)
+    starts = starts.select("__key", "__from", *more)
     inside = Window.partitionBy("__key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         rows.withColumn("__key", key)

@@ -58,8 +58,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
     digits = len(f"{max(1, docs.count() // ROWS_A_BUCKET):x}")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     aims = targets(sizes, weights, most_epochs)
-    placed = running_total(rows, ["source"], [F.col("__random"), F.col("doc_id"), F.col("size")], F.substring("__random", 1, digits), F.col("size"), "__start")
-    joined = placed.join(aims.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    joined = running_total(rows, ["source"], [F.col("__random"), F.col("doc_id"), F.col("size")], F.substring("__random", 1, digits), F.col("size"), "__start", aims)
     budget = F.floor(F.col("target") + 0.5)
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     cut = budget - epochs * F.col("source_size") - F.col("__start")
