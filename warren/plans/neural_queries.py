@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from warren.operators import maps as M
+from warren.operators import population as N
 from warren.operators import signals as E
 from warren.operators import spikes as P
 from warren.operators import stats as C
@@ -140,3 +141,6 @@ query("w15_concat_offsets", "SELECT session_id, trial_num, n, CAST(coalesce(sum(
 query("c7_type_groups", """SELECT session_id, "group", count(*) AS n, round(quantile_cont(m, 0.25), 6) AS q25, round(quantile_cont(m, 0.5), 6) AS q50, round(quantile_cont(m, 0.75), 6) AS q75 FROM (SELECT session_id, CASE WHEN trial_type IN (4, 5) THEN 'free' ELSE 'goal' END AS "group", CAST(start_node AS DOUBLE) AS m FROM fx_trial_meta) GROUP BY 1, 2""")(lambda fx: C.type_groups(fx("fx_trial_meta").withColumn("m", F.col("start_node").cast("double")), "m"))
 query("c10_metric_hist", """WITH l AS (SELECT 'snr' AS metric, snr AS value FROM fx_units UNION ALL SELECT 'acg_tau_rise_ms', acg_tau_rise_ms FROM fx_units WHERE acg_tau_rise_ms IS NOT NULL), s AS (SELECT metric, min(value) AS a, max(value) AS b FROM l GROUP BY 1)
 SELECT metric, CAST(least(floor((value - a) / (b - a) * 30), 29) AS INT) AS bin, count(*) AS n FROM l JOIN s USING (metric) GROUP BY 1, 2""")(lambda fx: C.metric_hist(fx("fx_units"), ["snr", "acg_tau_rise_ms"]))
+query("n12_population_matrix")(lambda fx: N.population_matrix(fx("fx_spikes")).select("session_id", "unit_id", "bin", "z"))
+query("n2_waveform_metrics")(lambda fx: N.waveform_metrics(signal(fx).select("session_id", F.col("chunk").alias("unit_id"), "channel", F.col("k").alias("sample"), F.col("value").cast("double").alias("value")), 30000.0))
+query("e4_wakefulness")(lambda fx: N.wakefulness(signal(fx).withColumn("sample", F.col("k") + 64 * F.floor(F.col("chunk") / 80)), 64.0, 0, 1))
