@@ -126,8 +126,13 @@ def cap_sample(rows: DataFrame, n: int, *keys: str) -> DataFrame:
 
 def score(df: DataFrame, a: str, b: str, keys: list[str], least: int = 5) -> DataFrame:
     """Correlation, slope and intercept of b on a; null with few rows or without variance."""
-    ok = (F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()) >= least) & (F.var_pop(F.when(F.col(b).isNotNull(), F.col(a))) > 0) & (F.var_pop(F.when(F.col(a).isNotNull(), F.col(b))) > 0)
-    return df.groupBy(*keys).agg(F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias("n"), F.when(ok, F.corr(a, b)).alias("r"), F.when(ok, F.regr_slope(b, a)).alias("slope"), F.when(ok, F.regr_intercept(b, a)).alias("intercept"))
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a)).cast("double"), F.when(both, F.col(b)).cast("double")
+    # from the moments, since the built-in fits divide by the spread of every group
+    sums = df.groupBy(*keys).agg(F.count_if(both).alias("n"), F.avg(x).alias("__ma"), F.avg(y).alias("__mb"), F.var_pop(x).alias("__va"), F.var_pop(y).alias("__vb"), F.covar_pop(x, y).alias("__c"))
+    ok = (F.col("n") >= least) & (F.col("__va") > 0) & (F.col("__vb") > 0)
+    slope = F.when(ok, F.col("__c") / F.col("__va"))
+    return sums.select(*keys, "n", F.when(ok, F.col("__c") / F.sqrt(F.col("__va") * F.col("__vb"))).alias("r"), slope.alias("slope"), (F.col("__mb") - slope * F.col("__ma")).alias("intercept"))
 
 
 def speed_tuning(df: DataFrame, rate: str = "rate", half: float = 0.06, step: float = 0.04, top: float = 0.6) -> DataFrame:

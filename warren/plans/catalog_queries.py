@@ -9,7 +9,7 @@ from warren.operators import catalog as C
 from warren.plans.registry import query
 
 KEY = "rat_no, session_date"
-INV = "SELECT rat_no, session_date, " + ", ".join(f"count_if(phase = '{p}') AS n_{p}, CAST(sum(CASE WHEN phase = '{p}' THEN size_bytes ELSE 0 END) AS BIGINT) AS {p}_bytes" for p in (*C.PHASES, "video")) + ", coalesce(string_agg(DISTINCT CASE WHEN phase <> 'video' THEN phase END, ',' ORDER BY CASE WHEN phase <> 'video' THEN phase END), '') AS phases, bool_or(phase <> 'video') AS has_ephys FROM fx_files GROUP BY 1, 2"
+INV = "SELECT rat_no, session_date, " + ", ".join(f"count(*) FILTER (phase = '{p}') AS n_{p}, CAST(sum(CASE WHEN phase = '{p}' THEN size_bytes ELSE 0 END) AS BIGINT) AS {p}_bytes" for p in (*C.PHASES, "video")) + ", coalesce(string_agg(DISTINCT CASE WHEN phase <> 'video' THEN phase END, ',' ORDER BY CASE WHEN phase <> 'video' THEN phase END), '') AS phases, bool_or(phase <> 'video') AS has_ephys FROM fx_files GROUP BY 1, 2"
 SIZE = "SELECT rat_no, session_date, phase, CAST(max(b) AS BIGINT) AS size_bytes FROM (SELECT rat_no, session_date, phase, volume, sum(size_bytes) AS b FROM fx_files GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3"
 
 query("f1_clock_seconds", "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN round((event_id % 7) * 3600 + (event_id % 60) * 60 + event_id % 60 + (event_id % 1000) / 1000.0, 6) END AS s FROM events")(lambda fx: fx("events").select("event_id", S.clock_seconds(F.when(F.col("event_id") % 5 == 0, "x").otherwise(F.format_string("%d:%02d:%02d.%03d", F.col("event_id") % 7, F.col("event_id") % 60, F.col("event_id") % 60, F.col("event_id") % 1000))).alias("s")))

@@ -53,7 +53,7 @@ query("n1_quality_label", f"SELECT session_id, unit_id, {LABEL} AS label FROM fx
 query("n5_cell_type", f"SELECT session_id, unit_id, {TYPE} AS type FROM fx_units")(lambda fx: units(fx).select("session_id", "unit_id", "type"))
 query("n6_subtype", f"SELECT session_id, unit_id, CASE WHEN {TYPE} = 'pyramidal' THEN 'pyramidal' WHEN trough_to_peak_s > 0.000425 THEN 'wide interneuron' ELSE 'narrow interneuron' END AS subtype FROM fx_units")(lambda fx: fx("fx_units").select("session_id", "unit_id", P.subtype().alias("subtype")))
 query("j19_resolve_label", "SELECT session_id, unit_id, CASE WHEN unit_id % 3 = 0 THEN 'manual' WHEN unit_id % 2 = 0 THEN 'auto' ELSE 'unsorted' END AS label FROM fx_units")(lambda fx: P.resolve_label(fx("fx_units").select("session_id", "unit_id"), fx("fx_units").filter("unit_id % 3 = 0").select("session_id", "unit_id", F.lit("manual").alias("label")), fx("fx_units").filter("unit_id % 2 = 0").select("session_id", "unit_id", F.lit("auto").alias("label"))))
-query("a14_unit_counts", f"SELECT session_id, count_if({LABEL} = 'good') AS good, count_if({LABEL} = 'mua') AS mua, count_if({TYPE} = 'pyramidal') AS pyramidal, count_if({TYPE} = 'interneuron') AS interneuron FROM fx_units GROUP BY 1")(lambda fx: P.unit_counts(units(fx)))
+query("a14_unit_counts", f"SELECT session_id, count(*) FILTER ({LABEL} = 'good') AS good, count(*) FILTER ({LABEL} = 'mua') AS mua, count(*) FILTER ({TYPE} = 'pyramidal') AS pyramidal, count(*) FILTER ({TYPE} = 'interneuron') AS interneuron FROM fx_units GROUP BY 1")(lambda fx: P.unit_counts(units(fx)))
 query("p10_select_units", f"SELECT session_id, unit_id FROM fx_units WHERE {LABEL} IN ('good', 'mua')")(lambda fx: P.select_units(units(fx), ("good", "mua")).select("session_id", "unit_id"))
 query("w18_rate_rank", "SELECT session_id, unit_id, CAST(row_number() OVER w - 1 AS INT) AS rank, round(percent_rank() OVER w, 6) AS \"offset\" FROM fx_units WINDOW w AS (PARTITION BY session_id ORDER BY firing_rate_hz, unit_id)")(lambda fx: P.rate_rank(fx("fx_units")).select("session_id", "unit_id", "rank", "offset"))
 query("t2_top_units", "SELECT session_id, unit_id, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY acg_tau_rise_ms DESC NULLS LAST, unit_id) AS r FROM fx_units) WHERE r <= 5")(lambda fx: P.top_units(fx("fx_units"), "acg_tau_rise_ms", 5).select("session_id", "unit_id", "rank"))

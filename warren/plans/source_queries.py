@@ -26,7 +26,7 @@ query("j8_nearest_in_frame", f"WITH {SPLIT} SELECT r.session_id, r.frame_index,
 query("p12_in_polygon", "SELECT session_id, frame_index, x1, y1, x1 >= 100 AND x1 <= 700 AND y1 >= 50 AND y1 <= 400 AS inside FROM fx_detections")(lambda fx: fx("fx_detections").select("session_id", "frame_index", "x1", "y1", D.in_polygon(F.col("x1"), F.col("y1"), [(100, 50), (700, 50), (700, 400), (100, 400)]).alias("inside")))
 query("j21_match_rat_config", "SELECT name, CASE WHEN name LIKE 'rat10%' THEN 'rat10' ELSE 'rat1' END AS key FROM (SELECT DISTINCT concat('rat', p_partkey) AS name FROM part) WHERE name LIKE 'rat1%'")(lambda fx: D.match_rat_config(fx("part").select(F.concat(F.lit("rat"), "p_partkey").alias("name")).distinct(), fx("nation").select(F.when(F.col("n_nationkey") % 2 == 0, "rat1").otherwise("rat10").alias("key")).distinct()))
 query("j22_align_offset", """WITH s AS (SELECT session_id, min(seconds) AS t0, max(seconds) AS t1 FROM fx_track GROUP BY 1), st AS (SELECT session_id, trial_num, min(seconds) + 0.9 AS start FROM fx_track WHERE trial_num IS NOT NULL GROUP BY 1, 2), c(place, "offset") AS (VALUES (0, 0.0), (1, 0.9), (2, 50.0)),
-i AS (SELECT st.session_id, place, "offset", count_if(start - "offset" BETWEEN t0 AND t1) AS inside FROM st JOIN s USING (session_id), c GROUP BY 1, 2, 3) SELECT session_id, place, CAST("offset" AS DOUBLE) AS "offset", inside FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY inside DESC, place) AS r FROM i) WHERE r = 1""")(
+i AS (SELECT st.session_id, place, "offset", count(*) FILTER (start - "offset" BETWEEN t0 AND t1) AS inside FROM st JOIN s USING (session_id), c GROUP BY 1, 2, 3) SELECT session_id, place, CAST("offset" AS DOUBLE) AS "offset", inside FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY inside DESC, place) AS r FROM i) WHERE r = 1""")(
     lambda fx: D.align_offset(fx("fx_track").filter("trial_num is not null").groupBy("session_id", "trial_num").agg((F.min("seconds") + 0.9).alias("start")), fx("fx_track").groupBy("session_id").agg(F.min("seconds").alias("t0"), F.max("seconds").alias("t1")), fx("fx_track").select("session_id").distinct().select("session_id", F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(o).alias("offset")) for i, o in enumerate((0.0, 0.9, 50.0))])).alias("c")).select("session_id", "c.*"))
 )
 

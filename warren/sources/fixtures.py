@@ -84,6 +84,15 @@ SELECT CAST(o_custkey % 20 AS INT) AS rat_no, CAST(o_orderdate AS DATE) AS sessi
        CASE l_returnflag WHEN 'A' THEN 'D1' WHEN 'N' THEN 'D2' ELSE 'D3' END AS volume,
        CAST(l_quantity * 1000000000 AS BIGINT) AS size_bytes
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderkey % 7 <> 0
+""",
+    "fx_names": """
+SELECT rat_no, day, phase, volume, q, size_bytes,
+       concat('Rat', CAST(rat_no AS VARCHAR), '_HM_neurons_', replace(day, '-', ''), '_', lpad(CAST(q % 24 AS VARCHAR), 2, '0'), '0500_', phase, CASE WHEN q % 7 = 0 THEN '_part2' ELSE '' END, '.rec') AS recording,
+       CASE q % 4 WHEN 0 THEN concat('eye', CAST(q AS VARCHAR), '_', day, '_10-11-12.mp4') WHEN 1 THEN concat(day, '_10-11-12.Eye', CAST(q AS VARCHAR), '.mp4')
+                  WHEN 2 THEN concat('eye', CAST(q AS VARCHAR), '.', day, '.MP4') ELSE concat('cam', CAST(q AS VARCHAR), '.mp4') END AS camera,
+       CASE WHEN q % 3 = 0 THEN 'videos' ELSE concat(day, '_09-08-07') END AS folder,
+       concat('/', volume, CASE q % 3 WHEN 0 THEN '/HM_neurons' WHEN 1 THEN '/HM_neuron_preprocessing' ELSE '/dump' END, '/Rat', CAST(rat_no AS VARCHAR), '/', replace(day, '-', '')) AS path
+FROM (SELECT rat_no, CAST(session_date AS VARCHAR) AS day, phase, volume, size_bytes, CAST(size_bytes / 1000000000 AS INT) AS q FROM fx_files) f
 """,
     "fx_log": """
 SELECT session_id, frame_index AS line_no,
@@ -94,7 +103,7 @@ SELECT session_id, frame_index AS line_no,
 FROM fx_track
 """,
 }
-NEEDS = {"fx_trial_meta": ("fx_track",), "fx_log": ("fx_track",)}
+NEEDS = {"fx_trial_meta": ("fx_track",), "fx_log": ("fx_track",), "fx_names": ("fx_files",)}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
