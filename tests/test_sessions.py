@@ -74,3 +74,9 @@ def test_channels_fall_back_to_all(spark):
     chosen = spark.createDataFrame([("a", 1), ("a", 5), ("a", 6), ("b", 2), ("b", 99)], "session_id string, hw int")
     bad = spark.createDataFrame([("a", 5), ("b", 0)], "session_id string, hw int")
     assert rows(sessions.map_channels(columns, chosen, bad)) == [("a", 1, 1), ("a", 6, 6), ("b", 1, 1), ("b", 2, 2), ("b", 3, 3)]
+
+
+def test_cameras_are_filled_between_and_after_but_not_before(spark):
+    levels = spark.createDataFrame([("s", "red", 1, 0.0, 1.0), ("s", "red", 1, 2.0, 3.0), ("s", "red", 2, 1.0, 10.0), ("s", "red", 2, 3.0, 30.0)], "session_id string, color string, camera int, ts double, value double")
+    assert rows(sessions.merge_cameras(levels).select("ts", "total")) == [(0.0, 1.0), (1.0, 12.0), (2.0, 23.0), (3.0, 33.0)]
+    assert sessions.merge_cameras(levels.limit(0)).count() == 0

@@ -285,3 +285,29 @@ def first_flag(rules: dict[str, Column]) -> Column:
 def metric_columns(metrics: Column, names: list[str]) -> list[Column]:
     """columns of a map of metrics, null for a missing key."""
     return [F.try_element_at(metrics, F.lit(n)).alias(n) for n in names]
+
+
+def merge_cameras(levels: DataFrame) -> DataFrame:
+    """The intensities of a colour's cameras, summed at every time that one of them has.
+
+    A camera's gaps are filled in a straight line over the positions of the merged times; after its last value it
+    keeps that value, before its first it adds nothing.
+    """
+    keys = ["session_id", "color"]
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy("ts"))
+    times = levels.select(*keys, "ts").distinct().withColumn("i", at)
+    # a colour has a handful of cameras
+    grid = times.join(levels.select(*keys, "camera").distinct(), keys).join(levels, [*keys, "camera", "ts"], "left")
+    w = Window.partitionBy(*keys, "camera").orderBy("i")
+    known = F.when(F.col("value").isNotNull(), F.struct("i", "value"))
+    near = grid.withColumn("a", F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("b", F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    share = (F.col("i") - F.col("a.i")) / F.nullif(F.col("b.i") - F.col("a.i"), F.lit(0))
+    filled = F.col("a.value") + F.coalesce(share * (F.col("b.value") - F.col("a.value")), F.lit(0.0))
+    return near.withColumn("filled", filled).groupBy(*keys, "ts").agg(F.coalesce(F.sum("filled"), F.lit(0.0)).alias("total"))
+
+
+def reach_vectors(decoded: DataFrame, actual: DataFrame) -> DataFrame:
+    """DE12: from where the animal is in a bin to where each lead decodes it."""
+    here = actual.select("session_id", "bin", F.col("x").alias("from_x"), F.col("y").alias("from_y"))
+    dx, dy = F.col("x") - F.col("from_x"), F.col("y") - F.col("from_y")
+    return decoded.join(here, ["session_id", "bin"]).select("session_id", "lead", "bin", "from_x", "from_y", dx.alias("dx"), dy.alias("dy"), F.hypot(dx, dy).alias("reach"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from warren.operators import graph as G
 from warren.operators import sessions as B
+from warren.operators import spikes as P
 from warren.operators import track as T
 from warren.plans.graph_queries import PAIRS, TRIALS, hops, trials
 from warren.plans.registry import query
@@ -146,3 +147,18 @@ query("f26_first_flag", "SELECT session_id, unit_id, CASE WHEN snr < 1 THEN 'low
 query("f24_metric_columns", "SELECT session_id, unit_id, round(snr, 6) AS snr, CASE WHEN unit_id % 2 = 0 THEN round(firing_rate_hz, 6) END AS firing_rate_hz, NULL::DOUBLE AS drift FROM fx_units")(
     lambda fx: fx("fx_units").select("session_id", "unit_id", *B.metric_columns(F.map_from_entries(F.filter(F.array(F.struct(F.lit("snr").alias("k"), F.col("snr").alias("v")), F.struct(F.when(F.col("unit_id") % 2 == 0, "firing_rate_hz").alias("k"), F.col("firing_rate_hz").alias("v"))), lambda e: e["k"].isNotNull())), ["snr", "firing_rate_hz", "drift"]))
 )
+query("l5_merge_cameras", """WITH l AS (SELECT session_id, CASE WHEN user_id % 2 = 0 THEN 'red' ELSE 'blue' END AS color, frame_index % 2 AS camera, CAST(frame_index AS BIGINT) AS ts, x AS value FROM fx_track WHERE frame_index % 6 < 4 AND frame_index > 4 - 3 * (frame_index % 2)),
+t AS (SELECT *, row_number() OVER (PARTITION BY session_id, color ORDER BY ts) AS i FROM (SELECT DISTINCT session_id, color, ts FROM l)),
+g AS (SELECT t.session_id, t.color, t.ts, i, c.camera, value, CASE WHEN value IS NOT NULL THEN i END AS k FROM t JOIN (SELECT DISTINCT session_id, color, camera FROM l) c ON c.session_id = t.session_id AND c.color = t.color LEFT JOIN l ON l.session_id = t.session_id AND l.color = t.color AND l.camera = c.camera AND l.ts = t.ts),
+n AS (SELECT *, max(k) OVER (PARTITION BY session_id, color, camera ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ia, min(k) OVER (PARTITION BY session_id, color, camera ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ib FROM g),
+f AS (SELECT n.session_id, n.color, n.ts, CASE WHEN n.ia IS NULL THEN NULL WHEN n.ib IS NULL OR n.ib = n.ia THEN a.value ELSE a.value + (n.i - n.ia) / (n.ib - n.ia) * (b.value - a.value) END AS v FROM n
+ LEFT JOIN g a ON a.session_id = n.session_id AND a.color = n.color AND a.camera = n.camera AND a.i = n.ia LEFT JOIN g b ON b.session_id = n.session_id AND b.color = n.color AND b.camera = n.camera AND b.i = n.ib)
+SELECT session_id, color, ts, round(coalesce(sum(v), 0), 6) AS total FROM f GROUP BY 1, 2, 3""")(
+    lambda fx: B.merge_cameras(
+        fx("fx_track").filter("frame_index % 6 < 4 and frame_index > 4 - 3 * (frame_index % 2)").select("session_id", F.when(F.col("user_id") % 2 == 0, "red").otherwise("blue").alias("color"), (F.col("frame_index") % 2).alias("camera"), F.col("frame_index").alias("ts"), F.col("x").alias("value"))
+    )
+)
+query("de12_reach_vectors", """WITH p AS (SELECT session_id, floor(seconds / 0.1)::BIGINT AS bin, avg(x) AS x, avg(y) AS y FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2), l AS (SELECT unnest([0, 1, 2]) AS lead)
+SELECT a.session_id, l.lead, a.bin, round(a.x, 6) AS from_x, round(a.y, 6) AS from_y, round(b.x - a.x, 6) AS dx, round(b.y - a.y, 6) AS dy, round(sqrt((b.x - a.x) ** 2 + (b.y - a.y) ** 2), 6) AS reach FROM p a CROSS JOIN l JOIN p b ON b.session_id = a.session_id AND b.bin = a.bin + l.lead""")(
+    lambda fx: (lambda p: B.reach_vectors(p.withColumn("lead", F.explode(F.array(*map(F.lit, range(3))))).withColumn("bin", F.col("bin") - F.col("lead")), p))(P.bin_position(fx("fx_track"), 0.1).select("session_id", "bin", "x", "y"))
+)
