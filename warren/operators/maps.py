@@ -51,15 +51,23 @@ def rate_map(track: DataFrame, spikes: DataFrame, nx: int = 18, ny: int = 10, si
 
     The track has x, y, speed and seconds; a spike lies where the animal is at its time (plus a lead).
     """
-    w = Window.partitionBy("session_id").orderBy("seconds")
-    dt = track.withColumn("d", F.col("seconds") - F.lag("seconds").over(w)).groupBy("session_id").agg(F.median("d").alias("dt"))
     fast = lambda df: df.filter(F.col("speed") > threshold) if threshold else df
+    return placed_rates(fast(track), fast(interp_at(spikes, track, ("x", "y", "speed"), lead)), spikes.select("session_id", "unit_id").distinct(), nx, ny, sigma, sample_s(track))
+
+
+def sample_s(track: DataFrame) -> DataFrame:
+    """The usual time between a session's samples."""
+    w = Window.partitionBy("session_id").orderBy("seconds")
+    return track.withColumn("d", F.col("seconds") - F.lag("seconds").over(w)).groupBy("session_id").agg(F.median("d").alias("dt"))
+
+
+def placed_rates(track: DataFrame, placed: DataFrame, units: DataFrame, nx: int, ny: int, sigma: float, dt: DataFrame) -> DataFrame:
+    """The rate map of units from samples of the track and spikes that have their positions already."""
     cells = lambda df: df.withColumn("bx", bins(F.col("x"), 0.0, WIDTH_M, nx)).withColumn("by", bins(F.col("y"), 0.0, HEIGHT_M, ny)).filter("bx is not null and by is not null")
-    occupied = cells(fast(track)).groupBy("session_id", *CELL).agg(F.count("*").alias("n")).join(dt, "session_id").select("session_id", *CELL, (F.col("n") * F.col("dt")).alias("occupied_s"))
-    placed = cells(fast(interp_at(spikes, track, ("x", "y", "speed"), lead)))
-    counts = placed.groupBy("session_id", "unit_id", *CELL).agg(F.count("*").cast("double").alias("spikes"))
+    occupied = cells(track).groupBy("session_id", *CELL).agg(F.count("*").alias("n")).join(dt, "session_id").select("session_id", *CELL, (F.col("n") * F.col("dt")).alias("occupied_s"))
+    counts = cells(placed).groupBy("session_id", "unit_id", *CELL).agg(F.count("*").cast("double").alias("spikes"))
     smooth_n, smooth_t = gauss_smooth(counts, ["session_id", "unit_id"], "spikes", sigma, nx, ny), gauss_smooth(occupied, ["session_id"], "occupied_s", sigma, nx, ny).withColumnRenamed("occupied_s", "smooth_s")
-    grid = spikes.select("session_id", "unit_id").distinct().join(occupied, "session_id").join(smooth_t, ["session_id", *CELL])
+    grid = units.join(occupied, "session_id").join(smooth_t, ["session_id", *CELL])
     return grid.join(smooth_n, ["session_id", "unit_id", *CELL], "left").withColumn("rate", F.try_divide(F.coalesce("spikes", F.lit(0.0)), F.col("smooth_s"))).select("session_id", "unit_id", *CELL, "occupied_s", "rate")
 
 
@@ -114,6 +122,11 @@ def field_metrics(fields: DataFrame, goals: DataFrame) -> DataFrame:
     return rows.groupBy("session_id", "unit_id").agg(F.count("*").alias("fields"), F.avg("d").alias("mean_distance"), nth(0).alias("largest"), nth(1).alias("second"), F.min("d").alias("nearest"))
 
 
+def posterior_grid(counts: DataFrame, cells: DataFrame) -> DataFrame:
+    """Every time bin of a session with every cell it visited; at most a maze's cells for a bin."""
+    return counts.select("session_id", "bin").distinct().join(cells, "session_id")
+
+
 def decode(counts: DataFrame, curves: DataFrame, width: float, least_s: float = 0.3) -> DataFrame:
     """DE5: the most likely cell of each time bin under independent Poisson units.
 
@@ -126,7 +139,7 @@ def decode(counts: DataFrame, curves: DataFrame, width: float, least_s: float =
     enough = silent.groupBy("session_id").agg(F.count("*").alias("k")).filter("k >= 3").select("session_id")
     silent = silent.join(enough, "session_id", "left_semi")
     seen = counts.filter("n > 0").join(cells.join(enough, "session_id", "left_semi"), ["session_id", "unit_id"]).groupBy("session_id", "bin", *CELL).agg(F.sum(F.col("n") * F.log(F.col("rate") + 1e-3)).alias("said"))
-    every = counts.select("session_id", "bin").distinct().join(silent, "session_id").join(seen, ["session_id", "bin", *CELL], "left")
+    every = posterior_grid(counts, silent).join(seen, ["session_id", "bin", *CELL], "left")
     value = F.round(F.col("base") + F.coalesce("said", F.lit(0.0)), 9)
     best = F.min_by(F.struct(*CELL, (-value).alias("neg")), F.struct((-value).alias("neg"), *CELL))
     return every.groupBy("session_id", "bin").agg(best.alias("b")).select("session_id", "bin", F.col("b.bx").alias("bx"), F.col("b.by").alias("by"), (-F.col("b.neg")).alias("log_posterior"))

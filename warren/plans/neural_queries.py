@@ -10,6 +10,7 @@ from warren.operators import signals as E
 from warren.operators import spikes as P
 from warren.operators import stats as C
 from warren.operators import track as T
+from warren.operators import tuning as U
 from warren.plans.registry import query
 from warren.plans.track_queries import STEPS
 
@@ -81,7 +82,7 @@ query("m2_gauss_smooth")(lambda fx: curves(fx, 1.0))
 query("m4_place_fields")(lambda fx: M.place_fields(curves(fx, 1.0), 2))
 query("m5_field_metrics")(lambda fx: M.field_metrics(M.place_fields(curves(fx, 1.0), 2), fx("fx_track").select("session_id").distinct().withColumn("goal_bx", F.lit(9.0)).withColumn("goal_by", F.lit(5.0))))
 query("de5_decode")(lambda fx: M.decode(P.spike_counts(fx("fx_spikes"), 0.5), curves(fx, 1.0), 0.5, 0.03))
-query("de6_decode_error")(lambda fx: M.decode_error(M.decode(P.spike_counts(fx("fx_spikes"), 0.5), curves(fx, 1.0), 0.5, 0.03), P.bin_position(fx("fx_track"), 0.5)))
+query("de6_decode_error")(lambda fx: (lambda at: M.decode_error(M.decode(U.time_counts(fx("fx_spikes"), at, 0.5), curves(fx, 1.0), 0.5, 0.03), at))(P.bin_position(fx("fx_track"), 0.5)))
 
 
 def later(fx, lead=0.1):
