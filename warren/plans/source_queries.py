@@ -8,6 +8,7 @@ from warren.operators import detections as D
 from warren.operators import track as T
 from warren.plans.registry import query
 from warren.sources import logs as L
+from warren.streaming import live as V
 from warren.streaming import trials as X
 
 POSITION = r"regexp_extract(value, 'position is: \((-?[0-9.]+), (-?[0-9.]+)\) @ ([0-9]+)', {})"
@@ -40,3 +41,18 @@ query("x1_trial_machine")(lambda fx: X.batch_trials(machine_frames(fx)))
 query("x12_epochs", "SELECT user_id AS session_id, time_bucket(INTERVAL 1 HOUR, CAST(ts AS TIMESTAMP)) AS start, count(*) AS n, round(avg(event_id), 6) AS x FROM events GROUP BY 1, 2")(lambda fx: X.epochs(fx("events").select(F.col("user_id").alias("session_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("double").alias("x")), "1 hour"))
 query("x14_sessions", """WITH e AS (SELECT user_id AS session_id, CAST(ts AS TIMESTAMP) AS ts FROM events), b AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY session_id ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens FROM e), g AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bout FROM b)
 SELECT session_id, min(ts) AS start, count(*) AS n FROM g GROUP BY session_id, bout""")(lambda fx: X.sessions(fx("events").select(F.col("user_id").alias("session_id"), F.col("ts").cast("timestamp").alias("ts")), "1 hour"))
+
+
+def scheduled_frames(fx):
+    meta = fx("fx_trial_meta").select("session_id", "trial_num", F.when(F.col("trial_num") % 2 == 0, F.col("trial_num") * 400.0).alias("start_ms"), F.when(F.col("trial_num") % 3 == 0, F.col("trial_num") * 500.0).alias("end_ms"), F.lit(None).cast("double").alias("immune_from"), F.lit(None).cast("double").alias("immune_to"))
+    return machine_frames(fx).join(X.schedules(meta), "session_id", "left")
+
+
+query("x4_x7_x8_scheduled_trials")(lambda fx: X.batch_trials(scheduled_frames(fx)))
+FREE = f"""WITH {SPLIT}, k AS (SELECT r.* FROM r WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.session_id = r.session_id AND o.frame_index = r.frame_index AND ((floor((r.x1 + r.x2) / 2) BETWEEN o.x1 AND o.x2 AND floor((r.y1 + r.y2) / 2) BETWEEN o.y1 AND o.y2)
+ OR (least(r.x2, o.x2) > greatest(r.x1, o.x1) AND least(r.y2, o.y2) > greatest(r.y1, o.y1) AND (least(r.x2, o.x2) - greatest(r.x1, o.x1)) * (least(r.y2, o.y2) - greatest(r.y1, o.y1)) / ((r.x2 - r.x1) * (r.y2 - r.y1)) > 0.1))) AND floor((x1 + x2) / 2) <= 900),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY session_id, frame_index ORDER BY conf DESC, x1, y1) = 1), p AS (SELECT session_id, frame_index, floor((b.x1 + b.x2) / 2) AS x, floor((b.y1 + b.y2) / 2) AS y FROM (SELECT DISTINCT session_id, frame_index FROM fx_detections) LEFT JOIN b USING (session_id, frame_index))
+SELECT session_id, frame_index, CAST(last_value(x IGNORE NULLS) OVER w AS DOUBLE) AS x, CAST(last_value(y IGNORE NULLS) OVER w AS DOUBLE) AS y, x IS NOT NULL AS seen FROM p WINDOW w AS (PARTITION BY session_id ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+query("x11_live_positions", FREE)(lambda fx: V.live_positions(V.frame_positions(fx("fx_detections"), [(0, 0), (900, 0), (900, 2000), (0, 2000)])))
+query("x10_node_visits", """WITH p AS (SELECT session_id, seconds AS t, abs(x) * 120 AS x, abs(y) * 140 AS y FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL), h AS (SELECT session_id, t, node_id FROM p JOIN fx_nodes n ON sqrt((p.x - n.x) ** 2 + (p.y - n.y) ** 2) <= 20), l AS (SELECT *, lag(node_id) OVER (PARTITION BY session_id ORDER BY t, node_id) AS b FROM h)
+SELECT session_id, node_id, round(t, 6) AS t FROM l WHERE b IS NULL OR b <> node_id""")(lambda fx: V.node_visits(fx("fx_track").filter("x is not null and y is not null").select("session_id", F.col("seconds").alias("t"), (F.abs("x") * 120).alias("x"), (F.abs("y") * 140).alias("y")), fx("fx_nodes")))

@@ -2,12 +2,18 @@
 
 A session waits, records a trial from the moment the rat is at the start node, ends it by the rules of the trial's
 type, and waits between trials until a researcher is near. Times are the frames' own milliseconds.
+
+A session may have a schedule: a trial's start lock keeps it from starting early and ends an earlier trial that is
+still on, its end lock refuses every earlier end and is one itself, and minutes of the hour in which a trial is immune
+suppress its ends and end it when they are over. A trial whose successor has a start lock ends by the schedule alone.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,31 +25,44 @@ START_PX, GOAL_PX, LATE_GOAL_PX = 60, 25, 20
 LATE_MS, PROBE_MS, PROBE_PX = 600_000, 120_000, 600
 NEAR_PX, NEAR_MS, NEXT_PX = 150, 5_000, 300
 LOCKOUT_TYPES = (4, 5, 6)
+#: A researcher at the goal ends a trial after so many milliseconds within so many pixels.
+AT_GOAL, NEAR_GOAL = (50, 10_000), (160, 30_000)
+#: Fixed value: a trial with a start lock lasts so many milliseconds at least, unless the schedule ends it.
+SCHEDULED_MS = 5_000
 
 WAITING, ACTIVE, BETWEEN = "waiting", "active", "between"
 OUT = "session_id string, trial_num int, trial_type int, t0 double, t1 double, reason string, reached boolean, frames bigint"
 
 
 def new_state() -> dict:
-    return {"phase": WAITING, "trial": 0, "t0": None, "frames": 0, "apart": False, "near_since": None, "locked_until": None, "last": None, "type": None}
+    return {"phase": WAITING, "trial": 0, "t0": None, "frames": 0, "apart": False, "near_since": None, "locked_until": None, "last": None, "type": None, "seen": False, "at_goal": 0.0, "near_goal": 0.0}
 
 
 def _far(a, b, c, d) -> float:
     return float("inf") if None in (a, b, c, d) else ((a - c) ** 2 + (b - d) ** 2) ** 0.5
 
 
+@lru_cache(maxsize=1024)
+def _plan(text: str | None) -> dict[str, dict]:
+    """Start and end locks (ms) and immune minutes by the trial's number, as `schedules` writes them."""
+    rows = json.loads(text) if text else {}
+    pick = lambda k: {int(n): r[k] for n, r in rows.items() if r.get(k) is not None}
+    return {"start": pick("start_ms"), "end": pick("end_ms"), "immune": {int(n): (r["immune_from"], r["immune_to"]) for n, r in rows.items() if r.get("immune_to") is not None}}
+
+
 def step(state: dict, frame: dict) -> tuple[dict, dict | None]:
-    """One frame (frame_ms, x, y, rx, ry, start_x, start_y, goal_x, goal_y, trial_type) to the new state and an ended trial."""
-    s, t = dict(state), frame["frame_ms"]
+    """One frame (frame_ms, x, y, rx, ry, start_x, start_y, goal_x, goal_y, trial_type, schedule) to the new state and an ended trial."""
+    s, t, plan = dict(state), frame["frame_ms"], _plan(frame.get("schedule"))
     rat = (frame["x"], frame["y"])
     person = (frame["rx"], frame["ry"])
-    near = _far(*rat, *person)
+    near, passed = _far(*rat, *person), 0.0 if s["last"] is None else t - s["last"]
     s["last"] = t
-    if s["phase"] == BETWEEN and near <= NEXT_PX and (s["locked_until"] is None or t >= s["locked_until"]):
+    free = s["locked_until"] is None or t >= s["locked_until"]
+    if s["phase"] == BETWEEN and near <= NEXT_PX and free:
         s["phase"] = WAITING
     if s["phase"] == WAITING:
-        if _far(*rat, frame["start_x"], frame["start_y"]) < START_PX:
-            s |= {"phase": ACTIVE, "trial": s["trial"] + 1, "t0": t, "frames": 1, "apart": False, "near_since": None, "type": frame["trial_type"]}
+        if free and t >= plan["start"].get(s["trial"] + 1, -math.inf) and _far(*rat, frame["start_x"], frame["start_y"]) < START_PX:
+            s |= {"phase": ACTIVE, "trial": s["trial"] + 1, "t0": t, "frames": 1, "apart": False, "near_since": None, "type": frame["trial_type"], "seen": False, "at_goal": 0.0, "near_goal": 0.0}
         return s, None
     if s["phase"] != ACTIVE:
         return s, None
@@ -51,18 +70,57 @@ def step(state: dict, frame: dict) -> tuple[dict, dict | None]:
     goal, elapsed, kind = _far(*rat, frame["goal_x"], frame["goal_y"]), t - s["t0"], s["type"]
     s["apart"] = s["apart"] or near > NEAR_PX
     s["near_since"] = (s["near_since"] if s["near_since"] is not None else t) if near <= NEAR_PX and s["apart"] else None
-    reason = None
+    s["seen"] = s["seen"] or goal <= LATE_GOAL_PX
+    forced = _forced(s, t, plan)
+    if forced:
+        ended, row = _ended(s, t, forced, False)
+        # after a start lock or an interval the next trial waits for the rat alone
+        return (ended if forced == "end schedule" else ended | {"phase": WAITING}), row
+    if t < plan["end"].get(s["trial"], -math.inf) or s["trial"] + 1 in plan["start"]:
+        return s, None
+    if s["trial"] in plan["start"] and elapsed < SCHEDULED_MS:
+        return s, None
+    immune = _immune(s, t, plan)
+    reason = None if immune else _reason(s, t, goal, near, elapsed, kind)
+    if reason is None:
+        reason = _researcher_at_goal(s, _far(*person, frame["goal_x"], frame["goal_y"]), passed, not immune and (kind != 3 or elapsed >= PROBE_MS))
+    return _ended(s, t, reason, goal <= GOAL_PX or (kind in LOCKOUT_TYPES and s["seen"])) if reason else (s, None)
+
+
+def _immune(s: dict, t: float, plan: dict) -> bool:
+    span = plan["immune"].get(s["trial"])
+    return span is not None and span[0] <= t / 60_000 % 60 <= span[1]
+
+
+def _forced(s: dict, t: float, plan: dict) -> str | None:
+    """What the schedule ends a trial for: its end lock, a later trial's start lock, or immune minutes that are over."""
+    lock = plan["end"].get(s["trial"])
+    if lock is not None:
+        return "end schedule" if t >= lock else None
+    if any(n > s["trial"] and t >= at for n, at in plan["start"].items()):
+        return "start schedule"
+    span = plan["immune"].get(s["trial"])
+    return "interval" if span is not None and s["trial"] + 1 not in plan["start"] and t / 60_000 % 60 >= span[1] else None
+
+
+def _reason(s: dict, t: float, goal: float, near: float, elapsed: float, kind) -> str | None:
+    """What the trial's own rules end it for."""
     if kind == 3:
         if elapsed >= PROBE_MS and near <= PROBE_PX and goal <= GOAL_PX:
-            reason = "probe"
+            return "probe"
     elif kind in LOCKOUT_TYPES:
-        if goal <= LATE_GOAL_PX and elapsed >= LATE_MS:
-            reason = "late goal"
+        if s["seen"] and elapsed >= LATE_MS:
+            return "late goal"
     elif goal <= GOAL_PX:
-        reason = "goal"
-    if reason is None and s["near_since"] is not None and t - s["near_since"] >= (NEAR_MS if kind in (1, 2) else LATE_MS):
-        reason = "researcher"
-    return _ended(s, t, reason, goal <= GOAL_PX) if reason else (s, None)
+        return "goal"
+    return "researcher" if s["near_since"] is not None and t - s["near_since"] >= (NEAR_MS if kind in (1, 2) else LATE_MS) else None
+
+
+def _researcher_at_goal(s: dict, distance: float, passed: float, allowed: bool) -> str | None:
+    """Time that a researcher is at the goal, kept in the state; the wide radius counts only while it is allowed."""
+    s["at_goal"] = s["at_goal"] + passed if distance <= AT_GOAL[0] else 0.0
+    s["near_goal"] = s["near_goal"] + passed if distance <= NEAR_GOAL[0] and allowed else 0.0
+    return "researcher at goal 10s" if s["at_goal"] >= AT_GOAL[1] else "researcher at goal 30s" if s["near_goal"] >= NEAR_GOAL[1] else None
 
 
 def _ended(s: dict, t: float, reason: str, reached: bool) -> tuple[dict, dict]:
@@ -80,8 +138,20 @@ FIELDS = ["frame_ms", "x", "y", "rx", "ry", "start_x", "start_y", "goal_x", "goa
 
 
 def _frames(part: pd.DataFrame) -> Iterator[dict]:
-    for r in part.sort_values(["frame_ms", "frame_index"])[FIELDS].itertuples(index=False):
-        yield {k: None if v != v else v for k, v in zip(FIELDS, r)}
+    names = [*FIELDS, "schedule"]
+    for r in part.sort_values(["frame_ms", "frame_index"])[names].itertuples(index=False):
+        yield {k: None if v != v else v for k, v in zip(names, r)}
+
+
+def _columns(frames: DataFrame) -> DataFrame:
+    """The columns of a frame; without a schedule there is none."""
+    return frames.select("session_id", "frame_index", *FIELDS, F.col("schedule") if "schedule" in frames.columns else F.lit(None).cast("string").alias("schedule"))
+
+
+def schedules(meta: DataFrame) -> DataFrame:
+    """The schedule of each session as text, from trials with start_ms, end_ms, immune_from and immune_to (null: none)."""
+    row = F.struct(F.col("trial_num").cast("string"), F.struct("start_ms", "end_ms", "immune_from", "immune_to"))
+    return meta.groupBy("session_id").agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(row)))).alias("schedule"))
 
 
 def _table(key: str, rows: list[dict]) -> pd.DataFrame:
@@ -89,7 +159,7 @@ def _table(key: str, rows: list[dict]) -> pd.DataFrame:
 
 
 def batch_trials(frames: DataFrame) -> DataFrame:
-    """X1-X3, X5, X6, X9, X15 over a table: a session is one ordered group."""
+    """X1-X9, X15 over a table: a session is one ordered group."""
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         state, out = new_state(), []
@@ -99,7 +169,7 @@ def batch_trials(frames: DataFrame) -> DataFrame:
         last = flush(state)
         return _table(part["session_id"].iloc[0], out + ([last] if last else []))
 
-    return frames.select("session_id", "frame_index", *FIELDS).groupBy("session_id").applyInPandas(one, OUT)
+    return _columns(frames).groupBy("session_id").applyInPandas(one, OUT)
 
 
 class TrialProcessor(StatefulProcessor):
@@ -123,7 +193,7 @@ class TrialProcessor(StatefulProcessor):
 
 def stream_trials(frames: DataFrame) -> DataFrame:
     """The state machine over a stream of frames, ended trials as they end. Needs the RocksDB state store."""
-    return frames.select("session_id", "frame_index", *FIELDS).groupBy("session_id").transformWithStateInPandas(TrialProcessor(), OUT, "Append", "none")
+    return _columns(frames).groupBy("session_id").transformWithStateInPandas(TrialProcessor(), OUT, "Append", "none")
 
 
 def epochs(frames: DataFrame, length: str = "1 second", slide: str | None = None) -> DataFrame:
