@@ -170,13 +170,18 @@ def embed_pca(matrix: DataFrame, k: int = 3) -> DataFrame:
     axis' largest loading is positive. A session with fewer than k units has null for the rest.
     """
     rows = matrix.groupBy("session_id", "bin").agg(F.transform(F.sort_array(F.collect_list(F.struct("unit_id", "z"))), lambda x: x["z"].cast("double")).alias("z"))
+    return on_axes(rows, k).select("session_id", "bin", *[f"pc{i + 1}" for i in range(k)])
+
+
+def on_axes(rows: DataFrame, k: int) -> DataFrame:
+    """Rows (session_id, z and others; z of one length in a session) with their places on the session's k principal axes."""
     partial = rows.select("session_id", "z").mapInPandas(_grams, "session_id string, a int, s array<double>")
     entries = partial.select("session_id", "a", F.posexplode("s").alias("b", "v")).groupBy("session_id", "a", "b").agg(F.sum("v").alias("v"))
     gram = entries.groupBy("session_id", "a").agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "v"))), lambda x: x["v"]).alias("s"))
     axes = gram.groupBy("session_id").applyInPandas(_axes(k), "session_id string, mean array<double>, axes array<array<double>>")
     centred = F.zip_with("z", "mean", lambda a, b: a - b)
     dot = lambda i: F.aggregate(F.zip_with(centred, F.get("axes", F.lit(i)), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    return rows.join(axes, "session_id").select("session_id", "bin", *[dot(i).alias(f"pc{i + 1}") for i in range(k)])
+    return rows.join(axes, "session_id").select(*rows.columns, *[dot(i).alias(f"pc{i + 1}") for i in range(k)])
 
 
 #: Start, lower and upper bounds of decay, rise, amplitude, depth, asymptote, burst width, burst height and delay (ms).

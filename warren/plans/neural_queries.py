@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from warren.operators import led as D
 from warren.operators import maps as M
 from warren.operators import population as N
 from warren.operators import signals as E
@@ -145,3 +146,11 @@ SELECT metric, CAST(least(floor((value - a) / (b - a) * 30), 29) AS INT) AS bin,
 query("n12_population_matrix")(lambda fx: N.population_matrix(fx("fx_spikes")).select("session_id", "unit_id", "bin", "z"))
 query("n2_waveform_metrics")(lambda fx: N.waveform_metrics(signal(fx).select("session_id", F.col("chunk").alias("unit_id"), "channel", F.col("k").alias("sample"), F.col("value").cast("double").alias("value")), 30000.0))
 query("e4_wakefulness")(lambda fx: N.wakefulness(signal(fx).withColumn("sample", F.col("k") + 64 * F.floor(F.col("chunk") / 80)), 64.0, 0, 1))
+
+
+def patches(fx):
+    return fx("fx_signal").select("session_id", F.col("chunk").alias("frame_index"), F.slice("v", 1, 8).alias("v"))
+
+
+query("l2_unmix", digits=3)(lambda fx: D.unmix(patches(fx)).withColumn("value", F.abs("value")).groupBy("session_id", "component").agg(F.count("*").alias("n"), F.stddev_pop("value").alias("spread")))
+query("l3_on_off")(lambda fx: D.on_off(D.unmix(patches(fx))).groupBy("session_id", "component").agg(F.sum("state").alias("frames_on")))
