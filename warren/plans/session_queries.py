@@ -159,6 +159,6 @@ SELECT session_id, color, ts, round(coalesce(sum(v), 0), 6) AS total FROM f GROU
     )
 )
 query("de12_reach_vectors", """WITH p AS (SELECT session_id, floor(seconds / 0.1)::BIGINT AS bin, avg(x) AS x, avg(y) AS y FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2), l AS (SELECT unnest([0, 1, 2]) AS lead)
-SELECT a.session_id, l.lead, a.bin, round(a.x, 6) AS from_x, round(a.y, 6) AS from_y, round(b.x - a.x, 6) AS dx, round(b.y - a.y, 6) AS dy, round(sqrt((b.x - a.x) ** 2 + (b.y - a.y) ** 2), 6) AS reach FROM p a CROSS JOIN l JOIN p b ON b.session_id = a.session_id AND b.bin = a.bin + l.lead""")(
+SELECT a.session_id, l.lead, a.bin, round(a.x, 6) AS from_x, round(a.y, 6) AS from_y, CASE WHEN abs(b.x - a.x) < 5e-7 THEN 0.0E0 ELSE round(b.x - a.x, 6) END AS dx, CASE WHEN abs(b.y - a.y) < 5e-7 THEN 0.0E0 ELSE round(b.y - a.y, 6) END AS dy, round(sqrt((b.x - a.x) ** 2 + (b.y - a.y) ** 2), 6) AS reach FROM p a CROSS JOIN l JOIN p b ON b.session_id = a.session_id AND b.bin = a.bin + l.lead""")(
     lambda fx: (lambda p: B.reach_vectors(p.withColumn("lead", F.explode(F.array(*map(F.lit, range(3))))).withColumn("bin", F.col("bin") - F.col("lead")), p))(P.bin_position(fx("fx_track"), 0.1).select("session_id", "bin", "x", "y"))
 )
