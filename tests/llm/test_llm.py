@@ -279,6 +279,43 @@ def test_keep_one_leaves_one_of_each_group(odd):
     assert set(prints.values()) == {1} and set(prints) == {simhash_by_hand(r[1]) for r in odd_rows()}
 
 
+def test_the_stage_keeps_what_brute_force_keeps(spark):
+    import corpus_pipeline as p
+
+    rng, words_of = random.Random(7), [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(words_of, k=rng.choice([9, 40, 200, 400]))) for _ in range(120)]
+    for t in texts[:100]:
+        w = t.split()
+        for edits in (1, 2, 3, 5, 8, 12):
+            near = list(w)
+            for i in rng.sample(range(len(w)), min(edits, len(w))):
+                near[i] = rng.choice(words_of)
+            texts.append(" ".join(near))
+    texts += ["", " ", None, "one two", "One  two", texts[0].upper(), "a b c d e " * 40 + texts[1], "a b c d e " * 2 + texts[1]]
+    rng.shuffle(texts)
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root, pairs = list(range(len(texts))), Counter()
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if (near := both / (len(sets[i]) + len(sets[j]) - both) if sets[i] or sets[j] else 1.0) >= 0.8:
+                pairs[int(near * 20) / 20] += 1
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    assert all(pairs[x] > 40 for x in (0.8, 0.85, 0.9, 0.95))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r["doc_id"] for r in p.near_duplicates(spark, docs, DIR).collect()} == {i for i in root if root[i] == i}
+
+
 def test_toxicity(spark, odd, none):
     docs, labels = common.table(spark, "/root/testdata/sf0.1", "documents"), common.table(spark, "/root/testdata/sf0.1", "labels")
     got = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).collect()}

@@ -20,6 +20,11 @@ LARGE_SHARD = 4096
 SHARD = 64
 #: A BK-tree stops branching here and compares the rest one by one.
 LEAF = 48
+#: Similar texts (exact Jaccard of their shingle sets) meet in shards of BANDS keys, each of ROWS minima: a pair at
+#: 0.8 misses all of them with probability (1 - 0.8 ** ROWS) ** BANDS = 1.3e-7, a pair above it more rarely.
+SIMILARITY, BANDS, ROWS = 0.8, 40, 5
+#: The trees' radius there. A pair at 0.8 lies 10 bits apart on average (12 for sets of four and five), deviation 3.
+WIDE = 28
 
 
 def fingerprint(text: bytes, words: int = SHINGLE, seed: int = SEED) -> int:
@@ -171,11 +176,153 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return dealt.mapInArrow(_link_shards, "u bigint, v bigint").filter("u is not null")
 
 
-def groups(prints: DataFrame, member: Column, radius: int = RADIUS) -> DataFrame:
-    """Adds `component_id`, the smallest `member` among all rows of the row's component, to rows with fp."""
+def shingle_set(text: bytes, words: int = SHINGLE) -> set[bytes]:
+    """The distinct word shingles of a text: the whole text if it has fewer words, none without words."""
+    w = text.lower().split()
+    return {b" ".join(s) for s in zip(*(w[i:] for i in range(words)))} or ({b" ".join(w)} if w else set())
+
+
+def jaccard(a: set, b: set) -> float:
+    return (both := len(a & b)) / (len(a) + len(b) - both) if a or b else 1.0
+
+
+_SCALES = np.random.default_rng(SEED).integers(0, 1 << 31, (2, BANDS * ROWS), np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def set_print(shingles: set[bytes], seed: int = SEED) -> tuple[int, int, int, np.ndarray]:
+    """A key of the set (equal sets only share it), its size, its SimHash and the keys of its bands."""
+    if not shingles:
+        return 0, 0, 0, np.zeros(0, np.int64)
+    digests = sorted(xxhash.xxh64_digest(s, seed) for s in shingles)
+    key = xxhash.xxh64_intdigest(b"".join(digests), seed)
+    found = np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 8)
+    low, set_bits = np.ascontiguousarray(found[:, 4:]).view(np.uint32)[:, 0], np.zeros(BITS, np.int64)
+    minima = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(found), 4096):
+        set_bits += np.unpackbits(found[at : at + 4096], axis=1).sum(0, dtype=np.int64)
+    for at in range(0, len(low), 512):
+        np.minimum(minima, (_SCALES[0][:, None] * low[None, at : at + 512] + _SCALES[1][:, None]).min(1), out=minima)
+    fp = int.from_bytes(np.packbits(2 * set_bits > len(found)).tobytes(), "big")
+    bands = [_signed(xxhash.xxh64_intdigest(b.tobytes(), i)) for i, b in enumerate(minima.reshape(BANDS, ROWS))]
+    return _signed(key), len(found), _signed(fp), np.array(bands, np.int64)
+
+
+def set_prints(docs: DataFrame, keys: list[str], shingle: int) -> DataFrame:
+    """`keys`, the set's key `fp`, `size`, SimHash `near` and `bands` of every row of `docs` (with text)."""
+    kinds = dict(docs.dtypes)
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        fp, size, near, bands = zip(*(set_print(shingle_set(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle)) for t in batch.column("text")))
+        new = {"fp": pa.array(fp, pa.int64()), "size": pa.array(size, pa.int32()), "near": pa.array(near, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64()))}
+        return {k: batch.column(k) for k in keys} | new
+
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "fp bigint, size int, near bigint, bands array<bigint>"])
+    return map_arrow(docs.select(*keys, "text"), rows, schema)
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+    """Calls `work` (columns of whole shards to a batch) on batches sorted by their first column, the shard."""
+    kept: list[list[np.ndarray]] = []
+    for batch in batches:
+        if batch.num_rows:
+            kept.append([np.asarray(c) for c in batch.columns])
+            if kept[-1][0][0] != kept[-1][0][-1]:
+                whole = [np.concatenate(x) for x in zip(*kept)]
+                last = np.searchsorted(whole[0], whole[0][-1])
+                yield work(*(c[:last] for c in whole))
+                kept = [[c[last:] for c in whole]]
+    if kept:
+        yield work(*(np.concatenate(x) for x in zip(*kept)))
+
+
+def _pairs(similarity: float, nearest: bool):
+    """Rows (shard, fp, size, near, part) to pairs of sets that may be similar, by the shard's BK-tree.
+
+    Sets of one part are linked already. `nearest` gives each set only its nearest one with a smaller key.
+    """
+
+    def pairs(shard, fp, size, near, part) -> pa.RecordBatch:
+        out = []
+        cuts = np.flatnonzero(np.diff(shard)) + 1
+        for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(shard)]):
+            if b - a < 2 or (part[a:b] == part[a]).all():
+                continue
+            prints = near[a:b].view(np.uint64)
+            everyone = np.arange(b - a)
+            for q, m in Tree(prints, everyone).search(prints, everyone, WIDE):
+                q, m = q + a, m + a
+                ok = (fp[m] < fp[q]) & (part[m] != part[q]) & (np.minimum(size[q], size[m]) >= similarity * np.maximum(size[q], size[m]) - 1e-6)
+                q, m = q[ok], m[ok]
+                far = np.bitwise_count(near[q].view(np.uint64) ^ near[m].view(np.uint64)).astype(np.int32)
+                if nearest:
+                    order = np.lexsort((fp[m], far, q))
+                    first = order[np.r_[True, np.diff(q[order]) != 0][: len(order)]]
+                    q, m, far = q[first], m[first], far[first]
+                out.append((fp[q], fp[m], far))
+        u, v, far = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(far)], names=["u", "v", "far"])
+
+    return lambda batches: _by_shard(batches, pairs)
+
+
+def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (shard, fp) of shards with more than one set."""
+
+    def crowd(shard, fp) -> pa.RecordBatch:
+        same = shard[1:] == shard[:-1]
+        there = np.r_[False, same] | np.r_[same, False]
+        return pa.RecordBatch.from_arrays([pa.array(shard[there]), pa.array(fp[there])], names=["shard", "fp"])
+
+    return _by_shard(batches, crowd)
+
+
+def _similar(shingle: int, similarity: float):
+    def confirm(batch: pa.RecordBatch) -> dict:
+        last, of_last, ok = None, set(), []
+        for u, a, b in zip(batch.column("u").to_pylist(), batch.column("a"), batch.column("b")):  # a text at a time
+            if u != last:
+                last, of_last = u, shingle_set(a.as_buffer().to_pybytes(), shingle)
+            ok.append(jaccard(of_last, shingle_set(b.as_buffer().to_pybytes(), shingle)) >= similarity)
+        return {c: batch.column(c).filter(pa.array(ok)) for c in ("u", "v")}
+
+    return confirm
+
+
+def similar_links(docs: DataFrame, prints: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Edges (u, v) that connect all sets of `prints` at this exact Jaccard or above, directly or by others.
+
+    Sets meet by shared bands, shards' BK-trees name the pairs within WIDE, and the texts decide. The nearest pair
+    of each set is tried first; then all pairs that those links don't connect, so a large group of copies costs
+    no square of pairs.
+    """
+    spread = prints.select("fp", "bands").dropDuplicates(["fp"]).select(F.explode("bands").alias("shard"), "fp")
+    dealt = spread.repartition(F.col("shard")).sortWithinPartitions("shard")
+    sets = prints.select("fp", "size", "near").dropDuplicates(["fp"])
+    crowded = checkpointed(dealt.mapInArrow(_crowded, "shard bigint, fp bigint").join(sets, "fp"))
+    rows = prints.join(crowded.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("__row").alias("__row"))
+    texts = checkpointed(docs.select("__row", "text").join(rows, "__row").dropDuplicates(["fp"]).select("fp", F.coalesce("text", F.lit("")).alias("text")))
+
+    def confirmed(parts: DataFrame, nearest: bool) -> DataFrame:
+        shards = parts.select("shard", "fp", "size", "near", "part").repartition(F.col("shard")).sortWithinPartitions("shard")
+        pairs = shards.mapInArrow(_pairs(similarity, nearest), "u bigint, v bigint, far int")
+        pairs = pairs.groupBy("u").agg(F.min(F.struct("far", "v")).alias("x")).select("u", F.col("x.v").alias("v")) if nearest else pairs.select("u", "v").distinct()
+        of_u, of_v = texts.select(F.col("fp").alias("u"), F.col("text").alias("a")), texts.select(F.col("fp").alias("v"), F.col("text").alias("b"))
+        return checkpointed(map_arrow(pairs.join(of_v, "v").join(of_u, "u").select("u", "v", "a", "b"), _similar(shingle, similarity), "u bigint, v bigint"))
+
+    first = confirmed(crowded.withColumn("part", F.col("fp")), True)
+    parts = components(first).withColumnsRenamed({"node": "fp", "component": "part"})
+    rest = confirmed(crowded.join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp")), False)
+    return first.unionByName(rest)
+
+
+def groups(prints: DataFrame, member: Column, radius: int = RADIUS, links: DataFrame | None = None) -> DataFrame:
+    """Adds `component_id`, the smallest `member` among all rows of the row's component, to rows with fp.
+
+    Components are of `links` (u, v), or else of all fingerprints within the radius.
+    """
     prints = prints.withColumn("__member", member)
     least = prints.groupBy("fp").agg(F.min("__member").alias("__least"))
-    nodes = components(near_links(least.select("fp"), radius))
+    nodes = components(near_links(least.select("fp"), radius) if links is None else links)
     linked = nodes.join(least.withColumnRenamed("fp", "node"), "node")
     best = linked.groupBy("component").agg(F.min("__least").alias("__best"))
     moved = nodes.join(best, "component").select(F.col("node").alias("fp"), "__best")
@@ -194,16 +341,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return groups(prints, F.col("doc_id"), radius).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component the row with the smallest id stays.
 
-    Rows are told apart by a hash of all their columns, so repeated ids and null ids are safe; of wholly equal
+    Near is a SimHash within the radius or, with `similarity` (SIMILARITY at least), an exact Jaccard of the shingle
+    sets at or above it; texts without words are then copies of each other. Rows are told apart by a hash of all their columns, so repeated ids and null ids are safe; of wholly equal
     rows one stays.
     """
     names = docs.columns
     keyed = docs.withColumn("__row", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in names]))
-    prints = checkpointed(fingerprints(keyed, ["__row", "doc_id"], shingle=shingle))
     member = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("__row").alias("r"))
-    rest = groups(prints, member, radius).filter("__row = component_id.r").select("__row").distinct()
+    if similarity is None:
+        prints, links = checkpointed(fingerprints(keyed, ["__row", "doc_id"], shingle=shingle)), None
+    else:
+        prints = checkpointed(set_prints(keyed, ["__row", "doc_id"], shingle))
+        links = similar_links(keyed, prints, shingle, similarity)
+        prints = prints.select("__row", "doc_id", "fp")
+    rest = groups(prints, member, radius, links).filter("__row = component_id.r").select("__row").distinct()
     one = Window.partitionBy("__row").orderBy("__row")
     return keyed.join(rest, "__row", "left_semi").withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*names)
