@@ -205,6 +205,20 @@ def test_token_counts(odd, none, docs):
     assert token_counts.token_counts(none, path).count() == 0
 
 
+def test_runs_of_spaces_take_their_pieces():
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = f"{queries.TOKENIZERS}/{token_counts.VOCABULARY}"
+    model = Tokenizer(models.Unigram([("<unk>", 0.0), *token_counts.vocabulary(path).items()], 0, False))
+    model.pre_tokenizer = pre_tokenizers.Metaspace("▁", "always", False)
+    counter = token_counts.counter(path)
+    for text in ["a   b", "def f(x):\n    return x\n        # y", "   lead", "tail     ", "a  b", " " * 40, "one two", " x", "a" + " " * 17 + "b c", "字字   𝔘𝔘  z"]:
+        ids = model.encode(text).ids
+        assert counter.text(text)[0] == len(ids), text
+    odd = {"▁": -1.0, "a": -1.0, "b": -1.0, "a▁b": -1.5}
+    assert token_counts.Counter(odd).text("a b") == (2, -2.5)  # a piece may cross a space
+
+
 def test_viterbi_ties_keep_the_first_candidate():
     c = token_counts.Counter({"▁": -1.0, "a": -1.0, "b": -1.0, "ab": -2.0, "▁a": -2.0})
     assert c.word("▁ab") == (2, -3.0)  # ▁ + ab starts before ▁a + b at the last place

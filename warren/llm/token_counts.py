@@ -27,12 +27,26 @@ def vocabulary(path: str) -> dict[str, float]:
     return {m.id_to_piece(i): m.get_score(i) for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))}
 
 
+def _with_spaces(words: list[str]) -> list[str]:
+    """The words between single spaces, each with the further spaces before it; the last ones may stand alone."""
+    out, spaces = [], 0
+    for w in words[:-1]:
+        if w:
+            out.append(SPACE * spaces + w)
+            spaces = 0
+        else:
+            spaces += 1
+    return [*out, SPACE * spaces + words[-1]]
+
+
 class Counter:
     """Counts the pieces of a word's best segmentation.
 
     An Aho-Corasick automaton enumerates the vocabulary's matches by their end, longest first. Among equal
     scores the first candidate stays, that is the one with the earliest start. A character that is no piece is
-    unknown; unknown characters in a row are one token. Pieces never cross a space, so words are independent.
+    unknown; unknown characters in a row are one token. A run of spaces is searched together with the word after
+    it; what ends in a word is independent of the next run, unless some piece goes on from a word into a space or
+    a space alone is no piece: then the whole text is searched at once.
     """
 
     def __init__(self, pieces: dict[str, float]):
@@ -41,6 +55,7 @@ class Counter:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN_PENALTY
+        self.whole = SPACE not in pieces or any(SPACE in p.lstrip(SPACE) for p in pieces)
 
     def word(self, word: str) -> tuple[int, float]:
         n = len(word)
@@ -65,9 +80,14 @@ class Counter:
     def text(self, text: str) -> tuple[int, float]:
         if not text:
             return 0, 0.0
+        if self.whole:
+            text = text.replace(" ", SPACE)
+            return self.word(text if text[0] == SPACE else SPACE + text)
         words = text.replace(SPACE, " ").split(" ")
         if words[0] == "":
             words = words[1:]
+        if "" in words:
+            words = _with_spaces(words)
         known, tokens, score = self.known, 0, 0.0
         found = list(map(known.get, words))
         for i, x in enumerate(found):
