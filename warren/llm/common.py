@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -55,29 +56,34 @@ def texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def running_total(df: DataFrame, group: list[str], order: list[Column], bucket: Column, amount: Column, name: str, per_group: DataFrame | None = None) -> DataFrame:
+def running_total(df: DataFrame, group: list[str], order: list[Column], digits: tuple[Column, int], amount: Column, name: str, per_group: DataFrame | None = None) -> DataFrame:
     """Adds `name`: the sum of `amount` over the group's earlier rows, without ever gathering a group in one task.
 
-    `bucket` must rise with `order`. Each (group, bucket) is summed first; a window over those sums (one row per
-    bucket) gives each bucket's start, and a window inside each bucket does the rest. Both passes read the same
-    deterministic values, so a lost executor changes nothing. Other columns of `per_group` (a row for each group)
-    travel with the buckets' starts, so the rows themselves are shuffled once.
+    `digits` is a string column that rises with `order` and how many of its first characters name a bucket. Sums
+    over buckets, and over the buckets that share the first half of these characters, are taken first; a window
+    over each level (as many rows as there are names of half the length) gives each bucket's start, and a window
+    inside each bucket does the rest. All passes read the same deterministic values, so a lost executor changes
+    nothing. Other columns of `per_group` (a row for each group) travel with the buckets' starts, so the rows
+    themselves are shuffled once.
     """
-    rows = df.withColumn("__bucket", bucket).withColumn("__amount", amount)
-    keys = [*group, "__bucket"]
+    text, many = digits
+    rows = df.withColumn("__bucket", F.substring(text, 1, many)).withColumn("__amount", amount)
     # groups may be null, so the join goes by one null-safe key
     key = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\0null")) for k in group], F.col("__bucket"))
-    sums = rows.groupBy(*keys).agg(F.sum("__amount").alias("__sum"))
-    before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("__from", F.coalesce(F.sum("__sum").over(before), F.lit(0))).withColumn("__key", key)
+    before = lambda *keys: Window.partitionBy(*group, *keys).orderBy("__upper" if not keys else "__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda over: F.coalesce(F.sum("__sum").over(over), F.lit(0))
+    sums = rows.groupBy(*group, "__bucket").agg(F.sum("__amount").alias("__sum")).withColumn("__upper", F.substring("__bucket", 1, many // 2))
+    uppers = sums.groupBy(*group, "__upper").agg(F.sum("__sum").alias("__sum")).withColumn("__base", earlier(before())).drop("__sum")
+    same = lambda other, keys: reduce(lambda a, k: a & F.col(k).eqNullSafe(other[f"__of_{k}"]), keys, F.lit(True))
+    renamed = lambda one, keys: one.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    uppers = renamed(uppers, [*group, "__upper"])
+    starts = sums.withColumn("__in", earlier(before("__upper"))).join(uppers, same(uppers, [*group, "__upper"]))
+    starts = starts.withColumn("__from", F.col("__base") + F.col("__in")).select(*group, "__bucket", "__from")
     more = [c for c in per_group.columns if c not in group] if per_group is not None else []
     if per_group is not None:
-        named = per_group.select(*[F.col(g).alias(f"__of_{g}") for g in group], *more)
-        same = F.lit(True)
-        for g in group:
-            same = same & F.col(g).eqNullSafe(F.col(f"__of_{g}"))
-        starts = starts.join(named, same)
-    starts = starts.select("__key", "__from", *more)
+        named = renamed(per_group, group)
+        starts = starts.join(named, same(named, group))
+    starts = starts.select(key.alias("__key"), "__from", *more)
     inside = Window.partitionBy("__key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         rows.withColumn("__key", key)

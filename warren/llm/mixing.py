@@ -44,21 +44,22 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: i
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS) -> DataFrame:
     """All rows of `docs` (doc_id, text, source, others kept) with size, source_size, target and taken.
 
-    Every document gets a hash-random key; within a source, documents lie in key order and their prefix sums of
+    Every document gets a hash-random key (of its id and text, so that rows that share an id or lack one spread); within a source, documents lie in key order and their prefix sums of
     words are cut at the source's budget. Whole budgets of the source's size are epochs that take every
     document once; the cut takes the last document's first words only. Rows repeat on a rerun.
 
-    Defined results: null text is of size 0; null sources are one source, last in order; null ids share one
-    key; repeated rows count each; an empty table gives no rows; columns named like a result are replaced.
+    Defined results: null text is of size 0; null sources are one source, last in order; null ids are ids like
+    any other; repeated rows tie and count each; a text of any length is one row of its size; an empty table gives
+    no rows; columns named like a result are replaced.
     """
     own = ["size", "source_size", "target", "taken", "__random", "__start"]
     rows = docs.drop(*own).withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    rows = rows.withColumn("__random", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
+    rows = rows.withColumn("__random", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text")))
     # a footer count; the number of buckets only shapes the work, not the result
     digits = len(f"{max(1, docs.count() // ROWS_A_BUCKET):x}")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     aims = targets(sizes, weights, most_epochs)
-    joined = running_total(rows, ["source"], [F.col("__random"), F.col("doc_id"), F.col("size")], F.substring("__random", 1, digits), F.col("size"), "__start", aims)
+    joined = running_total(rows, ["source"], [F.col("__random"), F.col("doc_id"), F.col("size")], (F.col("__random"), digits), F.col("size"), "__start", aims)
     budget = F.floor(F.col("target") + 0.5)
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     cut = budget - epochs * F.col("source_size") - F.col("__start")
@@ -79,7 +80,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), 'null'))) AS k
+         md5(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), 'null'), text)) AS k
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
