@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from warren.llm import fingerprinting, license_scan, mixing, packing, quality, secret_scan, simhash, token_counts, toxicity, warc
 from warren.llm.common import shared_folder, table
 
-#: Where the public tokenizers lie, unless a caller names another folder.
-TOKENIZERS = "/opt/tokenizers"
 
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,12 +20,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-def op3_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), f"{tokenizers}/{packing.VOCABULARY}").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path or public_tokenizers.path(packing.VOCABULARY)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def op4_token_counts(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), f"{tokenizers}/{token_counts.VOCABULARY}")
+def op4_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), path or public_tokenizers.path(token_counts.VOCABULARY))
 
 
 def op5_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
