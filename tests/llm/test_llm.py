@@ -281,6 +281,34 @@ def test_links_of_dense_and_hot_shards(spark, monkeypatch):
     assert got == {(i, c) for i, _, c in groups_by_hand(prints)}
 
 
+def test_trees_branch_by_distance_and_find_every_pair():
+    rng = np.random.default_rng(3)
+    sizes = (1, 2, 700, 300)
+    shard = np.repeat(np.arange(len(sizes)), sizes)
+    centres = rng.integers(0, 1 << 63, 20, np.uint64)
+    fps = centres[rng.integers(0, 20, len(shard))] ^ (np.uint64(1) << rng.integers(0, 64, len(shard)).astype(np.uint64))
+    trees = simhash.Trees(fps, shard)
+    assert sorted(trees.member.tolist()) == list(range(len(fps)))  # each fingerprint is a node of its own
+    parent, edge = trees.edges // 65, trees.edges % 65
+    below = trees.edges >= 0
+    assert below.sum() == len(fps) - len(sizes) and len(np.unique(trees.edges)) == len(fps)
+    assert (np.bitwise_count(fps[trees.member[below]] ^ fps[trees.member[parent[below]]]) == edge[below]).all()
+    found = {(int(a), int(b)) for q, m, _ in simhash.within(fps, shard, 4) for a, b in zip(q, m)}
+    far = np.bitwise_count(fps[:, None] ^ fps[None, :])
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero((far <= 4) & (shard[:, None] == shard[None, :])))}
+    assert found == want
+
+
+def test_a_dense_ball_of_different_fingerprints_is_one_group(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LARGE_SHARD", 60)
+    rng = random.Random(8)
+    centre = rng.getrandbits(64)
+    ball = {centre} | {centre ^ 1 << a ^ 1 << b for a in range(64) for b in range(a)}  # 2,017, any two within 4 bits
+    prints = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(sorted(ball))]
+    got = simhash.groups(spark.createDataFrame(prints, "id bigint, fp bigint"), simhash.F.col("id")).select("component_id").distinct().collect()
+    assert [r["component_id"] for r in got] == [0]
+
+
 def test_masks_cover_every_pair_within_the_radius():
     rng = random.Random(2)
     for n in (10, 10**6, 10**9, 10**12):

@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the shared folder that the cluster names; a local run without one gets its own."""
+    """Cuts the lineage in the shared folder that the cluster names; only a local run without one gets its own."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="warren-checkpoint-"))
     return df.checkpoint()
 
@@ -97,7 +99,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) of every node in `edges` (u, v); the component is its smallest node.
 
     Alternating large-star and small-star steps; each round is an aggregate and a join, checkpointed, and ends
-    when no edge changes. Hubs are pre-aggregated and their joins left to AQE's skew handling.
+    when no edge changes; more rounds than `most_rounds` (their number grows with the logarithm of the longest
+    chain) raise. Hubs are pre-aggregated and their joins left to AQE's skew handling.
     """
     now = checkpointed(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = _state(now)
@@ -114,6 +117,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         last, seen = seen, _state(now)
         if last == seen:
             break
+    else:
+        raise RuntimeError(f"components still change after {most_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from warren.llm.common import checkpointed, components, map_arrow, utf8
 
 BITS, RADIUS, SHINGLE, SEED = 64, 4, 4, 42
-#: A shard with more fingerprints than this is dealt again by the bits it doesn't share yet.
+#: A shard with more fingerprints than this is dealt again by the bits it doesn't share yet, then by pairs of blocks.
 LARGE_SHARD = 4096
 #: Fingerprints aimed at in a shard; sets how many bits a shard key has.
-SHARD = 64
-#: A BK-tree stops branching here and compares the rest one by one.
-LEAF = 48
+SHARD = 2048
+#: Places of trees that a step of a search holds at once.
+VISITS = 4_000_000
 #: Similar texts (exact Jaccard of their shingle sets) meet in shards of BANDS keys, each of ROWS minima: a pair at
 #: 0.8 misses all of them with probability (1 - 0.8 ** ROWS) ** BANDS = 1.3e-7, a pair above it more rarely.
 SIMILARITY, BANDS, ROWS = 0.8, 40, 5
@@ -79,78 +79,93 @@ def _shards(fps: DataFrame, masks: list[int], tag: str, *more: str) -> DataFrame
     return fps.select("fp", *more, F.posexplode(keys).alias("mask", "shard"))
 
 
-class Tree:
-    """A BK-tree over distinct fingerprints: children are keyed by their integer Hamming distance to the parent."""
-
-    def __init__(self, fps: np.ndarray, members: np.ndarray):
-        self.pivot, self.children, self.leaf = None, {}, members
-        if len(members) > LEAF:
-            self.pivot, rest = members[0], members[1:]
-            far = np.bitwise_count(fps[rest] ^ fps[self.pivot])
-            self.leaf, self.children = None, {int(d): Tree(fps, rest[far == d]) for d in np.unique(far)}
-
-    def search(self, fps: np.ndarray, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (query, member) within the radius, following only edges that can hold one."""
-        if self.leaf is not None:
-            for at in range(0, len(queries), 4096):
-                q = queries[at : at + 4096]
-                i, j = np.nonzero(np.bitwise_count(fps[q][:, None] ^ fps[self.leaf][None, :]) <= radius)
-                yield q[i], self.leaf[j]
-            return
-        far = np.bitwise_count(fps[queries] ^ fps[self.pivot]).astype(np.int64)
-        near = queries[far <= radius]
-        yield near, np.full(len(near), self.pivot)
-        for d, child in self.children.items():
-            if len(q := queries[np.abs(far - d) <= radius]):
-                yield from child.search(fps, q, radius)
-
-
-def local_roots(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
-    """For each of a shard's distinct fingerprints the position of its local component's first member."""
-    everyone = np.arange(len(fps))
-    root = everyone.copy()
-    for q, m in Tree(fps, everyone).search(fps, everyone, radius):
-        a, b = root[q], root[m]
-        if (apart := a != b).any():
-            for x, y in np.unique(np.stack([a[apart], b[apart]], 1), axis=0):
-                while root[x] != x:
-                    x = root[x]
-                while root[y] != y:
-                    y = root[y]
-                root[max(x, y)] = min(x, y)
-            while (up := root[root]).tolist() != root.tolist():
-                root = up
+class Trees:
+    """BK-trees, one for each shard: every node holds one fingerprint, its children are keyed by their distance to it.
+
+    `shard` numbers each fingerprint's tree from 0, rising. All trees grow level by level at once: what is below a
+    node is grouped by its distance to the node, and each group's first is the child at the end of that edge. Nodes
+    are numbered by level, parent and edge, so a node's edges within a span are one run of `edges`.
+    """
+
+    def __init__(self, fps: np.ndarray, shard: np.ndarray):
+        self.fps, items, below = fps, np.arange(len(fps)), shard.astype(np.int64) - (int(shard[-1]) + 1 if len(shard) else 0)
+        member, edges, nodes = [], [], 0
+        while len(items):
+            order = np.argsort(below, kind="stable")
+            items, below = items[order], below[order]
+            first = np.r_[True, below[1:] != below[:-1]]
+            member.append(items[first])
+            edges.append(below[first])
+            node = nodes + np.cumsum(first) - 1
+            nodes += int(first.sum())
+            pivot = items[first][np.cumsum(first) - 1]
+            items, below = items[~first], (node * (BITS + 1) + np.bitwise_count(fps[items] ^ fps[pivot]))[~first]
+        none = np.zeros(0, np.int64)
+        self.member, self.edges = np.concatenate(member or [none]), np.concatenate(edges or [none])
+
+    def search(self, queries: np.ndarray, trees: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(query, member, distance) within the radius, where query i looks in its tree; only edges that can hold one are followed."""
+        q, node = np.arange(len(queries)), trees.astype(np.int64)
+        while len(q):
+            far = np.bitwise_count(queries[q] ^ self.fps[self.member[node]]).astype(np.int64)
+            near = far <= radius
+            yield q[near], self.member[node[near]], far[near]
+            low = np.searchsorted(self.edges, node * (BITS + 1) + np.maximum(far - radius, 0))
+            many = np.searchsorted(self.edges, node * (BITS + 1) + np.minimum(far + radius, BITS), "right") - low
+            last = np.cumsum(many)
+            node = np.repeat(low - last + many, many) + np.arange(last[-1])
+            q = np.repeat(q, many)
+
+
+def within(fps: np.ndarray, shard: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, distance) of all places i, j of one shard within the radius, both ways and each with itself."""
+    trees, sizes = Trees(fps, shard), np.bincount(shard)[shard]
+    part = np.cumsum(sizes) // VISITS  # so many queries at once that no level visits more places
+    for at in np.split(np.arange(len(fps)), np.flatnonzero(np.diff(part)) + 1):
+        for q, m, far in trees.search(fps[at], shard[at], radius):
+            yield at[q], m, far
+
+
+def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Roots (each the smallest of its set) after joining the sets of a[i] and b[i]."""
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while ((up := root[root]) != root).any():
+            root = up
+    return root
+
+
+def local_roots(fps: np.ndarray, shard: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """For each of the shards' fingerprints the place of the first member of its component within the shard."""
+    root = np.arange(len(fps))
+    for q, m, _ in within(fps, shard, radius):
+        less = m < q
+        root = unite(root, q[less], m[less])
     return root
 
 
-def _link_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, fp) sorted by shard to edges (u, v); a shard may go on in the next batch."""
+def _link_shards(radius: int):
+    """Rows (shard, fp) sorted by shard to edges (u, v) that connect what lies within the radius."""
 
     def edges(shard: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        u, v = [], []
-        cuts = np.flatnonzero(np.diff(shard)) + 1
-        for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(shard)]):
-            if b - a > 1:
-                own = np.unique(fp[a:b])
-                root = local_roots(own.view(np.uint64))
-                moved = np.flatnonzero(root != np.arange(len(own)))
-                u.append(own[moved])
-                v.append(own[root[moved]])
-        none = np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u or [none])), pa.array(np.concatenate(v or [none]))], names=["u", "v"])
+        order = np.lexsort((fp, shard))
+        shard, fp = shard[order], fp[order]
+        new = np.r_[True, (shard[1:] != shard[:-1]) | (fp[1:] != fp[:-1])][: len(fp)]
+        shard, fp = shard[new], fp[new]
+        root = local_roots(fp.view(np.uint64), np.cumsum(np.r_[False, shard[1:] != shard[:-1]]), radius)
+        moved = np.flatnonzero(root != np.arange(len(fp)))
+        return pa.RecordBatch.from_arrays([pa.array(fp[moved]), pa.array(fp[root[moved]])], names=["u", "v"])
 
-    kept: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        shard, fp = (np.asarray(batch.column(i)) for i in (0, 1))
-        if len(shard):
-            kept.append((shard, fp))
-            if shard[0] != shard[-1]:  # else the shard may go on
-                shard, fp = (np.concatenate(x) for x in zip(*kept))
-                last = np.searchsorted(shard, shard[-1])
-                yield edges(shard[:last], fp[:last])
-                kept = [(shard[last:], fp[last:])]
-    if kept:
-        yield edges(*(np.concatenate(x) for x in zip(*kept)))
+    return lambda batches: _by_shard(batches, edges)
+
+
+def _sized(dealt: DataFrame) -> DataFrame | None:
+    """(shard, count) of the shards that are too large, None without one."""
+    large = checkpointed(dealt.groupBy("shard").count().filter(F.col("count") > LARGE_SHARD))
+    return None if large.isEmpty() else large
 
 
 def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -159,21 +174,28 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     Shards take the place of whole-table trees, which would have no bound as a broadcast: each shard's tree and
     its queries meet in one task. A shard holds what shares the bits of one mask; large shards are dealt again,
     exactly, by five blocks of the remaining bits, since two fingerprints that share the mask and lie within
-    the radius agree on one of those blocks too.
+    the radius agree on one of those blocks too. What is large even then (a ball of thousands of different
+    fingerprints) is dealt to pairs of hashed blocks, so every two still meet and no task holds more than two blocks.
     """
     masks = shard_masks(fps.count(), radius)
-    first = _shards(fps, masks, "a")
-    sizes = first.groupBy("shard").count()
-    large = sizes.filter(F.col("count") > LARGE_SHARD).select("shard", F.lit(True).alias("large"))
-    marked = first.join(large, "shard", "left")
-    small = marked.filter("large is null").select("shard", "fp")
-    branches = F.lit(None).cast("array<bigint>")
-    for i, mask in enumerate(masks):
-        rest = [b for b in range(BITS) if not mask >> b & 1]
-        branches = F.when(F.col("mask") == i, F.array(*[F.xxhash64(F.lit(f"b{i}.{j}"), "shard", F.col("fp").bitwiseAND(F.lit(_signed(m)))) for j, m in enumerate(_masks(radius + 1, rest))])).otherwise(branches)
-    again = marked.filter("large").select(F.explode(branches).alias("shard"), "fp")
-    dealt = small.unionByName(again).repartition(F.col("shard")).sortWithinPartitions("shard")
-    return dealt.mapInArrow(_link_shards, "u bigint, v bigint").filter("u is not null")
+    dealt = _shards(fps, masks, "a")
+    if (large := _sized(dealt)) is not None:
+        marked = dealt.join(large.select("shard", F.lit(True).alias("large")), "shard", "left")
+        branches = F.lit(None).cast("array<bigint>")
+        for i, mask in enumerate(masks):
+            rest = [b for b in range(BITS) if not mask >> b & 1]
+            branches = F.when(F.col("mask") == i, F.array(*[F.xxhash64(F.lit(f"b{i}.{j}"), "shard", F.col("fp").bitwiseAND(F.lit(_signed(m)))) for j, m in enumerate(_masks(radius + 1, rest))])).otherwise(branches)
+        again = marked.filter("large").select(F.explode(branches).alias("shard"), "fp")
+        dealt = marked.filter("large is null").select("shard", "fp")
+        if (large := _sized(again)) is not None:
+            marked = again.join(large, "shard", "left")
+            again = marked.filter("count is null").select("shard", "fp")
+            blocks = F.ceil(F.col("count") / (LARGE_SHARD // 2))
+            paired = marked.filter("count is not null").withColumn("own", F.pmod(F.xxhash64("fp"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+            dealt = dealt.unionByName(paired.select(F.xxhash64(F.lit("c"), "shard", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "fp"))
+        dealt = dealt.unionByName(again)
+    whole = dealt.select("shard", "fp").repartition(F.col("shard")).sortWithinPartitions("shard")
+    return whole.mapInArrow(_link_shards(radius), "u bigint, v bigint").filter("u is not null")
 
 
 def shingle_set(text: bytes, words: int = SHINGLE) -> set[bytes]:
@@ -242,18 +264,17 @@ def _pairs(similarity: float, nearest: bool):
     """
 
     def pairs(shard, fp, size, near, part) -> pa.RecordBatch:
-        out = []
-        cuts = np.flatnonzero(np.diff(shard)) + 1
-        for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(shard)]):
-            if b - a < 2 or (part[a:b] == part[a]).all():
-                continue
-            prints = near[a:b].view(np.uint64)
-            everyone = np.arange(b - a)
-            for q, m in Tree(prints, everyone).search(prints, everyone, WIDE):
-                q, m = q + a, m + a
+        out, starts = [], np.r_[True, shard[1:] != shard[:-1]]
+        number = np.cumsum(starts) - 1
+        mixed = np.zeros(number[-1] + 1, bool)
+        mixed[number[part != part[np.flatnonzero(starts)[number]]]] = True  # shards with more than one part
+        here = np.flatnonzero(mixed[number])
+        if len(here):
+            prints, of = near[here].view(np.uint64), np.cumsum(np.r_[False, np.diff(number[here]) != 0])
+            for q, m, far in within(prints, of, WIDE):
+                q, m = here[q], here[m]
                 ok = (fp[m] < fp[q]) & (part[m] != part[q]) & (np.minimum(size[q], size[m]) >= similarity * np.maximum(size[q], size[m]) - 1e-6)
-                q, m = q[ok], m[ok]
-                far = np.bitwise_count(near[q].view(np.uint64) ^ near[m].view(np.uint64)).astype(np.int32)
+                q, m, far = q[ok], m[ok], far[ok].astype(np.int32)
                 if nearest:
                     order = np.lexsort((fp[m], far, q))
                     first = order[np.r_[True, np.diff(q[order]) != 0][: len(order)]]
@@ -345,11 +366,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, simi
     """The rows of `docs` without near-duplicates: of each component the row with the smallest id stays.
 
     Near is a SimHash within the radius or, with `similarity` (SIMILARITY at least), an exact Jaccard of the shingle
-    sets at or above it; texts without words are then copies of each other. Rows are told apart by a hash of all their columns, so repeated ids and null ids are safe; of wholly equal
-    rows one stays.
+    sets at or above it; texts without words are then copies of each other.
+
+    Defined results: rows are told apart by a cryptographic digest of all their columns, so repeated ids and null ids
+    are safe (a null id stays only in a group without another), and of wholly equal rows one stays; null and empty
+    texts are one group; ties in id fall to the digest; a text of any length is one row; an empty table gives no
+    rows; all columns stay, whatever their names.
     """
     names = docs.columns
-    keyed = docs.withColumn("__row", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in names]))
+    keyed = docs.withColumn("__row", F.sha2(F.concat(*[F.coalesce(F.md5(F.col(c).cast("string")), F.lit("null")) for c in names]), 256))
     member = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("__row").alias("r"))
     if similarity is None:
         prints, links = checkpointed(fingerprints(keyed, ["__row", "doc_id"], shingle=shingle)), None
