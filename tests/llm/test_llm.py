@@ -448,25 +448,54 @@ def test_secret_scan(odd, none, docs):
     assert secret_scan.redacted("x token = abcdefgh1 y", [(2, 19, "assign")]) == "x token = [secret] y"
 
 
-def test_the_tagger_finds_unmarked_secrets_and_decodes_best():
-    rng, texts = random.Random(4), []
-    for i in range(300):
-        key = "".join(rng.choices("0123456789abcdef", k=40))
-        texts.append(f'walk the token = "{key}" with the dog' if i % 2 else f"call {rng.randint(10**15, 10**16)} or mail joe.{i}@mail{i}.example.com now")
-    examples = [(c, f, secret_scan._marks(p, secret_scan.base_spans(t))) for t in texts for p, c, f in secret_scan.chains(t)]
-    tagger = secret_scan.train(examples)
-    odd_case = 'walk the token > "' + "".join(rng.choices("0123456789abcdef", k=30)) + '" with the dog'
-    assert not secret_scan.base_spans(odd_case) and [k for *_, k in secret_scan.all_spans(odd_case, tagger)] == ["crf"]
-    assert not any(k == "crf" for t in texts if "call" in t for *_, k in secret_scan.all_spans(t, tagger))
-    hits = sum(bool(secret_scan.Tagger.best(tagger, c, f).count(1)) for t in texts if "token" in t for _, c, f in secret_scan.chains(t))
-    assert hits > 140
-    # Viterbi against all taggings of a short chain
+@pytest.fixture(scope="module")
+def tagger():
+    return secret_scan.train(secret_scan.planted_examples())
+
+
+#: Forms that no training line has.
+HELD_BACK = ["my passcode: {}", "Password -- {}", "sudo secret >> {}", "ftp://bob:{}@files.example.org/", "X-Auth-Token: {}", "wifi password is {} ok", "the bearer {} was sent", "user=joe;pwd={};db=x", "curl -H 'token: {}'"]
+
+
+def found_in(line, value, tagger):
+    return any(a <= value[0] and b >= value[1] for a, b, _ in secret_scan.all_spans(line, tagger))
+
+
+def test_the_tagger_finds_planted_secrets_of_forms_it_has_not_seen(tagger):
+    rng = random.Random(4)
+    lines = [secret_scan.planted(rng, rng.choice(HELD_BACK)) for _ in range(400)]
+    recall = np.mean([found_in(line, value, tagger) for line, value in lines])
+    assert recall >= 0.85, recall
+    without_digits = [(line, v) for line, v in lines if not re.search("[0-9]", line[v[0] : v[1]])]
+    short = [(line, v) for line, v in lines if 8 <= v[1] - v[0] <= 11]
+    for some in (without_digits, short):
+        assert len(some) > 30 and np.mean([found_in(*x, tagger) for x in some]) >= 0.75
+    clean = [line for line, value in (secret_scan.planted(rng) for _ in range(1000)) if value is None]
+    wrong = sum(any(k == "crf" for *_, k in secret_scan.all_spans(line, tagger)) for line in clean)
+    assert wrong <= 0.02 * len(clean) and wrong / (wrong + 400 * recall) < 0.05  # precision
+    tags = [t for line, v in lines for places, f in secret_scan.chains(line) for t in tagger.best(f)]
+    assert tags.count(secret_scan.INSIDE) > 100  # tokens that go on within a secret
+
+
+def test_viterbi_gives_the_best_tagging(tagger):
     from itertools import product
 
-    c, f, _ = examples[1]
-    c, f = c[:6], f[:6]
-    value = lambda tags: sum(tagger.emit[x][:, t].sum() + (0 if ok or t == 0 else -1e9) for x, t, ok in zip(f, tags, c)) + sum(tagger.move[a, b] + secret_scan._ALLOWED[a, b] for a, b in zip(tags, tags[1:])) + (-1e9 if tags[0] == 2 else 0)
-    assert value(tagger.best(c, f)) == pytest.approx(max(map(value, product(range(3), repeat=len(c)))))
+    rng = random.Random(6)
+    for _ in range(20):
+        feats = next(iter(secret_scan.chains(secret_scan.planted(rng, "auth token = {}")[0])))[1][:7]
+        value = lambda tags: sum(tagger.emit[x][:, t].sum() for x, t in zip(feats, tags)) + sum(tagger.move[a, b] + secret_scan._ALLOWED[a, b] for a, b in zip(tags, tags[1:])) + (-1e9 if tags[0] == 2 else 0)  # noqa: E731, B023
+        assert value(tagger.best(feats)) == pytest.approx(max(map(value, product(range(3), repeat=len(feats)))))
+
+
+def test_secrets_in_a_very_long_text(tagger):
+    import time
+
+    text = 'the token = "abcd1234efgh5678" and more; ' * 30_000 + "9" * 300_000 + " pwd -> hunter4242x"
+    began = time.perf_counter()
+    spans = secret_scan.all_spans(text, tagger)
+    assert sum(k == "assign" for *_, k in spans) == 30_000 and time.perf_counter() - began < 120
+    assert any(a >= len(text) - 20 for a, *_ in spans)
+    assert secret_scan.train([]).best(next(iter(secret_scan.chains("password 12345678")))[1]) == [0] * 2
 
 
 def test_fingerprints(odd, none, docs, monkeypatch):
