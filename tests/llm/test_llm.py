@@ -1,5 +1,6 @@
 """Every operator against a plain version of its contract, and over odd tables."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -112,19 +113,44 @@ def test_license_scan(odd, none, docs):
     assert license_scan.license_scan(none).count() == 0
 
 
-@pytest.mark.parametrize("text, label", [("Licensed under the Apashe Licence, Version 2.0.", "apache"), ("Redistribution and use in sorce and binery forms", "bsd"), ("licensed under CC BY-NC 4.0.", "cc-by-nc")])
+@pytest.mark.parametrize("text, label", [("Licensed under the Apashe Licence, Version 2.0.", "apache"), ("Redistribution and use in sorce and binery forms", "bsd"), ("licensed under CC BY-NC 4.0.", "cc-by-nc"), ("under the MIT Licence", "mit"), ("Apache Licence, Version 2.0", "apache"), ("a General Public Licence", "gpl"), ("Permission is hereby granted, free of charge, to any persn obtaining a copy", "mit")])
 def test_license_notices_with_errors(text, label):
     n, *_, labels, score, spans = license_scan.scan(text.encode())
     assert label in labels.split(",") and spans and 0 < score <= 1
 
 
+def test_license_spans_against_a_search_of_every_window():
+    import regex
+
+    rng = random.Random(12)
+    filler = "the a licence license permission mit it public general apache under free of and words code".split()
+    for _ in range(40):
+        words_of = rng.choices(filler, k=rng.randint(5, 60))
+        for _ in range(3):
+            words_of[rng.randrange(len(words_of)) : 0] = rng.choice(license_scan.NOTICES)[0].replace(rng.choice("eip"), rng.choice("xy"), 1).split()
+        line = " " + " ".join(words_of) + " "
+        want = set()
+        for i, (notice, _, edits, exact) in enumerate(license_scan.NOTICES):
+            head = "".join(f"{w} " for w in notice.split()[:exact])
+            pattern = regex.compile(rf"(?b)(?<![^ ]){head}(?:{notice[len(head):]}){{e<={edits}}}(?![^ ])")
+            if pattern.search(line):
+                want.add(i)
+        found = license_scan.near_notices(line)
+        assert {x[0] for x in found} == want
+        for label, word, many, edits in license_scan.scan(line.encode())[7]:
+            said = " ".join(words_of[word : word + many])
+            assert any(label == x[1] and edits <= x[2] and abs(len(said) - len(x[0])) <= edits for x in license_scan.NOTICES)
+    long = b"released under the mit licence; " * 60_000
+    assert len(license_scan.scan(long)[7]) >= 60_000  # time in proportion to the length
+
+
 def test_license_seeds_lose_no_match():
     rng = random.Random(3)
     for _ in range(300):
-        notice, label, edits = rng.choice(license_scan.NOTICES)
-        chars = list(notice)
+        notice, label, edits, exact = rng.choice(license_scan.NOTICES)
+        chars, first = list(notice), len(" ".join(notice.split()[:exact]))
         for _ in range(rng.randint(0, edits)):
-            chars[rng.randrange(1, len(chars) - 1)] = rng.choice("abcxyz")
+            chars[rng.randrange(first + 2, len(chars) - 1)] = rng.choice("abcxyz")
         text = "some words before " + "".join(chars) + " and after"
         assert label in license_scan.scan(text.encode())[5].split(",")
 
@@ -198,13 +224,22 @@ def test_token_counts(odd, none, docs):
     path = public_tokenizers.path(token_counts.VOCABULARY)
     vocabulary = token_counts.vocabulary(path)
     reference = Tokenizer(models.Unigram([("<unk>", 0.0), *vocabulary.items()], 0, False))
-    reference.pre_tokenizer = pre_tokenizers.Metaspace("▁", "always", True)
-    lowest = min(vocabulary.values())
-    assert lowest <= 0
+    reference.pre_tokenizer = pre_tokenizers.Metaspace("▁", "always", False)
+    unknown = min(vocabulary.values()) - 10.0
+
+    def expected(text):
+        """Tokens and score of the reference: what it calls unknown (id 0) scores so by character."""
+        found = reference.encode(text or "")
+        score = sum(vocabulary[t] if i else (b - a) * unknown for i, t, (a, b) in zip(found.ids, found.tokens, found.offsets))
+        return len(found.ids), score
+
     for df in (odd, docs):
-        for r in token_counts.token_counts(df, path).join(df.select("doc_id", "text").distinct(), "doc_id").limit(150).collect():
-            if r["doc_id"] is not None:
-                assert r["n_tokens"] == len(reference.encode(r["text"] or "").ids), r["text"][:80]
+        want = {t: expected(t) for t in {r["text"] for r in df.collect()}}
+        got = token_counts.token_counts(df.withColumn("doc_id", df["text"]), path).collect()  # by text, so every row is compared
+        assert len(got) == df.count()
+        for r in got:
+            n, score = want[r["doc_id"]]
+            assert r["n_tokens"] == n and r["score"] == pytest.approx(score, rel=1e-6), (r["doc_id"] or "")[:80]
     assert token_counts.token_counts(none, path).count() == 0
 
 
@@ -375,6 +410,52 @@ def test_toxicity(spark, odd, none):
     assert toxicity.toxicity(odd, few).count() == len(odd_rows()) and toxicity.toxicity(none, few).count() == 0
 
 
+def test_swaps_against_rewritten_sentences():
+    rng = random.Random(2)
+    vocabulary = ["muslims", "christians", "jews", "women", "men", "people", "walk", "womenfolk", "gay", "sun", "christian", "peoples"]
+    known = {f for w in vocabulary for f in toxicity.features(w)} | {f for t in toxicity._FAMILY for f in toxicity.features(t)}
+    active = lambda w: [f for f in toxicity.features(w) if f in known]
+    for _ in range(200):
+        text = ". ".join(" ".join(rng.choices(vocabulary, k=rng.randint(0, 6))) for _ in range(rng.randint(0, 4)))
+        want = Counter()
+        parts = [toxicity._WORD.findall(x) for x in toxicity._SENTENCE.findall(text)]
+        own = {f for p in parts for w in p for f in active(w)}
+        for i, part in enumerate(parts):
+            for term in {w for w in part if w in toxicity._FAMILY}:
+                for other in (*toxicity._FAMILY[term], toxicity.NEUTRAL):
+                    if other != term:
+                        new = {f for j, p in enumerate(parts) for w in p for f in active(other if j == i and w == term else w)}
+                        want[frozenset(new - own), frozenset(own - new)] += 1
+        assert want == toxicity.swap_changes(text, active)
+
+
+def test_the_classifier_is_at_its_minimum():
+    rng = np.random.default_rng(1)
+    rows = [sorted(rng.choice(6, rng.integers(1, 5), replace=False).tolist()) for _ in range(200)]
+    labels = np.array([float(0 in r or (1 in r and rng.random() < 0.7)) for r in rows])
+    changes = [([0], [2], 0.3), ([4], [], 0.7)]
+
+    def loss(w, b):
+        z = np.array([sum(w[f] for f in r) for r in rows]) + b
+        swaps = sum(x * (sum(w[f] for f in on) - sum(w[f] for f in off)) ** 2 for on, off, x in changes)
+        return float(np.mean(np.log1p(np.exp(z)) - labels * z)) + toxicity.RIDGE * float(w @ w) / 2 + toxicity.COUNTERFACTUAL * swaps
+
+    w, b = toxicity._solve(rows, np.ones(len(rows)), labels, changes, 6, 3000)
+    least = loss(w, b)
+    assert all(loss(w + d * np.eye(6)[k], b) > least - 1e-5 for k in range(6) for d in (-0.05, 0.05)) and loss(w, b + 0.05) > least - 1e-5 and abs(w[4]) < 0.05
+
+
+def test_toxicity_of_odd_rows(spark, odd):
+    labelled = odd.select("doc_id").distinct().filter("doc_id is not null").selectExpr("doc_id", "int(doc_id = 12) as toxic").unionByName(spark.range(100, 400).selectExpr("id as doc_id", "int(id % 2) as toxic"))
+    more = spark.range(100, 400).selectExpr("id as doc_id", "if(id % 2 = 1, 'idiot trash people. idiot', 'a walk in the sun') as text")
+    table = odd.select("doc_id", "text").unionByName(more).unionByName(more)  # ids that repeat
+    model = toxicity.fit(table, labelled)
+    got = Counter((r["doc_id"], round(r["score"], 12), r["held_out"]) for r in toxicity.toxicity(table, labelled).collect())
+    fold = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0
+    assert got == Counter((r["doc_id"], round(model.score(r["text"] or ""), 12), fold(r["doc_id"])) for r in table.collect())
+    assert model.score("idiot trash") > 0.5 > model.score("a walk in the sun") and model.score("") < 0.5
+
+
 def test_swapping_a_group_changes_no_score(spark):
     rng, rows = random.Random(1), []
     for i in range(900):
@@ -399,15 +480,17 @@ def test_quality(odd, none):
     assert quality.kept_documents(odd).columns == odd.columns
 
 
-def test_a_bad_host_is_rejected(spark):
+def test_a_bad_host_is_rejected(spark, monkeypatch):
     good = "some twelve different words that say a thing or two about it"
     rows = [(i, good if i % 10 else "short", "good") for i in range(200)] + [(1000 + i, good if i % 10 == 0 else "short", "bad") for i in range(200)] + [(5000 + i, good, f"h{i % 20}") for i in range(400)] + [(9999, "short", "small")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     kept = {r["doc_id"] for r in quality.quality(df).filter("kept").collect()}
+    monkeypatch.setattr(quality, "BROADCAST_HOSTS", 3)  # the join by host and salt
+    assert kept == {r["doc_id"] for r in quality.quality(df).filter("kept").collect()} == {r["doc_id"] for r in quality.kept_documents(df).collect()}
     assert not any(1000 <= i < 2000 for i in kept) and len(kept) == 180 + 400
 
 
-def test_warc(spark, tmp_path):
+def test_warc(spark, tmp_path, monkeypatch):
     big = "é" * 60 + "\r\n\r\nWARC/1.1\r\n" + "x" * 50
     rows = [(5, "u", big, "x"), (3, "u: v\r\n", big, "x"), (9, None, big, "x"), (7, "u", "small", "x"), (8, "u", "small", "x"), (1, "u", None, "x"), (2, "u", "", "x"), (None, "u", big, "x"), (11, "u", "y" * 100, "x"), (12, "u", "y" * 100, "x"), (12, "u", "z" * 300, "x")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, record_type string")
@@ -420,6 +503,15 @@ def test_warc(spark, tmp_path):
         want[page_id, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", first if revisit else None] += 1
     assert got == want
     assert warc.archived(df.filter("page_id < 0"), str(tmp_path / "b")).count() == 0
+    monkeypatch.setattr(warc, "BYTES_A_FILE", 400)
+    monkeypatch.setattr(warc, "RECORDS_A_FILE", 4)
+    assert got == Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.archived(df, str(tmp_path / "c")).collect())
+    sizes = [sum(len(p) for _, p in warc._parse(f.read_bytes())) for f in (tmp_path / "c").glob("*.gz")]
+    assert len(sizes) > 3 and max(sizes) <= 400
+    two = gzip.compress(b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n")
+    assert [p for _, p in warc._parse(two + two)] == [b"abc", b"abc"]  # a member for each record
+    with pytest.raises(ValueError):
+        list(warc._parse(gzip.compress(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n")))
     read = warc.read_warc(spark.read, str(tmp_path / "a"))
     assert sorted(bytes(r["payload"]) for r in read.filter("record_type = 'response'").collect()) == sorted([big.encode(), big.encode(), b"small", b"small", b"", b"", b"y" * 100, b"z" * 300])
 
@@ -498,6 +590,37 @@ def test_secrets_in_a_very_long_text(tagger):
     assert secret_scan.train([]).best(next(iter(secret_scan.chains("password 12345678")))[1]) == [0] * 2
 
 
+def like_by_hand(a, b):
+    """Of the 64 smallest hashes of both, the share in the longest run of common ones that rises in both texts."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    least = sorted({int(x) for x in a["hash"]} | {int(x) for x in b["hash"]})[:64]
+    of_a, of_b = ({int(h): int(p) for h, p in x} for x in (a, b))
+    places = [of_b[h] for h in sorted((h for h in least if h in of_a and h in of_b), key=of_a.get)]
+    longest = [0] * len(places)
+    for i, p in enumerate(places):
+        longest[i] = 1 + max((longest[j] for j in range(i) if places[j] < p), default=0)
+    return round(max(longest, default=0) / len(least), 9)
+
+
+def test_anchors_match_by_place(spark):
+    rng = random.Random(10)
+    parts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(60)) for _ in range(8)]
+    text, moved = " ".join(parts).encode(), " ".join(parts[::-1]).encode()
+    own, other = fingerprinting.sketch(text, None), fingerprinting.sketch(moved, None)
+    assert fingerprinting.likeness(own, own, None) == 1.0
+    same = np.intersect1d(own["hash"], other["hash"])
+    assert len(same) > 0.9 * len(own) and fingerprinting.likeness(own, other, None) < 0.2  # the same anchors elsewhere
+    shifted = fingerprinting.sketch(b"some words before it " + text, None)
+    assert fingerprinting.likeness(own, shifted, None) > 0.95
+    got = fingerprinting.anchors(spark.createDataFrame([(1, text.decode())], "doc_id bigint, text string")).collect()
+    assert sorted((r["place"], r["hash"]) for r in got) == sorted(zip(*(x.tolist() for x in (fingerprinting.syncmers(text)[0], fingerprinting.syncmers(text)[1].view(np.int64)))))
+    for size in range(1, 40):  # short texts have an anchor each, and different texts differ
+        some = [bytes(rng.choices(b"abcdef ", k=size)) for _ in range(30)]
+        assert all(len(fingerprinting.sketch(t)) for t in some)
+        assert all(fingerprinting.sketch(a).tobytes() != fingerprinting.sketch(b).tobytes() for a, b in zip(some, some[1:]) if a != b)
+
+
 def test_fingerprints(odd, none, docs, monkeypatch):
     monkeypatch.setattr(fingerprinting, "ROWS_A_RANGE", 7)  # many ranges, so guards are needed
     for df in (odd, docs):
@@ -508,7 +631,13 @@ def test_fingerprints(odd, none, docs, monkeypatch):
             want[i, len(t), hashlib.sha256((t[: len(t) - e] + after[:e]).encode()).hexdigest()] += 1
         got = fingerprinting.edited_fingerprints(df).collect()
         assert want == Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got)
-        assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+        of = {t: fingerprinting.sketch(t.encode()) for _, t in rows}
+        near = Counter()
+        for (i, t), (_, after) in zip(rows, [*rows[1:], rows[0]]):
+            e = len(t) // 4
+            new = fingerprinting.sketch((t[: len(t) - e] + after[:e]).encode())
+            near[i, of[t].tobytes().hex(), new.tobytes().hex(), like_by_hand(of[t], new), like_by_hand(of[t], of[after])] += 1
+        assert near == Counter((r["doc_id"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in got)
         if df is docs:
             long = [r for r in got if r["n_chars"] > 1500]
             assert np.mean([r["near_edited"] for r in long]) > 0.45 > 0.3 > np.mean([r["near_next"] for r in long])

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from warren.llm import fingerprinting, license_scan, mixing, packing, quality, secret_scan, simhash, token_counts, toxicity, warc
 from warren.llm.common import shared_folder, table
@@ -17,7 +18,8 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("spans")
+    one = lambda x: F.concat_ws(":", x["label"], x["word"], x["words"], x["edits"])
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).withColumn("spans", F.array_join(F.transform("spans", one), ","))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

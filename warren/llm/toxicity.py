@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +45,35 @@ def features(word: str) -> list[str]:
     return [word, *(f"^{word[:n]}" for n in PREFIXES if len(word) > n)]
 
 
-def swaps(text: str) -> list[set[str]]:
-    """The distinct words of the text's versions in which a sentence's identity term is swapped."""
-    out = []
+def swaps(text: str) -> Counter:
+    """How often each (term, other, whether the term is gone then, whether the other is new then) is a swap in one sentence.
+
+    One pass over the words; what comes out is bounded by IDENTITIES, whatever the text's length.
+    """
+    out: Counter = Counter()
     if any(t in text for t in _FAMILY):
         parts = [_WORD.findall(s) for s in _SENTENCE.findall(text)]
-        for i, part in enumerate(parts):
-            for term in {w for w in part if w in _FAMILY}:
-                rest = {w for j, p in enumerate(parts) if j != i for w in p}
-                for other in (*_FAMILY[term], NEUTRAL):
-                    if other != term:
-                        out.append(rest | {other if w == term else w for w in part})
+        total = Counter(w for p in parts for w in p if w in _FAMILY or w == NEUTRAL)
+        for part in parts:
+            for term, n in Counter(w for w in part if w in _FAMILY).items():
+                out.update((term, other, n == total[term], other not in total) for other in (*_FAMILY[term], NEUTRAL) if other != term)
+    return out
+
+
+def swap_changes(text: str, active: Callable[[str], Iterable[str]]) -> Counter:
+    """How often each change (features that come, features that go) is what a swap does to a lower-case text.
+
+    A feature goes only where no other word of the text has it; `active` gives a word's features.
+    """
+    found = swaps(text)
+    if not found:
+        return found
+    held = Counter(f for w in set(_WORD.findall(text)) for f in active(w))
+    out: Counter = Counter()
+    for (term, other, gone, new), n in found.items():
+        own, others = set(active(term)) if gone else set(), set(active(other))
+        comes = frozenset(f for f in others if not held[f]) if new else frozenset()
+        out[comes, frozenset(f for f in own if held[f] == 1 and f not in others)] += n
     return out
 
 
@@ -63,17 +83,16 @@ class Model:
     def __init__(self, names: list[str], weights: np.ndarray, bias: float):
         self.weight, self.bias, self.known = dict(zip(names, map(float, weights))), bias, {}
 
+    def of_word(self, word: str) -> tuple[str, ...]:
+        f = self.known.get(word)
+        if f is None:
+            f = tuple(x for x in features(word) if x in self.weight)
+            if len(self.known) < REMEMBERED and len(word) < 40:
+                self.known[word] = f
+        return f
+
     def active(self, words: set[str]) -> set[str]:
-        out, known = set(), self.known
-        for w in words:
-            f = known.get(w)
-            if f is None:
-                f = tuple(x for x in features(w) if x in self.weight)
-                if len(known) < REMEMBERED and len(w) < 40:
-                    known[w] = f
-            if f:
-                out.update(f)
-        return out
+        return set(chain.from_iterable(map(self.of_word, words)))
 
     def score(self, text: str) -> float:
         words = _WORD.findall(text.lower())
@@ -86,20 +105,25 @@ def scale(n_words: int) -> float:
     return 4 / max(4.0, float(np.log(2 + n_words)))
 
 
-def _solve(rows: list[list[int]], scales: np.ndarray, labels: np.ndarray, deltas: list[dict[int, float]], n: int, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Minimises the mean log loss + RIDGE |w|^2 / 2 + COUNTERFACTUAL times the mean squared score change over swaps."""
+def _solve(rows: list[list[int]], scales: np.ndarray, labels: np.ndarray, changes: list[tuple[list[int], list[int], float]], n: int, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Minimises the mean log loss + RIDGE |w|^2 / 2 + COUNTERFACTUAL times the sum of `changes`.
+
+    Each of these is (features that come, features that go, share): share times the squared change of the score.
+    """
     if not len(labels) or labels.min() == labels.max():
         return np.zeros(n), -2.0
     at, of = np.array([f for r in rows for f in r], np.int64), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    d_at, d_of, d_by = (np.array(x) for x in zip(*[(f, i, v) for i, d in enumerate(deltas) for f, v in d.items()])) if any(deltas) else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    moved = [(f, i, sign) for i, (on, off, _) in enumerate(changes) for sign, some in ((1.0, on), (-1.0, off)) for f in some]
+    d_at, d_of, d_by = (np.array(x) for x in zip(*moved)) if moved else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    share = np.array([x for *_, x in changes])
     by, w, b, m, v = scales[of], np.zeros(n), -2.0, np.zeros(n), np.zeros(n)
     for step in range(1, steps + 1):
         p = 1 / (1 + np.exp(-(np.bincount(of, w[at] * by, len(rows)) + b)))
         off = (p - labels) / len(labels)
         g = np.bincount(at, off[of] * by, n) + RIDGE * w
         if len(d_at):
-            change = np.bincount(d_of, w[d_at] * d_by, len(deltas))
-            g += 2 * COUNTERFACTUAL / len(deltas) * np.bincount(d_at, change[d_of] * d_by, n)
+            change = np.bincount(d_of, w[d_at] * d_by, len(changes)) * share
+            g += 2 * COUNTERFACTUAL * np.bincount(d_at, change[d_of] * d_by, n)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         b -= off.sum()
@@ -114,12 +138,14 @@ def fold(doc_id) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     """Fits the model on a bounded sample of labelled rows outside the held-out fold.
 
-    The sample is at most `rows` ids, so its join is a broadcast. Feature counts are summed by Spark; only the
-    FEATURES most telling ones and the sample's rows over them come to the driver.
+    The sample is at most `rows` labels, so its join is a broadcast, and one text for each (of rows that share an id
+    the smallest). Feature counts and swaps are summed by Spark; the FEATURES most telling features, the sample's rows
+    over them and one row for each kind of swap come to the driver.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    picked = known.filter(fold(F.col("doc_id")) != 0).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "toxic").limit(rows)
-    sample = checkpointed(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic"))
+    picked = known.filter(fold(F.col("doc_id")) != 0).distinct().orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "toxic").limit(rows)
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    sample = checkpointed(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
 
     def counted(batch: pa.RecordBatch) -> dict:
         every, toxic = Counter(), Counter()
@@ -139,22 +165,26 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     empty = Model(names, np.zeros(len(names)), 0.0)
 
     def coded(batch: pa.RecordBatch) -> dict:
-        out = {"doc_id": [], "label": [], "scale": [], "swap": [], "on": [], "off": []}
-        for i, (text, label) in enumerate(zip(texts(batch.column("text")), batch.column("toxic").to_pylist())):
+        out = {k: [] for k in ("label", "scale", "on", "off", "many")}
+        for text, label in zip(texts(batch.column("text")), batch.column("toxic").to_pylist()):
             text = text.lower()
             words = _WORD.findall(text)
-            own = {place[f] for f in empty.active(set(words))}
-            kinds = [(False, own, set())] + [(True, (new := {place[f] for f in empty.active(s)}) - own, own - new) for s in swaps(text)]
-            for swap, on, off in kinds:
-                for k, v in zip(out, (batch.column("doc_id")[i].as_py(), label, scale(len(words)), swap, sorted(on), sorted(off))):
-                    out[k].append(v)
-        return {k: pa.array(v, t) for (k, v), t in zip(out.items(), (pa.int64(), pa.int32(), pa.float64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32())))}
-
-    schema = "doc_id bigint, label int, scale double, swap boolean, on array<int>, off array<int>"
-    found = sorted(map_arrow(sample, coded, schema).collect(), key=lambda r: (r["doc_id"], r["swap"], r["label"], r["on"], r["off"]))  # at most `rows` rows and their swaps
-    own = [r for r in found if not r["swap"]]
-    deltas = [dict.fromkeys(r["on"], r["scale"]) | dict.fromkeys(r["off"], -r["scale"]) for r in found if r["swap"]]
-    weights, bias = _solve([r["on"] for r in own], np.array([r["scale"] for r in own]), np.array([r["label"] for r in own], float), deltas, len(names))
+            of_text = scale(len(words))
+            rows = [(label, of_text, empty.active(set(words)), (), 1)]
+            rows += [(None, of_text, on, off, n) for (on, off), n in swap_changes(text, empty.of_word).items()]
+            for kind, by, on, off, n in rows:
+                for k, x in zip(out, (kind, by, sorted(place[f] for f in on), sorted(place[f] for f in off), n)):
+                    out[k].append(x)
+        kinds = (pa.int32(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64())
+        return {k: pa.array(x, t) for (k, x), t in zip(out.items(), kinds)}
+
+    found = checkpointed(map_arrow(sample, coded, "label int, scale double, on array<int>, off array<int>, many bigint"))
+    own = sorted(found.filter("label is not null").select("label", "scale", "on").collect())  # at most `rows` rows
+    swapped = found.filter("label is null").groupBy("on", "off").agg(F.sum("many").alias("n"), F.sum(F.col("many") * F.col("scale") * F.col("scale")).cast("decimal(30,12)").alias("squares"))
+    kinds = sorted(tuple(r) for r in swapped.collect())  # as many as IDENTITIES has pairs, and their features in use
+    total = max(1, sum(r[2] for r in kinds))
+    changes = [(on, off, float(squares) / total) for on, off, _, squares in kinds if on or off]
+    weights, bias = _solve([r["on"] for r in own], np.array([r["scale"] for r in own]), np.array([r["label"] for r in own], float), changes, len(names))
     return Model(names, weights, bias)
 
 
@@ -162,8 +192,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of `docs` (doc_id, text).
 
     Defined results: null and empty texts score by the bias alone; null ids are scored and not held out; rows
-    that repeat are scored each; without labels of both kinds every score is that of the bias; an empty table
-    gives no rows; other columns are not read.
+    that repeat are scored each; a text of any length is scored whole; features that tie are taken by name; without
+    labels of both kinds every score is that of the bias; an empty table gives no rows; other columns are not read.
     """
     model, kind = fit(docs, labels), dict(docs.dtypes)["doc_id"]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,8 +14,8 @@ from warren.llm.common import checkpointed
 
 #: Payloads below this many bytes are always stored.
 LEAST_BYTES = 100
-#: Records in an archive file, which readers hold whole.
-RECORDS_A_FILE = 2000
+#: Records in an archive file, which readers hold whole, and the bytes of payload that bound it.
+RECORDS_A_FILE, BYTES_A_FILE = 2000, 128 << 20
 #: The end of a line and of a record.
 CRLF = "\r\n"
 RECORD_END = "\r\n\r\n"
@@ -37,12 +38,12 @@ def resolve_revisits(records: DataFrame, least_bytes: int = LEAST_BYTES) -> Data
     return heads.join(first, "payload_digest").filter("page_id > refers_to").select("page_id", "payload_digest", "refers_to").distinct()
 
 
-def as_records(records: DataFrame, revisits: DataFrame) -> DataFrame:
-    """One column `value`: each record's fresh header and payload as text, without its end."""
+def as_records(records: DataFrame, revisits: DataFrame, written: str) -> DataFrame:
+    """One column `value`: each record's fresh header (dated `written`) and payload as text, without its end."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">"))
     url = F.regexp_replace("url", r"[\r\n]", "")
-    head = lambda kind, *more: F.concat(F.lit("WARC/1.1\r\n"), line("WARC-Type", F.lit(kind)), line("WARC-Record-ID", name("page_id")), line("WARC-Date", F.lit("1970-01-01T00:00:00Z")), line("WARC-Target-URI", url), line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "payload_digest")), line("Content-Type", F.lit("text/html")), *more)
+    head = lambda kind, *more: F.concat(F.lit("WARC/1.1\r\n"), line("WARC-Type", F.lit(kind)), line("WARC-Record-ID", name("page_id")), line("WARC-Date", F.lit(written)), line("WARC-Target-URI", url), line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "payload_digest")), line("Content-Type", F.lit("text/html")), *more)
     stored = F.concat(head("response", line("Content-Length", F.col("payload_bytes").cast("string"))), F.lit(CRLF), "payload")
     revisit = F.concat(head("revisit", line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", name("refers_to")), line("Content-Length", F.lit("0"))), F.lit(CRLF))
     joined = records.join(revisits, ["page_id", "payload_digest"], "left")
@@ -50,47 +51,104 @@ def as_records(records: DataFrame, revisits: DataFrame) -> DataFrame:
 
 
 def write_warc(values: DataFrame, path: str, records_a_file: int = RECORDS_A_FILE) -> None:
-    """Writes gzip archives under `path`, any store Spark writes to: a record's end is the text writer's line end."""
-    values.write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", records_a_file).text(path)
+    """Adds gzip archives under `path`, any store Spark writes to: a record's end is the text writer's line end."""
+    values.write.mode("append").option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", records_a_file).text(path)
+
+
+def write_archives(records: DataFrame, revisits: DataFrame, path: str) -> None:
+    """Writes all records, so that no file holds more than BYTES_A_FILE of payload unless one record alone does.
+
+    Payloads up to BYTES_A_FILE / RECORDS_A_FILE go by the number of records; larger ones, where there are any, into
+    files of their own with as many records as the largest allows. One more pass over the sizes finds that largest.
+    """
+    small, written = BYTES_A_FILE // RECORDS_A_FILE, datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    largest = records.agg(F.max("payload_bytes")).first()[0] or 0
+    write_warc(as_records(records.filter(F.col("payload_bytes") <= small), revisits, written), path)
+    if largest > small:
+        write_warc(as_records(records.filter(F.col("payload_bytes") > small), revisits, written), path, max(1, BYTES_A_FILE // largest))
+
+
+class _Inflated:
+    """Reads the bytes of a gzip file's members, some at a time."""
+
+    def __init__(self, data: bytes):
+        self.raw, self.at, self.member, self.held = memoryview(data), 0, zlib.decompressobj(31), bytearray()
+
+    def _more(self) -> bool:
+        if self.member.eof:
+            self.at -= len(self.member.unused_data)
+            self.member = zlib.decompressobj(31)
+        part = self.raw[self.at : self.at + (1 << 16)]
+        self.at += len(part)
+        self.held += self.member.decompress(part)
+        return bool(part)
+
+    def until(self, mark: bytes) -> bytes | None:
+        """What precedes the mark, which is passed over; None at the end."""
+        seen = 0
+        while (stop := self.held.find(mark, seen)) < 0:
+            seen = max(0, len(self.held) - len(mark) + 1)
+            if not self._more():
+                if self.held:
+                    raise ValueError("an archive ends within a record")
+                return None
+        out = bytes(self.held[:stop])
+        del self.held[: stop + len(mark)]
+        return out
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n and self._more():
+            pass
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        return out
 
 
 def _parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    at, end = 0, RECORD_END.encode()
-    while at < len(data):
-        stop = data.index(end, at)
-        first, *lines = data[at:stop].decode().split(CRLF)
+    """The records (header fields, payload) of a compressed archive, one at a time."""
+    source, end = _Inflated(data), RECORD_END.encode()
+    while (head := source.until(end)) is not None:
+        first, *lines = head.decode().split(CRLF)
         if not first.startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        head = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines)
-        body = stop + len(end)
-        at = body + int(head["Content-Length"])
-        if data[at : at + len(end)] != end:
+            raise ValueError("no WARC record where one should begin")
+        fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines)
+        payload = source.take(int(fields["Content-Length"]))
+        if source.take(len(end)) != end:
             raise ValueError("a record ends elsewhere than its Content-Length says")
-        yield head, data[body:at]
-        at += len(end)
+        yield fields, payload
 
 
 RECORD = "page_id bigint, url string, record_type string, header_digest string, refers_to bigint, payload binary"
 
 
 def read_warc(df_reader, path: str) -> DataFrame:
-    """The records of the archives under `path` as rows; `df_reader` is spark.read. One file is one task's row."""
+    """The records of the archives under `path` as rows; `df_reader` is spark.read.
+
+    One file is one task's row, of at most BYTES_A_FILE before compression; its records are inflated and passed on
+    a few at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = lambda x: None if x in (None, "<urn:page:null>") else int(x[10:-1])
         kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+        rows, size = [], 0
+
+        def flushed() -> pa.RecordBatch:
+            nonlocal size
+            made = pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in RECORD.split(", ")])
+            rows.clear()
+            size = 0
+            return made
+
         for batch in batches:
             for content in batch.column("content"):
-                members = zlib.decompressobj(31)
-                raw, data = content.as_py(), b""
-                while raw:  # each gzip member in turn
-                    data += members.decompress(raw)
-                    raw, members = members.unused_data, zlib.decompressobj(31)
-                rows = [(number(h["WARC-Record-ID"]), h["WARC-Target-URI"], h["WARC-Type"], h["WARC-Payload-Digest"].removeprefix("sha256:"), number(h.get("WARC-Refers-To")), p) for h, p in _parse(data)]
-                del data
-                for at in range(0, len(rows), 500):
-                    part = list(zip(*rows[at : at + 500]))
-                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(part, kinds)], names=[f.split()[0] for f in RECORD.split(", ")])
+                for h, p in _parse(content.as_buffer()):
+                    rows.append((number(h["WARC-Record-ID"]), h["WARC-Target-URI"], h["WARC-Type"], h["WARC-Payload-Digest"].removeprefix("sha256:"), number(h.get("WARC-Refers-To")), p))
+                    size += len(p)
+                    if len(rows) >= 500 or size >= 8 << 20:
+                        yield flushed()
+        if rows:
+            yield flushed()
 
     return df_reader.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD)
 
@@ -102,11 +160,11 @@ def archived(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> Dat
     record_type, refers_to and url.
 
     Defined results: null html is an empty payload; rows with a null page_id are responses and nothing refers to
-    them; rows that repeat the smallest page_id of a payload are each stored; an empty table gives no rows;
-    other columns are not read.
+    them; rows that repeat the smallest page_id of a payload (ties) are each stored; a payload beyond the file bound
+    is a file of its own, at most 2 GB; an empty table gives no rows; other columns are not read.
     """
     records = payloads(pages)
-    write_warc(as_records(records, resolve_revisits(records, least_bytes)), path)
+    write_archives(records, resolve_revisits(records, least_bytes), path)
     read = read_warc(pages.sparkSession.read, path)
     digest = F.sha2("payload", 256)
     checked = F.when((F.col("record_type") == "response") & (digest != F.col("header_digest")), F.raise_error(F.lit("a payload differs from its digest"))).otherwise(digest)
