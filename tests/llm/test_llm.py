@@ -359,9 +359,13 @@ def test_keep_one_leaves_one_of_each_group(odd):
     assert set(prints.values()) == {1} and set(prints) == {simhash_by_hand(r[1]) for r in odd_rows()}
 
 
-def test_the_stage_keeps_what_brute_force_keeps(spark):
+@pytest.mark.parametrize("crowd, block", [(64, 512), (3, 7)])
+def test_the_stage_keeps_what_brute_force_keeps(spark, monkeypatch, crowd, block):
     import corpus_pipeline as p
 
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "BLOCK_SETS", block)
+
     rng, words_of = random.Random(7), [f"w{i}" for i in range(3000)]
     texts = [" ".join(rng.choices(words_of, k=rng.choice([9, 40, 200, 400]))) for _ in range(120)]
     for t in texts[:100]:

@@ -23,6 +23,10 @@ VISITS = 4_000_000
 #: Similar texts (exact Jaccard of their shingle sets) meet in shards of BANDS keys, each of ROWS minima: a pair at
 #: 0.8 misses all of them with probability (1 - 0.8 ** ROWS) ** BANDS = 1.3e-7, a pair above it more rarely.
 SIMILARITY, BANDS, ROWS = 0.8, 40, 5
+#: A band's key that more sets than this share is crowded: its sets are compared by clusters, not pair by pair.
+CROWD = 64
+#: Sets, and shingles of them, aimed at in a block of a cluster; a task compares two blocks.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 300_000
 #: The trees' radius there. A pair at 0.8 lies 10 bits apart on average (12 for sets of four and five), deviation 3.
 WIDE = 28
 
@@ -258,12 +262,13 @@ def _by_shard(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatc
 
 
 def _pairs(similarity: float, nearest: bool):
-    """Rows (shard, fp, size, near, part) to pairs of sets that may be similar, by the shard's BK-tree.
+    """Rows (shard, fp, size, near, part, cluster) to pairs of sets that may be similar, by the shard's BK-tree.
 
-    Sets of one part are linked already. `nearest` gives each set only its nearest one with a smaller key.
+    Sets of one part are linked already, those of one cluster compared. `nearest` gives each set only its nearest one
+    with a smaller key.
     """
 
-    def pairs(shard, fp, size, near, part) -> pa.RecordBatch:
+    def pairs(shard, fp, size, near, part, cluster) -> pa.RecordBatch:
         out, starts = [], np.r_[True, shard[1:] != shard[:-1]]
         number = np.cumsum(starts) - 1
         mixed = np.zeros(number[-1] + 1, bool)
@@ -273,7 +278,7 @@ def _pairs(similarity: float, nearest: bool):
             prints, of = near[here].view(np.uint64), np.cumsum(np.r_[False, np.diff(number[here]) != 0])
             for q, m, far in within(prints, of, WIDE):
                 q, m = here[q], here[m]
-                ok = (fp[m] < fp[q]) & (part[m] != part[q]) & (np.minimum(size[q], size[m]) >= similarity * np.maximum(size[q], size[m]) - 1e-6)
+                ok = (fp[m] < fp[q]) & (part[m] != part[q]) & (cluster[m] != cluster[q]) & (np.minimum(size[q], size[m]) >= similarity * np.maximum(size[q], size[m]) - 1e-6)
                 q, m, far = q[ok], m[ok], far[ok].astype(np.int32)
                 if nearest:
                     order = np.lexsort((fp[m], far, q))
@@ -309,12 +314,71 @@ def _similar(shingle: int, similarity: float):
     return confirm
 
 
+def _linked_blocks(shingle: int, similarity: float):
+    """Rows (key, fp, text) sorted by key to edges (u, v) that connect each key's similar sets, all of them compared.
+
+    Common shingles are counted by products of 0/1 matrices, some thousand shingles at a time.
+    """
+
+    def links(fps: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        sizes, n = np.array([len(x) for x in sets]), len(sets)
+        _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(n), sizes)[often[column] > 1]
+        column = (np.cumsum(often > 1) - 1)[column[often[column] > 1]]
+        order = np.argsort(column, kind="stable")
+        row, column, common = row[order], column[order], np.zeros((n, n), np.float32)
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            a, b = np.searchsorted(column, (low, low + 4096))
+            there = np.zeros((n, 4096), np.float32)
+            there[row[a:b], column[a:b] - low] = 1
+            common += there @ there.T
+        share = common.astype(np.float64) / (sizes[:, None] + sizes[None, :] - common.astype(np.float64))
+        root = unite(np.arange(n), *np.nonzero(np.tril(share >= similarity, -1)))
+        fp, moved = np.array(fps, np.int64), np.flatnonzero(root != np.arange(n))
+        return pa.RecordBatch.from_arrays([pa.array(fp[moved]), pa.array(fp[root[moved]])], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, fps, sets = None, [], []
+        for batch in batches:
+            for key, fp, text in zip(*(batch.column(c) for c in ("key", "fp", "text"))):
+                if (key := key.as_py()) != last:
+                    if len(fps) > 1:
+                        yield links(fps, sets)
+                    last, fps, sets = key, [], []
+                fps.append(fp.as_py())
+                sets.append(np.frombuffer(b"".join([xxhash.xxh64_digest(x, SEED) for x in shingle_set(text.as_buffer().to_pybytes(), shingle)]), np.uint64))
+        if len(fps) > 1:
+            yield links(fps, sets)
+
+    return run
+
+
+def _clusters(crowded: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame] | None:
+    """(fp, cluster) of the sets in crowded shards, and the links within clusters; None where no shard is crowded.
+
+    Shards that share sets are one cluster. Its sets are dealt to blocks and every two blocks meet in one task, so
+    neither a row for each pair nor a whole cluster in a task is needed.
+    """
+    large = checkpointed(crowded.groupBy("shard").agg(F.count("*").alias("n"), F.min("fp").alias("hub")).filter(F.col("n") > CROWD))
+    if large.isEmpty():
+        return None
+    members = crowded.join(large, "shard")
+    whole = checkpointed(components(members.select(F.col("fp").alias("u"), F.col("hub").alias("v"))).select(F.col("node").alias("fp"), F.col("component").alias("cluster")))
+    sized = whole.join(members.select("fp", "size").dropDuplicates(["fp"]), "fp")
+    blocks = sized.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
+    own = sized.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("fp"), "blocks"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).filter("own <> other or blocks = 1")
+    keyed = met.select(F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "fp")
+    rows = keyed.join(texts, "fp").select("key", "fp", "text").repartition(F.col("key")).sortWithinPartitions("key")
+    return whole, checkpointed(rows.mapInArrow(_linked_blocks(shingle, similarity), "u bigint, v bigint").distinct())
+
+
 def similar_links(docs: DataFrame, prints: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Edges (u, v) that connect all sets of `prints` at this exact Jaccard or above, directly or by others.
 
-    Sets meet by shared bands, shards' BK-trees name the pairs within WIDE, and the texts decide. The nearest pair
-    of each set is tried first; then all pairs that those links don't connect, so a large group of copies costs
-    no square of pairs.
+    Sets meet by shared bands. What meets in a band's key shared by more than CROWD sets is compared by clusters. In
+    other shards BK-trees name the pairs within WIDE, and the texts decide: the nearest pair of each set is tried
+    first, then all pairs that those links don't connect.
     """
     spread = prints.select("fp", "bands").dropDuplicates(["fp"]).select(F.explode("bands").alias("shard"), "fp")
     dealt = spread.repartition(F.col("shard")).sortWithinPartitions("shard")
@@ -324,16 +388,22 @@ def similar_links(docs: DataFrame, prints: DataFrame, shingle: int, similarity:
     texts = checkpointed(docs.select("__row", "text").join(rows, "__row").dropDuplicates(["fp"]).select("fp", F.coalesce("text", F.lit("")).alias("text")))
 
     def confirmed(parts: DataFrame, nearest: bool) -> DataFrame:
-        shards = parts.select("shard", "fp", "size", "near", "part").repartition(F.col("shard")).sortWithinPartitions("shard")
+        shards = parts.select("shard", "fp", "size", "near", "part", "cluster").repartition(F.col("shard")).sortWithinPartitions("shard")
         pairs = shards.mapInArrow(_pairs(similarity, nearest), "u bigint, v bigint, far int")
         pairs = pairs.groupBy("u").agg(F.min(F.struct("far", "v")).alias("x")).select("u", F.col("x.v").alias("v")) if nearest else pairs.select("u", "v").distinct()
         of_u, of_v = texts.select(F.col("fp").alias("u"), F.col("text").alias("a")), texts.select(F.col("fp").alias("v"), F.col("text").alias("b"))
         return checkpointed(map_arrow(pairs.join(of_v, "v").join(of_u, "u").select("u", "v", "a", "b"), _similar(shingle, similarity), "u bigint, v bigint"))
 
-    first = confirmed(crowded.withColumn("part", F.col("fp")), True)
+    found = _clusters(crowded, texts, shingle, similarity)
+    rows = crowded.withColumn("cluster", F.col("fp"))
+    if found:
+        small = crowded.groupBy("shard").count().filter(F.col("count") <= CROWD).select("shard")
+        rows = crowded.join(small, "shard").join(found[0], "fp", "left").withColumn("cluster", F.coalesce("cluster", "fp"))
+    first = confirmed(rows.withColumn("part", F.col("fp")), True)
     parts = components(first).withColumnsRenamed({"node": "fp", "component": "part"})
-    rest = confirmed(crowded.join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp")), False)
-    return first.unionByName(rest)
+    rest = confirmed(rows.join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp")), False)
+    both = first.unionByName(rest)
+    return both.unionByName(found[1]) if found else both
 
 
 def groups(prints: DataFrame, member: Column, radius: int = RADIUS, links: DataFrame | None = None) -> DataFrame:
