@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -92,7 +91,14 @@ class Model:
         return f
 
     def active(self, words: set[str]) -> set[str]:
-        return set(chain.from_iterable(map(self.of_word, words)))
+        out, known = set(), self.known
+        for w in words:
+            f = known.get(w)
+            if f is None:
+                f = self.of_word(w)
+            if f:
+                out.update(f)
+        return out
 
     def score(self, text: str) -> float:
         words = _WORD.findall(text.lower())

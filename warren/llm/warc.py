@@ -69,38 +69,40 @@ def write_archives(records: DataFrame, revisits: DataFrame, path: str) -> None:
 
 
 class _Inflated:
-    """Reads the bytes of a gzip file's members, some at a time."""
+    """Reads the bytes of a gzip file's members, a megabyte or so at a time."""
 
     def __init__(self, data: bytes):
-        self.raw, self.at, self.member, self.held = memoryview(data), 0, zlib.decompressobj(31), bytearray()
+        self.raw, self.at, self.member, self.held, self.begin = memoryview(data), 0, zlib.decompressobj(31), b"", 0
 
     def _more(self) -> bool:
         if self.member.eof:
             self.at -= len(self.member.unused_data)
             self.member = zlib.decompressobj(31)
-        part = self.raw[self.at : self.at + (1 << 16)]
+        part = self.raw[self.at : self.at + (1 << 18)]
         self.at += len(part)
-        self.held += self.member.decompress(part)
+        self.held, self.begin = self.held[self.begin :] + self.member.decompress(part), 0
         return bool(part)
 
     def until(self, mark: bytes) -> bytes | None:
         """What precedes the mark, which is passed over; None at the end."""
-        seen = 0
-        while (stop := self.held.find(mark, seen)) < 0:
-            seen = max(0, len(self.held) - len(mark) + 1)
+        while (stop := self.held.find(mark, self.begin)) < 0:
             if not self._more():
-                if self.held:
+                if len(self.held) > self.begin:
                     raise ValueError("an archive ends within a record")
                 return None
-        out = bytes(self.held[:stop])
-        del self.held[: stop + len(mark)]
+        out, self.begin = self.held[self.begin : stop], stop + len(mark)
         return out
 
     def take(self, n: int) -> bytes:
-        while len(self.held) < n and self._more():
-            pass
-        out = bytes(self.held[:n])
-        del self.held[:n]
+        if len(self.held) - self.begin < n:
+            parts, size = [self.held[self.begin :]], len(self.held) - self.begin
+            self.held, self.begin = b"", 0
+            while size < n and self._more():
+                parts.append(self.held)
+                size += len(self.held)
+                self.held = b""
+            self.held = b"".join(parts)
+        out, self.begin = self.held[self.begin : self.begin + n], self.begin + n
         return out
 
 
