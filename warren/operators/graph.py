@@ -25,6 +25,16 @@ def behaviour_edges(spark: SparkSession) -> DataFrame:
     return island.select((F.col("id") * 100 + F.col("u")).cast("int").alias("u"), (F.col("id") * 100 + F.col("v")).cast("int").alias("v")).unionByName(_pairs(spark, BRIDGES + DOORS))
 
 
+def walked_edges(template: DataFrame, visits: DataFrame) -> DataFrame:
+    """G1: the template's edges that some path of `visits` (row_id, seq, node_id) walks, either way, and all doors.
+
+    Paths are reduced to their distinct steps before the join.
+    """
+    steps = path_edges(visits).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    walked = template.join(steps, (F.least("u", "v") == F.col("a")) & (F.greatest("u", "v") == F.col("b")), "left")
+    return walked.filter(F.col("a").isNotNull() | F.col("v").isin(501, 502)).select("u", "v")
+
+
 def both_ways(edges: DataFrame) -> DataFrame:
     """An undirected edge list as arcs; other columns go with both."""
     more = [c for c in edges.columns if c not in ("u", "v")]
@@ -54,12 +64,23 @@ def distance_edges(nodes: DataFrame, radius: float = 65.0, extra=BRIDGES) -> Dat
     return proximity_edges(nodes, radius).unionByName(given).groupBy("u", "v").agg(F.min("w").alias("w"))
 
 
-def nn_edges(nodes: DataFrame, factor: float = 1.35) -> DataFrame:
-    """Pairs nearer than `factor` times the median distance to the nearest neighbour. One maze is about 100 nodes."""
-    a, b = nodes.select(F.col("node_id").alias("u"), F.col("x").alias("ux"), F.col("y").alias("uy")), nodes.select(F.col("node_id").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy"))
-    pairs = a.join(b, F.col("u") != F.col("v")).withColumn("w", F.hypot(F.col("ux") - F.col("vx"), F.col("uy") - F.col("vy")))
-    limit = pairs.groupBy("u").agg(F.min("w").alias("nearest")).agg((factor * F.median("nearest")).alias("limit"))
-    return pairs.filter("u < v").join(F.broadcast(limit), F.col("w") <= F.col("limit")).select("u", "v", "w")
+def nn_edges(nodes: DataFrame, factor: float = 1.35, radius: float = 65.0) -> DataFrame:
+    """Pairs no further apart than `factor` times the median distance to the nearest neighbour.
+
+    Pairs meet in cells as in `proximity_edges`. The radius doubles until more than half of the nodes have a neighbour
+    within it, which settles the median; the loop counts rows only.
+    """
+    n = nodes.count()
+    if n < 2:
+        return proximity_edges(nodes, radius)
+    while True:
+        nearest = both_ways(proximity_edges(nodes, radius)).groupBy("u").agg(F.min("w").alias("nearest"))
+        if nearest.count() > n // 2:
+            break
+        radius *= 2
+    every = nodes.select(F.col("node_id").alias("u")).join(nearest, "u", "left").select(F.coalesce("nearest", F.lit(float("inf"))).alias("nearest"))
+    limit = factor * every.agg(F.median("nearest")).first()[0]
+    return proximity_edges(nodes, limit * (1 + 1e-9)).filter(F.col("w") <= limit)
 
 
 def node_hits(positions: DataFrame, nodes: DataFrame, radius: float) -> DataFrame:
@@ -84,9 +105,9 @@ def all_pairs(edges: DataFrame, weight: str | None = None, most_rounds: int = 20
         now = checkpointed(longer.groupBy("u", "v").agg(F.min("d").alias("d")))
         state = tuple(now.agg(F.count("*"), F.round(F.sum("d"), 6)).first())
         if state == seen:
-            break
+            return now
         seen = state
-    return now
+    raise RuntimeError(f"distances still shrink after {most_rounds} rounds")
 
 
 def tied_paths(arcs: DataFrame, dist: DataFrame, start: int, goal: int) -> DataFrame:
@@ -194,5 +215,7 @@ def hop_vs_weight(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"ways still change after {most_rounds} rounds")
     fewest = all_pairs(edges).select("u", "v", F.col("d").alias("hops"))
     return now.join(fewest, ["u", "v"]).filter(F.col("hops") < F.col("d.h")).select("u", "v", "hops", F.col("d.h").cast("double").alias("cheapest_hops"))

@@ -13,6 +13,8 @@ from warren.operators.spikes import interp_at
 from warren.operators.track import HEIGHT_M, WIDTH_M, bins, clipped_bin
 
 CELL = ("bx", "by")
+#: The highest rate of a tuning curve, and the time a cell needs (after smoothing) for its rate to count.
+CURVE_HZ, LEAST_S = 50.0, 1e-3
 
 
 def kernel(sigma: float) -> list[float]:
@@ -46,13 +48,14 @@ def gauss_smooth(grid: DataFrame, keys: list[str], value: str, sigma: float, nx:
     return grid
 
 
-def rate_map(track: DataFrame, spikes: DataFrame, nx: int = 18, ny: int = 10, sigma: float = 0.0, threshold: float = 0.0, lead: float = 0.0) -> DataFrame:
+def rate_map(track: DataFrame, spikes: DataFrame, nx: int = 18, ny: int = 10, sigma: float = 0.0, threshold: float = 0.0, lead: float = 0.0, most_hz: float | None = None) -> DataFrame:
     """M1, DE4: spikes over time spent in each visited cell, both smoothed apart; `occupied_s` stays unsmoothed.
 
-    The track has x, y, speed and seconds; a spike lies where the animal is at its time (plus a lead).
+    The track has x, y, speed and seconds; a spike lies where the animal is at its time (plus a lead). With `most_hz`
+    (CURVE_HZ) the rates are tuning curves: cut there, and 0 in cells of no more than LEAST_S.
     """
     fast = lambda df: df.filter(F.col("speed") > threshold) if threshold else df
-    return placed_rates(fast(track), fast(interp_at(spikes, track, ("x", "y", "speed"), lead)), spikes.select("session_id", "unit_id").distinct(), nx, ny, sigma, sample_s(track))
+    return placed_rates(fast(track), fast(interp_at(spikes, track, ("x", "y", "speed"), lead)), spikes.select("session_id", "unit_id").distinct(), nx, ny, sigma, sample_s(track), most_hz)
 
 
 def sample_s(track: DataFrame) -> DataFrame:
@@ -61,14 +64,17 @@ def sample_s(track: DataFrame) -> DataFrame:
     return track.withColumn("d", F.col("seconds") - F.lag("seconds").over(w)).groupBy("session_id").agg(F.median("d").alias("dt"))
 
 
-def placed_rates(track: DataFrame, placed: DataFrame, units: DataFrame, nx: int, ny: int, sigma: float, dt: DataFrame) -> DataFrame:
+def placed_rates(track: DataFrame, placed: DataFrame, units: DataFrame, nx: int, ny: int, sigma: float, dt: DataFrame, most_hz: float | None = None) -> DataFrame:
     """The rate map of units from samples of the track and spikes that have their positions already."""
     cells = lambda df: df.withColumn("bx", bins(F.col("x"), 0.0, WIDTH_M, nx)).withColumn("by", bins(F.col("y"), 0.0, HEIGHT_M, ny)).filter("bx is not null and by is not null")
     occupied = cells(track).groupBy("session_id", *CELL).agg(F.count("*").alias("n")).join(dt, "session_id").select("session_id", *CELL, (F.col("n") * F.col("dt")).alias("occupied_s"))
     counts = cells(placed).groupBy("session_id", "unit_id", *CELL).agg(F.count("*").cast("double").alias("spikes"))
     smooth_n, smooth_t = gauss_smooth(counts, ["session_id", "unit_id"], "spikes", sigma, nx, ny), gauss_smooth(occupied, ["session_id"], "occupied_s", sigma, nx, ny).withColumnRenamed("occupied_s", "smooth_s")
     grid = units.join(occupied, "session_id").join(smooth_t, ["session_id", *CELL])
-    return grid.join(smooth_n, ["session_id", "unit_id", *CELL], "left").withColumn("rate", F.try_divide(F.coalesce("spikes", F.lit(0.0)), F.col("smooth_s"))).select("session_id", "unit_id", *CELL, "occupied_s", "rate")
+    rate = F.try_divide(F.coalesce("spikes", F.lit(0.0)), F.col("smooth_s"))
+    if most_hz is not None:
+        rate = F.when(F.col("smooth_s") > LEAST_S, F.least(F.greatest(rate, F.lit(0.0)), F.lit(most_hz))).otherwise(0.0)
+    return grid.join(smooth_n, ["session_id", "unit_id", *CELL], "left").withColumn("rate", rate).select("session_id", "unit_id", *CELL, "occupied_s", "rate")
 
 
 def spatial_info(maps: DataFrame) -> DataFrame:

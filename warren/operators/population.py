@@ -43,7 +43,7 @@ def waveform_metrics(samples: DataFrame, fs: float) -> DataFrame:
             a -= 1
         while b < len(v) - 1 and inside[b + 1]:
             b += 1
-        return (b - a + 1) / fs
+        return (b - a) / fs
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         grid = part.pivot_table(index="sample", columns="channel", values="value").to_numpy(float)

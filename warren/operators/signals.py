@@ -15,17 +15,20 @@ def samples(chunks: DataFrame, size: int) -> DataFrame:
     return chunks.select("session_id", "channel", "chunk", F.posexplode("v").alias("k", "value")).withColumn("sample", F.col("chunk") * size + F.col("k"))
 
 
-def emg_corr(rows: DataFrame, window: int) -> DataFrame:
-    """Mean pairwise correlation of the channels in each window of samples.
+def emg_corr(rows: DataFrame, half: int) -> DataFrame:
+    """Mean pairwise correlation of the channels around every `half`-th sample, `half` samples to each side.
 
-    With each channel centred and scaled to length 1 in the window, the sum over pairs follows from the length of
-    the summed channels, so no pair is built. Flat channels are left out; below two channels the value is 0.
+    Windows overlap: a sample is in up to three of them, and only whole windows count. With each channel centred and
+    scaled to length 1 in a window, the sum over pairs follows from the length of the summed channels, so no pair is
+    built. Flat channels are left out; below two channels the value is 0.
     """
     keys = ["session_id", "window"]
-    rows = rows.withColumn("window", F.floor(F.col("sample") / window))
+    whole = rows.groupBy("session_id").agg((F.floor((F.max("sample") - 2 * half) / half)).alias("__last"))
+    first = F.greatest(F.lit(0), F.ceil((F.col("sample") - 2 * half) / half))
+    rows = rows.join(whole, "session_id").withColumn("__to", F.least(F.floor(F.col("sample") / half), "__last")).filter(first <= F.col("__to")).withColumn("window", F.explode(F.sequence(first, "__to"))).drop("__to", "__last")
     w = Window.partitionBy(*keys, "channel")
-    centred = rows.withColumn("d", F.col("value") - F.avg("value").over(w)).withColumn("len", F.sqrt(F.sum(F.col("d") * F.col("d")).over(Window.partitionBy(*keys, "channel"))))
-    used = centred.filter("len > 1e-12").withColumn("u", F.col("d") / F.col("len"))
+    centred = rows.withColumn("d", F.col("value") - F.avg("value").over(w)).withColumn("len", F.sqrt(F.sum(F.col("d") * F.col("d")).over(w)))
+    used = centred.filter("len > 0").withColumn("u", F.col("d") / F.col("len"))
     n = used.groupBy(*keys).agg(F.count_distinct("channel").alias("n"))
     total = used.groupBy(*keys, "sample").agg(F.sum("u").alias("s")).groupBy(*keys).agg(F.sum(F.col("s") * F.col("s")).alias("q"))
     return rows.select(*keys).distinct().join(n, keys, "left").join(total, keys, "left").select(*keys, F.when(F.col("n") >= 2, (F.col("q") - F.col("n")) / (F.col("n") * (F.col("n") - 1))).otherwise(0.0).alias("emg"))

@@ -65,7 +65,7 @@ def decode_leads(track: DataFrame, spikes: DataFrame, leads: tuple[float, ...] =
     later = labelled.withColumn("bin", bin_of("t")).withColumn("t", F.col("t") + F.col("lead"))
     placed = interp_at(later, known).filter("x is not null").join(bins, ["session_id", "bin"]).withColumn("f", train).select(case(F.col("f")), "unit_id", "x", "y")
     every = labelled.select("session_id", "unit_id", "lead", "quality").distinct().withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).select(case(F.col("f")), "unit_id")
-    curves = maps.placed_rates(own, placed, every, nx, ny, sigma, maps.sample_s(own))
+    curves = maps.placed_rates(own, placed, every, nx, ny, sigma, maps.sample_s(own), maps.CURVE_HZ)
     # the bins of the fold itself
     tested = at(bins)
     counts = time_counts(labelled.select("session_id", "unit_id", "t", "lead", "quality").select(F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string")).alias("session_id"), "unit_id", "t"), tested.select(F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string")).alias("session_id"), "bin"), width)
@@ -124,12 +124,12 @@ def speed_rate(track: DataFrame, spikes: DataFrame, fps: float = 30.0, smooth_s:
     return smooth_series(grid, UNIT, ["speed", "rate"], max(1.0, smooth_s * fps)).select(*UNIT, "i", "seconds", "speed", "rate")
 
 
-def bin_behaviour(bins: DataFrame, track: DataFrame, trials: DataFrame, nodes: DataFrame, threshold: float = 0.05, most: int | None = 20_000) -> DataFrame:
+def bin_behaviour(bins: DataFrame, track: DataFrame, trials: DataFrame, nodes: DataFrame, threshold: float = 0.05, most: int | None = None) -> DataFrame:
     """Position, speed, trial, its type and the distance to its goal in each bin in which the animal moves.
 
     `bins` has session_id, bin and its middle t. Outside of the track the nearest sample counts; of trials that
-    share a bin the later one. Above `most` bins a session keeps those with the smallest hashes (a sample for an
-    embedding; None keeps all).
+    share a bin the later one. Given `most`, a session with more bins keeps those with the smallest hashes (a sample
+    for an embedding).
     """
     known = step_speed(track.filter("x is not null and y is not null"), ("session_id",))
     rows = interp_at(bins, known, ("x", "y", "speed"), outside="hold").filter(F.col("speed") > threshold)

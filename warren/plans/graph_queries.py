@@ -9,7 +9,7 @@ from warren.plans.registry import query
 
 ARCS = "arcs AS (SELECT u, v FROM fx_edges UNION SELECT v, u FROM fx_edges)"
 # breadth first, level by level: UNION drops repeated (u, v, d); distances are below 40 in one maze
-PAIRS = ARCS.replace("arcs AS", "RECURSIVE arcs AS") + ", walk(u, v, d) AS (SELECT DISTINCT u, u, 0 FROM arcs UNION SELECT w.u, a.v, w.d + 1 FROM walk w JOIN arcs a ON w.v = a.u WHERE w.d < 32), dist AS (SELECT u, v, min(d) AS d FROM walk GROUP BY 1, 2)"
+PAIRS = ARCS.replace("arcs AS", "RECURSIVE arcs AS") + ", walk(u, v, d) AS (SELECT DISTINCT u, u, 0 FROM arcs UNION SELECT w.u, a.v, w.d + 1 FROM walk w JOIN arcs a ON w.v = a.u WHERE w.d < 97), dist AS (SELECT u, v, min(d) AS d FROM walk GROUP BY 1, 2)"
 TRIALS = "trials AS (SELECT row_id, list(node_id ORDER BY seq) AS path, CAST(max(CASE WHEN seq = 1 THEN node_id + CASE WHEN row_id % 5 = 0 THEN 1 ELSE 0 END END) AS INT) AS start_node_n, CAST(min(node_id) AS INT) AS goal_node_n FROM fx_paths GROUP BY row_id)"
 
 
@@ -22,7 +22,7 @@ def hops(fx):
     return G.all_pairs(fx("fx_edges"))
 
 
-query("g1_behaviour_edges", "SELECT CAST(u AS INT) AS u, CAST(v AS INT) AS v FROM fx_edges")(lambda fx: G.behaviour_edges(fx("fx_edges").sparkSession))
+query("g1_behaviour_edges", "SELECT CAST(u AS INT) AS u, CAST(v AS INT) AS v FROM fx_edges")(lambda fx: (lambda visits: G.walked_edges(G.behaviour_edges(visits.sparkSession), visits))(fx("fx_paths")))
 query("g4_island_edges", "SELECT DISTINCT CAST(least(u // 100, v // 100) AS INT) AS a, CAST(greatest(u // 100, v // 100) AS INT) AS b FROM fx_edges WHERE u // 100 <> v // 100 AND u < 500 AND v < 500")(lambda fx: G.island_edges(fx("fx_edges")))
 query("j11_proximity_edges", "SELECT a.node_id AS u, b.node_id AS v, round(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 6) AS w FROM fx_nodes a JOIN fx_nodes b ON a.node_id < b.node_id WHERE sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) < 65")(lambda fx: G.proximity_edges(fx("fx_nodes"), 65.0))
 query("j12_nn_edges", """WITH p AS (SELECT a.node_id AS u, b.node_id AS v, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS w FROM fx_nodes a JOIN fx_nodes b ON a.node_id <> b.node_id)

@@ -73,6 +73,10 @@ def curves(fx, sigma=0.0):
     return M.rate_map(T.step_speed(known(fx), ("session_id",)), fx("fx_spikes"), sigma=sigma)
 
 
+def tuned(fx, sigma=1.0):
+    return M.rate_map(T.step_speed(known(fx), ("session_id",)), fx("fx_spikes"), sigma=sigma, most_hz=M.CURVE_HZ)
+
+
 RATES = f"""WITH {INTERP}, d AS (SELECT session_id, median(d) AS dt FROM (SELECT session_id, seconds - lag(seconds) OVER (PARTITION BY session_id ORDER BY seconds) AS d FROM fx_track WHERE x IS NOT NULL) GROUP BY 1),
 o AS (SELECT session_id, least(floor(x / 9.0 * 18), 17)::INT AS bx, least(floor(y / 5.0 * 10), 9)::INT AS cy, count(*) * any_value(dt) AS occupied_s FROM fx_track JOIN d USING (session_id) WHERE x BETWEEN 0 AND 9 AND y BETWEEN 0 AND 5 GROUP BY 1, 2, 3),
 c AS (SELECT session_id, unit_id, least(floor(x / 9.0 * 18), 17)::INT AS bx, least(floor(y / 5.0 * 10), 9)::INT AS cy, count(*) AS n FROM q WHERE x BETWEEN 0 AND 9 AND y BETWEEN 0 AND 5 GROUP BY 1, 2, 3, 4),
@@ -82,8 +86,9 @@ query("m3_spatial_info", RATES + ", pp AS (SELECT *, occupied_s / sum(occupied_s
 query("m2_gauss_smooth")(lambda fx: curves(fx, 1.0))
 query("m4_place_fields")(lambda fx: M.place_fields(curves(fx, 1.0), 2))
 query("m5_field_metrics")(lambda fx: M.field_metrics(M.place_fields(curves(fx, 1.0), 2), fx("fx_track").select("session_id").distinct().withColumn("goal_bx", F.lit(9.0)).withColumn("goal_by", F.lit(5.0))))
-query("de5_decode")(lambda fx: M.decode(P.spike_counts(fx("fx_spikes"), 0.5), curves(fx, 1.0), 0.5, 0.03))
-query("de6_decode_error")(lambda fx: (lambda at: M.decode_error(M.decode(U.time_counts(fx("fx_spikes"), at, 0.5), curves(fx, 1.0), 0.5, 0.03), at))(P.bin_position(fx("fx_track"), 0.5)))
+query("de4_tuning_curves", RATES + ' SELECT session_id, unit_id, bx, cy AS "by", round(occupied_s, 4) AS occupied_s, round(CASE WHEN occupied_s > 1e-3 THEN least(rate, 50.0) ELSE 0.0 END, 4) AS rate FROM r', 4)(lambda fx: tuned(fx, 0.0))
+query("de5_decode")(lambda fx: M.decode(P.spike_counts(fx("fx_spikes"), 0.5), tuned(fx), 0.5, 0.03))
+query("de6_decode_error")(lambda fx: (lambda at: M.decode_error(M.decode(U.time_counts(fx("fx_spikes"), at, 0.5), tuned(fx), 0.5, 0.03), at))(P.bin_position(fx("fx_track"), 0.5)))
 
 
 def later(fx, lead=0.1):
@@ -98,9 +103,11 @@ query("de9_kinematic_baselines")(lambda fx: M.kinematic_baselines(later(fx).with
 query("de11_goal_profile", "SELECT session_id, band, count(*) AS n, round(avg(d), 6) AS mean_distance FROM (SELECT session_id, d, CAST(least(greatest(floor(d / 10.0 * 11), 0), 10) AS INT) AS band FROM (SELECT session_id, sqrt((x - 4.5) ** 2 + (y - 2.5) ** 2) AS d FROM fx_track WHERE x IS NOT NULL)) GROUP BY 1, 2")(lambda fx: M.goal_profile(known(fx).withColumn("goal_distance", F.hypot(F.col("x") - 4.5, F.col("y") - 2.5))))
 SAMPLES = "x AS (SELECT session_id, channel, chunk * 64 + k - 1 AS sample, CAST(v[k] AS DOUBLE) AS value FROM (SELECT session_id, channel, chunk, v, unnest(range(1, len(v) + 1)) AS k FROM fx_signal))"
 query("e1_samples", f"WITH {SAMPLES} SELECT session_id, channel, sample, round(value, 5) AS value FROM x", 5)(lambda fx: signal(fx).select("session_id", "channel", "sample", F.col("value").cast("double").alias("value")))
-query("e7_emg_corr", f"""WITH {SAMPLES}, w AS (SELECT session_id, channel, sample % 64 AS sample, 0 AS win, avg(value) AS value FROM x GROUP BY 1, 2, 3), c AS (SELECT *, value - avg(value) OVER (PARTITION BY session_id, channel) AS d FROM w), l AS (SELECT *, d / sqrt(sum(d * d) OVER (PARTITION BY session_id, channel)) AS u FROM c),
-s AS (SELECT session_id, sample, sum(u) AS s FROM l GROUP BY 1, 2), n AS (SELECT session_id, count(DISTINCT channel) AS n FROM l GROUP BY 1) SELECT session_id, 0::BIGINT AS "window", CASE WHEN any_value(n) >= 2 THEN round((sum(s * s) - any_value(n)) / (any_value(n) * (any_value(n) - 1)), 5) ELSE 0.0 END AS emg FROM s JOIN n USING (session_id) GROUP BY 1""", 5)(
-    lambda fx: E.emg_corr(signal(fx).withColumn("sample", F.col("sample") % 64).groupBy("session_id", "channel", "sample").agg(F.avg(F.col("value").cast("double")).alias("value")), 64)
+query("e7_emg_corr", f"""WITH {SAMPLES}, f AS (SELECT session_id, channel, sample // 512 % 8 * 64 + sample % 64 AS sample, avg(value) AS value FROM x GROUP BY 1, 2, 3), e AS (SELECT session_id, max(sample) + 1 AS n FROM f GROUP BY 1),
+k AS (SELECT session_id, unnest(range(64, n - 64, 64)) AS centre FROM e), w AS (SELECT f.session_id, channel, sample, centre, value - avg(value) OVER (PARTITION BY f.session_id, channel, centre) AS d FROM f JOIN k ON k.session_id = f.session_id AND sample BETWEEN centre - 64 AND centre + 64),
+l AS (SELECT *, sqrt(sum(d * d) OVER (PARTITION BY session_id, channel, centre)) AS len FROM w), u AS (SELECT session_id, centre, channel, sample, d / len AS u FROM l WHERE len > 0), s AS (SELECT session_id, centre, sample, sum(u) AS s FROM u GROUP BY 1, 2, 3), n AS (SELECT session_id, centre, count(DISTINCT channel) AS n FROM u GROUP BY 1, 2),
+q AS (SELECT session_id, centre, sum(s * s) AS q FROM s GROUP BY 1, 2) SELECT session_id, (centre - 64) // 64 AS "window", CASE WHEN n >= 2 THEN round((q - n) / (n * (n - 1)), 5) + 0.0 ELSE 0.0 END AS emg FROM (SELECT DISTINCT session_id, centre FROM w) LEFT JOIN n USING (session_id, centre) LEFT JOIN q USING (session_id, centre)""", 5)(
+    lambda fx: E.emg_corr(signal(fx).withColumn("sample", F.floor(F.col("sample") / 512) % 8 * 64 + F.col("sample") % 64).groupBy("session_id", "channel", "sample").agg(F.avg(F.col("value").cast("double")).alias("value")), 64)
 )
 BANDS = {"muscle": (20.0, 200.0), "slow": (0.5, 30.0), "fast": (50.0, 750.0)}
 query("e2_welch_bands")(lambda fx: E.welch_bands(signal(fx), 1500.0, BANDS, 0.04))

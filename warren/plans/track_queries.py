@@ -8,10 +8,10 @@ from warren.operators import track as T
 from warren.plans.registry import query
 
 TRACKED = "t AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lag(seconds) OVER w AS pt FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL AND trial_num IS NOT NULL WINDOW w AS (PARTITION BY session_id, trial_num ORDER BY seconds))"
-STEPS = TRACKED + """, s AS (SELECT session_id, trial_num, frame_index, seconds, x, y, coalesce(sqrt((x - px) * (x - px) + (y - py) * (y - py)), 0.0) AS step, coalesce(seconds - pt, 0.0) AS dt FROM t),
+STEPS = TRACKED + """, s AS (SELECT session_id, trial_num, frame_index, seconds, x, y, coalesce(sqrt((x - px) * (x - px) + (y - py) * (y - py)), 0.0) AS step, coalesce(seconds - pt, 0.0) AS dt, pt IS NOT NULL AS stepped FROM t),
 v AS (SELECT *, CASE WHEN dt > 0 THEN step / dt ELSE 0.0 END AS speed FROM s)"""
-TELEPORTS = STEPS + """, m AS (SELECT *, median(speed) OVER (PARTITION BY session_id, trial_num ORDER BY seconds ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS local_median FROM v),
-j AS (SELECT *, speed > 0.6 AND speed > 3 * local_median AS teleport FROM m)"""
+TELEPORTS = STEPS + """, m AS (SELECT *, count(*) OVER (PARTITION BY session_id, trial_num) AS samples_of, median(CASE WHEN stepped THEN speed END) OVER (PARTITION BY session_id, trial_num ORDER BY seconds ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS local_median FROM v),
+j AS (SELECT *, coalesce(stepped AND samples_of >= 3 AND (dt <= 0 OR (speed > 0.6 AND speed > 3 * local_median)), false) AS teleport FROM m)"""
 IDS = ["session_id", "trial_num", "frame_index"]
 
 
@@ -52,7 +52,7 @@ query("w5_moving_avg", """WITH t AS (SELECT *, row_number() OVER w AS i, count(*
  FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL AND trial_num IS NOT NULL WINDOW w AS (PARTITION BY session_id, trial_num ORDER BY seconds))
 SELECT session_id, trial_num, frame_index, round((s + greatest(0, 7 - i) * f + greatest(0, i + 5 - n) * l) / 12, 6) AS x_avg FROM t""")(lambda fx: T.moving_avg(T.tracked(fx("fx_track")), "x", 12).select(*IDS, "x_avg"))
 query("w6_moving_avg_shrink", "SELECT session_id, trial_num, frame_index, round(avg(x) OVER (PARTITION BY session_id, trial_num ORDER BY seconds ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 6) AS x_avg FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL AND trial_num IS NOT NULL")(lambda fx: T.moving_avg_shrink(T.tracked(fx("fx_track")), "x", 3).select(*IDS, "x_avg"))
-query("w7_local_median", f"WITH {TELEPORTS} SELECT session_id, trial_num, frame_index, round(local_median, 6) AS local_median FROM m")(lambda fx: T.local_median(speeds(fx)).select(*IDS, "local_median"))
+query("w7_local_median", f"WITH {TELEPORTS} SELECT session_id, trial_num, frame_index, round(local_median, 6) AS local_median FROM m")(lambda fx: T.local_median(T.step_pace(T.tracked(fx("fx_track"))), "pace").select(*IDS, "local_median"))
 query("w8_find_teleports", f"WITH {TELEPORTS} SELECT session_id, trial_num, frame_index, teleport FROM j")(lambda fx: T.find_teleports(T.tracked(fx("fx_track"))).select(*IDS, "teleport"))
 query("w9_sample_durations", "SELECT session_id, trial_num, frame_index, round(greatest(0.0, (coalesce(seconds - lag(seconds) OVER w, 0.0) + coalesce(lead(seconds) OVER w - seconds, 0.0)) / 2), 6) AS duration FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL AND trial_num IS NOT NULL WINDOW w AS (PARTITION BY session_id, trial_num ORDER BY seconds)")(lambda fx: T.sample_durations(T.tracked(fx("fx_track"))).select(*IDS, "duration"))
 query("w12_carry_forward", "SELECT session_id, frame_index, last_value(x IGNORE NULLS) OVER w AS x, last_value(y IGNORE NULLS) OVER w AS y FROM fx_track WINDOW w AS (PARTITION BY session_id ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")(lambda fx: T.carry_forward(fx("fx_track")).select("session_id", "frame_index", "x", "y"))
@@ -64,7 +64,7 @@ query("w22_dwell", """WITH p AS (SELECT session_id, frame_index, coalesce(x > 3,
 SELECT session_id, frame_index, round(sum(CASE WHEN p THEN 1 ELSE 0 END) OVER (PARTITION BY session_id, run ORDER BY frame_index) / 30.0, 6) AS dwell FROM r""")(lambda fx: T.dwell(fx("fx_track"), F.col("x") > 3).select("session_id", "frame_index", "dwell"))
 query("w23_cap_runs", """WITH p AS (SELECT session_id, trial_num, frame_index, seconds, x > 3 AS mask FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL AND trial_num IS NOT NULL), r AS (SELECT *, sum(CASE WHEN mask THEN 0 ELSE 1 END) OVER (PARTITION BY session_id, trial_num ORDER BY seconds) AS run FROM p),
 c AS (SELECT *, sum(CASE WHEN mask THEN 1 ELSE 0 END) OVER (PARTITION BY session_id, trial_num, run ORDER BY seconds) AS i, sum(CASE WHEN mask THEN 1 ELSE 0 END) OVER (PARTITION BY session_id, trial_num, run) AS n FROM r)
-SELECT session_id, trial_num, frame_index, mask AND (n <= 5 OR i BETWEEN floor((n - 5) / 2.0) + 1 AND floor((n - 5) / 2.0) + 5) AS mask FROM c""")(lambda fx: T.cap_runs(T.tracked(fx("fx_track")).withColumn("mask", F.col("x") > 3), "mask", 5).select(*IDS, "mask"))
+SELECT session_id, trial_num, frame_index, mask AND (n <= 5 OR i BETWEEN n // 2 - 1 AND n // 2 + 3) AS mask FROM c""")(lambda fx: T.cap_runs(T.tracked(fx("fx_track")).withColumn("mask", F.col("x") > 3), "mask", 5).select(*IDS, "mask"))
 query("r1_crosses_seam", "SELECT session_id, trial_num, frame_index, coalesce(" + " OR ".join([f"(x - {s}) * (lead(x) OVER w - {s}) <= 0" for s in T.SEAMS_X] + [f"(y - {s}) * (lead(y) OVER w - {s}) <= 0" for s in T.SEAMS_Y]) + ", false) AS seam FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL AND trial_num IS NOT NULL WINDOW w AS (PARTITION BY session_id, trial_num ORDER BY seconds)")(lambda fx: T.crosses_seam(T.tracked(fx("fx_track"))).select(*IDS, "seam"))
 query("r2_repair_seams")(lambda fx: T.repair_seams(fx("fx_track")))
 query("r3_speed_with_gaps")(lambda fx: T.speed_with_gaps(T.tracked(fx("fx_track"))).select(*IDS, "run", "speed"))

@@ -27,26 +27,33 @@ SELECT session_id, trial_num, CAST((user_id + trial_num) % 6 + 1 AS INT) AS tria
        CAST((user_id % 4 + 1) * 100 + (user_id * 5) % 24 + 1 AS INT) AS goal_node
 FROM (SELECT DISTINCT session_id, user_id, trial_num FROM fx_track WHERE trial_num IS NOT NULL) t
 """,
+    "fx_paths": """
+SELECT l_orderkey AS row_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INT) AS seq,
+       CAST((l_suppkey % 4 + 1) * 100 + l_partkey % 24 + 1 AS INT) AS node_id
+FROM lineitem
+""",
+    # a maze's plan, its nodes moved by what lineitem's paths visit
     "fx_nodes": """
-SELECT CAST(i.i * 100 + k.k + 1 AS INT) AS node_id,
+SELECT m.node_id, m.x + CAST(coalesce(w.visits, 0) % 9 AS DOUBLE) AS x, m.y + CAST(coalesce(w.visits, 0) % 5 AS DOUBLE) AS y
+FROM (SELECT CAST(i.i * 100 + k.k + 1 AS INT) AS node_id,
        CAST((i.i - 1) % 2 * 588 + k.k % 6 * 60 + 40 AS DOUBLE) AS x,
        CAST(CAST(floor((i.i - 1) / 2) AS INT) * 356 + CAST(floor(k.k / 6) AS INT) * 60 + 40 AS DOUBLE) AS y
 FROM (VALUES (1),(2),(3),(4)) i(i) CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11),(12),
       (13),(14),(15),(16),(17),(18),(19),(20),(21),(22),(23)) k(k)
-UNION ALL SELECT node_id, x, y FROM (VALUES (501, 718.0E0, 125.0E0), (502, 555.0E0, 560.0E0)) h(node_id, x, y)
+UNION ALL SELECT node_id, x, y FROM (VALUES (501, 718.0E0, 125.0E0), (502, 555.0E0, 560.0E0)) h(node_id, x, y)) m LEFT JOIN (SELECT node_id, count(*) AS visits FROM fx_paths GROUP BY node_id) w ON w.node_id = m.node_id
 """,
+    # the plan's edges that lineitem's paths walk, and the doors of the homeboxes
     "fx_edges": """
-SELECT i.i * 100 + e.s AS u, i.i * 100 + e.t AS v
+SELECT m.u, m.v
+FROM (SELECT i.i * 100 + e.s AS u, i.i * 100 + e.t AS v
 FROM (VALUES (1),(2),(3),(4)) i(i) CROSS JOIN (VALUES (1,2),(1,7),(2,3),(3,4),(3,9),(4,5),(5,11),(6,13),(6,7),(7,8),
       (8,9),(8,15),(9,10),(10,11),(10,17),(11,12),(12,19),(13,14),(14,20),(14,15),(15,16),(16,22),(16,17),(17,18),
       (18,19),(18,24),(20,21),(21,22),(22,23),(23,24)) e(s, t)
 UNION ALL SELECT u, v FROM (VALUES (124,201),(220,305),(324,401),(121,302),(223,404),
-      (121,501),(223,502),(302,501),(404,502)) b(u, v)
-""",
-    "fx_paths": """
-SELECT l_orderkey AS row_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INT) AS seq,
-       CAST((l_suppkey % 4 + 1) * 100 + l_partkey % 24 + 1 AS INT) AS node_id
-FROM lineitem
+      (121,501),(223,502),(302,501),(404,502)) b(u, v)) m
+LEFT JOIN (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM (SELECT node_id AS a, lead(node_id) OVER (PARTITION BY row_id ORDER BY seq) AS b FROM fx_paths) p WHERE b IS NOT NULL) w
+  ON w.a = least(m.u, m.v) AND w.b = greatest(m.u, m.v)
+WHERE w.a IS NOT NULL OR m.v > 500
 """,
     "fx_detections": """
 SELECT concat('s', CAST(user_id AS VARCHAR)) AS session_id, CAST(floor(n / 2) AS BIGINT) AS frame_index,
@@ -103,7 +110,7 @@ SELECT session_id, frame_index AS line_no,
 FROM fx_track
 """,
 }
-NEEDS = {"fx_trial_meta": ("fx_track",), "fx_log": ("fx_track",), "fx_names": ("fx_files",)}
+NEEDS = {"fx_nodes": ("fx_paths",), "fx_edges": ("fx_paths",), "fx_trial_meta": ("fx_track",), "fx_log": ("fx_track",), "fx_names": ("fx_files",)}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -65,7 +65,7 @@ def node_sequences(lines: DataFrame) -> DataFrame:
 
 def parse_trial_summary(files: DataFrame) -> DataFrame:
     """Rows `('a', 'b') (t0, t1) diff length speed` of the summary blocks of whole files (session_id, text)."""
-    blocks = files.select("session_id", F.explode(F.slice(F.split("text", r"(?m)^Summary Trial "), 2, 100_000)).alias("block"))
+    blocks = files.select("session_id", F.posexplode(F.split("text", r"(?m)^Summary Trial ")).alias("__block", "block")).filter("__block > 0")
     rows = blocks.select("session_id", F.regexp_extract("block", r"^(\d+)", 1).cast("int").alias("trial_num"), F.posexplode(F.split(F.regexp_replace("block", r"(?s)Trial End.*", ""), "\n")).alias("line", "value"))
     p = r"\('(\d+)', '(\d+)'\) \(([^,]+), ([^)]+)\) (\S+) (\S+) (\S+)"
     number = lambda i: _found("value", p, i).try_cast("double")
