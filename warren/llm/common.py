@@ -95,6 +95,10 @@ def running_total(df: DataFrame, group: list[str], order: list[Column], digits:
     )
 
 
+#: So few edges are worked on in so few tasks, which spares a small file for every task and partition of each step.
+FEW_EDGES, FEW_TASKS = 200_000, 8
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) of every node in `edges` (u, v); the component is its smallest node.
 
@@ -107,13 +111,15 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if seen[0] == 0:
             break
+        few = (lambda df: df.coalesce(FEW_TASKS)) if seen[0] <= FEW_EDGES else (lambda df: df)
+        now = few(now)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        least = few(both.groupBy("u").agg(F.min("v").alias("m"))).select("u", F.least("u", "m").alias("m"))
+        large = few(few(both.join(least, "u")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+        least = few(large.groupBy("u").agg(F.min("v").alias("m")))
+        joined = few(large.join(least, "u"))
         small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).distinct()
-        now = checkpointed(small)
+        now = checkpointed(few(small))
         last, seen = seen, _state(now)
         if last == seen:
             break

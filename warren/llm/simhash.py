@@ -24,7 +24,7 @@ VISITS = 4_000_000
 #: 0.8 misses all of them with probability (1 - 0.8 ** ROWS) ** BANDS = 1.3e-7, a pair above it more rarely.
 SIMILARITY, BANDS, ROWS = 0.8, 40, 5
 #: A band's key that more sets than this share is crowded: its sets are compared by clusters, not pair by pair.
-CROWD = 64
+CROWD = 16
 #: Sets, and shingles of them, aimed at in a block of a cluster; a task compares two blocks.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 300_000
 #: The trees' radius there. A pair at 0.8 lies 10 bits apart on average (12 for sets of four and five), deviation 3.
@@ -261,32 +261,26 @@ def _by_shard(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatc
         yield work(*(np.concatenate(x) for x in zip(*kept)))
 
 
-def _pairs(similarity: float, nearest: bool):
-    """Rows (shard, fp, size, near, part, cluster) to pairs of sets that may be similar, by the shard's BK-tree.
+def _pairs(similarity: float):
+    """Rows (shard, fp, size, near, cluster) to pairs of sets that may be similar, by the shard's BK-tree.
 
-    Sets of one part are linked already, those of one cluster compared. `nearest` gives each set only its nearest one
-    with a smaller key.
+    Sets of one cluster are compared already.
     """
 
-    def pairs(shard, fp, size, near, part, cluster) -> pa.RecordBatch:
+    def pairs(shard, fp, size, near, cluster) -> pa.RecordBatch:
         out, starts = [], np.r_[True, shard[1:] != shard[:-1]]
         number = np.cumsum(starts) - 1
         mixed = np.zeros(number[-1] + 1, bool)
-        mixed[number[part != part[np.flatnonzero(starts)[number]]]] = True  # shards with more than one part
+        mixed[number[cluster != cluster[np.flatnonzero(starts)[number]]]] = True  # shards with more than one cluster
         here = np.flatnonzero(mixed[number])
         if len(here):
             prints, of = near[here].view(np.uint64), np.cumsum(np.r_[False, np.diff(number[here]) != 0])
-            for q, m, far in within(prints, of, WIDE):
+            for q, m, _ in within(prints, of, WIDE):
                 q, m = here[q], here[m]
-                ok = (fp[m] < fp[q]) & (part[m] != part[q]) & (cluster[m] != cluster[q]) & (np.minimum(size[q], size[m]) >= similarity * np.maximum(size[q], size[m]) - 1e-6)
-                q, m, far = q[ok], m[ok], far[ok].astype(np.int32)
-                if nearest:
-                    order = np.lexsort((fp[m], far, q))
-                    first = order[np.r_[True, np.diff(q[order]) != 0][: len(order)]]
-                    q, m, far = q[first], m[first], far[first]
-                out.append((fp[q], fp[m], far))
-        u, v, far = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(far)], names=["u", "v", "far"])
+                ok = (fp[m] < fp[q]) & (cluster[m] != cluster[q]) & (np.minimum(size[q], size[m]) >= similarity * np.maximum(size[q], size[m]) - 1e-6)
+                out.append((fp[q[ok]], fp[m[ok]]))
+        u, v = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
     return lambda batches: _by_shard(batches, pairs)
 
@@ -377,8 +371,7 @@ def similar_links(docs: DataFrame, prints: DataFrame, shingle: int, similarity:
     """Edges (u, v) that connect all sets of `prints` at this exact Jaccard or above, directly or by others.
 
     Sets meet by shared bands. What meets in a band's key shared by more than CROWD sets is compared by clusters. In
-    other shards BK-trees name the pairs within WIDE, and the texts decide: the nearest pair of each set is tried
-    first, then all pairs that those links don't connect.
+    other shards BK-trees name the pairs within WIDE, at most CROWD / 2 for each of a set's bands, and the texts decide.
     """
     spread = prints.select("fp", "bands").dropDuplicates(["fp"]).select(F.explode("bands").alias("shard"), "fp")
     dealt = spread.repartition(F.col("shard")).sortWithinPartitions("shard")
@@ -387,23 +380,16 @@ def similar_links(docs: DataFrame, prints: DataFrame, shingle: int, similarity:
     rows = prints.join(crowded.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("__row").alias("__row"))
     texts = checkpointed(docs.select("__row", "text").join(rows, "__row").dropDuplicates(["fp"]).select("fp", F.coalesce("text", F.lit("")).alias("text")))
 
-    def confirmed(parts: DataFrame, nearest: bool) -> DataFrame:
-        shards = parts.select("shard", "fp", "size", "near", "part", "cluster").repartition(F.col("shard")).sortWithinPartitions("shard")
-        pairs = shards.mapInArrow(_pairs(similarity, nearest), "u bigint, v bigint, far int")
-        pairs = pairs.groupBy("u").agg(F.min(F.struct("far", "v")).alias("x")).select("u", F.col("x.v").alias("v")) if nearest else pairs.select("u", "v").distinct()
-        of_u, of_v = texts.select(F.col("fp").alias("u"), F.col("text").alias("a")), texts.select(F.col("fp").alias("v"), F.col("text").alias("b"))
-        return checkpointed(map_arrow(pairs.join(of_v, "v").join(of_u, "u").select("u", "v", "a", "b"), _similar(shingle, similarity), "u bigint, v bigint"))
-
     found = _clusters(crowded, texts, shingle, similarity)
     rows = crowded.withColumn("cluster", F.col("fp"))
     if found:
         small = crowded.groupBy("shard").count().filter(F.col("count") <= CROWD).select("shard")
         rows = crowded.join(small, "shard").join(found[0], "fp", "left").withColumn("cluster", F.coalesce("cluster", "fp"))
-    first = confirmed(rows.withColumn("part", F.col("fp")), True)
-    parts = components(first).withColumnsRenamed({"node": "fp", "component": "part"})
-    rest = confirmed(rows.join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp")), False)
-    both = first.unionByName(rest)
-    return both.unionByName(found[1]) if found else both
+    shards = rows.select("shard", "fp", "size", "near", "cluster").repartition(F.col("shard")).sortWithinPartitions("shard")
+    pairs = shards.mapInArrow(_pairs(similarity), "u bigint, v bigint").distinct()
+    of_u, of_v = texts.select(F.col("fp").alias("u"), F.col("text").alias("a")), texts.select(F.col("fp").alias("v"), F.col("text").alias("b"))
+    links = checkpointed(map_arrow(pairs.join(of_v, "v").join(of_u, "u").select("u", "v", "a", "b"), _similar(shingle, similarity), "u bigint, v bigint"))
+    return links.unionByName(found[1]) if found else links
 
 
 def groups(prints: DataFrame, member: Column, radius: int = RADIUS, links: DataFrame | None = None) -> DataFrame:
