@@ -678,5 +678,15 @@ def test_pipeline(spark):
 def test_pipeline_stages_over_odd_tables(spark, odd, none):
     import corpus_pipeline as p
 
-    for _, stage in p.STAGES:
-        assert stage(spark, odd, DIR).count() >= 0 and stage(spark, none, DIR).count() == 0
+    stages, rows = dict(p.STAGES), odd_rows()
+    got = {name: stage(spark, odd, DIR).collect() for name, stage in p.STAGES}
+    assert all(stage(spark, none, DIR).count() == 0 for stage in stages.values())
+    assert all(len(words(r["text"])) >= 10 for r in got["quality_rules"])
+    shingles = lambda t: frozenset(simhash.shingle_set((t or "").encode(), 5))
+    kept = [shingles(r["text"]) for r in got["simhash_near_duplicates"]]
+    assert len(set(kept)) == len(kept) and all(any(simhash.jaccard(set(shingles(r[1])), set(k)) >= 0.8 for k in kept) for r in rows)
+    assert Counter(r["doc_id"] for r in got["secret_scan"]) == Counter(r[0] for r in rows)
+    assert Counter(r["doc_id"] for r in got["secret_scan"] if r["text"] is None) == Counter(r[0] for r in rows if r[1] is None)
+    assert sum(len(words(r["text"])) for r in got["source_mix"]) == sum(r["taken"] for r in mixing.mix(odd).collect())
+    whole = Counter((r["doc_id"], r["start"]) for r in got["best_fit_packing"] if r["piece"] == 0)
+    assert sum(whole.values()) == len(rows)
