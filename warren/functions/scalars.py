@@ -89,7 +89,7 @@ def file_kind(name: Column) -> Column:
 
 def rat_number(name: Column) -> Column:
     """F12."""
-    return _part(name, r"[Rr]at _?(\d+)|[Rr]at_?(\d+)").cast("int")
+    return _part(name, r"[Rr]at\s*_?(\d+)").cast("int")
 
 
 def id_and_note(name: Column) -> tuple[Column, Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from warren.operators.maps import kernel
 from warren.operators.signals import welch
-from warren.operators.spikes import spike_counts
+from warren.operators.spikes import interp_at, spike_counts
 
 
 def population_matrix(spikes: DataFrame, width: float = 0.1, smooth_s: float = 0.3) -> DataFrame:
@@ -77,3 +77,9 @@ def wakefulness(rows: DataFrame, fs: float, muscle: int, field: int) -> DataFram
     w = Window.partitionBy("session_id")
     z = lambda c: (F.col(c) - F.avg(c).over(w)) / (F.stddev_pop(c).over(w) + 1e-9)
     return per.withColumn("wakefulness", 0.6 * z("rms") + 0.4 * z("ratio"))
+
+
+def wakefulness_at(samples: DataFrame, epochs: DataFrame, fs: float) -> DataFrame:
+    """E4, up-sampled: the epochs' values at each sample, by straight lines between the epochs' middles, held beyond them."""
+    track = epochs.withColumn("seconds", (F.col("epoch") + 0.5) * int(fs))
+    return interp_at(samples.select("session_id", "sample").distinct(), track, ("wakefulness", "rms", "ratio"), outside="hold", time="sample")

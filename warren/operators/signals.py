@@ -135,13 +135,8 @@ def movement(chunks: DataFrame, taps: np.ndarray, size: int) -> DataFrame:
     return filtered(again, taps, size)
 
 
-def decimate(rows: DataFrame, factor: int) -> DataFrame:
-    """Every factor-th sample of a filtered series."""
-    return rows.filter(F.col("sample") % factor == 0).withColumn("sample", F.floor(F.col("sample") / factor))
-
-
 def median_reference(rows: DataFrame) -> DataFrame:
-    """Each sample without the median over channels at its time."""
+    """E14, the last step: each sample without the median over channels at its time (`recording.preprocess` has all steps)."""
     m = rows.groupBy("session_id", "sample").agg(F.median("value").alias("__m"))
     return rows.join(m, ["session_id", "sample"]).withColumn("value", F.col("value") - F.col("__m")).drop("__m")
 
@@ -188,13 +183,22 @@ def correct_cpu_clock(clock: DataFrame, first: int = 1000) -> DataFrame:
     return rows.withColumn("corrected", F.col("line") - head).select("session_id", "frame_index", "corrected")
 
 
-def classify_led(levels: DataFrame, fps: float = 30.0) -> DataFrame:
-    """L4: red or blue by duty near one half and frequency within a tenth of 0.5 or 2.5 Hz."""
+def classify_led(levels: DataFrame, fps: float = 30.0, forced: DataFrame | None = None) -> DataFrame:
+    """L4: red or blue by duty near one half and frequency within a tenth of 0.5 or 2.5 Hz.
+
+    `forced` (session_id, color, led) names a component's colour by hand; no other of the session gets that colour.
+    """
     w = Window.partitionBy(*EDGE).orderBy("t")
     rows = levels.withColumn("rise", ((F.col("state") == 1) & (F.lag("state").over(w) == 0)).cast("int"))
-    out = rows.groupBy(*EDGE).agg(F.avg("state").alias("duty"), F.try_divide(F.sum("rise"), F.max("t") - F.min("t")).alias("hz"))
-    near = lambda hz: (F.abs(F.col("duty") - 0.5) <= 0.1) & (F.abs(F.col("hz") - hz) <= 0.1 * hz)
-    return out.withColumn("led", F.when(near(0.5), "red").when(near(2.5), "blue"))
+    out = rows.groupBy(*EDGE).agg(F.avg("state").alias("duty"), (F.coalesce(F.sum("rise"), F.lit(0)) / F.count("*") * fps).alias("hz"))
+    near = lambda hz: (F.abs(F.col("duty") - 0.5) < 0.1) & (F.abs(F.col("hz") - hz) < 0.1 * hz)
+    out = out.withColumn("led", F.when(near(0.5), "red").when(near(2.5), "blue"))
+    if forced is None:
+        return out
+    claims = forced.groupBy("session_id").agg(F.collect_set("led").alias("__claimed"))
+    rows = out.join(forced.select(*EDGE, F.col("led").alias("__own")), [*EDGE], "left").join(claims, "session_id", "left")
+    free = ~F.coalesce(F.array_contains("__claimed", F.col("led")), F.lit(False))
+    return rows.withColumn("led", F.coalesce("__own", F.when(free, F.col("led")))).drop("__own", "__claimed")
 
 
 def choose_led(pulses: DataFrame, forced: str | None = None) -> DataFrame:

@@ -66,6 +66,12 @@ def acg(spikes: DataFrame, window: float, bins: int) -> DataFrame:
     return grid.join(counted, ["session_id", "unit_id", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+def amplitudes(spikes: DataFrame) -> DataFrame:
+    """Each unit's spikes in order of time with their amplitudes."""
+    w = Window.partitionBy("session_id", "unit_id").orderBy("t", "amplitude")
+    return spikes.select("session_id", "unit_id", F.row_number().over(w).alias("k"), "t", "amplitude")
+
+
 def firing_rate(spikes: DataFrame) -> DataFrame:
     """Spikes over the session's duration, which is its last spike's time, one second at least."""
     span = spikes.groupBy("session_id").agg(F.greatest(F.max("t"), F.lit(1.0)).alias("duration"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,12 @@ def collapse_units(rows: DataFrame, unit_metrics: list[str], trial_metrics: list
     return rows.groupBy("session_id", "trial_num").agg(*[F.avg(m).alias(m) for m in unit_metrics], *[F.first(m, ignorenulls=True).alias(m) for m in trial_metrics])
 
 
+def pool_qualities(tables: dict[str, DataFrame], sessions: DataFrame) -> DataFrame:
+    """The trial x unit tables of all quality sets in one, each row with its set and its session's identity."""
+    marked = [rows.withColumn("quality", F.lit(name)) for name, rows in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked).join(sessions, "session_id", "left")
+
+
 def folder_summary(files: DataFrame, key: list[str]) -> DataFrame:
     """Files, bytes and mean megabytes of each folder."""
     return files.groupBy(*key).agg(F.count("*").alias("n"), F.sum("size_bytes").alias("bytes"), (F.avg("size_bytes") / 1e6).alias("mean_mb"), F.count_if(F.col("size_bytes") == 0).alias("empty"))

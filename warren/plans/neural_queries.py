@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from warren.functions import scalars as S
 from warren.operators import led as D
 from warren.operators import maps as M
 from warren.operators import population as N
+from warren.operators import recording as R
 from warren.operators import signals as E
 from warren.operators import spikes as P
 from warren.operators import stats as C
+from warren.operators import summary as Y
 from warren.operators import track as T
 from warren.operators import tuning as U
 from warren.plans.registry import query
@@ -116,7 +119,7 @@ query("e8_usable_channels")(lambda fx: E.usable_channels(E.channel_scores(E.welc
 query("t3_top_channels")(lambda fx: E.top_channels(E.channel_scores(E.welch_bands(signal(fx), 1500.0, BANDS, 0.04))))
 query("e9_spread_channels", "SELECT session_id, tetrode, local, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY local, tetrode) AS r FROM (SELECT DISTINCT concat('s', p_partkey % 20) AS session_id, CAST(p_size AS INT) AS tetrode, CAST(p_partkey % 4 AS INT) AS local FROM part)) WHERE r <= 32")(lambda fx: E.spread_channels(fx("part").select(F.concat(F.lit("s"), F.col("p_partkey") % 20).alias("session_id"), F.col("p_size").cast("int").alias("tetrode"), (F.col("p_partkey") % 4).cast("int").alias("local")).distinct()))
 query("e5_e11_filtered")(lambda fx: E.filtered(fx("fx_signal"), E.fir(101, 300.0, 600.0, 1500.0), 64))
-query("e11_movement")(lambda fx: E.movement(fx("fx_signal"), E.fir(101, 10.0, 100.0, 1500.0), 64))
+query("e11_movement")(lambda fx: E.movement(fx("fx_signal"), E.fir(501, 0.1, 1.0, 1500.0), 64))
 query("e12_rate_of", "SELECT session_id, round((count(*) - 1) / (max(t) - min(t)), 6) AS fs FROM fx_spikes GROUP BY 1")(lambda fx: E.rate_of(fx("fx_spikes")))
 query("e14_median_reference", f"WITH {SAMPLES}, m AS (SELECT session_id, sample, median(value) AS m FROM x GROUP BY 1, 2) SELECT session_id, channel, sample, round(value - m, 5) AS value FROM x JOIN m USING (session_id, sample)", 5)(lambda fx: E.median_reference(signal(fx).withColumn("value", F.col("value").cast("double"))).select("session_id", "channel", "sample", "value"))
 DIO = "d AS (SELECT session_id, color, state, (tick - min(tick) OVER (PARTITION BY session_id, color)) / 30000.0 AS t FROM fx_dio)"
@@ -129,7 +132,7 @@ query("l9_choose_led", "SELECT session_id, CASE WHEN bool_or(color = 'blue') THE
 query("l10_fit_clock", f"WITH {PULSES} SELECT session_id, count(*) AS n, round(regr_slope(centre, k * 2.0), 6) AS slope, round(regr_intercept(centre, k * 2.0), 6) AS intercept FROM pc GROUP BY 1")(lambda fx: E.fit_clock(pulses(fx).select("session_id", F.col("centre").alias("true_t"), (F.col("k") * 2.0).alias("camera_t"))))
 query("l1_correct_cpu_clock", """WITH c AS (SELECT session_id, frame_index, seconds AS gpu, seconds * 1.01 + (frame_index % 7) / 100.0 AS cpu FROM fx_track), f AS (SELECT session_id, regr_slope(cpu, gpu) AS a, regr_intercept(cpu, gpu) AS b FROM c GROUP BY 1)
 SELECT session_id, frame_index, round(a * gpu + b - avg(CASE WHEN frame_index < 30 THEN a * gpu + b - cpu END) OVER (PARTITION BY session_id), 6) AS corrected FROM c JOIN f USING (session_id)""")(lambda fx: E.correct_cpu_clock(fx("fx_track").select("session_id", "frame_index", F.col("seconds").alias("gpu"), (F.col("seconds") * 1.01 + F.col("frame_index") % 7 / 100.0).alias("cpu")), 30))
-query("l4_classify_led", f"WITH {DIO}, r AS (SELECT *, CASE WHEN state = 1 AND lag(state) OVER (PARTITION BY session_id, color ORDER BY t) = 0 THEN 1 ELSE 0 END AS rise FROM d), g AS (SELECT session_id, color, avg(state) AS duty, sum(rise) / (max(t) - min(t)) AS hz FROM r GROUP BY 1, 2) SELECT session_id, color, round(duty, 6) AS duty, round(hz, 6) AS hz, CASE WHEN abs(duty - 0.5) <= 0.1 AND abs(hz - 0.5) <= 0.05 THEN 'red' WHEN abs(duty - 0.5) <= 0.1 AND abs(hz - 2.5) <= 0.25 THEN 'blue' END AS led FROM g")(lambda fx: E.classify_led(E.dio_time(fx("fx_dio"), 30000.0)))
+query("l4_classify_led", f"WITH {DIO}, r AS (SELECT *, CASE WHEN state = 1 AND lag(state) OVER (PARTITION BY session_id, color ORDER BY t) = 0 THEN 1 ELSE 0 END AS rise FROM d), g AS (SELECT session_id, color, avg(state) AS duty, sum(rise) / count(*) AS hz FROM r GROUP BY 1, 2) SELECT session_id, color, round(duty, 6) AS duty, round(hz, 6) AS hz, CASE WHEN abs(duty - 0.5) < 0.1 AND abs(hz - 0.5) < 0.05 THEN 'red' WHEN abs(duty - 0.5) < 0.1 AND abs(hz - 2.5) < 0.25 THEN 'blue' END AS led FROM g")(lambda fx: E.classify_led(E.dio_time(fx("fx_dio"), 30000.0), 1.0))
 query("l12_count_mismatch", "SELECT session_id, frames, coalesce(ticks, 0) AS ticks FROM (SELECT session_id, count(*) AS frames FROM fx_track GROUP BY 1) LEFT JOIN (SELECT session_id, count(*) AS ticks FROM fx_spikes GROUP BY 1) USING (session_id) WHERE frames <> coalesce(ticks, 0)")(lambda fx: E.count_mismatch(fx("fx_track"), fx("fx_spikes")))
 MOM = "g AS (SELECT session_id, p_size_group AS grp, count(*) AS n, avg(value) AS mean, var_samp(value) AS var FROM (SELECT session_id, unit_id % 3 AS p_size_group, acg_tau_rise_ms AS value FROM fx_units WHERE acg_tau_rise_ms IS NOT NULL) GROUP BY 1, 2 HAVING count(*) >= 2)"
 
@@ -161,3 +164,39 @@ def patches(fx):
 
 query("l2_unmix", digits=3)(lambda fx: D.unmix(patches(fx)).withColumn("value", F.abs("value")).groupBy("session_id", "component").agg(F.count("*").alias("n"), F.stddev_pop("value").alias("spread")))
 query("l3_on_off")(lambda fx: D.on_off(D.unmix(patches(fx))).groupBy("session_id", "component").agg(F.sum("state").alias("frames_on")))
+
+
+def folded(fx):
+    """Eight channels at every sample."""
+    at = F.floor(F.col("sample") / 512) % 8 * 64 + F.col("sample") % 64
+    return signal(fx).withColumn("sample", at).groupBy("session_id", "channel", "sample").agg(F.avg(F.col("value").cast("double")).alias("value"))
+
+
+def probe(fx):
+    return E.probe_table(fx("fx_signal").sparkSession).withColumn("channel", F.col("tetrode") * 4 + F.col("contact"))
+
+
+def sampled(rows):
+    return rows.select("session_id", "channel", F.col("start"), F.posexplode("v").alias("k", "value")).select("session_id", "channel", (F.col("start") + F.col("k")).alias("sample"), "value")
+
+
+def linked(fx):
+    return fx("events").filter("event_type <> 'error'").select(F.concat(F.lit("s"), "user_id").alias("session_id"), (F.col("event_id") % 3).cast("int").alias("unit_id"), (F.col("event_id") % 977 / 450.0).alias("t"), (F.col("event_id") % 101).cast("double").alias("amplitude"))
+
+
+query("e6_decimate", f"""WITH {SAMPLES}, w AS (SELECT k, CASE WHEN k = 0 THEN 0.5 ELSE sin(pi() * k / 2) / (pi() * k) END * (0.54 + 0.46 * cos(pi() * k / 20)) AS h FROM (SELECT unnest(range(-20, 21)) AS k)), h AS (SELECT k, h / (SELECT sum(h) FROM w) AS h FROM w)
+SELECT o.session_id, o.channel, o.sample // 2 AS sample, round(sum(h * x.value), 5) + 0.0 AS value FROM x o JOIN x ON x.session_id = o.session_id AND x.channel = o.channel AND x.sample BETWEEN o.sample - 20 AND o.sample + 20 JOIN h ON h.k = x.sample - o.sample WHERE o.sample % 2 = 0 GROUP BY 1, 2, 3""", 5)(lambda fx: sampled(R.decimate(fx("fx_signal"), 64, 2)).withColumn("value", F.round("value", 5) + 0.0))
+query("e10_resample")(lambda fx: sampled(R.resample(fx("fx_signal"), 64, 2000, 1500)))
+query("e14_preprocess", f"""WITH {SAMPLES}, f AS (SELECT session_id, channel, sample // 512 % 8 * 64 + sample % 64 AS sample, avg(value) AS value FROM x GROUP BY 1, 2, 3), g AS (SELECT c AS channel, c // 4 * 250.0 + CASE c % 4 WHEN 1 THEN 10.0 WHEN 3 THEN -10.0 ELSE 0.0 END AS px, CASE c % 4 WHEN 0 THEN 10.0 WHEN 2 THEN -10.0 ELSE 0.0 END AS py FROM (SELECT unnest(range(8)) AS c)),
+w AS (SELECT a.channel AS lost, b.channel, 1 / sqrt((a.px - b.px) ** 2 + (a.py - b.py) ** 2) AS w FROM g a JOIN g b ON a.channel = 2 AND b.channel NOT IN (2, 7) AND sqrt((a.px - b.px) ** 2 + (a.py - b.py) ** 2) <= 50), m AS (SELECT session_id, sample, lost AS channel, sum(w * value) / sum(w) AS made FROM f JOIN w USING (channel) GROUP BY 1, 2, 3),
+r AS (SELECT f.session_id, f.channel, f.sample, CASE WHEN f.channel = 2 THEN made ELSE value END AS value FROM f LEFT JOIN m ON m.session_id = f.session_id AND m.sample = f.sample AND m.channel = f.channel WHERE f.channel <> 7), s AS (SELECT session_id, channel, sample, value - coalesce(max(CASE WHEN channel = 5 THEN value END) OVER (PARTITION BY session_id, sample), 0) AS value FROM r)
+SELECT session_id, channel, sample, round(value - median(value) OVER (PARTITION BY session_id, sample), 5) + 0.0 AS value FROM s""", 5)(lambda fx: R.preprocess(folded(fx), probe(fx), [7], [2], [5]).select("session_id", "channel", "sample", (F.round("value", 5) + 0.0).alias("value")))
+query("e4_wakefulness_at")(lambda fx: (lambda rows: N.wakefulness_at(rows, N.wakefulness(rows, 64.0, 0, 1), 64.0))(signal(fx).withColumn("sample", F.col("k") + 64 * F.floor(F.col("chunk") / 80))))
+query("n15_amplitudes", "SELECT session_id, unit_id, CAST(row_number() OVER (PARTITION BY session_id, unit_id ORDER BY t, amplitude) AS INT) AS k, round(t, 6) AS t, amplitude FROM (SELECT concat('s', user_id) AS session_id, CAST(event_id % 3 AS INT) AS unit_id, event_id % 977 / 450.0 AS t, CAST(event_id % 101 AS DOUBLE) AS amplitude FROM events WHERE event_type <> 'error')")(lambda fx: P.amplitudes(linked(fx)))
+query("s17_pool_qualities", f"SELECT session_id, unit_id, round(snr, 6) AS snr, {LABEL} AS quality, CAST(substr(session_id, 2) AS INT) AS animal FROM fx_units WHERE {LABEL} IN ('good', 'mua')")(lambda fx: Y.pool_qualities({q: units(fx).filter(F.col("label") == q).select("session_id", "unit_id", "snr") for q in ("good", "mua")}, fx("fx_units").select("session_id", F.substring("session_id", 2, 9).cast("int").alias("animal")).distinct()))
+query("l4_forced_led", f"WITH {DIO}, r AS (SELECT *, CASE WHEN state = 1 AND lag(state) OVER (PARTITION BY session_id, color ORDER BY t) = 0 THEN 1 ELSE 0 END AS rise FROM d), g AS (SELECT session_id, color, avg(state) AS duty, sum(rise) / count(*) AS hz FROM r GROUP BY 1, 2) SELECT session_id, color, CASE WHEN session_id LIKE '%3' THEN 'blue' WHEN abs(duty - 0.5) < 0.1 AND abs(hz - 0.5) < 0.05 THEN 'red' WHEN abs(duty - 0.5) < 0.1 AND abs(hz - 2.5) < 0.25 THEN 'blue' END AS led FROM g")(lambda fx: E.classify_led(E.dio_time(fx("fx_dio"), 30000.0), 1.0, fx("fx_dio").filter("session_id LIKE '%3'").select("session_id", "color", F.lit("blue").alias("led")).distinct()).select("session_id", "color", "led"))
+query("e13_truncate_common", "SELECT a.session_id, a.sample, a.value AS a, b.value AS b FROM (SELECT session_id, frame_index AS sample, round(x, 6) AS value FROM fx_track WHERE x IS NOT NULL) a JOIN (SELECT session_id, frame_index AS sample, round(y, 6) AS value FROM fx_track WHERE frame_index % 3 > 0) b ON a.session_id = b.session_id AND a.sample = b.sample")(lambda fx: E.truncate_common(known(fx).select("session_id", F.col("frame_index").alias("sample"), F.col("x").alias("a")), fx("fx_track").filter("frame_index % 3 > 0").select("session_id", F.col("frame_index").alias("sample"), F.col("y").alias("b")), ["session_id", "sample"]))
+query("c1_moments", "SELECT session_id, unit_id % 3 AS grp, count(*) AS n, round(avg(acg_tau_rise_ms), 6) AS mean, round(var_samp(acg_tau_rise_ms), 6) AS var FROM fx_units WHERE acg_tau_rise_ms IS NOT NULL GROUP BY 1, 2")(lambda fx: C.moments(grouped(fx), ["session_id"], "grp", "acg_tau_rise_ms"))
+query("c6_perf_corr", "SELECT session_id, count(*) AS n, CASE WHEN count(*) >= 3 AND var_pop(snr) > 0 AND var_pop(firing_rate_hz) > 0 THEN round(corr(snr, firing_rate_hz), 6) END AS r, CASE WHEN count(*) >= 3 AND var_pop(snr) > 0 AND var_pop(firing_rate_hz) > 0 THEN round(regr_slope(firing_rate_hz, snr), 6) END AS slope, CASE WHEN count(*) >= 3 AND var_pop(snr) > 0 AND var_pop(firing_rate_hz) > 0 THEN round(regr_intercept(firing_rate_hz, snr), 6) END AS intercept FROM fx_units GROUP BY 1")(lambda fx: P.score(fx("fx_units"), "snr", "firing_rate_hz", ["session_id"], 3))
+query("f12_rat_number", "SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN CAST(p_partkey % 11 AS INT) END AS rat FROM part")(lambda fx: fx("part").select("p_partkey", S.rat_number(F.when(F.col("p_partkey") % 3 == 0, F.format_string("x_Rat%d_a", F.col("p_partkey") % 11)).when(F.col("p_partkey") % 3 == 1, F.format_string("rat_%d.csv", F.col("p_partkey") % 11)).otherwise("none")).alias("rat")))
+query("f17_euclid", "SELECT session_id, frame_index, round(sqrt((x1 - x2) ** 2 + (y1 - y2) ** 2), 6) AS d, x1, y1 FROM fx_detections")(lambda fx: fx("fx_detections").select("session_id", "frame_index", S.euclid(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("d"), "x1", "y1"))

@@ -21,15 +21,27 @@ def session_of_path():
 
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
-    """Frame tables; a bad number is null, hidden sidecars are not read."""
+    """Frame tables; a bad number is null, hidden sidecars are not read.
+
+    Of a session's folder the first file with frame numbers is read, else the first of full coordinates, else all files.
+    """
     names = [c.split()[0] for c in FRAMES.split(", ")]
     raw = spark.read.option("header", True).schema(", ".join(f"{n} string" for n in names)).csv(path, pathGlobFilter="[!.]*.csv")
-    return raw.select(session_of_path().alias("session_id"), *[F.col(n).try_cast("double").try_cast(k).alias(n) for n, k in (c.split() for c in FRAMES.split(", "))])
+    file = F.col("_metadata.file_path").alias("__file")
+    rank = F.when(F.col("__file").endswith("Coordinates_Full_with_frames.csv"), 0).when(F.col("__file").endswith("Coordinates_Full.csv"), 1).otherwise(2)
+    w = Window.partitionBy(F.regexp_extract("__file", r"([^/]+)/[^/]+$", 1)).orderBy("__rank", "__file")
+    listed = spark.read.format("binaryFile").load(path, pathGlobFilter="[!.]*.csv").select(file).withColumn("__rank", rank)
+    chosen = listed.withColumn("__k", F.row_number().over(w)).withColumn("__best", F.min("__rank").over(w)).filter("__rank = __best and (__rank = 2 or __k = 1)")
+    raw = raw.select("*", file).join(chosen, "__file", "left_semi")
+    return raw.select(F.regexp_extract("__file", r"([^/]+)/[^/]+$", 1).alias("session_id"), *[F.col(n).try_cast("double").try_cast(k).alias(n) for n, k in (c.split() for c in FRAMES.split(", "))])
 
 
 def read_frame_clock(spark: SparkSession, path: str) -> DataFrame:
-    """Columns found by `frame` and `second` in their names; rows with a bad number are dropped."""
-    raw = spark.read.option("header", True).csv(path)
+    """Columns found by `frame` and `second` in their names; rows with a bad number are dropped.
+
+    Names and numbers are ASCII, so one reading as Latin-1 serves UTF-8 files and others alike.
+    """
+    raw = spark.read.option("header", True).option("encoding", "ISO-8859-1").csv(path)
     frame = next(c for c in raw.columns if "frame" in c.lower())
     second = next(c for c in raw.columns if "second" in c.lower())
     return raw.select(session_of_path().alias("session_id"), F.col(frame).try_cast("double").try_cast("bigint").alias("frame_index"), F.col(second).try_cast("double").alias("seconds")).dropna()

@@ -134,18 +134,26 @@ def flush(s: dict) -> dict | None:
     return _ended(s, s["last"], "end of frames", False)[1] if s["phase"] == ACTIVE else None
 
 
+def advance(state: dict, frame: dict) -> tuple[dict, list[dict]]:
+    """A step, and the end of the session where the frame is marked as its last (`ended`): an unfinished trial ends too."""
+    state, row = step(state, frame)
+    last = flush(state) if frame.get("ended") else None
+    return new_state() if frame.get("ended") else state, [r for r in (row, last) if r]
+
+
 FIELDS = ["frame_ms", "x", "y", "rx", "ry", "start_x", "start_y", "goal_x", "goal_y", "trial_type"]
 
 
 def _frames(part: pd.DataFrame) -> Iterator[dict]:
-    names = [*FIELDS, "schedule"]
+    names = [*FIELDS, "schedule", "ended"]
     for r in part.sort_values(["frame_ms", "frame_index"])[names].itertuples(index=False):
         yield {k: None if v != v else v for k, v in zip(names, r)}
 
 
 def _columns(frames: DataFrame) -> DataFrame:
-    """The columns of a frame; without a schedule there is none."""
-    return frames.select("session_id", "frame_index", *FIELDS, F.col("schedule") if "schedule" in frames.columns else F.lit(None).cast("string").alias("schedule"))
+    """The columns of a frame; without a schedule there is none, without a mark of the last frame no frame is."""
+    spare = {"schedule": F.lit(None).cast("string"), "ended": F.lit(False)}
+    return frames.select("session_id", "frame_index", *FIELDS, *[F.col(c) if c in frames.columns else v.alias(c) for c, v in spare.items()])
 
 
 def schedules(meta: DataFrame) -> DataFrame:
@@ -164,8 +172,8 @@ def batch_trials(frames: DataFrame) -> DataFrame:
     def one(part: pd.DataFrame) -> pd.DataFrame:
         state, out = new_state(), []
         for f in _frames(part):
-            state, row = step(state, f)
-            out += [row] if row else []
+            state, rows = advance(state, f)
+            out += rows
         last = flush(state)
         return _table(part["session_id"].iloc[0], out + ([last] if last else []))
 
@@ -182,8 +190,8 @@ class TrialProcessor(StatefulProcessor):
         state = json.loads(self.state.get()[0]) if self.state.exists() else new_state()
         out = []
         for f in _frames(pd.concat(list(rows))):
-            state, row = step(state, f)
-            out += [row] if row else []
+            state, ended = advance(state, f)
+            out += ended
         self.state.update((json.dumps(state, default=float),))
         yield _table(key[0], out)
 
@@ -192,7 +200,10 @@ class TrialProcessor(StatefulProcessor):
 
 
 def stream_trials(frames: DataFrame) -> DataFrame:
-    """The state machine over a stream of frames, ended trials as they end. Needs the RocksDB state store."""
+    """The state machine over a stream of frames, ended trials as they end. Needs the RocksDB state store.
+
+    X15: a frame whose `ended` is true is its session's last, so that an unfinished trial is given too.
+    """
     return _columns(frames).groupBy("session_id").transformWithStateInPandas(TrialProcessor(), OUT, "Append", "none")
 
 
