@@ -59,6 +59,17 @@ def test_interpolation_returns_samples_and_respects_the_outside(spark):
     assert get() == [None, 0.0, 1.5, 3.0, 6.0, None]
     assert get(outside="zero") == [0.0, 0.0, 1.5, 3.0, 6.0, 0.0] and get(outside="hold") == [0.0, 0.0, 1.5, 3.0, 6.0, 6.0]
     assert get(lead=1.0) == [0.0, 3.0, 4.5, 6.0, None, None]
+    assert get(lead=1.0, cell=0.5) == get(lead=1.0) and get(cell=100.0) == get()
+
+
+@pytest.mark.parametrize("outside", ["null", "zero", "hold"])
+def test_interpolation_over_cells_is_that_of_one_window(spark, outside):
+    rng = np.random.default_rng(3)
+    rows = [(s, int(i), float(t), None if i % 5 == 0 else float(rng.normal())) for s in ("a", "b") for i, t in enumerate(np.sort(rng.integers(0, 60, 25)))]
+    t = spark.createDataFrame(rows, "session_id string, frame_index int, seconds double, x double").dropDuplicates(["session_id", "seconds"]).checkpoint()
+    points = spark.createDataFrame([(s, float(v)) for s in ("a", "b", "none") for v in np.append(rng.uniform(-20, 80, 60), [0, 10, 20, 59])] + [("a", None), ("a", float("nan"))], "session_id string, t double")
+    get = lambda cell: [(r["session_id"], str(r["t"]), None if r["x"] is None else str(round(r["x"], 9))) for r in spikes.interp_at(points, t, ("x",), outside=outside, cell=cell).orderBy("session_id", "t").collect()]
+    assert get(1e9) == get(7.0) == get(1.0)
 
 
 def test_dedupe_compares_with_the_last_kept(spark):
@@ -190,6 +201,11 @@ def test_ephys_files(spark, tmp_path, monkeypatch):
     spark.dataSource.register(ephys.EphysDatSource)
     rows = spark.read.format("ephys_dat").option("path", str(tmp_path / "a.dat")).load().orderBy("record").collect()
     assert [(r["record"], r["time"], r["v"]) for r in rows] == [(i, 20 * i, i - 3) for i in range(7)]
+    vectors = np.zeros(5, np.dtype([("time", "<u4"), ("v", "<i2", 3), ("g", "<f4", 2)]))
+    vectors["v"], vectors["g"] = np.arange(15).reshape(5, 3), np.arange(10).reshape(5, 2) / 2
+    (tmp_path / "b.dat").write_bytes(head.replace(b"<v int16>", b"<v 3*int16><g 2*single>") + vectors.tobytes())
+    rows = spark.read.format("ephys_dat").option("path", f"file://{tmp_path}/b.dat").load().orderBy("record").collect()
+    assert [(r["v"], r["g"]) for r in rows] == [([3 * i, 3 * i + 1, 3 * i + 2], [i + 0.0, i + 0.5]) for i in range(5)]
 
 
 def machine(n=400, kind=1):

@@ -82,4 +82,4 @@ def wakefulness(rows: DataFrame, fs: float, muscle: int, field: int) -> DataFram
 def wakefulness_at(samples: DataFrame, epochs: DataFrame, fs: float) -> DataFrame:
     """E4, up-sampled: the epochs' values at each sample, by straight lines between the epochs' middles, held beyond them."""
     track = epochs.withColumn("seconds", (F.col("epoch") + 0.5) * int(fs))
-    return interp_at(samples.select("session_id", "sample").distinct(), track, ("wakefulness", "rms", "ratio"), outside="hold", time="sample")
+    return interp_at(samples.select("session_id", "sample").distinct(), track, ("wakefulness", "rms", "ratio"), outside="hold", time="sample", cell=600.0 * int(fs))

@@ -13,23 +13,35 @@ def within_trials(points: DataFrame, trials: DataFrame, width: float = 1.0, time
     return points.withColumn("__cell", cell(F.col(time))).join(spread, ["session_id", "__cell"]).filter(F.col(time).between(F.col("t0"), F.col("t1"))).drop("__cell")
 
 
-def interp_at(points: DataFrame, track: DataFrame, columns=("x", "y"), lead: float = 0.0, outside: str = "null", time: str = "t") -> DataFrame:
+def interp_at(points: DataFrame, track: DataFrame, columns=("x", "y"), lead: float = 0.0, outside: str = "null", time: str = "t", cell: float = 600.0) -> DataFrame:
     """The track's values at each point's time (plus a lead), by straight lines between samples.
 
-    Points and samples are united and each point finds its neighbours by windows over time: one shuffle by session.
+    Points and samples are united and dealt to cells of time, in which windows find each point's neighbours. What lies
+    beyond a cell comes from the first and last samples of the session's other cells, so no task holds a session.
     Outside of the track: null, zero, or the nearest sample ("hold").
     """
     own = points.columns
     left = points.withColumn("__t", F.col(time) + lead).withColumn("__p", F.lit(1))
     right = track.select("session_id", F.col("seconds").alias("__t"), F.lit(0).alias("__p"), *[F.col(c).alias(f"__{c}") for c in columns])
-    both = left.unionByName(right, allowMissingColumns=True)
-    back = Window.partitionBy("session_id").orderBy("__t", "__p").rowsBetween(Window.unboundedPreceding, 0)
-    on = Window.partitionBy("session_id").orderBy("__t", F.desc("__p")).rowsBetween(0, Window.unboundedFollowing)
-    at = F.when(F.col("__p") == 0, F.col("__t"))
+    cells = F.when(F.isnan("__t"), F.lit(1 << 62)).otherwise(F.floor(F.col("__t") / cell))  # NaN sorts last, null first
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("__cell", cells)
+    found = {"t": F.when(F.col("__p") == 0, F.col("__t"))} | {c: F.col(f"__{c}") for c in columns}
     # samples sort before points of the same time on the way forward, and after them on the way back
-    rows = both.withColumn("__t0", F.last(at, ignorenulls=True).over(back)).withColumn("__t1", F.first(at, ignorenulls=True).over(on))
-    for c in columns:
-        rows = rows.withColumn(f"__0{c}", F.last(f"__{c}", ignorenulls=True).over(back)).withColumn(f"__1{c}", F.first(f"__{c}", ignorenulls=True).over(on))
+    keys = ["session_id", "__cell"]
+    back = Window.partitionBy(*keys).orderBy("__t", "__p").rowsBetween(Window.unboundedPreceding, 0)
+    on = Window.partitionBy(*keys).orderBy("__t", F.desc("__p")).rowsBetween(0, Window.unboundedFollowing)
+    sampled = lambda of: F.when(of.isNotNull(), F.col("__t"))
+    ends = both.groupBy(*keys).agg(*[f(of, sampled(of)).alias(f"__{way}{c}") for c, of in found.items() for f, way in ((F.max_by, "a"), (F.min_by, "b"))])
+    over = Window.partitionBy("session_id").orderBy("__cell")
+    before, after = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing)
+    beyond = ends.select(
+        F.col("session_id").alias("__session"), F.col("__cell").alias("__of"),
+        *[F.last(f"__a{c}", ignorenulls=True).over(before).alias(f"__a{c}") for c in found], *[F.first(f"__b{c}", ignorenulls=True).over(after).alias(f"__b{c}") for c in found],
+    )
+    rows = both.join(beyond, F.col("session_id").eqNullSafe(F.col("__session")) & F.col("__cell").eqNullSafe(F.col("__of")))
+    for c, of in found.items():
+        rows = rows.withColumn(f"__0{c}", F.coalesce(F.last(of, ignorenulls=True).over(back), f"__a{c}")).withColumn(f"__1{c}", F.coalesce(F.first(of, ignorenulls=True).over(on), f"__b{c}"))
+    rows = rows.withColumn("__t0", F.col("__0t")).withColumn("__t1", F.col("__1t"))
     miss = {"null": lambda c: F.lit(None).cast("double"), "zero": lambda c: F.lit(0.0), "hold": lambda c: F.coalesce(f"__0{c}", f"__1{c}")}[outside]
     share = (F.col("__t") - F.col("__t0")) / (F.col("__t1") - F.col("__t0"))
     value = lambda c: F.when(F.col("__t0").isNull() | F.col("__t1").isNull(), miss(c)).when(F.col("__t1") == F.col("__t0"), F.col(f"__0{c}")).otherwise(F.col(f"__0{c}") + (F.col(f"__1{c}") - F.col(f"__0{c}")) * share)
@@ -149,18 +161,25 @@ def speed_tuning(df: DataFrame, rate: str = "rate", half: float = 0.06, step: fl
 
 
 def dedupe_spikes(spikes: DataFrame, gap: float = 0.0003) -> DataFrame:
-    """Drops spikes within the gap of the last one kept. Each choice depends on the last, so a unit is a group."""
-    import numpy as np
+    """Drops spikes within the gap of the last one kept.
 
-    def one(rows):
-        rows = rows.sort_values("t")
-        t, keep, last = rows["t"].to_numpy(), np.zeros(len(rows), bool), -np.inf
-        for i, x in enumerate(t):
-            if x - last > gap:
-                keep[i], last = True, x
-        return rows[keep]
+    Each choice depends on the last, so units stream through tasks in order of time; a task holds a batch and a time.
+    """
+    import numpy as np
 
-    return spikes.groupBy("session_id", "unit_id").applyInPandas(one, spikes.schema)
+    def run(batches):
+        unit, last = None, -np.inf
+        for rows in batches:
+            keep = np.zeros(len(rows), bool)
+            for i, (session, number, t) in enumerate(zip(rows["session_id"], rows["unit_id"], rows["t"])):
+                now = session, None if number != number else number
+                if now != unit:
+                    unit, last = now, -np.inf
+                if t - last > gap:
+                    keep[i], last = True, t
+            yield rows[keep]
+
+    return spikes.repartition("session_id", "unit_id").sortWithinPartitions("session_id", "unit_id", "t").mapInPandas(run, spikes.schema)
 
 
 def time_bins(track: DataFrame, width: float = 0.5, least: int = 10) -> DataFrame:

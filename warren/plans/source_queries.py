@@ -38,6 +38,7 @@ def machine_frames(fx):
 
 
 query("x1_trial_machine")(lambda fx: X.batch_trials(machine_frames(fx)))
+query("x2_trial_types")(lambda fx: X.batch_trials(machine_frames(fx).withColumn("trial_type", F.pmod(F.hash("session_id"), F.lit(6)) + 1)))
 query("x12_epochs", "SELECT user_id AS session_id, time_bucket(INTERVAL 1 HOUR, CAST(ts AS TIMESTAMP)) AS start, count(*) AS n, round(avg(event_id), 6) AS x FROM events GROUP BY 1, 2")(lambda fx: X.epochs(fx("events").select(F.col("user_id").alias("session_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("double").alias("x")), "1 hour"))
 query("x14_sessions", """WITH e AS (SELECT user_id AS session_id, CAST(ts AS TIMESTAMP) AS ts FROM events), b AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY session_id ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens FROM e), g AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bout FROM b)
 SELECT session_id, min(ts) AS start, count(*) AS n FROM g GROUP BY session_id, bout""")(lambda fx: X.sessions(fx("events").select(F.col("user_id").alias("session_id"), F.col("ts").cast("timestamp").alias("ts")), "1 hour"))

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 HEADER_END = b"<End settings>\n"
@@ -14,6 +15,11 @@ HEADER_END = b"<End settings>\n"
 RECORDS = 1_000_000
 
 
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or an address (hdfs, s3, gs, file), and the path within it."""
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def parse_header(data: bytes) -> tuple[dict[str, str], np.dtype, int]:
     """Settings, the layout of a record and the header's length."""
     end = data.index(HEADER_END) + len(HEADER_END)
@@ -30,9 +36,9 @@ class Range(InputPartition):
 
 
 class EphysDatSource(DataSource):
-    """`spark.read.format("ephys_dat").option("path", ...)`: scalar fields of every record, with its index.
+    """`spark.read.format("ephys_dat").option("path", ...)`: the fields of every record, with its index.
 
-    Paths are on a file system that the executors mount, as the recordings of a lab are.
+    A field of several numbers is an array. Paths are addresses in a shared store, or on a mount of the executors.
     """
 
     @classmethod
@@ -43,14 +49,16 @@ class EphysDatSource(DataSource):
         return self.options["path"].split(",")[0]
 
     def _layout(self, path: str) -> tuple[np.dtype, int]:
-        with open(path, "rb") as f:
+        store, inside = opened(path)
+        with store.open_input_file(inside) as f:
             head = f.read(1 << 16)
         _, dtype, end = parse_header(head)
         return dtype, end
 
     def schema(self) -> str:
         dtype, _ = self._layout(self._first())
-        return "path string, record bigint, " + ", ".join(f"{n} {'double' if dtype[n].kind == 'f' else 'bigint'}" for n in dtype.names)
+        kind = lambda d: "double" if d.base.kind == "f" else "bigint"
+        return "path string, record bigint, " + ", ".join(f"{n} array<{kind(dtype[n])}>" if dtype[n].shape else f"{n} {kind(dtype[n])}" for n in dtype.names)
 
     def reader(self, schema) -> DataSourceReader:
         return EphysDatReader(self)
@@ -61,19 +69,22 @@ class EphysDatReader(DataSourceReader):
         self.source = source
 
     def partitions(self) -> list[Range]:
-        import os
-
         out = []
         for path in self.source.options["path"].split(","):
             dtype, end = self.source._layout(path)
-            whole = (os.path.getsize(path) - end) // dtype.itemsize  # a record that breaks off is dropped
+            store, inside = opened(path)
+            whole = (store.get_file_info(inside).size - end) // dtype.itemsize  # a record that breaks off is dropped
             out += [Range(path, end + a * dtype.itemsize, min(RECORDS, whole - a), a) for a in range(0, whole, RECORDS)]
         return out or [Range(self.source._first(), 0, 0, 0)]
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         dtype, _ = self.source._layout(part.path)
-        rows = np.fromfile(part.path, dtype, part.records, offset=part.start) if part.records else np.zeros(0, dtype)
+        store, inside = opened(part.path)
+        with store.open_input_file(inside) as f:
+            rows = np.frombuffer(f.read_at(part.records * dtype.itemsize, part.start), dtype)
         columns = {"path": pa.array([part.path] * len(rows), pa.string()), "record": pa.array(np.arange(part.index, part.index + len(rows)))}
         for n in dtype.names:
-            columns[n] = pa.array(rows[n].astype("f8" if dtype[n].kind == "f" else "i8"))
+            values = rows[n].astype("f8" if dtype[n].base.kind == "f" else "i8")
+            flat = pa.array(values.reshape(-1))
+            columns[n] = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype="i4") * dtype[n].shape[0], flat) if dtype[n].shape else flat
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))

@@ -146,7 +146,7 @@ FIELDS = ["frame_ms", "x", "y", "rx", "ry", "start_x", "start_y", "goal_x", "goa
 
 def _frames(part: pd.DataFrame) -> Iterator[dict]:
     names = [*FIELDS, "schedule", "ended"]
-    for r in part.sort_values(["frame_ms", "frame_index"])[names].itertuples(index=False):
+    for r in zip(*[part[c] for c in names]):
         yield {k: None if v != v else v for k, v in zip(names, r)}
 
 
@@ -162,22 +162,31 @@ def schedules(meta: DataFrame) -> DataFrame:
     return meta.groupBy("session_id").agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(row)))).alias("schedule"))
 
 
-def _table(key: str, rows: list[dict]) -> pd.DataFrame:
-    return pd.DataFrame([{"session_id": key, **r} for r in rows], columns=[c.split()[0] for c in OUT.split(", ")])
+def _table(rows: list[tuple[str, dict]]) -> pd.DataFrame:
+    return pd.DataFrame([{"session_id": key, **r} for key, r in rows], columns=[c.split()[0] for c in OUT.split(", ")])
 
 
 def batch_trials(frames: DataFrame) -> DataFrame:
-    """X1-X9, X15 over a table: a session is one ordered group."""
-
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        state, out = new_state(), []
-        for f in _frames(part):
-            state, rows = advance(state, f)
-            out += rows
+    """X1-X9, X15 over a table: frames stream through tasks in order of session and time; a task holds a batch and a state."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        session, state = None, new_state()
+        for part in batches:
+            out = []
+            for key, f in zip(part["session_id"], _frames(part)):
+                if key != session:
+                    out += [(session, r) for r in [flush(state)] if r]
+                    session, state = key, new_state()
+                state, rows = advance(state, f)
+                out += [(key, r) for r in rows]
+            if out:
+                yield _table(out)
         last = flush(state)
-        return _table(part["session_id"].iloc[0], out + ([last] if last else []))
+        if last:
+            yield _table([(session, last)])
 
-    return _columns(frames).groupBy("session_id").applyInPandas(one, OUT)
+    order = [F.asc("session_id"), F.asc_nulls_last("frame_ms"), F.asc_nulls_last("frame_index")]
+    return _columns(frames).repartition("session_id").sortWithinPartitions(*order).mapInPandas(run, OUT)
 
 
 class TrialProcessor(StatefulProcessor):
@@ -189,11 +198,11 @@ class TrialProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         state = json.loads(self.state.get()[0]) if self.state.exists() else new_state()
         out = []
-        for f in _frames(pd.concat(list(rows))):
+        for f in _frames(pd.concat(list(rows)).sort_values(["frame_ms", "frame_index"])):
             state, ended = advance(state, f)
-            out += ended
+            out += [(key[0], r) for r in ended]
         self.state.update((json.dumps(state, default=float),))
-        yield _table(key[0], out)
+        yield _table(out)
 
     def close(self) -> None:
         pass
