@@ -104,8 +104,8 @@ def judged(rows: DataFrame, host: str = "source", worst: float = WORST_RATE) ->
 def quality(docs: DataFrame) -> DataFrame:
     """Measures and verdict of every row of `docs` (doc_id, text, source).
 
-    Defined results: null text has no words and fails; null sources are one host; repeated rows count each; an
-    empty table gives no rows; other columns are not read.
+    Defined results: null text has no words and fails; null sources are one host; repeated rows count each; a
+    text of any length is measured whole; an empty table gives no rows; other columns are not read.
     """
     return judged(checkpointed(measured(docs, ["doc_id", "source"]))).drop("source")
 

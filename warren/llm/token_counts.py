@@ -110,7 +110,8 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, score) of every row of `docs` (doc_id, text). No shuffle.
 
     Defined results: null and empty texts have no tokens and score 0; null ids stay; repeated rows give a row
-    each; an empty table gives no rows; other columns are not read.
+    each; equal scores keep the earliest start; a text of any length is searched whole, word by word; an empty
+    table gives no rows; other columns are not read.
     """
     kind = dict(docs.dtypes)["doc_id"]
 
