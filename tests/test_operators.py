@@ -226,6 +226,21 @@ def test_trials_end_at_the_goal_and_unfinished_ones_are_flushed(spark):
     assert [r["reason"] for r in late] == ["end of frames"]
 
 
+def test_sessions_and_units_keep_apart_over_small_batches(spark):
+    one = machine()
+    rows = pd.concat([one.assign(session_id=s, frame_ms=one["frame_ms"] * k) for s, k in (("a", 1.0), ("b", 2.0), ("c", 1.5))]).sample(frac=1, random_state=1)
+    times = spark.createDataFrame([(s, u, i * 0.0002) for s in ("a", "b") for u in (1, 2) for i in range(9)], "session_id string, unit_id int, t double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = sorted(map(tuple, trials.batch_trials(spark.createDataFrame(rows, MACHINE)).collect()))
+        kept = spikes.dedupe_spikes(times).groupBy("session_id", "unit_id").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    alone = [tuple(r) for s in "abc" for r in trials.batch_trials(spark.createDataFrame(rows[rows["session_id"] == s], MACHINE)).collect()]
+    assert got == sorted(alone) and {r[0] for r in got} == set("abc")
+    assert [r["count"] for r in kept] == [5] * 4
+
+
 def test_stream_and_batch_agree_on_any_split(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     rows = machine()
