@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warren.llm import collocations, fingerprinting, license_scan, line_dedup, mixing, packing, quality, secret_scan, simhash, token_counts, toxicity, warc
+from warren.llm import collocations, fingerprinting, license_scan, line_dedup, mixing, packing, quality, secret_scan, simhash, spelling, token_counts, toxicity, warc
 from warren.llm.common import shared_folder, table
 
 
@@ -58,6 +58,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), shared_folder(spark))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -69,9 +73,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_source_mix, op2_license_scan, op3_best_fit_packing, op4_token_counts, op5_simhash_near_duplicates, op6_toxicity, op7_quality_rules, op8_warc_revisits, op9_secret_scan, op10_syncmer_fingerprints, op11_collocations, op13_line_dedup)
+    own = (op1_source_mix, op2_license_scan, op3_best_fit_packing, op4_token_counts, op5_simhash_near_duplicates, op6_toxicity, op7_quality_rules, op8_warc_revisits, op9_secret_scan, op10_syncmer_fingerprints, op11_collocations, op12_spelling_variants, op13_line_dedup)
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mix": mixing.ORACLE, "op7_quality_rules": quality.ORACLE, "op8_warc_revisits": warc.ORACLE, "op11_collocations": collocations.ORACLE, "op13_line_dedup": line_dedup.ORACLE}
+    return {"op1_source_mix": mixing.ORACLE, "op7_quality_rules": quality.ORACLE, "op8_warc_revisits": warc.ORACLE, "op11_collocations": collocations.ORACLE, "op12_spelling_variants": spelling.ORACLE, "op13_line_dedup": line_dedup.ORACLE}
