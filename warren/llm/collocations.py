@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from uuid import uuid4
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -22,17 +24,40 @@ SHARE = 100
 GROUP_SUFFIXES = 2_000_000
 #: Prefixes are weighed in so many slots; the table of slots and their groups is broadcast.
 SLOTS = 1 << 14
-#: Bits of the filter of frequent words (a broadcast): 16 for each word, within these bounds.
-FILTER_BITS = (1 << 16, 1 << 27)
-#: Entries that a task counts before it passes them on.
-HELD = 400_000
+#: Bits of the filter of frequent words (16 for each) and slots of that of frequent word pairs (one for so many words), both
+#: broadcast and within these bounds. Smaller ones let more suffixes pass, which changes no result.
+FILTER_BITS, PAIR_SLOTS, WORDS_A_SLOT = (1 << 16, 1 << 27), (1 << 18, 1 << 26), 16
+#: Entries that a task counts before it passes them on, and bytes of text that it takes at once.
+HELD, PORTION = 150_000, 1 << 20
 
 _BREAKS = bytes(10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
+#: Stands between pieces; no UTF-8 text holds this byte.
+CUT = b"\xff"
 
 
-def pieces(text: bytes) -> list[list[bytes]]:
-    """The words of each piece: A-Z in lower case (bytes.lower knows no others), cut at stops and line ends."""
-    return [x.split() for x in text.lower().translate(_BREAKS).split(b"\n")]
+def tokens(texts: list[bytes]) -> list[bytes]:
+    """The words of texts and CUT between their pieces: A-Z in lower case (bytes.lower knows no others), cut at stops and line ends."""
+    return b"\n".join(texts).lower().translate(_BREAKS).replace(b"\n", b" \xff ").split()
+
+
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Each language's texts as words, about PORTION bytes at a time."""
+    for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
+        held: dict[str, list] = {}
+        size: Counter = Counter()
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("__text").to_pylist()):
+            if text:
+                held.setdefault(lang, []).append(text)
+                size[lang] += len(text)
+                if size[lang] >= PORTION:
+                    yield lang, tokens(held.pop(lang))
+                    del size[lang]
+        for lang, texts in held.items():
+            yield lang, tokens(texts)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("__text"))
 
 
 def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -49,38 +74,40 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> It
 _COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())])
 
 
-def _counted(docs: DataFrame, tokens) -> DataFrame:
-    """(lang, phrase, n): what `tokens(lang)(text)` yields of every text, counted within the task before it is passed on."""
+def _counted(docs: DataFrame, phrases) -> DataFrame:
+    """(lang, phrase, n): what `phrases(lang, words)` names, counted within the task before it is passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             counts: dict[str, Counter] = {}
-            of, held = {}, 0
-            for batch in batches:
-                for lang, text in zip(batch.column("lang").to_pylist(), batch.column("__text")):
-                    if lang not in counts:
-                        counts[lang], of[lang] = Counter(), tokens(lang)
-                    before = len(counts[lang])
-                    counts[lang].update(of[lang](text.as_buffer().to_pybytes() if text.is_valid else b""))
-                    held += len(counts[lang]) - before
-                    if held + len(of) > HELD:
-                        yield from ((k, p, n) for k, c in counts.items() for p, n in c.items())
-                        counts, of, held = {}, {}, 0
+            held = 0
+            for lang, words in _portions(batches):
+                own = counts.setdefault(lang, Counter())
+                before = len(own)
+                own.update(phrases(lang, words))
+                held += len(own) - before
+                if held > HELD:
+                    yield from ((k, p, n) for k, c in counts.items() for p, n in c.items())
+                    counts, held = {}, 0
             yield from ((k, p, n) for k, c in counts.items() for p, n in c.items())
 
         yield from _batched(rows(), _COUNTED)
 
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("__text")).mapInArrow(run, "lang string, phrase binary, n bigint")
+    return _texts(docs).mapInArrow(run, "lang string, phrase binary, n bigint")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, phrase, n) of every word."""
-    counted = _counted(docs, lambda lang: lambda text: [w for piece in pieces(text) for w in piece])
+    counted = _counted(docs, lambda lang, words: words).filter(F.col("phrase") != F.lit(CUT))
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
+def _hash(lang: str, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang.encode()))
+
+
 def _place(lang: str, word: bytes, bits: int) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang.encode())) % bits
+    return _hash(lang, word) % bits
 
 
 def frequent_filter(frequent: DataFrame, bounds: tuple[int, int] = FILTER_BITS) -> bytearray:
@@ -99,41 +126,118 @@ def frequent_filter(frequent: DataFrame, bounds: tuple[int, int] = FILTER_BITS)
     return out
 
 
-def suffixes(docs: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(lang, phrase, n): what begins at each word, `depth` words at most, each followed by a space.
+class _Frequent:
+    """The words of a language that pass the filter as numbers (0 for others and CUT), and their hashes by number."""
 
-    A suffix ends before the first word that is rare by itself, as no candidate holds one; those of one word, whose
-    counts are known, are left out.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(frequent_filter(frequent)))
+    def __init__(self, table: bytes):
+        self.table, self.bits = table, 8 * len(table)
+        self.reset()
 
-    def tokens(lang: str):
-        table, bits = shared.value, 8 * len(shared.value)
+    def reset(self) -> None:
+        self.numbers: dict[str, dict[bytes, int]] = {}
+        self.hashes = array("Q", [0])
+        self.held = 0
 
-        class Known(dict):
-            def __missing__(self, word: bytes) -> bytes | None:
-                if len(self) > HELD:
-                    self.clear()
-                at = _place(lang, word, bits)
-                known = self[word] = word + b" " if table[at >> 3] >> (at & 7) & 1 else None
-                return known
+    def of(self, lang: str, words: list[bytes]) -> np.ndarray:
+        if self.held > HELD:
+            self.reset()
+        outer = self
 
-        known = Known()
+        class Known(dict):
+            def __missing__(self, word: bytes) -> int:
+                h = _hash(lang, word)
+                at = h % outer.bits
+                number = 0
+                if word != CUT and outer.table[at >> 3] >> (at & 7) & 1:
+                    number = len(outer.hashes)
+                    outer.hashes.append(h)
+                outer.held += 1
+                self[word] = number
+                return number
+
+        known = self.numbers.setdefault(lang, Known())
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def pairs(self, ids: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places whose word and the next are frequent, and the slots of these pairs."""
+        at = np.nonzero((ids[:-1] > 0) & (ids[1:] > 0))[0]
+        h = np.frombuffer(self.hashes, np.uint64)
+        mixed = (h[ids[at]] * np.uint64(0x9E3779B97F4A7C15) + h[ids[at + 1]]) * np.uint64(0xD6E8FEB86659FD93)
+        return at, (mixed >> np.uint64(20)) & np.uint64(slots - 1)
+
+
+def pair_filter(docs: DataFrame, words, slots: int, least: int = LEAST) -> bytearray:
+    """A bit for each slot that holds at least `least` pairs of frequent words, so that no frequent pair is missed.
+
+    A task counts its pairs by slots and passes the counts on as bytes that stop at `least`, which keeps the comparison
+    exact; counts of equal parts of the slots are added in one task. The size is that of the slots.
+    """
+    part = min(slots, 1 << 16)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total, found, size = _Frequent(words.value), np.zeros(slots, np.uint16), [], 0
+
+        def added() -> None:
+            nonlocal total, found, size
+            if found:
+                total = np.minimum(total + np.minimum(np.bincount(np.concatenate(found).astype(np.int64), minlength=slots), least).astype(np.uint16), least)
+                found, size = [], 0
+
+        for lang, portion in _portions(batches):
+            _, own = known.pairs(known.of(lang, portion), slots)
+            found.append(own)
+            size += len(own)
+            if size > 1_000_000:
+                added()
+        added()
+        counted = total.astype(np.uint8)
+        parts = [k for k in range(slots // part) if counted[k * part : (k + 1) * part].any()]
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([counted[k * part : (k + 1) * part].tobytes() for k in parts], pa.binary())], names=["part", "counts"])
+
+    def summed(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(part, np.uint16)
+        for b in batches:
+            for x in b.column("counts"):
+                total = np.minimum(total + np.frombuffer(x.as_buffer(), np.uint8), least).astype(np.uint16)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
+
+    found = _texts(docs).mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(summed, "part int, bits binary")
+    out = bytearray(slots // 8)
+    for k, bits in found.toLocalIterator():
+        out[k * part // 8 : (k + 1) * part // 8] = bits
+    return out
 
-        def of(text: bytes) -> Iterator[bytes]:
-            for piece in pieces(text):
-                run: list[bytes] = []
-                for word in [*map(known.__getitem__, piece), None]:
-                    if word is not None:
-                        run.append(word)
-                    else:
-                        for i in range(len(run) - 1):
-                            yield b"".join(run[i : i + depth])
-                        run = []
 
-        return of
+def suffixes(docs: DataFrame, frequent: DataFrame, total: int, depth: int = DEPTH, least: int = LEAST) -> DataFrame:
+    """(lang, phrase, n): what begins at each word, `depth` words at most, each followed by a space.
 
-    return _counted(docs, tokens)
+    A suffix ends before the first word that is rare by itself or after the word before, as no candidate holds either;
+    those of one word, whose counts are known, are left out. `total` is the number of words.
+    """
+    context = docs.sparkSession.sparkContext
+    words = context.broadcast(bytes(frequent_filter(frequent)))
+    slots = min(max(PAIR_SLOTS[0], 1 << (total // WORDS_A_SLOT).bit_length()), PAIR_SLOTS[1])
+    pairs = context.broadcast(bytes(pair_filter(docs, words, slots, least)))
+    state: dict = {}
+
+    def phrases(lang: str, own: list[bytes]) -> Iterator[bytes]:
+        if not state:
+            state["known"], state["bits"] = _Frequent(words.value), np.frombuffer(pairs.value, np.uint8)
+        known, bits = state["known"], state["bits"]
+        at, slot = known.pairs(known.of(lang, own), slots)
+        at = at[bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1 > 0]
+        good = np.zeros(len(own) + depth, bool)
+        good[at] = True
+        more = np.ones(len(at), np.int64)
+        reaches = np.ones(len(at), bool)
+        for k in range(1, depth - 1):
+            reaches &= good[at + k]
+            more += reaches
+        for i, n in zip(at.tolist(), more.tolist()):
+            yield b" ".join(own[i : i + n + 1]) + b" "
+
+    return _counted(docs, phrases)
 
 
 def _prefix(depth: int) -> Column:
@@ -177,15 +281,17 @@ def prefix_groups(rows: DataFrame, budget: int, depth: int = DEPTH, slots: int =
 
 
 def grouped(rows: DataFrame, groups: list[list[tuple[int, int]]], slots: int = SLOTS) -> DataFrame:
-    """Adds to each suffix its group and `closed`, the words of the prefix that decided it."""
-    out = rows.withColumn("group", F.lit(None).cast("long")).withColumn("closed", F.lit(None).cast("int"))
+    """Adds to each suffix its group and `closed`, the words of the prefix that decided it.
+
+    The groups of each depth's slots are a constant array of at most `slots` entries, looked up by place.
+    """
+    found = []
     for d, level in enumerate(groups, 1):
-        if level:
-            known = rows.sparkSession.createDataFrame(level, "slot bigint, own bigint")
-            out = out.withColumn("slot", _slot(d, slots)).join(F.broadcast(known), "slot", "left")
-            out = out.withColumn("closed", F.when(F.col("group").isNull() & F.col("own").isNotNull(), d).otherwise(F.col("closed")))
-            out = out.withColumn("group", F.coalesce("group", "own")).drop("slot", "own")
-    return out
+        known = dict(level)
+        table = F.split(F.lit(",".join(str(known.get(i, "")) for i in range(slots))), ",")
+        group = F.nullif(F.get(table, _slot(d, slots).cast("int")), F.lit("")).cast("long")
+        found.append(F.when(group.isNotNull(), F.struct(group.alias("group"), F.lit(d).alias("closed"))))
+    return rows.withColumn("__found", F.coalesce(*found)).select(*rows.columns, "__found.group", "__found.closed")
 
 
 def subtree_counts(rows: DataFrame, groups: int, least: int = LEAST) -> DataFrame:
@@ -242,7 +348,8 @@ def phrase_counts(docs: DataFrame, folder: str, depth: int = DEPTH, least: int =
     words = checkpointed(word_counts(docs))
     frequent = words.filter(F.col("n") >= least)
     path = f"{folder}/suffixes-{uuid4().hex}"
-    suffixes(docs, frequent, depth).write.parquet(path)
+    total = words.agg(F.sum("n")).first()[0] or 0
+    suffixes(docs, frequent, total, depth, least).write.parquet(path)
     rows = spark.read.schema("lang string, phrase binary, n bigint").parquet(path)
     # enough groups for every partition to have several, of at most the budget
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
