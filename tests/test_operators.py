@@ -39,7 +39,7 @@ def test_a_seam_jump_is_refilled_and_the_ends_stay(spark):
 def test_short_and_empty_tracks(spark):
     assert repaired(spark, [1.0])[1] == [False]
     assert track.repair_seams(frames(spark, [None, None])).count() == 0
-    assert track.trial_report(track.tracked(frames(spark, [2.0]))).first()["avg_speed"] is None
+    assert track.trial_report(track.tracked(frames(spark, [2.0]))).first()["avg_speed"] == 0.0  # a lone sample stands for a frame
 
 
 def test_speed_with_gaps_stands_still_alone(spark):
@@ -167,11 +167,21 @@ def test_distances_are_symmetric_and_obey_the_triangle(spark):
 def test_paths_with_odd_shapes(spark):
     dist = graph.all_pairs(graph.behaviour_edges(spark))
     known = spark.createDataFrame([(i,) for i in sorted({r["u"] for r in dist.select("u").distinct().collect()})], "node_id int")
-    rows = [(1, [101, 102, 103], 101, 103), (2, [101], 101, 101), (3, [], 101, 103), (4, [102, 103], 101, 103), (5, [101, 999], 101, 103), (6, [101, 103, 102], 101, 103), (7, [101, 102], 101, 103)]
-    got = {r["row_id"]: r for r in graph.node_metrics(spark.createDataFrame(rows, "row_id int, path array<int>, start_node_n int, goal_node_n int"), dist, known).collect()}
-    assert [got[i]["flag"] for i in range(1, 8)] == [None, None, "missing path", "start mismatch", "unknown node", None, None]
-    assert (got[1]["shortest_path"], got[1]["eat_on_1_encounter"], got[1]["dist_tra"]) == (1, 1, 2)
-    assert got[2]["food_reached"] == 1 and (got[6]["eat_on_1_encounter"], got[6]["food_reached"]) == (0, 1) and got[7]["dist_tra"] == 99
+    paths = [([101, 102, 103], 103), ([101], 101), ([], 103), ([102, 103], 103), ([101, 999, 998], 103), ([101, 103, 102], 103), ([101, 102], 103), (None, 103), ([101, 121, 302, 301], 301), ([101, 102], 501)]
+    island = lambda n: n // 100
+    seq = lambda p: [k for i, k in enumerate(map(island, p)) if i == 0 or k != island(p[i - 1])]
+    rows = [(i + 1, p, 101, g, 1, island(g), seq(p or []), " rat fell " if i == 7 else None) for i, (p, g) in enumerate(paths)]
+    trials_ = spark.createDataFrame(rows, "row_id int, path array<int>, start_node_n int, goal_node_n int, start_island_n int, goal_island_n int, seq_islands array<int>, comment string")
+    islands = graph.all_pairs(graph.island_edges(graph.behaviour_edges(spark)).withColumnsRenamed({"a": "u", "b": "v"}))
+    got = {r["row_id"]: r for r in graph.node_metrics(trials_, dist, known, islands).collect()}
+    assert [got[i]["flag"] for i in range(1, 11)] == [None, None, "unknown error", "start_node_n (101) != first path node (102)", "unknown node(s) in path: [999, 998]", None, None, "rat fell", None, "unreachable island"]
+    assert (got[1]["shortest_path"], got[1]["eat_on_1_encounter"], got[1]["dist_tra"], got[1]["dir_run_mat_perf"], got[1]["dt_min_sp"], got[1]["dt_rel_sp"]) == (2, 1, 2, 1, 0, 1.0)
+    assert (got[2]["food_reached"], got[2]["dist_tra"], got[2]["dt_rel_sp"], got[2]["dir_run_mat_perf"], got[2]["distance_start_goal_nodes"]) == (1, 0, None, 1, 1)
+    assert (got[6]["eat_on_1_encounter"], got[6]["food_reached"], got[6]["dist_tra"]) == (0, 1, 2) and (got[7]["dist_tra"], got[7]["food_reached"], got[7]["dt_min_sp"]) == (99, 0, 97)
+    assert (got[9]["distance_start_goal_island"], got[9]["path_length_start_goal_island_node_hit"], got[9]["norm_path_length_start_goal_island_island_hit"]) == (2, 2, 1.0)
+    entry = {r["row_id"]: r for r in graph.island_performance(trials_.filter("path is not null and row_id <> 5"), dist).collect()}
+    far = {(r["u"], r["v"]): int(r["d"]) for r in dist.collect()}
+    assert set(entry) == {9} and tuple(entry[9])[1:] == (121, far[121, 301] + 1, 3, 3 / (far[121, 301] + 1))
 
 
 def test_summaries_and_sequences(spark):

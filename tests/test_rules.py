@@ -31,7 +31,7 @@ def test_long_runs_keep_the_cap_about_their_centre(spark):
             rows = spark.createDataFrame([("s", 1, i, i / 30, m) for i, m in enumerate(mask)], "session_id string, trial_num int, frame_index bigint, seconds double, mask boolean") if size in (6, 7, 12) else None
             start = (2 + 2 + size) // 2 - cap // 2
             want = mask if size <= cap else [start <= i < start + cap for i in range(len(mask))]
-            assert track._capped(np.array(mask), cap).tolist() == want
+            assert track._centre_of_runs(np.array(mask), cap).tolist() == want
             if rows is not None:
                 assert [r["mask"] for r in track.cap_runs(rows, "mask", cap).orderBy("frame_index").collect()] == want
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 from collections import deque
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from warren.operators.scan import SECONDS, block_of, scan
 from warren.operators.spikes import interp_at
 from warren.operators.track import HEIGHT_M, WIDTH_M, bins, clipped_bin
 
@@ -59,9 +62,9 @@ def rate_map(track: DataFrame, spikes: DataFrame, nx: int = 18, ny: int = 10, si
 
 
 def sample_s(track: DataFrame) -> DataFrame:
-    """The usual time between a session's samples."""
-    w = Window.partitionBy("session_id").orderBy("seconds")
-    return track.withColumn("d", F.col("seconds") - F.lag("seconds").over(w)).groupBy("session_id").agg(F.median("d").alias("dt"))
+    """The usual time between a session's samples, found over blocks of time."""
+    rows = scan(track.select("session_id", "seconds"), ["session_id"], ["seconds"], block_of("seconds", SECONDS), before={"__b": F.col("seconds")})
+    return rows.groupBy("session_id").agg(F.median(F.col("seconds") - F.col("__b")).alias("dt"))
 
 
 def placed_rates(track: DataFrame, placed: DataFrame, units: DataFrame, nx: int, ny: int, sigma: float, dt: DataFrame, most_hz: float | None = None) -> DataFrame:
@@ -108,24 +111,33 @@ def _fields(cells: dict[tuple[int, int], float], least_cells: int, least_peak: f
 
 
 def place_fields(maps: DataFrame, least_cells: int = 6, least_peak: float = 0.5) -> DataFrame:
-    """M4: fields of each unit with their size, peak and weighted centre. A group is one unit's grid."""
+    """M4: fields of each unit, the largest first (of equal ones the later in reading order), with their size, peak and mean cell.
+
+    A group is one unit's grid.
+    """
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         cells = {(int(x), int(y)): float(v) for x, y, v in zip(part["bx"], part["by"], part["rate"]) if v == v}
+        reading = sorted(_fields(cells, least_cells, least_peak), key=lambda f: min((y, x) for x, y in f), reverse=True)
         rows = []
-        for i, f in enumerate(sorted(_fields(cells, least_cells, least_peak), key=lambda f: (-len(f), f[0]))):
-            total = sum(cells[c] for c in f)
-            rows.append((part["session_id"].iloc[0], part["unit_id"].iloc[0], i, len(f), max(cells[c] for c in f), sum(cells[c] * c[0] for c in f) / total, sum(cells[c] * c[1] for c in f) / total))
+        for i, f in enumerate(sorted(reading, key=len, reverse=True)):
+            rows.append((part["session_id"].iloc[0], part["unit_id"].iloc[0], i, len(f), max(cells[c] for c in f), sum(x for x, _ in f) / len(f), sum(y for _, y in f) / len(f)))
         return pd.DataFrame(rows, columns=["session_id", "unit_id", "field", "cells", "peak", "cx", "cy"])
 
     return maps.select("session_id", "unit_id", *CELL, "rate").groupBy("session_id", "unit_id").applyInPandas(one, "session_id string, unit_id int, field int, cells int, peak double, cx double, cy double")
 
 
-def field_metrics(fields: DataFrame, goals: DataFrame) -> DataFrame:
-    """Number of fields, and distances of their centres to the goal (in cells): mean, largest field's, second's, smallest."""
-    rows = fields.join(goals, "session_id").withColumn("d", F.hypot(F.col("cx") - F.col("goal_bx"), F.col("cy") - F.col("goal_by")))
+def field_metrics(fields: DataFrame, goals: DataFrame, units: DataFrame, nx: int = 18, ny: int = 10) -> DataFrame:
+    """Number of fields, and distances in metres of their centres to the goal: mean, largest, second and smallest field's.
+
+    `goals` has session_id, goal_x, goal_y in metres; `units` every unit, as those without a field have 0 of them. A
+    centre is the mean of a field's cells' middles.
+    """
+    at = lambda c, size, n: (F.col(c) + 0.5) * (size / n)
+    rows = fields.join(goals, "session_id", "left").withColumn("d", F.hypot(at("cx", WIDTH_M, nx) - F.col("goal_x"), at("cy", HEIGHT_M, ny) - F.col("goal_y")))
     nth = lambda k: F.max(F.when(F.col("field") == k, F.col("d")))
-    return rows.groupBy("session_id", "unit_id").agg(F.count("*").alias("fields"), F.avg("d").alias("mean_distance"), nth(0).alias("largest"), nth(1).alias("second"), F.min("d").alias("nearest"))
+    found = rows.groupBy("session_id", "unit_id").agg(F.count("*").alias("fields"), F.avg("d").alias("mean_distance"), nth(0).alias("largest"), nth(1).alias("second"), F.max_by("d", "field").alias("smallest"))
+    return units.select("session_id", "unit_id").distinct().join(found, ["session_id", "unit_id"], "left").withColumn("fields", F.coalesce("fields", F.lit(0)))
 
 
 def posterior_grid(counts: DataFrame, cells: DataFrame) -> DataFrame:
@@ -133,22 +145,46 @@ def posterior_grid(counts: DataFrame, cells: DataFrame) -> DataFrame:
     return counts.select("session_id", "bin").distinct().join(cells, "session_id")
 
 
-def decode(counts: DataFrame, curves: DataFrame, width: float, least_s: float = 0.3) -> DataFrame:
+#: Time bins of a block that is decoded at once.
+BLOCK_BINS = 4096
+
+
+def decode(counts: DataFrame, curves: DataFrame, width: float, least_s: float = 0.3, block: int = BLOCK_BINS) -> DataFrame:
     """DE5: the most likely cell of each time bin under independent Poisson units.
 
-    Cells visited too briefly are left out, and sessions with fewer than three cells. Silent units need no row:
-    their part of the posterior is one sum per cell. `counts` has session_id, unit_id, bin, n; `curves` the rate
-    map's columns. Of cells as likely the first wins.
+    Cells visited too briefly are left out, and sessions with fewer than three cells. `counts` has session_id, unit_id,
+    bin, n; `curves` the rate map's columns. Of cells as likely the first wins.
+
+    A block of a session's bins meets a copy of the session's curves in one task, where bins times units times cells is
+    a product of two matrices: of counts, and of logarithms of rates. Both have at most `block` bins, a session's
+    units and a maze's cells.
     """
-    cells = curves.filter(F.col("occupied_s") >= least_s)
-    silent = cells.groupBy("session_id", *CELL).agg((-width * F.sum("rate")).alias("base"))
-    enough = silent.groupBy("session_id").agg(F.count("*").alias("k")).filter("k >= 3").select("session_id")
-    silent = silent.join(enough, "session_id", "left_semi")
-    seen = counts.filter("n > 0").join(cells.join(enough, "session_id", "left_semi"), ["session_id", "unit_id"]).groupBy("session_id", "bin", *CELL).agg(F.sum(F.col("n") * F.log(F.col("rate") + 1e-3)).alias("said"))
-    every = posterior_grid(counts, silent).join(seen, ["session_id", "bin", *CELL], "left")
-    value = F.round(F.col("base") + F.coalesce("said", F.lit(0.0)), 9)
-    best = F.min_by(F.struct(*CELL, (-value).alias("neg")), F.struct((-value).alias("neg"), *CELL))
-    return every.groupBy("session_id", "bin").agg(best.alias("b")).select("session_id", "bin", F.col("b.bx").alias("bx"), F.col("b.by").alias("by"), (-F.col("b.neg")).alias("log_posterior"))
+    keys, logs = ["session_id", "block"], 1e-3
+    spikes = counts.select("session_id", F.floor(F.col("bin") / block).alias("block"), "bin", "unit_id", "n")
+    cells = curves.filter(F.col("occupied_s") >= least_s).select("session_id", "unit_id", *CELL, "rate")
+    copies = spikes.select(*keys).distinct().join(cells, "session_id").toDF("session_id", "block", "unit_id", *CELL, "rate")
+
+    def one(left: pa.Table, right: pa.Table) -> pa.Table:
+        empty = pa.table({"session_id": pa.array([], pa.string()), "bin": pa.array([], pa.int64()), "bx": pa.array([], pa.int32()), "by": pa.array([], pa.int32()), "log_posterior": pa.array([], pa.float64())})
+        if not left.num_rows or not right.num_rows:
+            return empty
+        own, cell_of = np.unique(np.stack([right.column(c).to_numpy().astype(np.int64) for c in CELL], 1), axis=0, return_inverse=True)
+        if len(own) < 3:
+            return empty
+        units, unit_of = np.unique(right.column("unit_id").to_numpy(), return_inverse=True)
+        rate = np.full((len(units), len(own)), np.nan)
+        rate[unit_of, cell_of.ravel()] = right.column("rate").to_numpy(zero_copy_only=False).astype(float)
+        bins_, bin_of = np.unique(left.column("bin").to_numpy(), return_inverse=True)
+        n, unit = left.column("n").to_numpy().astype(float), left.column("unit_id").to_numpy()
+        at = np.searchsorted(units, unit)
+        held = (n > 0) & (at < len(units)) & (units[np.minimum(at, len(units) - 1)] == unit)
+        seen = np.zeros((len(bins_), len(units)))
+        np.add.at(seen, (bin_of[held], at[held]), n[held])
+        value = np.round(seen @ np.nan_to_num(np.log(rate + logs)) - width * np.nansum(rate, 0), 9)
+        best = value.argmax(1)
+        return pa.table({"session_id": pa.array([left.column("session_id")[0].as_py()] * len(bins_), pa.string()), "bin": pa.array(bins_.astype(np.int64)), "bx": pa.array(own[best, 0].astype(np.int32)), "by": pa.array(own[best, 1].astype(np.int32)), "log_posterior": pa.array(value[np.arange(len(bins_)), best])})
+
+    return spikes.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(one, "session_id string, bin bigint, bx int, by int, log_posterior double")
 
 
 def decode_error(decoded: DataFrame, actual: DataFrame, nx: int = 18, ny: int = 10) -> DataFrame:

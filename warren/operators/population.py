@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from warren.operators.maps import kernel
 from warren.operators.signals import welch
 from warren.operators.spikes import interp_at, spike_counts
+from warren.operators.track import finite
 
 
 def population_matrix(spikes: DataFrame, width: float = 0.1, smooth_s: float = 0.3) -> DataFrame:
@@ -30,33 +31,32 @@ def population_matrix(spikes: DataFrame, width: float = 0.1, smooth_s: float = 0
 
 
 def waveform_metrics(samples: DataFrame, fs: float) -> DataFrame:
-    """On the channel with the largest swing, the time from the trough to the next peak and both half widths.
+    """On the channel with the largest swing (the first of equal ones), the time from the trough to the next peak and both half widths.
 
-    `samples` has session_id, unit_id, channel, sample, value. A group is one unit's mean waveform. Flat, short or
-    non-finite waveforms give null.
+    `samples` has session_id, unit_id, channel, sample, value. An array holds one channel's mean waveform. A half width
+    reaches from the trough (peak) to the nearest samples on either side that lack half of its depth (height). Flat,
+    short, ragged or non-finite waveforms give null.
     """
-
-    def width_at(v: np.ndarray, at: int, half: float, below: bool) -> float:
-        inside = v <= half if below else v >= half
-        a = b = at
-        while a > 0 and inside[a - 1]:
-            a -= 1
-        while b < len(v) - 1 and inside[b + 1]:
-            b += 1
-        return (b - a) / fs
-
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        grid = part.pivot_table(index="sample", columns="channel", values="value").to_numpy(float)
-        out = [None, None, None]
-        if len(grid) >= 4 and np.isfinite(grid).all():
-            v = grid[:, int((grid.max(0) - grid.min(0)).argmax())]
-            if v.max() > v.min():
-                trough = int(v.argmin())
-                peak = trough + int(v[trough:].argmax())
-                out = [(peak - trough) / fs, width_at(v, peak, v[peak] / 2, False) if v[peak] > 0 else None, width_at(v, trough, v[trough] / 2, True) if v[trough] < 0 else None]
-        return pd.DataFrame([[part["session_id"].iloc[0], part["unit_id"].iloc[0], *out]], columns=["session_id", "unit_id", "trough_to_peak_s", "peak_half_width_s", "trough_half_width_s"])
-
-    return samples.groupBy("session_id", "unit_id").applyInPandas(one, "session_id string, unit_id bigint, trough_to_peak_s double, peak_half_width_s double, trough_half_width_s double")
+    unit = ["session_id", "unit_id"]
+    lost = F.sum((~finite(F.col("value").cast("double"))).cast("int"))
+    values = F.transform(F.sort_array(F.collect_list(F.struct("sample", "value"))), lambda s: s["value"])
+    channels = samples.groupBy(*unit, "channel").agg(values.alias("v"), F.count("*").alias("n"), lost.alias("lost"), (F.max("value") - F.min("value")).alias("swing"))
+    whole = (F.sum("lost") == 0) & (F.min("n") == F.max("n")) & (F.min("n") >= 4) & (F.max("swing") > 0)
+    rows = channels.groupBy(*unit).agg(F.when(whole, F.min_by("v", F.struct(-F.col("swing"), "channel"))).alias("v"))
+    rows = rows.withColumn("low", F.expr("cast(array_position(v, array_min(v)) as int)")).withColumn("tail", F.expr("slice(v, low, size(v) - low + 1)"))
+    rows = rows.withColumn("high", F.expr("cast(low + array_position(tail, array_max(tail)) - 1 as int)")).withColumn("trough", F.expr("v[low - 1]")).withColumn("top", F.expr("v[high - 1]"))
+
+    def width(at: str, outside: str) -> Column:
+        left = f"coalesce(array_max(transform(v, (a, i) -> if(i < {at} - 1 and {outside}, i, null))), -1)"
+        right = f"coalesce(array_min(transform(v, (a, i) -> if(i > {at} - 1 and {outside}, i, null))), size(v))"
+        return F.expr(f"({right} - {left} - 2) / {float(fs)}D")
+
+    return rows.select(
+        *unit,
+        F.expr(f"(high - low) / {float(fs)}D").alias("trough_to_peak_s"),
+        F.when(F.col("top") > 0, width("high", "a < top / 2")).alias("peak_half_width_s"),
+        F.when(F.col("trough") < 0, width("low", "a > trough / 2")).alias("trough_half_width_s"),
+    )
 
 
 def wakefulness(rows: DataFrame, fs: float, muscle: int, field: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,45 @@ def emg_corr(rows: DataFrame, half: int) -> DataFrame:
     return rows.select(*keys).distinct().join(n, keys, "left").join(total, keys, "left").select(*keys, F.when(F.col("n") >= 2, (F.col("q") - F.col("n")) / (F.col("n") * (F.col("n") - 1))).otherwise(0.0).alias("emg"))
 
 
+#: Windows of a block whose channels meet in one task.
+BLOCK_WINDOWS = 64
+
+
+def emg_corr_chunks(chunks: DataFrame, size: int, half: int, windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """E7 from chunks (session_id, channel, chunk, v) of `size` samples: as `emg_corr`, without a row for each sample.
+
+    A block is so many windows of a session with all channels as a matrix; a chunk is sent to the blocks that its
+    samples reach, which is one or two unless blocks are shorter than chunks.
+    """
+    span = windows * half
+    lines = chunks.filter(F.size("v") > 0).select("session_id", "channel", (F.col("chunk") * size).alias("start"), F.col("v").cast("array<double>").alias("v"))
+    whole = lines.groupBy("session_id").agg(F.floor((F.max(F.col("start") + F.size("v") - 1) - 2 * half) / half).alias("last"))
+    first, to = F.greatest(F.lit(0), F.ceil((F.col("start") - 2 * half) / span - 1 + 1 / windows)), F.floor((F.col("start") + F.size("v") - 1) / span)
+    sent = lines.join(whole, "session_id").withColumn("to", F.least(to, F.floor(F.col("last") / windows))).filter(first <= F.col("to")).withColumn("block", F.explode(F.sequence(first, F.col("to")))).drop("to")
+
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        block, last = key[1].as_py(), table.column("last")[0].as_py()
+        channels, row = np.unique(table.column("channel").to_numpy(), return_inverse=True)
+        line = np.full((len(channels), span + 2 * half), np.nan)
+        for k, start, v in zip(row, table.column("start").to_pylist(), table.column("v")):
+            at, v = start - block * span, v.values.to_numpy(zero_copy_only=False)
+            low, high = max(0, at), min(line.shape[1], at + len(v))
+            if low < high:
+                line[k, low:high] = v[low - at : high - at]
+        out = []
+        for i in range(min(windows, last - block * windows + 1)):
+            part = line[:, i * half : i * half + 2 * half + 1]
+            there = np.isfinite(part)
+            d = np.where(there, part - (np.where(there, part, 0).sum(1) / np.maximum(1, there.sum(1)))[:, None], 0)
+            length = np.sqrt((d * d).sum(1))
+            u, n = d[length > 0] / length[length > 0, None], int((length > 0).sum())
+            if there.any():
+                out.append((block * windows + i, ((u.sum(0) ** 2).sum() - n) / (n * (n - 1)) if n >= 2 else 0.0))
+        return pa.table({"session_id": pa.array([key[0].as_py()] * len(out), pa.string()), "window": pa.array([i for i, _ in out], pa.int64()), "emg": pa.array([e for _, e in out], pa.float64())})
+
+    return sent.groupBy("session_id", "block").applyInArrow(one, "session_id string, window bigint, emg double")
+
+
 def welch(x: np.ndarray, fs: float, seconds: float = 2.0) -> tuple[np.ndarray, np.ndarray]:
     """Power spectral density by averaged Hann windows with half overlap, each without its mean."""
     n = min(len(x), max(2, int(seconds * fs)))

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from warren.operators.scan import block_of, scan
+from warren.operators.track import finite
+
 
 def within_trials(points: DataFrame, trials: DataFrame, width: float = 1.0, time: str = "t") -> DataFrame:
     """Points inside a trial's window, both ends included. Windows are dealt to time cells, so the join is by key."""
@@ -16,35 +23,18 @@ def within_trials(points: DataFrame, trials: DataFrame, width: float = 1.0, time
 def interp_at(points: DataFrame, track: DataFrame, columns=("x", "y"), lead: float = 0.0, outside: str = "null", time: str = "t", cell: float = 600.0) -> DataFrame:
     """The track's values at each point's time (plus a lead), by straight lines between samples.
 
-    Points and samples are united and dealt to cells of time, in which windows find each point's neighbours. What lies
-    beyond a cell comes from the first and last samples of the session's other cells, so no task holds a session.
-    Outside of the track: null, zero, or the nearest sample ("hold").
+    Points and samples are united and scanned over cells of time (`scan`), so no task holds a session. Samples sort
+    before points of the same time. Outside of the track: null, zero, or the nearest sample ("hold").
     """
     own = points.columns
     left = points.withColumn("__t", F.col(time) + lead).withColumn("__p", F.lit(1))
     right = track.select("session_id", F.col("seconds").alias("__t"), F.lit(0).alias("__p"), *[F.col(c).alias(f"__{c}") for c in columns])
-    cells = F.when(F.isnan("__t"), F.lit(1 << 62)).otherwise(F.floor(F.col("__t") / cell))  # NaN sorts last, null first
-    both = left.unionByName(right, allowMissingColumns=True).withColumn("__cell", cells)
+    both = left.unionByName(right, allowMissingColumns=True)
     found = {"t": F.when(F.col("__p") == 0, F.col("__t"))} | {c: F.col(f"__{c}") for c in columns}
-    # samples sort before points of the same time on the way forward, and after them on the way back
-    keys = ["session_id", "__cell"]
-    back = Window.partitionBy(*keys).orderBy("__t", "__p").rowsBetween(Window.unboundedPreceding, 0)
-    on = Window.partitionBy(*keys).orderBy("__t", F.desc("__p")).rowsBetween(0, Window.unboundedFollowing)
-    sampled = lambda of: F.when(of.isNotNull(), F.col("__t"))
-    ends = both.groupBy(*keys).agg(*[f(of, sampled(of)).alias(f"__{way}{c}") for c, of in found.items() for f, way in ((F.max_by, "a"), (F.min_by, "b"))])
-    over = Window.partitionBy("session_id").orderBy("__cell")
-    before, after = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing)
-    beyond = ends.select(
-        F.col("session_id").alias("__session"), F.col("__cell").alias("__of"),
-        *[F.last(f"__a{c}", ignorenulls=True).over(before).alias(f"__a{c}") for c in found], *[F.first(f"__b{c}", ignorenulls=True).over(after).alias(f"__b{c}") for c in found],
-    )
-    rows = both.join(beyond, F.col("session_id").eqNullSafe(F.col("__session")) & F.col("__cell").eqNullSafe(F.col("__of")))
-    for c, of in found.items():
-        rows = rows.withColumn(f"__0{c}", F.coalesce(F.last(of, ignorenulls=True).over(back), f"__a{c}")).withColumn(f"__1{c}", F.coalesce(F.first(of, ignorenulls=True).over(on), f"__b{c}"))
-    rows = rows.withColumn("__t0", F.col("__0t")).withColumn("__t1", F.col("__1t"))
+    rows = scan(both, ["session_id"], ["__t", "__p"], block_of("__t", cell), last={f"__0{c}": of for c, of in found.items()}, next={f"__1{c}": of for c, of in found.items()})
     miss = {"null": lambda c: F.lit(None).cast("double"), "zero": lambda c: F.lit(0.0), "hold": lambda c: F.coalesce(f"__0{c}", f"__1{c}")}[outside]
-    share = (F.col("__t") - F.col("__t0")) / (F.col("__t1") - F.col("__t0"))
-    value = lambda c: F.when(F.col("__t0").isNull() | F.col("__t1").isNull(), miss(c)).when(F.col("__t1") == F.col("__t0"), F.col(f"__0{c}")).otherwise(F.col(f"__0{c}") + (F.col(f"__1{c}") - F.col(f"__0{c}")) * share)
+    share = (F.col("__t") - F.col("__0t")) / (F.col("__1t") - F.col("__0t"))
+    value = lambda c: F.when(F.col("__0t") == F.col("__t"), F.col(f"__0{c}")).when(F.col("__0t").isNull() | F.col("__1t").isNull(), miss(c)).otherwise(F.col(f"__0{c}") + (F.col(f"__1{c}") - F.col(f"__0{c}")) * share)
     return rows.filter("__p = 1").select(*own, *[value(c).alias(c) for c in columns])
 
 
@@ -71,11 +61,47 @@ def spike_lags(spikes: DataFrame, window: float) -> DataFrame:
 
 
 def acg(spikes: DataFrame, window: float, bins: int) -> DataFrame:
-    """A unit's autocorrelogram over equal bins of [-window, window], empty bins included."""
+    """A unit's autocorrelogram over equal bins of [-window, window], empty bins included.
+
+    Units stream through tasks in order of time. A sweep meets each spike with those up to a window before it, so a task
+    holds a batch, the last window's spikes and one histogram, and no pair becomes a row. Spikes at one time have no lag.
+    """
     width = 2 * window / bins
-    counted = spike_lags(spikes, window).withColumn("bin", F.least(F.floor((F.col("lag") + window) / width), F.lit(bins - 1)).cast("int")).groupBy("session_id", "unit_id", "bin").agg(F.count("*").alias("n"))
-    grid = spikes.select("session_id", "unit_id").distinct().select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return grid.join(counted, ["session_id", "unit_id", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    kinds = dict(spikes.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, late, counts, unit_kind = None, np.empty(0), np.zeros(bins, np.int64), None
+
+        def given() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * bins, pa.string()), pa.array([key[1]] * bins, unit_kind), pa.array(range(bins), pa.int32()), pa.array(counts)], names=["session_id", "unit_id", "bin", "n"])
+
+        for b in batches:
+            unit_kind, times = b.column("unit_id").type, b.column("t").to_numpy(zero_copy_only=False)
+            names = list(zip(b.column("session_id").to_pylist(), b.column("unit_id").to_pylist()))
+            cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+            for low, high in zip(cuts, cuts[1:]):
+                if low == high:
+                    continue
+                if names[low] != key:
+                    if key is not None:
+                        yield given()
+                    key, late, counts = names[low], np.empty(0), np.zeros(bins, np.int64)
+                t = np.concatenate((late, times[low:high]))
+                at = np.arange(len(late), len(t))
+                for back in range(1, len(t)):
+                    at = at[at >= back]
+                    lag = t[at] - t[at - back]
+                    at, lag = at[lag <= window], lag[lag <= window]
+                    if not len(at):
+                        break
+                    for d in (lag[lag > 0], -lag[lag > 0]):
+                        counts += np.bincount(np.minimum(np.floor((d + window) / width), bins - 1).astype(np.int64), minlength=bins)
+                late = t[t >= t[-1] - window]
+        if key is not None:
+            yield given()
+
+    dealt = spikes.select("session_id", "unit_id", F.col("t").cast("double").alias("t")).filter("t is not null").repartition("session_id", "unit_id").sortWithinPartitions("session_id", "unit_id", "t")
+    return dealt.mapInArrow(run, f"session_id string, unit_id {kinds['unit_id']}, bin int, n bigint")
 
 
 def amplitudes(spikes: DataFrame) -> DataFrame:
@@ -98,14 +124,16 @@ def quality_label() -> Column:
 
 
 def cell_type() -> Column:
-    """A null trough-to-peak time is neither narrow nor wide."""
-    t2p, narrow = F.col("trough_to_peak_s"), 0.000425
-    return F.when((F.col("firing_rate_hz") > 10) | (t2p <= narrow) | ((t2p > narrow) & (F.col("acg_tau_rise_ms") > 6)), "interneuron").otherwise("pyramidal")
+    """A trough-to-peak time that is null or not finite is neither narrow nor wide."""
+    t2p, tau, narrow = F.col("trough_to_peak_s"), F.col("acg_tau_rise_ms"), 0.000425
+    slow = finite(t2p) & (t2p > narrow) & finite(tau) & (tau > 6)
+    return F.when((F.col("firing_rate_hz") > 10) | (finite(t2p) & (t2p <= narrow)) | slow, "interneuron").otherwise("pyramidal")
 
 
 def subtype() -> Column:
-    """N6."""
-    return F.when(cell_type() == "pyramidal", "pyramidal").when(F.col("trough_to_peak_s") > 0.000425, "wide interneuron").otherwise("narrow interneuron")
+    """An interneuron is narrow by a finite trough-to-peak time, else wide."""
+    t2p = F.col("trough_to_peak_s")
+    return F.when(cell_type() == "pyramidal", "pyramidal").when(finite(t2p) & (t2p <= 0.000425), "narrow interneuron").otherwise("wide interneuron")
 
 
 def resolve_label(units: DataFrame, manual: DataFrame, automatic: DataFrame) -> DataFrame:
@@ -165,8 +193,6 @@ def dedupe_spikes(spikes: DataFrame, gap: float = 0.0003) -> DataFrame:
 
     Each choice depends on the last, so units stream through tasks in order of time; a task holds a batch and a time.
     """
-    import numpy as np
-
     def run(batches):
         unit, last = None, -np.inf
         for rows in batches:

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from warren.operators import maps
 from warren.operators.spikes import acg, assign_fold, interp_at, within_trials
-from warren.operators.track import HEIGHT_M, WIDTH_M, step_speed
+from warren.operators.track import HEIGHT_M, WIDTH_M, run_epochs, step_speed
 
+#: Fixed value: the speed in metres a second above which the animal runs.
+RUN_SPEED = 0.05
 UNIT = ["session_id", "unit_id"]
 
 
@@ -43,29 +45,31 @@ def time_counts(spikes: DataFrame, bins: DataFrame, width: float) -> DataFrame:
     return bins.select("session_id", "bin").join(counted, ["session_id", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-def decode_leads(track: DataFrame, spikes: DataFrame, leads: tuple[float, ...] = (0.0, 1.0, 3.0), qualities: dict[str, tuple[str, ...]] | None = None, folds: int = 5, width: float = 0.5, nx: int = 18, ny: int = 10, sigma: float = 1.0, least_s: float = 0.3) -> DataFrame:
+def decode_leads(track: DataFrame, spikes: DataFrame, leads: tuple[float, ...] = (0.0, 1.0, 3.0), qualities: dict[str, tuple[str, ...]] | None = None, folds: int = 5, width: float = 0.5, nx: int = 18, ny: int = 10, sigma: float = 1.0, least_s: float = 0.3, threshold: float = RUN_SPEED) -> DataFrame:
     """U6, DE7: decoded positions of every lead and set of units in one job, cross-validated.
 
     `spikes` has session_id, unit_id, label, t. Each lead, set and fold is a session of its own to the maps: curves
     are those of the other folds' bins, and the fold's bins are decoded with them. The position meant is that of the
-    bin's middle plus the lead; bins without one are left out.
+    bin's middle plus the lead; bins without one are left out. Only samples, spikes and bins (by their mean) faster than
+    `threshold` count; zero disables the gate.
     """
     sets = qualities or {"good": ("good",), "good_mua": ("good", "mua")}
-    known = track.filter("x is not null and y is not null")
+    known = step_speed(track.filter("x is not null and y is not null"), ("session_id",))
     bin_of = lambda c: F.floor(F.col(c) / width)
-    bins = assign_fold(known.select("session_id", bin_of("seconds").alias("bin")).distinct(), folds)
+    bins = assign_fold(run_bins(known, width, threshold).drop("speed"), folds)
     case = lambda fold: F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string"), fold.cast("string")).alias("session_id")
     grid = F.explode(F.array(*[F.struct(F.lit(x).alias("lead"), F.lit(q).alias("quality")) for x in leads for q in sets]))
     train = F.explode(F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col("fold")))
-    samples = known.withColumn("bin", bin_of("seconds")).join(bins, ["session_id", "bin"])
+    samples = known.withColumn("bin", bin_of("seconds")).join(assign_fold(known.select("session_id", bin_of("seconds").alias("bin")).distinct(), folds), ["session_id", "bin"])
     at = lambda df: df.select("*", grid.alias("c")).select("*", "c.lead", "c.quality").drop("c")
     # curves: samples and spikes of the training bins, the spikes where the animal is a lead later
-    own = at(samples).withColumn("f", train).select(case(F.col("f")), "seconds", "x", "y")
+    own = at(run_epochs(samples, threshold)).withColumn("f", train).select(case(F.col("f")), "seconds", "x", "y")
     labelled = at(spikes).filter(F.array_contains(F.element_at(F.create_map(*[v for q, k in sets.items() for v in (F.lit(q), F.array(*map(F.lit, k)))]), F.col("quality")), F.col("label")))
     later = labelled.withColumn("bin", bin_of("t")).withColumn("t", F.col("t") + F.col("lead"))
-    placed = interp_at(later, known).filter("x is not null").join(bins, ["session_id", "bin"]).withColumn("f", train).select(case(F.col("f")), "unit_id", "x", "y")
+    placed = run_epochs(interp_at(later, known, ("x", "y", "speed")).filter("x is not null"), threshold).join(bins, ["session_id", "bin"]).withColumn("f", train).select(case(F.col("f")), "unit_id", "x", "y")
     every = labelled.select("session_id", "unit_id", "lead", "quality").distinct().withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).select(case(F.col("f")), "unit_id")
-    curves = maps.placed_rates(own, placed, every, nx, ny, sigma, maps.sample_s(own), maps.CURVE_HZ)
+    usual = maps.sample_s(known).withColumnRenamed("session_id", "__s").join(every.select("session_id").distinct(), F.substring_index("session_id", "|", 1) == F.col("__s")).select("session_id", "dt")
+    curves = maps.placed_rates(own, placed, every, nx, ny, sigma, usual, maps.CURVE_HZ)
     # the bins of the fold itself
     tested = at(bins)
     counts = time_counts(labelled.select("session_id", "unit_id", "t", "lead", "quality").select(F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string")).alias("session_id"), "unit_id", "t"), tested.select(F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string")).alias("session_id"), "bin"), width)
@@ -79,6 +83,49 @@ def decode_leads(track: DataFrame, spikes: DataFrame, leads: tuple[float, ...] =
     return out.select("session_id", "lead", "quality", "bin", "x", "y", "decoded_x", "decoded_y", F.hypot(F.col("decoded_x") - F.col("x"), F.col("decoded_y") - F.col("y")).alias("err"))
 
 
+def run_bins(known: DataFrame, width: float, threshold: float = RUN_SPEED) -> DataFrame:
+    """(session_id, bin, speed): the tracked bins of clock time whose mean speed is above the threshold, or all."""
+    return run_epochs(known.groupBy("session_id", F.floor(F.col("seconds") / width).alias("bin")).agg(F.avg("speed").alias("speed")), threshold)
+
+
+def turned(spikes: DataFrame, track: DataFrame, replicates: int, low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """DE3: `replicates` copies of every train (rep), each unit's turned by its own share of the track's span.
+
+    The share lies between `low` and `high` by a hash of session, unit and rep, so runs agree.
+    """
+    span = track.groupBy("session_id").agg(F.min("seconds").alias("__a"), (F.max("seconds") - F.min("seconds")).alias("__T"))
+    copies = spikes.join(span, "session_id").withColumn("__T", F.when(F.col("__T") > 0, F.col("__T")).otherwise(1.0)).withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", "session_id", F.col("unit_id").cast("string"), F.col("rep").cast("string"))), 1, 8), 16, 10).cast("double") / 4294967296.0
+    by = (F.lit(low) + (high - low) * draw) * F.col("__T")
+    return copies.withColumn("t", F.col("__a") + F.pmod(F.col("t") - F.col("__a") + by, F.col("__T"))).drop("__a", "__T")
+
+
+def shuffle_null(track: DataFrame, spikes: DataFrame, leads: tuple[float, ...] = (0.0, 1.0, 3.0), replicates: int = 20, width: float = 0.5, nx: int = 18, ny: int = 10, sigma: float = 1.0, least_s: float = 0.3, threshold: float = RUN_SPEED) -> DataFrame:
+    """DE3, DE10: (session_id, lead, rep, bin, speed, neural): errors of decoding turned trains, all leads and replicates in one job.
+
+    Curves are fitted to a replicate's own turned spikes and decode all of its bins, as the rule has it. A unit of each
+    lead and replicate is a unit of its own to the maps, so the time spent in cells is counted and smoothed once.
+    """
+    known = step_speed(track.filter("x is not null and y is not null"), ("session_id",))
+    grid = F.explode(F.array(*map(F.lit, leads)))
+    shifted = turned(spikes.select("session_id", "unit_id", "t"), known, replicates).withColumn("lead", grid)
+    unit = F.concat_ws("|", F.col("lead").cast("string"), F.col("rep").cast("string"), F.col("unit_id").cast("string")).alias("unit_id")
+    case = F.concat_ws("|", "session_id", F.col("lead").cast("string"), F.col("rep").cast("string")).alias("session_id")
+    at = shifted.select("session_id", unit, (F.col("t") + F.col("lead")).alias("t"))
+    placed = run_epochs(interp_at(at, known, ("x", "y", "speed")).filter("x is not null"), threshold)
+    curves = maps.placed_rates(run_epochs(known, threshold), placed, shifted.select("session_id", unit).distinct(), nx, ny, sigma, maps.sample_s(known), maps.CURVE_HZ)
+    part = F.split("unit_id", r"\|")
+    curves = curves.select(F.concat_ws("|", "session_id", part[0], part[1]).alias("session_id"), part[2].cast("bigint").alias("unit_id"), "bx", "by", "occupied_s", "rate")
+    bins = run_bins(known, width, threshold).withColumn("lead", grid)
+    meant = interp_at(bins.withColumn("t", (F.col("bin") + 0.5) * width + F.col("lead")), known).filter("x is not null and y is not null")
+    tested = meant.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    counts = time_counts(shifted.select(case, F.col("unit_id").cast("bigint").alias("unit_id"), "t"), tested.select(case, "bin"), width)
+    decoded = maps.decode(counts, curves, width, least_s).withColumnRenamed("session_id", "key")
+    out = tested.withColumn("key", case).join(decoded, ["key", "bin"])
+    err = F.hypot((F.col("bx") + 0.5) * (WIDTH_M / nx) - F.col("x"), (F.col("by") + 0.5) * (HEIGHT_M / ny) - F.col("y"))
+    return out.select("session_id", "lead", "rep", "bin", "speed", err.alias("neural"))
+
+
 def lead_summary(decoded: DataFrame) -> DataFrame:
     """DE7: errors of each lead and set of units, and how decoded and actual positions go together by axis."""
     together = lambda a: F.when((F.var_pop(a) > 0) & (F.var_pop(f"decoded_{a}") > 0), F.covar_pop(a, f"decoded_{a}") / F.sqrt(F.var_pop(a) * F.var_pop(f"decoded_{a}"))).alias(f"r_{a}")

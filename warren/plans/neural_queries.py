@@ -9,6 +9,7 @@ from warren.operators import led as D
 from warren.operators import maps as M
 from warren.operators import population as N
 from warren.operators import recording as R
+from warren.operators import recursion as B
 from warren.operators import signals as E
 from warren.operators import spikes as P
 from warren.operators import stats as C
@@ -45,7 +46,7 @@ def pulses(fx):
 
 query("j5_within_trials", f"SELECT s.session_id, unit_id, round(t, 6) AS t, trial_num FROM fx_spikes s JOIN {WINDOWS} w ON w.session_id = s.session_id AND t BETWEEN t0 AND t1")(lambda fx: P.within_trials(fx("fx_spikes"), T.trial_windows(fx("fx_track"))).select("session_id", "unit_id", "t", "trial_num"))
 query("j6_interp_at", f"WITH {INTERP} SELECT session_id, unit_id, round(t, 6) AS t, round(x, 6) AS x, round(y, 6) AS y FROM q")(lambda fx: P.interp_at(fx("fx_spikes"), known(fx)))
-query("j7_upsample_hold")(lambda fx: P.interp_at(fx("fx_spikes"), known(fx), ("x",), outside="hold"))
+query("j7_upsample_hold", f"WITH {INTERP} SELECT q.session_id, q.unit_id, round(q.t, 6) AS t, round(coalesce(q.x, p.x0, p.x1), 6) AS x FROM (SELECT *, row_number() OVER (ORDER BY session_id, unit_id, t) AS r FROM q) q JOIN (SELECT *, row_number() OVER (ORDER BY session_id, unit_id, t) AS r FROM p) p ON p.r = q.r")(lambda fx: P.interp_at(fx("fx_spikes"), known(fx), ("x",), outside="hold"))
 query("n17_spikes_on_path", f"WITH {INTERP} SELECT q.session_id, unit_id, round(t, 6) AS t, trial_num, round(x, 6) AS x, round(y, 6) AS y FROM q JOIN {WINDOWS} w ON w.session_id = q.session_id AND t BETWEEN t0 AND t1 WHERE x IS NOT NULL")(lambda fx: P.interp_at(P.within_trials(fx("fx_spikes"), T.trial_windows(fx("fx_track"))), known(fx)).filter("x is not null").select("session_id", "unit_id", "t", "trial_num", "x", "y"))
 query("a5_spike_counts", """WITH b AS (SELECT session_id, min(t) AS t0, greatest(ceil((max(t) - min(t)) / 0.5), 1)::BIGINT AS n FROM fx_spikes GROUP BY 1), g AS (SELECT DISTINCT s.session_id, unit_id, unnest(range(n)) AS bin FROM fx_spikes s JOIN b USING (session_id)),
 c AS (SELECT s.session_id, unit_id, least(floor((t - t0) / 0.5)::BIGINT, n - 1) AS bin, count(*) AS n FROM fx_spikes s JOIN b USING (session_id) GROUP BY 1, 2, 3) SELECT g.session_id, g.unit_id, g.bin, coalesce(c.n, 0) AS n FROM g LEFT JOIN c USING (session_id, unit_id, bin)""")(lambda fx: P.spike_counts(fx("fx_spikes"), 0.5))
@@ -53,10 +54,12 @@ query("a6_bin_position", "SELECT session_id, floor(seconds / 0.5)::BIGINT AS bin
 query("j14_spike_lags", "SELECT a.session_id, a.unit_id, round(a.t, 6) AS t, round(b.t - a.t, 6) AS lag FROM fx_spikes a JOIN fx_spikes b ON a.session_id = b.session_id AND a.unit_id = b.unit_id AND abs(b.t - a.t) <= 0.5 AND a.t <> b.t")(lambda fx: P.spike_lags(fx("fx_spikes"), 0.5))
 query("n3_acg", """WITH l AS (SELECT a.session_id, a.unit_id, b.t - a.t AS lag FROM fx_spikes a JOIN fx_spikes b ON a.session_id = b.session_id AND a.unit_id = b.unit_id AND abs(b.t - a.t) <= 0.05 AND a.t <> b.t), c AS (SELECT session_id, unit_id, least(floor((lag + 0.05) / (2 * 0.05 / 200)), 199)::INT AS bin, count(*) AS n FROM l GROUP BY 1, 2, 3)
 SELECT g.session_id, g.unit_id, g.bin, coalesce(n, 0) AS n FROM (SELECT DISTINCT session_id, unit_id, unnest(range(200))::INT AS bin FROM fx_spikes) g LEFT JOIN c USING (session_id, unit_id, bin)""")(lambda fx: P.acg(fx("fx_spikes"), 0.05, 200))
+query("a9_lag_histogram", """WITH l AS (SELECT a.session_id, a.unit_id, b.t - a.t AS lag FROM fx_spikes a JOIN fx_spikes b ON a.session_id = b.session_id AND a.unit_id = b.unit_id AND abs(b.t - a.t) <= 0.5 AND a.t <> b.t), c AS (SELECT session_id, unit_id, least(floor((lag + 0.5) / (2 * 0.5 / 64)), 63)::INT AS bin, count(*) AS n FROM l GROUP BY 1, 2, 3)
+SELECT g.session_id, g.unit_id, g.bin, coalesce(n, 0) AS n FROM (SELECT DISTINCT session_id, unit_id, unnest(range(64))::INT AS bin FROM fx_spikes) g LEFT JOIN c USING (session_id, unit_id, bin)""")(lambda fx: P.acg(fx("fx_spikes"), 0.5, 64))
 query("a15_firing_rate", "SELECT session_id, unit_id, n, round(duration, 6) AS duration, round(n / duration, 6) AS rate FROM (SELECT session_id, unit_id, count(*) AS n FROM fx_spikes GROUP BY 1, 2) JOIN (SELECT session_id, greatest(max(t), 1.0) AS duration FROM fx_spikes GROUP BY 1) USING (session_id)")(lambda fx: P.firing_rate(fx("fx_spikes")))
 query("n1_quality_label", f"SELECT session_id, unit_id, {LABEL} AS label FROM fx_units")(lambda fx: units(fx).select("session_id", "unit_id", "label"))
 query("n5_cell_type", f"SELECT session_id, unit_id, {TYPE} AS type FROM fx_units")(lambda fx: units(fx).select("session_id", "unit_id", "type"))
-query("n6_subtype", f"SELECT session_id, unit_id, CASE WHEN {TYPE} = 'pyramidal' THEN 'pyramidal' WHEN trough_to_peak_s > 0.000425 THEN 'wide interneuron' ELSE 'narrow interneuron' END AS subtype FROM fx_units")(lambda fx: fx("fx_units").select("session_id", "unit_id", P.subtype().alias("subtype")))
+query("n6_subtype", f"SELECT session_id, unit_id, CASE WHEN {TYPE} = 'pyramidal' THEN 'pyramidal' WHEN trough_to_peak_s <= 0.000425 THEN 'narrow interneuron' ELSE 'wide interneuron' END AS subtype FROM fx_units")(lambda fx: fx("fx_units").select("session_id", "unit_id", P.subtype().alias("subtype")))
 query("j19_resolve_label", "SELECT session_id, unit_id, CASE WHEN unit_id % 3 = 0 THEN 'manual' WHEN unit_id % 2 = 0 THEN 'auto' ELSE 'unsorted' END AS label FROM fx_units")(lambda fx: P.resolve_label(fx("fx_units").select("session_id", "unit_id"), fx("fx_units").filter("unit_id % 3 = 0").select("session_id", "unit_id", F.lit("manual").alias("label")), fx("fx_units").filter("unit_id % 2 = 0").select("session_id", "unit_id", F.lit("auto").alias("label"))))
 query("a14_unit_counts", f"SELECT session_id, count(*) FILTER ({LABEL} = 'good') AS good, count(*) FILTER ({LABEL} = 'mua') AS mua, count(*) FILTER ({TYPE} = 'pyramidal') AS pyramidal, count(*) FILTER ({TYPE} = 'interneuron') AS interneuron FROM fx_units GROUP BY 1")(lambda fx: P.unit_counts(units(fx)))
 query("p10_select_units", f"SELECT session_id, unit_id FROM fx_units WHERE {LABEL} IN ('good', 'mua')")(lambda fx: P.select_units(units(fx), ("good", "mua")).select("session_id", "unit_id"))
@@ -64,7 +67,8 @@ query("w18_rate_rank", "SELECT session_id, unit_id, CAST(row_number() OVER w - 1
 query("t2_top_units", "SELECT session_id, unit_id, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY acg_tau_rise_ms DESC NULLS LAST, unit_id) AS r FROM fx_units) WHERE r <= 5")(lambda fx: P.top_units(fx("fx_units"), "acg_tau_rise_ms", 5).select("session_id", "unit_id", "rank"))
 query("t10_cap_sample", "SELECT session_id, unit_id, event_id FROM (SELECT concat('s', user_id) AS session_id, CAST(event_id % 3 AS INT) AS unit_id, event_id, row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY md5(CAST(event_id AS VARCHAR)), event_id) AS r FROM events) WHERE r <= 5")(lambda fx: P.cap_sample(fx("events").select(F.concat(F.lit("s"), "user_id").alias("session_id"), (F.col("event_id") % 3).cast("int").alias("unit_id"), "event_id"), 5, "event_id"))
 query("n10_score", f"WITH {STEPS} SELECT session_id, count(*) AS n, CASE WHEN count(*) >= 5 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN round(corr(x, y), 6) END AS r, CASE WHEN count(*) >= 5 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN round(regr_slope(y, x), 6) END AS slope, CASE WHEN count(*) >= 5 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN round(regr_intercept(y, x), 6) END AS intercept FROM v GROUP BY 1")(lambda fx: P.score(T.tracked(fx("fx_track")), "x", "y", ["session_id"]))
-query("n11_speed_tuning")(lambda fx: P.speed_tuning(T.step_speed(T.tracked(fx("fx_track"))).withColumn("rate", F.col("x"))))
+query("n11_speed_tuning", f"""WITH {STEPS}, c AS (SELECT session_id, x AS rate, unnest(range(greatest(CAST(ceil((speed - 0.06) / 0.04 - 1e-9) AS BIGINT), 0), least(CAST(floor((speed + 0.06) / 0.04 + 1e-9) AS BIGINT), 15) + 1)) AS centre FROM v)
+SELECT session_id, centre, round(quantile_cont(rate, 0.25), 6) AS q25, round(quantile_cont(rate, 0.5), 6) AS q50, round(quantile_cont(rate, 0.75), 6) AS q75 FROM c GROUP BY 1, 2""")(lambda fx: P.speed_tuning(T.step_speed(T.tracked(fx("fx_track"))).withColumn("rate", F.col("x"))))
 query("n16_dedupe_spikes")(lambda fx: P.dedupe_spikes(fx("fx_spikes"), 0.05))
 query("de1_time_bins", """WITH s AS (SELECT session_id, min(seconds) AS a, floor((max(seconds) - min(seconds)) / 0.1)::BIGINT + 1 AS n FROM fx_track WHERE x IS NOT NULL GROUP BY 1) SELECT session_id, CAST(bin AS INT) AS bin, round(a + bin * 0.1, 6) AS start FROM (SELECT session_id, a, unnest(range(n)) AS bin FROM s WHERE n >= 10)""")(lambda fx: P.time_bins(fx("fx_track"), 0.1))
 query("de2_assign_fold", "SELECT session_id, bin, CAST(CAST(concat('0x', substr(md5(concat(session_id, ':', bin)), 1, 8)) AS BIGINT) % 5 AS INT) AS fold FROM (SELECT DISTINCT session_id, floor(seconds / 0.5)::BIGINT AS bin FROM fx_track)")(lambda fx: P.assign_fold(fx("fx_track").select("session_id", F.floor(F.col("seconds") / 0.5).alias("bin")).distinct(), 5))
@@ -87,22 +91,29 @@ r AS (SELECT u.session_id, u.unit_id, o.bx, o.cy, occupied_s, coalesce(n, 0) / o
 query("m1_rate_map", RATES + ' SELECT session_id, unit_id, bx, cy AS "by", round(occupied_s, 4) AS occupied_s, round(rate, 4) AS rate FROM r', 4)(curves)
 query("m3_spatial_info", RATES + ", pp AS (SELECT *, occupied_s / sum(occupied_s) OVER w AS p FROM r WINDOW w AS (PARTITION BY session_id, unit_id)), k AS (SELECT *, sum(p * rate) OVER (PARTITION BY session_id, unit_id) AS mean FROM pp) SELECT session_id, unit_id, CASE WHEN max(mean) > 0 THEN round(sum(CASE WHEN rate > 0 THEN p * rate / mean * log2(rate / mean) ELSE 0 END), 6) END AS information, CASE WHEN max(mean) > 0 THEN round(max(rate) / max(mean), 6) END AS selectivity, round(max(rate), 6) AS peak FROM k GROUP BY 1, 2", 6)(lambda fx: M.spatial_info(curves(fx)))
 query("m2_gauss_smooth")(lambda fx: curves(fx, 1.0))
-query("m4_place_fields")(lambda fx: M.place_fields(curves(fx, 1.0), 2))
-query("m5_field_metrics")(lambda fx: M.field_metrics(M.place_fields(curves(fx, 1.0), 2), fx("fx_track").select("session_id").distinct().withColumn("goal_bx", F.lit(9.0)).withColumn("goal_by", F.lit(5.0))))
+query("m4_place_fields")(lambda fx: M.place_fields(curves(fx, 1.0)))
+query("m4_small_fields")(lambda fx: M.place_fields(curves(fx, 1.0), 2))  # a fixture's sessions are short, so few fields reach six cells
+query("m5_field_metrics")(lambda fx: (lambda rates: M.field_metrics(M.place_fields(rates, 2), fx("fx_track").select("session_id").distinct().withColumn("goal_x", F.lit(4.5)).withColumn("goal_y", F.lit(2.5)), rates))(curves(fx, 1.0)))
 query("de4_tuning_curves", RATES + ' SELECT session_id, unit_id, bx, cy AS "by", round(occupied_s, 4) AS occupied_s, round(CASE WHEN occupied_s > 1e-3 THEN least(rate, 50.0) ELSE 0.0 END, 4) AS rate FROM r', 4)(lambda fx: tuned(fx, 0.0))
 query("de5_decode")(lambda fx: M.decode(P.spike_counts(fx("fx_spikes"), 0.5), tuned(fx), 0.5, 0.03))
 query("de6_decode_error")(lambda fx: (lambda at: M.decode_error(M.decode(U.time_counts(fx("fx_spikes"), at, 0.5), tuned(fx), 0.5, 0.03), at))(P.bin_position(fx("fx_track"), 0.5)))
 
 
 def later(fx, lead=0.1):
-    rows = T.step_speed(known(fx), ("session_id",)).withColumn("bx", T.clipped_bin(F.col("x"), 0.0, 9.0, 18)).withColumn("by", T.clipped_bin(F.col("y"), 0.0, 5.0, 10)).withColumn("heading", F.pmod("frame_index", F.lit(8)).cast("int"))
+    rows = T.velocity(known(fx), ("session_id",)).withColumn("bx", T.clipped_bin(F.col("x"), 0.0, 9.0, 18)).withColumn("by", T.clipped_bin(F.col("y"), 0.0, 5.0, 10)).withColumn("heading", S.heading_bin(F.col("vx"), F.col("vy")))
     rows = rows.withColumn("t", F.col("seconds"))
     ahead = P.interp_at(rows.select("session_id", "frame_index", "t"), known(fx), lead=lead).select("session_id", "frame_index", F.col("x").alias("later_x"), F.col("y").alias("later_y"))
     return rows.join(ahead, ["session_id", "frame_index"]).filter("later_x is not null")
 
 
-query("de8_behaviour_predict")(lambda fx: M.behaviour_predict(later(fx)).select("session_id", "frame_index", "predicted_x", "predicted_y"))
-query("de9_kinematic_baselines")(lambda fx: M.kinematic_baselines(later(fx).withColumn("vx", F.col("speed")).withColumn("vy", F.lit(0.0)), 0.1).select("session_id", "frame_index", "stay_err", "steady_err"))
+LATER = """k AS (SELECT * FROM fx_track WHERE x IS NOT NULL), st AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lead(x) OVER w AS nx, lead(y) OVER w AS ny, seconds - lag(seconds) OVER w AS a, lead(seconds) OVER w - seconds AS b FROM k WINDOW w AS (PARTITION BY session_id ORDER BY seconds)),
+ve AS (SELECT *, CASE WHEN px IS NULL AND nx IS NULL THEN 0.0 WHEN px IS NULL THEN (nx - x) / b WHEN nx IS NULL THEN (x - px) / a ELSE (a * a * nx + (b * b - a * a) * x - b * b * px) / (a * b * (a + b)) END AS vx, CASE WHEN py IS NULL AND ny IS NULL THEN 0.0 WHEN py IS NULL THEN (ny - y) / b WHEN ny IS NULL THEN (y - py) / a ELSE (a * a * ny + (b * b - a * a) * y - b * b * py) / (a * b * (a + b)) END AS vy FROM st),
+sp AS (SELECT *, least(greatest(CAST(floor(x / 9.0 * 18) AS INT), 0), 17) AS bx, least(greatest(CAST(floor(y / 5.0 * 10) AS INT), 0), 9) AS cy, CAST(least(floor((atan2(vy, vx) + pi()) / (2 * pi()) * 8), 7) AS INT) AS heading FROM ve),
+la AS (SELECT s.*, a.seconds AS t0, b.seconds AS t1, a.x AS x0, b.x AS x1, a.y AS y0, b.y AS y1 FROM (SELECT *, seconds + 0.1 AS t FROM sp) s ASOF LEFT JOIN k a ON a.session_id = s.session_id AND s.t >= a.seconds ASOF LEFT JOIN k b ON b.session_id = s.session_id AND s.t <= b.seconds),
+lt AS (SELECT *, CASE WHEN t1 = t0 THEN x0 ELSE x0 + (x1 - x0) * (t - t0) / (t1 - t0) END AS later_x, CASE WHEN t1 = t0 THEN y0 ELSE y0 + (y1 - y0) * (t - t0) / (t1 - t0) END AS later_y FROM la)"""
+query("de8_behaviour_predict", f"""WITH {LATER}, o AS (SELECT * FROM lt WHERE later_x IS NOT NULL), w AS (SELECT *, count(*) OVER a AS n1, avg(later_x) OVER a AS x_1, avg(later_y) OVER a AS y_1, count(*) OVER b AS n2, avg(later_x) OVER b AS x_2, avg(later_y) OVER b AS y_2, avg(later_x) OVER c AS x_3, avg(later_y) OVER c AS y_3 FROM o WINDOW a AS (PARTITION BY session_id, bx, cy, heading), b AS (PARTITION BY session_id, bx, cy), c AS (PARTITION BY session_id))
+SELECT session_id, frame_index, round(CASE WHEN n1 >= 3 THEN x_1 WHEN n2 >= 3 THEN x_2 ELSE x_3 END, 7) AS predicted_x, round(CASE WHEN n1 >= 3 THEN y_1 WHEN n2 >= 3 THEN y_2 ELSE y_3 END, 7) AS predicted_y FROM w""", 7)(lambda fx: M.behaviour_predict(later(fx)).select("session_id", "frame_index", "predicted_x", "predicted_y"))
+query("de9_kinematic_baselines", f"WITH {LATER} SELECT session_id, frame_index, round(sqrt((later_x - x) ** 2 + (later_y - y) ** 2), 5) AS stay_err, round(sqrt((later_x - x - vx * 0.1) ** 2 + (later_y - y - vy * 0.1) ** 2), 5) AS steady_err FROM lt WHERE later_x IS NOT NULL", 5)(lambda fx: M.kinematic_baselines(later(fx), 0.1).select("session_id", "frame_index", "stay_err", "steady_err"))
 query("de11_goal_profile", "SELECT session_id, band, count(*) AS n, round(avg(d), 6) AS mean_distance FROM (SELECT session_id, d, CAST(least(greatest(floor(d / 10.0 * 11), 0), 10) AS INT) AS band FROM (SELECT session_id, sqrt((x - 4.5) ** 2 + (y - 2.5) ** 2) AS d FROM fx_track WHERE x IS NOT NULL)) GROUP BY 1, 2")(lambda fx: M.goal_profile(known(fx).withColumn("goal_distance", F.hypot(F.col("x") - 4.5, F.col("y") - 2.5))))
 SAMPLES = "x AS (SELECT session_id, channel, chunk * 64 + k - 1 AS sample, CAST(v[k] AS DOUBLE) AS value FROM (SELECT session_id, channel, chunk, v, unnest(range(1, len(v) + 1)) AS k FROM fx_signal))"
 query("e1_samples", f"WITH {SAMPLES} SELECT session_id, channel, sample, round(value, 5) AS value FROM x", 5)(lambda fx: signal(fx).select("session_id", "channel", "sample", F.col("value").cast("double").alias("value")))
@@ -119,6 +130,8 @@ query("e8_usable_channels")(lambda fx: E.usable_channels(E.channel_scores(E.welc
 query("t3_top_channels")(lambda fx: E.top_channels(E.channel_scores(E.welch_bands(signal(fx), 1500.0, BANDS, 0.04))))
 query("e9_spread_channels", "SELECT session_id, tetrode, local, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY local, tetrode) AS r FROM (SELECT DISTINCT concat('s', p_partkey % 20) AS session_id, CAST(p_size AS INT) AS tetrode, CAST(p_partkey % 4 AS INT) AS local FROM part)) WHERE r <= 32")(lambda fx: E.spread_channels(fx("part").select(F.concat(F.lit("s"), F.col("p_partkey") % 20).alias("session_id"), F.col("p_size").cast("int").alias("tetrode"), (F.col("p_partkey") % 4).cast("int").alias("local")).distinct()))
 query("e5_e11_filtered")(lambda fx: E.filtered(fx("fx_signal"), E.fir(101, 300.0, 600.0, 1500.0), 64))
+query("e5_zero_phase", digits=4)(lambda fx: B.zero_phase(fx("fx_signal"), B.butterworth(4, *B.passband(1500.0), 1500.0)))
+query("e7_muscle_from_fields", digits=4)(lambda fx: B.muscle_from_fields(fx("fx_signal"), 64, 1500.0, 64))
 query("e11_movement")(lambda fx: E.movement(fx("fx_signal"), E.fir(501, 0.1, 1.0, 1500.0), 64))
 query("e12_rate_of", "SELECT session_id, round((count(*) - 1) / (max(t) - min(t)), 6) AS fs FROM fx_spikes GROUP BY 1")(lambda fx: E.rate_of(fx("fx_spikes")))
 query("e14_median_reference", f"WITH {SAMPLES}, m AS (SELECT session_id, sample, median(value) AS m FROM x GROUP BY 1, 2) SELECT session_id, channel, sample, round(value - m, 5) AS value FROM x JOIN m USING (session_id, sample)", 5)(lambda fx: E.median_reference(signal(fx).withColumn("value", F.col("value").cast("double"))).select("session_id", "channel", "sample", "value"))
@@ -200,3 +213,6 @@ query("c1_moments", "SELECT session_id, unit_id % 3 AS grp, count(*) AS n, round
 query("c6_perf_corr", "SELECT session_id, count(*) AS n, CASE WHEN count(*) >= 3 AND var_pop(snr) > 0 AND var_pop(firing_rate_hz) > 0 THEN round(corr(snr, firing_rate_hz), 6) END AS r, CASE WHEN count(*) >= 3 AND var_pop(snr) > 0 AND var_pop(firing_rate_hz) > 0 THEN round(regr_slope(firing_rate_hz, snr), 6) END AS slope, CASE WHEN count(*) >= 3 AND var_pop(snr) > 0 AND var_pop(firing_rate_hz) > 0 THEN round(regr_intercept(firing_rate_hz, snr), 6) END AS intercept FROM fx_units GROUP BY 1")(lambda fx: P.score(fx("fx_units"), "snr", "firing_rate_hz", ["session_id"], 3))
 query("f12_rat_number", "SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN CAST(p_partkey % 11 AS INT) END AS rat FROM part")(lambda fx: fx("part").select("p_partkey", S.rat_number(F.when(F.col("p_partkey") % 3 == 0, F.format_string("x_Rat%d_a", F.col("p_partkey") % 11)).when(F.col("p_partkey") % 3 == 1, F.format_string("rat_%d.csv", F.col("p_partkey") % 11)).otherwise("none")).alias("rat")))
 query("f17_euclid", "SELECT session_id, frame_index, round(sqrt((x1 - x2) ** 2 + (y1 - y2) ** 2), 6) AS d, x1, y1 FROM fx_detections")(lambda fx: fx("fx_detections").select("session_id", "frame_index", S.euclid(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("d"), "x1", "y1"))
+query("f21_bins", "SELECT session_id, frame_index, CASE WHEN x BETWEEN 1 AND 8 THEN least(CAST(floor((x - 1) / 7.0 * 9) AS INT), 8) END AS bin, least(greatest(CAST(floor((x - 1) / 7.0 * 9) AS INT), 0), 8) AS clipped FROM fx_track WHERE x IS NOT NULL")(lambda fx: known(fx).select("session_id", "frame_index", T.bins(F.col("x"), 1.0, 8.0, 9).alias("bin"), T.clipped_bin(F.col("x"), 1.0, 8.0, 9).alias("clipped")))
+query("n18_grid", "SELECT g.bx, g.cy AS \"by\", count(t.session_id) AS n FROM (SELECT CAST(i % 18 AS INT) AS bx, CAST(i // 18 AS INT) AS cy FROM (SELECT unnest(range(180)) AS i)) g LEFT JOIN (SELECT session_id, least(CAST(floor(x / 9.0 * 18) AS INT), 17) AS bx, least(CAST(floor(y / 5.0 * 10) AS INT), 9) AS cy FROM fx_track WHERE x BETWEEN 0 AND 9 AND y BETWEEN 0 AND 5) t ON t.bx = g.bx AND t.cy = g.cy GROUP BY 1, 2")(lambda fx: (lambda visits: M.grid_table(visits.sparkSession, 9.0, 5.0, 0.5).join(visits, ["bx", "by"], "left").groupBy("bx", "by").agg(F.count("session_id").alias("n")))(T.occupancy(fx("fx_track"), keys=("session_id", "frame_index"), nx=18, ny=10).select("session_id", "bx", "by")))
+query("e15_probe", "SELECT session_id, channel, CAST(floor(channel / 4) AS BIGINT) // 4 * 250.0E0 + CASE channel % 4 WHEN 0 THEN 10.0E0 WHEN 2 THEN -10.0E0 ELSE 0.0E0 END AS y, CAST(floor(channel / 4) AS BIGINT) % 4 * 250.0E0 + CASE channel % 4 WHEN 1 THEN 10.0E0 WHEN 3 THEN -10.0E0 ELSE 0.0E0 END AS x FROM (SELECT DISTINCT session_id, channel FROM fx_signal)")(lambda fx: fx("fx_signal").select("session_id", "channel").distinct().join(probe(fx).select("channel", "x", "y"), "channel").select("session_id", "channel", "y", "x"))

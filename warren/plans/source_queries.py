@@ -14,6 +14,7 @@ from warren.streaming import trials as X
 POSITION = r"regexp_extract(value, 'position is: \((-?[0-9.]+), (-?[0-9.]+)\) @ ([0-9]+)', {})"
 query("s4_parse_log", f"""SELECT session_id, line_no, 'INFO' AS level, CASE WHEN value LIKE '%position%' THEN CAST(substr(value, 13, 2) AS DOUBLE) END AS clock_s, CASE WHEN value LIKE '%position%' THEN CAST(line_no AS DOUBLE) END AS system_s, CASE WHEN value LIKE '%position%' THEN 'rat_position' ELSE 'recording_start' END AS event,
 CAST(nullif(regexp_extract(value, 'Recording Trial ([0-9]+)', 1), '') AS INT) AS started, CAST(nullif({POSITION.format(1)}, '') AS DOUBLE) AS x, CAST(nullif({POSITION.format(2)}, '') AS DOUBLE) AS y, CAST(nullif({POSITION.format(3)}, '') AS INT) AS node FROM fx_log""")(lambda fx: L.parse_log(fx("fx_log")))
+query("p4_events", "SELECT session_id, event, count(*) AS n FROM (SELECT session_id, CASE WHEN m LIKE 'The rat position%' THEN 'rat_position' WHEN m LIKE 'Video Imported%' THEN 'video_imported' WHEN m LIKE 'Recording Trial%' THEN 'recording_start' ELSE 'message' END AS event FROM (SELECT session_id, regexp_extract(value, '^(?:(\\w+) : )?(?:(\\d+:\\d{2}:\\d{2}\\.\\d+) )?(?:(\\d+(?:\\.\\d+)?) : )?(.*)$', 4) AS m FROM fx_log)) GROUP BY 1, 2")(lambda fx: L.parse_log(fx("fx_log")).groupBy("session_id", "event").agg(F.count("*").alias("n")))
 query("w1_fill_trial", "SELECT session_id, line_no, coalesce(last_value(CAST(nullif(regexp_extract(value, 'Recording Trial ([0-9]+)', 1), '') AS INT) IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1) AS trial_num FROM fx_log")(lambda fx: T.fill_trial(L.parse_log(fx("fx_log")), 1).select("session_id", "line_no", "trial_num"))
 query("s3_pick_clock", "SELECT session_id, frame_index, prio FROM (SELECT *, min(prio) OVER (PARTITION BY session_id) AS best FROM (SELECT session_id, frame_index, CAST(CASE WHEN frame_index % 2 = 0 AND user_id % 3 = 0 THEN 0 ELSE 1 END AS INT) AS prio FROM fx_track)) WHERE prio = best")(lambda fx: L.pick_first(fx("fx_track").select("session_id", "frame_index", F.when((F.col("frame_index") % 2 == 0) & (F.col("user_id") % 3 == 0), 0).otherwise(1).alias("prio")), ["session_id"], "prio").select("session_id", "frame_index", "prio"))
 query("s15_resolve_key", "SELECT session_id, 'key1' AS key, file, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY rank, file) AS r FROM (SELECT session_id, file, CASE WHEN p = 0 THEN 0 WHEN p = 1 THEN 1 WHEN p = 2 THEN 2 END AS rank FROM (SELECT concat('s', p_partkey % 50) AS session_id, p_partkey % 4 AS p, CASE p_partkey % 4 WHEN 0 THEN '20240101_Rat3_key1' WHEN 1 THEN concat('a', p_partkey, 'key1') WHEN 2 THEN concat('key1', p_partkey, 'b') ELSE 'none' END AS file FROM part)) WHERE rank IS NOT NULL) WHERE r = 1")(
@@ -40,6 +41,7 @@ def machine_frames(fx):
 query("x1_trial_machine")(lambda fx: X.batch_trials(machine_frames(fx)))
 query("x2_trial_types")(lambda fx: X.batch_trials(machine_frames(fx).withColumn("trial_type", F.pmod(F.hash("session_id"), F.lit(6)) + 1)))
 query("x12_epochs", "SELECT user_id AS session_id, time_bucket(INTERVAL 1 HOUR, CAST(ts AS TIMESTAMP)) AS start, count(*) AS n, round(avg(event_id), 6) AS x FROM events GROUP BY 1, 2")(lambda fx: X.epochs(fx("events").select(F.col("user_id").alias("session_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("double").alias("x")), "1 hour"))
+query("x13_sliding", "SELECT user_id AS session_id, w.start + INTERVAL 1 HOUR * k AS start, count(*) AS n, round(avg(event_id), 6) AS x FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, CAST(ts AS TIMESTAMP)) AS start FROM events) w, (SELECT unnest([0, -1]) AS k) GROUP BY 1, 2")(lambda fx: X.epochs(fx("events").select(F.col("user_id").alias("session_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("double").alias("x")), "2 hours", "1 hour"))
 query("x14_sessions", """WITH e AS (SELECT user_id AS session_id, CAST(ts AS TIMESTAMP) AS ts FROM events), b AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY session_id ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens FROM e), g AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bout FROM b)
 SELECT session_id, min(ts) AS start, count(*) AS n FROM g GROUP BY session_id, bout""")(lambda fx: X.sessions(fx("events").select(F.col("user_id").alias("session_id"), F.col("ts").cast("timestamp").alias("ts")), "1 hour"))
 

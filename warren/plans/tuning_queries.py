@@ -17,6 +17,7 @@ def labelled(fx):
 
 
 def decoded(fx):
+    # a fixture's session lasts seconds, so its bins and visits are short
     return U.decode_leads(fx("fx_track"), labelled(fx), (0.0, 0.1, 0.3), folds=3, width=0.1, least_s=0.03)
 
 
@@ -32,3 +33,4 @@ query("n9_speed_rate")(lambda fx: U.speed_rate(fx("fx_track"), fx("fx_spikes")))
 query("n13_bin_behaviour")(lambda fx: U.bin_behaviour(middles(fx), fx("fx_track"), trial_rows(fx), fx("fx_nodes")))
 query("n14_embed_pca")(lambda fx: U.embed_pca(N.population_matrix(fx("fx_spikes")).select("session_id", "unit_id", "bin", "z")).select("session_id", "bin", *[F.round(f"pc{i}", 4).alias(f"pc{i}") for i in (1, 2, 3)]))
 query("n4_acg_rise_fit")(lambda fx: U.acg_rise_fit(fx("fx_spikes"), bins=100))
+query("de10_shuffle_null")(lambda fx: U.shuffle_null(fx("fx_track"), fx("fx_spikes"), (0.0, 0.3), 4, width=0.1, least_s=0.03).groupBy("session_id", "lead", "rep").agg(F.median("neural").alias("m")).groupBy("session_id", "lead").agg(F.avg("m").alias("shuffle_mean"), F.stddev_pop("m").alias("shuffle_sd"), F.count("*").alias("replicates")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE = ("customer", "documents", "embeddings", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
@@ -117,13 +119,13 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture or a raw table as a DataFrame."""
     if name in BASE:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    text = VIEWS[name].replace("VARCHAR", "STRING")
-    for raw in BASE:
-        if f" {raw}" in text:
-            spark.read.parquet(f"{sf_dir}/{raw}.parquet").createOrReplaceTempView(raw)
-    for need in NEEDS.get(name, ()):
-        view(spark, sf_dir, need).createOrReplaceTempView(need)
-    return spark.sql(text)
+    text = VIEWS[name].replace("VARCHAR", "STRING").replace("{", "{{").replace("}", "}}")
+    used = {}
+    for table in (*BASE, *NEEDS.get(name, ())):
+        named = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", text)
+        if named != text:
+            text, used[table] = named, view(spark, sf_dir, table)
+    return spark.sql(text, **used)  # relations without a name in the session
 
 
 def with_views(sql: str) -> str:

@@ -18,7 +18,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 #: Radii in pixels and waits in milliseconds.
 START_PX, GOAL_PX, LATE_GOAL_PX = 60, 25, 20
@@ -150,10 +150,10 @@ def _frames(part: pd.DataFrame) -> Iterator[dict]:
         yield {k: None if v != v else v for k, v in zip(names, r)}
 
 
-def _columns(frames: DataFrame) -> DataFrame:
+def _columns(frames: DataFrame, *more: str) -> DataFrame:
     """The columns of a frame; without a schedule there is none, without a mark of the last frame no frame is."""
     spare = {"schedule": F.lit(None).cast("string"), "ended": F.lit(False)}
-    return frames.select("session_id", "frame_index", *FIELDS, *[F.col(c) if c in frames.columns else v.alias(c) for c, v in spare.items()])
+    return frames.select("session_id", "frame_index", *FIELDS, *more, *[F.col(c) if c in frames.columns else v.alias(c) for c, v in spare.items()])
 
 
 def schedules(meta: DataFrame) -> DataFrame:
@@ -208,12 +208,78 @@ class TrialProcessor(StatefulProcessor):
         pass
 
 
-def stream_trials(frames: DataFrame) -> DataFrame:
+class OrderedTrialProcessor(StatefulProcessor):
+    """The same step on frames in order of event time, whatever order they arrive in.
+
+    Frames wait in a map of the session's state until the watermark has passed them, so it holds as many as the
+    watermark's delay allows. An event-time timer takes them from there; another ends a session's unfinished trial when
+    no frame has come for `silent_ms` of event time, and forgets the session.
+    """
+
+    def __init__(self, silent_ms: int):
+        self.silent_ms = silent_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("trial", "state string, seen_ms bigint")
+        self.early = handle.getMapState("early", "at_ms bigint, frame_index bigint", "frame string")
+
+    def _taken(self, key: tuple, until: int) -> Iterator[pd.DataFrame]:
+        text, seen = self.state.get() if self.state.exists() else (None, 0)
+        state, out = json.loads(text) if text else new_state(), []
+        waiting = sorted(self.early.keys())
+        ready = [k for k in waiting if k[0] < until]
+        for k in ready:
+            state, ended = advance(state, json.loads(self.early.getValue(k)[0]))
+            out += [(key[0], r) for r in ended]
+            self.early.removeKey(k)
+            seen = max(seen, k[0])
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if len(ready) < len(waiting):
+            self.handle.registerTimer(waiting[len(ready)][0] + 1)
+        elif seen and seen + self.silent_ms <= until:
+            last = flush(state)
+            out += [(key[0], last)] if last else []
+            self.state.clear()
+            yield _table(out)
+            return
+        elif seen:
+            self.handle.registerTimer(seen + self.silent_ms)
+        self.state.update((json.dumps(state, default=float), seen))
+        yield _table(out)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            at = (part["ts"].astype("int64") // {"ns": 1_000_000, "us": 1000, "ms": 1}[part["ts"].dt.unit]).tolist()
+            for ms, index, f in zip(at, part["frame_index"].tolist(), _frames(part)):
+                self.early.updateValue((int(ms), int(index)), (json.dumps(f, default=float),))
+        yield from self._taken(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._taken(key, timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_trials(frames: DataFrame, delay: str | None = None, silent_ms: int = 60_000) -> DataFrame:
     """The state machine over a stream of frames, ended trials as they end. Needs the RocksDB state store.
 
-    X15: a frame whose `ended` is true is its session's last, so that an unfinished trial is given too.
+    Without a delay frames count as they arrive, and a frame whose `ended` is true is its session's last (X15). With a
+    delay ("10 seconds") they are put in order by `ts` (or by frame_ms as time since the epoch) behind a watermark, and
+    a silent session ends by itself; frames that come later than the delay are dropped and counted (`late_rows`).
     """
-    return _columns(frames).groupBy("session_id").transformWithStateInPandas(TrialProcessor(), OUT, "Append", "none")
+    if delay is None:
+        return _columns(frames).groupBy("session_id").transformWithStateInPandas(TrialProcessor(), OUT, "Append", "none")
+    ts = F.col("ts") if "ts" in frames.columns else F.timestamp_millis(F.col("frame_ms").cast("bigint") + 1)  # a row at the epoch would count as late
+    ordered = _columns(frames.withColumn("__ts", ts), "__ts").withColumnRenamed("__ts", "ts").withWatermark("ts", delay)
+    return ordered.groupBy("session_id").transformWithStateInPandas(OrderedTrialProcessor(silent_ms), OUT, "Append", "EventTime")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """The rows that a query has dropped behind its watermark, by its recent progress."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
 def epochs(frames: DataFrame, length: str = "1 second", slide: str | None = None) -> DataFrame:
