@@ -28,7 +28,7 @@ SLOTS = 1 << 14
 #: broadcast and within these bounds. Smaller ones let more suffixes pass, which changes no result.
 FILTER_BITS, PAIR_SLOTS, WORDS_A_SLOT = (1 << 16, 1 << 27), (1 << 18, 1 << 26), 16
 #: Entries that a task counts before it passes them on, and bytes of text that it takes at once.
-HELD, PORTION = 150_000, 1 << 20
+HELD, PORTION = 250_000, 1 << 20
 
 _BREAKS = bytes(10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
 #: Stands between pieces; no UTF-8 text holds this byte.
@@ -170,7 +170,8 @@ def pair_filter(docs: DataFrame, words, slots: int, least: int = LEAST) -> bytea
     """A bit for each slot that holds at least `least` pairs of frequent words, so that no frequent pair is missed.
 
     A task counts its pairs by slots and passes the counts on as bytes that stop at `least`, which keeps the comparison
-    exact; counts of equal parts of the slots are added in one task. The size is that of the slots.
+    exact; counts of equal parts of the slots are added in one task. A part is passed on whole, or as the places and
+    counts of its slots where that is less, so what a task passes on goes with its pairs and never beyond the slots.
     """
     part = min(slots, 1 << 16)
 
@@ -191,15 +192,26 @@ def pair_filter(docs: DataFrame, words, slots: int, least: int = LEAST) -> bytea
                 added()
         added()
         counted = total.astype(np.uint8)
-        parts = [k for k in range(slots // part) if counted[k * part : (k + 1) * part].any()]
+        parts, coded = [], []
+        for k in range(slots // part):
+            own = counted[k * part : (k + 1) * part]
+            at = np.flatnonzero(own)
+            if len(at):
+                parts.append(k)
+                coded.append(at.astype("<u2").tobytes() + own[at].tobytes() if 3 * len(at) < part else own.tobytes())
         if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([counted[k * part : (k + 1) * part].tobytes() for k in parts], pa.binary())], names=["part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(coded, pa.binary())], names=["part", "counts"])
 
     def summed(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(part, np.uint16)
         for b in batches:
             for x in b.column("counts"):
-                total = np.minimum(total + np.frombuffer(x.as_buffer(), np.uint8), least).astype(np.uint16)
+                coded, n = x.as_buffer(), len(x.as_buffer()) // 3
+                if len(coded) == part:
+                    total = np.minimum(total + np.frombuffer(coded, np.uint8), least).astype(np.uint16)
+                else:
+                    at = np.frombuffer(coded, "<u2", n)
+                    total[at] = np.minimum(total[at] + np.frombuffer(coded, np.uint8, n, 2 * n), least)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
 
     found = _texts(docs).mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(summed, "part int, bits binary")
@@ -349,7 +361,7 @@ def phrase_counts(docs: DataFrame, folder: str, depth: int = DEPTH, least: int =
     frequent = words.filter(F.col("n") >= least)
     path = f"{folder}/suffixes-{uuid4().hex}"
     total = words.agg(F.sum("n")).first()[0] or 0
-    suffixes(docs, frequent, total, depth, least).write.parquet(path)
+    suffixes(docs, frequent, total, depth, least).write.option("compression", "zstd").parquet(path)
     rows = spark.read.schema("lang string, phrase binary, n bigint").parquet(path)
     # enough groups for every partition to have several, of at most the budget
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -105,7 +105,7 @@ def anchors(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text"), rows, f"doc_id {kind}, place bigint, hash bigint")
 
 
-def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_next(batches: Iterator[pa.RecordBatch], kept: int | None) -> Iterator[pa.RecordBatch]:
     """Sorted rows (range, guard, doc_id, text) to results; a range's last row is a guard for its neighbour only."""
     held, out = None, []
 
@@ -113,8 +113,8 @@ def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_id, text, own = one
         n, e = len(text), len(text) // 4
         edited = (text[: n - e] + after[0][:e]).encode()
-        new = sketch(edited) if e else own
-        out.append((doc_id, n, hashlib.sha256(edited).hexdigest(), own.tobytes().hex(), new.tobytes().hex(), likeness(own, new), likeness(own, after[1])))
+        new = sketch(edited, kept) if e else own
+        out.append((doc_id, n, hashlib.sha256(edited).hexdigest(), own.tobytes().hex(), new.tobytes().hex(), likeness(own, new, kept), likeness(own, after[1], kept)))
 
     def batch_of() -> pa.RecordBatch:
         kinds = [id_kind, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
@@ -125,7 +125,7 @@ def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         id_kind = batch.schema.field("doc_id").type
         for part, guard, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            own = sketch(text.encode())
+            own = sketch(text.encode(), kept)
             if held and held[0] == part:
                 result(held[1], (text, own))
             held = None if guard else (part, (doc_id, text, own))
@@ -137,15 +137,17 @@ SCHEMA = "n_chars bigint, edited_sha256 string, fingerprint string, edited_finge
 NAMES = ["doc_id", *(f.split()[0] for f in SCHEMA.split(", "))]
 
 
-def edited_fingerprints(docs: DataFrame) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, kept: int | None = KEPT) -> DataFrame:
     """Fingerprints of every row's text and of its edited text (its last quarter from the next document's start).
 
+    With `kept=None` fingerprints keep all anchors and likeness is exact.
+
     Documents meet the next one in ranges of ids, bounded by quantiles of the ids (at most MOST_RANGES numbers
     on the driver). The first document of each range also goes to the range before it as a guard, so texts are
     shuffled once and no range needs another.
 
-    Defined results: null text is empty; null ids count as the smallest and share a place; rows that tie in id
-    follow each other in order of text, in one range; a table of one row is its own next; a text of any length is one
+    Defined results: null text is empty; null ids count as the smallest; rows that tie in id
+    follow each other in order of text, in one range and so in one task; a table of one row is its own next; a text of any length is one
     row, of which a task holds two at a time; an empty table gives no rows; other columns are not read.
     """
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
@@ -167,4 +169,4 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     sent = F.when(F.col("o") == F.get(lit(first), F.col("p").cast("int")), F.array(own, as_guard)).otherwise(F.array(own))
     dealt = rows.select("o", "doc_id", "text", F.explode(sent).alias("to")).select("to.p", "to.guard", "o", "doc_id", "text")
     sorted_rows = dealt.repartition(len(bounds), "p").sortWithinPartitions("p", "guard", "o", "text")
-    return sorted_rows.select("p", "guard", "doc_id", "text").mapInArrow(_with_next, f"doc_id {dict(docs.dtypes)['doc_id']}, {SCHEMA}")
+    return sorted_rows.select("p", "guard", "doc_id", "text").mapInArrow(lambda batches: _with_next(batches, kept), f"doc_id {dict(docs.dtypes)['doc_id']}, {SCHEMA}")

@@ -285,15 +285,14 @@ def _pairs(similarity: float):
     return lambda batches: _by_shard(batches, pairs)
 
 
-def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (shard, fp) of shards with more than one set."""
+def _crowded(prints: DataFrame) -> DataFrame:
+    """(shard, fp, n, hub) of shards with more than one set: their number and the smallest of them.
 
-    def crowd(shard, fp) -> pa.RecordBatch:
-        same = shard[1:] == shard[:-1]
-        there = np.r_[False, same] | np.r_[same, False]
-        return pa.RecordBatch.from_arrays([pa.array(shard[there]), pa.array(fp[there])], names=["shard", "fp"])
-
-    return _by_shard(batches, crowd)
+    Shards are counted by partial aggregation, and the join back leaves hot shards to be split, so no task holds one.
+    """
+    spread = prints.select("fp", "bands").dropDuplicates(["fp"]).select(F.explode("bands").alias("shard"), "fp")
+    counts = spread.groupBy("shard").agg(F.count("*").alias("n"), F.min("fp").alias("hub")).filter("n > 1")
+    return spread.join(counts, "shard")
 
 
 def _similar(shingle: int, similarity: float):
@@ -353,10 +352,9 @@ def _clusters(crowded: DataFrame, texts: DataFrame, shingle: int, similarity: fl
     Shards that share sets are one cluster. Its sets are dealt to blocks and every two blocks meet in one task, so
     neither a row for each pair nor a whole cluster in a task is needed.
     """
-    large = checkpointed(crowded.groupBy("shard").agg(F.count("*").alias("n"), F.min("fp").alias("hub")).filter(F.col("n") > CROWD))
-    if large.isEmpty():
+    members = crowded.filter(F.col("n") > CROWD)
+    if members.isEmpty():
         return None
-    members = crowded.join(large, "shard")
     whole = checkpointed(components(members.select(F.col("fp").alias("u"), F.col("hub").alias("v"))).select(F.col("node").alias("fp"), F.col("component").alias("cluster")))
     sized = whole.join(members.select("fp", "size").dropDuplicates(["fp"]), "fp")
     blocks = sized.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
@@ -373,18 +371,15 @@ def similar_links(docs: DataFrame, prints: DataFrame, shingle: int, similarity:
     Sets meet by shared bands. What meets in a band's key shared by more than CROWD sets is compared by clusters. In
     other shards BK-trees name the pairs within WIDE, at most CROWD / 2 for each of a set's bands, and the texts decide.
     """
-    spread = prints.select("fp", "bands").dropDuplicates(["fp"]).select(F.explode("bands").alias("shard"), "fp")
-    dealt = spread.repartition(F.col("shard")).sortWithinPartitions("shard")
     sets = prints.select("fp", "size", "near").dropDuplicates(["fp"])
-    crowded = checkpointed(dealt.mapInArrow(_crowded, "shard bigint, fp bigint").join(sets, "fp"))
+    crowded = checkpointed(_crowded(prints).join(sets, "fp"))
     rows = prints.join(crowded.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("__row").alias("__row"))
     texts = checkpointed(docs.select("__row", "text").join(rows, "__row").dropDuplicates(["fp"]).select("fp", F.coalesce("text", F.lit("")).alias("text")))
 
     found = _clusters(crowded, texts, shingle, similarity)
     rows = crowded.withColumn("cluster", F.col("fp"))
     if found:
-        small = crowded.groupBy("shard").count().filter(F.col("count") <= CROWD).select("shard")
-        rows = crowded.join(small, "shard").join(found[0], "fp", "left").withColumn("cluster", F.coalesce("cluster", "fp"))
+        rows = crowded.filter(F.col("n") <= CROWD).join(found[0], "fp", "left").withColumn("cluster", F.coalesce("cluster", "fp"))
     shards = rows.select("shard", "fp", "size", "near", "cluster").repartition(F.col("shard")).sortWithinPartitions("shard")
     pairs = shards.mapInArrow(_pairs(similarity), "u bigint, v bigint").distinct()
     of_u, of_v = texts.select(F.col("fp").alias("u"), F.col("text").alias("a")), texts.select(F.col("fp").alias("v"), F.col("text").alias("b"))

@@ -55,17 +55,34 @@ def write_warc(values: DataFrame, path: str, records_a_file: int = RECORDS_A_FIL
     values.write.mode("append").option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", records_a_file).text(path)
 
 
-def write_archives(records: DataFrame, revisits: DataFrame, path: str) -> None:
-    """Writes all records, so that no file holds more than BYTES_A_FILE of payload unless one record alone does.
+#: A class of payloads has at most so many times the bytes of the class below it, so its files are a quarter full at least.
+CLASS_RATIO = 4
 
-    Payloads up to BYTES_A_FILE / RECORDS_A_FILE go by the number of records; larger ones, where there are any, into
-    files of their own with as many records as the largest allows. One more pass over the sizes finds that largest.
+
+def size_classes(records_a_file: int = RECORDS_A_FILE, bytes_a_file: int = BYTES_A_FILE) -> list[tuple[int, int]]:
+    """(largest payload, records a file) of each class: the first by the number of records, the last with a record a file."""
+    out, top = [], bytes_a_file // records_a_file
+    while top < bytes_a_file:
+        out.append((top, bytes_a_file // top))
+        top *= CLASS_RATIO
+    return [*out, (1 << 62, 1)]
+
+
+def write_archives(records: DataFrame, revisits: DataFrame, path: str, bytes_a_file: int = BYTES_A_FILE) -> None:
+    """Writes all records, so that no file holds more than `bytes_a_file` of payload unless one record alone does.
+
+    Payloads are written by class of size, each with as many records a file as its largest size allows. So a class's
+    files are a quarter full but for the last of each task, and their number goes with the bytes, whatever the largest
+    payload. One more pass over the sizes finds the classes that there are.
     """
-    small, written = BYTES_A_FILE // RECORDS_A_FILE, datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
-    largest = records.agg(F.max("payload_bytes")).first()[0] or 0
-    write_warc(as_records(records.filter(F.col("payload_bytes") <= small), revisits, written), path)
-    if largest > small:
-        write_warc(as_records(records.filter(F.col("payload_bytes") > small), revisits, written), path, max(1, BYTES_A_FILE // largest))
+    written, classes = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), size_classes(bytes_a_file=bytes_a_file)
+    of = F.lit(len(classes) - 1)
+    for k in range(len(classes) - 2, -1, -1):
+        of = F.when(F.col("payload_bytes") <= classes[k][0], k).otherwise(of)
+    there = records.agg(F.collect_set(of)).first()[0]  # at most one number for each class
+    for k in sorted(there) or [0]:
+        low, (high, many) = classes[k - 1][0] if k else -1, classes[k]
+        write_warc(as_records(records.filter((F.col("payload_bytes") > low) & (F.col("payload_bytes") <= high)), revisits, written), path, many)
 
 
 class _Inflated:
