@@ -92,3 +92,14 @@ def test_a_last_frame_ends_its_trial():
     assert none == [] and state["phase"] == trials.ACTIVE
     state, rows = trials.advance(state, frame | {"frame_ms": 40.0, "ended": True})
     assert [(r["t1"], r["reason"]) for r in rows] == [(40.0, "end of frames")] and state == trials.new_state()
+
+
+def test_clean_up_of_chunks_equals_that_of_samples(spark):
+    rng = np.random.default_rng(12)
+    probe = spark.createDataFrame([(c, 30.0 * (c % 3), 30.0 * (c // 3)) for c in range(9)], "channel int, x double, y double")
+    rows = [(s, c, k, [float(v) for v in rng.normal(size=(16 if k < 2 else 5))]) for s in ("a", "b") for c in range(9) for k in range(3)]
+    chunks = spark.createDataFrame(rows, "session_id string, channel int, chunk bigint, v array<double>")
+    for how in ({}, {"dropped": [8], "bad": [4], "single": [0, 2]}, {"bad": [0, 1], "single": [8]}):
+        want = {(r["session_id"], r["channel"], r["sample"]): r["value"] for r in recording.preprocess(signals.samples(chunks, 16), probe, **how).collect()}
+        got = {(r["session_id"], r["channel"], r["sample"]): r["value"] for r in signals.samples(recording.preprocess_chunks(chunks, probe, **how), 16).collect()}
+        assert set(got) == set(want) and len(got) > 500 and all(abs(got[k] - want[k]) < 1e-9 for k in want)

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,3 +124,53 @@ def preprocess(rows: DataFrame, probe: DataFrame, dropped: list[int] = [], bad:
         reference = F.median(F.when(F.col("channel").isin(*single), F.col("value"))).over(every)
         rows = rows.withColumn("value", F.col("value") - F.coalesce(reference, F.lit(0.0)))
     return rows.withColumn("value", F.col("value") - F.median("value").over(every))
+
+
+def preprocess_chunks(chunks: DataFrame, probe: DataFrame, dropped: list[int] = [], bad: list[int] = [], single: list[int] = [], radius: float = 50.0) -> DataFrame:  # noqa: B006
+    """E14 from chunks (session_id, channel, chunk, v): as `preprocess`, without a row for each sample.
+
+    All channels of a session's chunk meet in one task as a matrix, which the same steps work on. Samples that a shorter
+    channel lacks, and bad channels without a neighbour, are null and count in no median.
+    """
+    bad, single = ([c for c in some if c not in dropped] for some in (bad, single))
+    usable = probe.filter(~F.col("channel").isin(*dropped)) if dropped else probe
+    # one row for each pair of near contacts of the bad channels of one probe
+    near = [(r["lost"], r["channel"], r["weight"]) for r in neighbours(usable, bad, radius).collect()] if bad else []
+
+    def medians(m: np.ndarray) -> np.ndarray:
+        there = np.isfinite(m).any(0) if len(m) else np.zeros(m.shape[1], bool)
+        out = np.full(m.shape[1], np.nan)
+        out[there] = np.nanmedian(m[:, there], 0)
+        return out
+
+    def one(table: pa.Table) -> pa.Table:
+        channels, lists = table.column("channel").to_pylist(), [np.array(v, float) for v in table.column("v").to_pylist()]
+        order = np.argsort(channels, kind="stable")
+        channels, lists = [channels[i] for i in order], [lists[i] for i in order]
+        m = np.full((len(lists), max(map(len, lists))), np.nan)
+        for row, v in zip(m, lists):
+            row[: len(v)] = v
+        place = {c: i for i, c in enumerate(channels)}
+        made = {}
+        for lost in (c for c in bad if c in place):
+            total, weight = np.zeros(m.shape[1]), np.zeros(m.shape[1])
+            for _, c, w in (x for x in near if x[0] == lost and x[1] in place):
+                there = np.isfinite(m[place[c]])
+                total[there] += w * m[place[c], there]
+                weight[there] += w
+            made[lost] = np.divide(total, weight, out=np.full(len(total), np.nan), where=weight > 0)
+        for lost, v in made.items():
+            m[place[lost]] = v
+        if held := [place[c] for c in single if c in place]:
+            m = m - np.nan_to_num(medians(m[held]))
+        m = m - medians(m)
+        values = [[None if x != x else float(x) for x in row[: len(v)]] for row, v in zip(m, lists)]
+        kinds = table.schema
+        n = len(channels)
+        return pa.table({"session_id": pa.array([table.column("session_id")[0].as_py()] * n, kinds.field("session_id").type), "channel": pa.array(channels, kinds.field("channel").type), "chunk": pa.array([table.column("chunk")[0].as_py()] * n, kinds.field("chunk").type), "v": pa.array(values, pa.list_(pa.float64()))})
+
+    kinds = dict(chunks.dtypes)
+    lines = chunks.select("session_id", "channel", "chunk", F.col("v").cast("array<double>").alias("v")).filter(F.size("v") > 0)
+    if dropped:
+        lines = lines.filter(~F.col("channel").isin(*dropped))
+    return lines.groupBy("session_id", "chunk").applyInArrow(one, f"session_id {kinds['session_id']}, channel {kinds['channel']}, chunk {kinds['chunk']}, v array<double>")

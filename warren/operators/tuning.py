@@ -39,6 +39,17 @@ def trial_unit_metrics(track: DataFrame, spikes: DataFrame, trials: DataFrame, n
     return keyed.join(metrics, ["__key", "unit_id"], "left").select("session_id", "trial_num", "unit_id", "information", "selectivity", "peak", "field_size_m2", (F.coalesce("n", F.lit(0)) / seconds).alias("rate"))
 
 
+def trial_facts(metrics: DataFrame, errors: DataFrame, trials: DataFrame, performance: DataFrame, speeds: DataFrame) -> DataFrame:
+    """M6 with what a trial's units share: the median decoding error inside its window, its performance and between-node speed.
+
+    `errors` has session_id, t and err; `performance` and `speeds` have a row for a trial at most. What is not known is null.
+    """
+    key = ["session_id", "trial_num"]
+    inside = within_trials(errors.select("session_id", "t", "err"), trials.select(*key, "t0", "t1")).groupBy(*key).agg(F.median("err").alias("decoding_error_m"))
+    out = metrics.join(inside, key, "left").join(performance.select(*key, "performance"), key, "left")
+    return out.join(speeds.select(*key, "between_node_speed"), key, "left")
+
+
 def time_counts(spikes: DataFrame, bins: DataFrame, width: float) -> DataFrame:
     """Spikes of each unit in a session's tracked bins (clock time over width); bins without any are kept with n = 0."""
     counted = spikes.groupBy(*UNIT, F.floor(F.col("t") / width).alias("bin")).agg(F.count("*").alias("n"))

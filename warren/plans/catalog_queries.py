@@ -61,4 +61,5 @@ query("w14_prev_goal", "SELECT o_orderkey, goal, last_value(goal IGNORE NULLS) O
 query("a12_session_goal", "SELECT session_id, goal_node, n FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY n DESC, goal_node) AS r FROM (SELECT session_id, goal_node, count(*) AS n FROM fx_trial_meta GROUP BY 1, 2)) WHERE r = 1")(lambda fx: C.dominant(fx("fx_trial_meta"), ["session_id"], "goal_node"))
 query("k4_append_units", "SELECT session_id, unit_id FROM fx_units WHERE (session_id, unit_id) NOT IN (SELECT (session_id, unit_id) FROM fx_units WHERE unit_id % 2 = 0)")(lambda fx: C.append_new(fx("fx_units").filter("unit_id % 2 = 0"), fx("fx_units"), ["session_id", "unit_id"]).select("session_id", "unit_id"))
 query("j17_common_keys", "SELECT session_id, channel, chunk FROM fx_signal WHERE channel IN (SELECT channel FROM fx_signal GROUP BY 1 HAVING count(DISTINCT session_id) = (SELECT count(DISTINCT session_id) FROM fx_signal))")(lambda fx: C.common_keys(fx("fx_signal"), "channel", "session_id").select("session_id", "channel", "chunk"))
+query("u2_common_channels", "SELECT channel, count(*) AS sessions FROM (SELECT DISTINCT session_id, channel FROM fx_signal) WHERE channel IN (SELECT channel FROM fx_signal GROUP BY 1 HAVING count(DISTINCT session_id) = (SELECT count(DISTINCT session_id) FROM fx_signal)) GROUP BY 1")(lambda fx: C.common_keys(fx("fx_signal"), "channel", "session_id").select("session_id", "channel").distinct().groupBy("channel").agg(F.count("*").alias("sessions")))
 query("u1_union_sessions", "SELECT session_id, trial_num, trial_type, NULL::INT AS extra FROM fx_trial_meta WHERE trial_type < 3 UNION ALL SELECT session_id, trial_num, trial_type, 1 FROM fx_trial_meta WHERE trial_type >= 3")(lambda fx: fx("fx_trial_meta").filter("trial_type < 3").select("session_id", "trial_num", "trial_type").unionByName(fx("fx_trial_meta").filter("trial_type >= 3").select("session_id", "trial_num", "trial_type", F.lit(1).alias("extra")), allowMissingColumns=True))

@@ -167,7 +167,11 @@ query("c7_type_groups", """SELECT session_id, "group", count(*) AS n, round(quan
 query("c10_metric_hist", """WITH l AS (SELECT 'snr' AS metric, snr AS value FROM fx_units UNION ALL SELECT 'acg_tau_rise_ms', acg_tau_rise_ms FROM fx_units WHERE acg_tau_rise_ms IS NOT NULL), s AS (SELECT metric, min(value) AS a, max(value) AS b FROM l GROUP BY 1)
 SELECT metric, CAST(least(floor((value - a) / (b - a) * 30), 29) AS INT) AS bin, count(*) AS n FROM l JOIN s USING (metric) GROUP BY 1, 2""")(lambda fx: C.metric_hist(fx("fx_units"), ["snr", "acg_tau_rise_ms"]))
 query("n12_population_matrix")(lambda fx: N.population_matrix(fx("fx_spikes")).select("session_id", "unit_id", "bin", "z"))
-query("n2_waveform_metrics")(lambda fx: N.waveform_metrics(signal(fx).select("session_id", F.col("chunk").alias("unit_id"), "channel", F.col("k").alias("sample"), F.col("value").cast("double").alias("value")), 30000.0))
+query("n2_waveform_metrics", """WITH c AS (SELECT session_id, chunk AS unit_id, channel, list_transform(v, lambda a: CAST(a AS DOUBLE)) AS v FROM fx_signal), k AS (SELECT session_id, unit_id FROM c GROUP BY 1, 2 HAVING min(len(v)) = max(len(v)) AND min(len(v)) >= 4 AND max(list_max(v) - list_min(v)) > 0),
+u AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY session_id, unit_id ORDER BY list_max(v) - list_min(v) DESC, channel) = 1), p AS (SELECT u.session_id, u.unit_id, CASE WHEN k.unit_id IS NOT NULL THEN v END AS v FROM u LEFT JOIN k ON k.session_id = u.session_id AND k.unit_id = u.unit_id),
+q AS (SELECT *, list_position(v, list_min(v)) AS low FROM p), r AS (SELECT *, low - 1 + list_position(v[low:], list_max(v[low:])) AS high FROM q)
+SELECT session_id, unit_id, round((high - low) / 30000.0, 6) AS trough_to_peak_s, CASE WHEN v[high] > 0 THEN round((coalesce(list_min([i for i in range(1, len(v) + 1) if i > high and v[i] < v[high] / 2]), len(v) + 1) - coalesce(list_max([i for i in range(1, len(v) + 1) if i < high and v[i] < v[high] / 2]), 0) - 2) / 30000.0, 6) END AS peak_half_width_s,
+CASE WHEN v[low] < 0 THEN round((coalesce(list_min([i for i in range(1, len(v) + 1) if i > low and v[i] > v[low] / 2]), len(v) + 1) - coalesce(list_max([i for i in range(1, len(v) + 1) if i < low and v[i] > v[low] / 2]), 0) - 2) / 30000.0, 6) END AS trough_half_width_s FROM r""")(lambda fx: N.waveform_metrics(signal(fx).select("session_id", F.col("chunk").alias("unit_id"), "channel", F.col("k").alias("sample"), F.col("value").cast("double").alias("value")), 30000.0))
 query("e4_wakefulness")(lambda fx: N.wakefulness(signal(fx).withColumn("sample", F.col("k") + 64 * F.floor(F.col("chunk") / 80)), 64.0, 0, 1))
 
 
@@ -204,6 +208,10 @@ query("e14_preprocess", f"""WITH {SAMPLES}, f AS (SELECT session_id, channel, sa
 w AS (SELECT a.channel AS lost, b.channel, 1 / sqrt((a.px - b.px) ** 2 + (a.py - b.py) ** 2) AS w FROM g a JOIN g b ON a.channel = 2 AND b.channel NOT IN (2, 7) AND sqrt((a.px - b.px) ** 2 + (a.py - b.py) ** 2) <= 50), m AS (SELECT session_id, sample, lost AS channel, sum(w * value) / sum(w) AS made FROM f JOIN w USING (channel) GROUP BY 1, 2, 3),
 r AS (SELECT f.session_id, f.channel, f.sample, CASE WHEN f.channel = 2 THEN made ELSE value END AS value FROM f LEFT JOIN m ON m.session_id = f.session_id AND m.sample = f.sample AND m.channel = f.channel WHERE f.channel <> 7), s AS (SELECT session_id, channel, sample, value - coalesce(max(CASE WHEN channel = 5 THEN value END) OVER (PARTITION BY session_id, sample), 0) AS value FROM r)
 SELECT session_id, channel, sample, round(value - median(value) OVER (PARTITION BY session_id, sample), 5) + 0.0 AS value FROM s""", 5)(lambda fx: R.preprocess(folded(fx), probe(fx), [7], [2], [5]).select("session_id", "channel", "sample", (F.round("value", 5) + 0.0).alias("value")))
+query("e14_preprocess_chunks", f"""WITH {SAMPLES}, g AS (SELECT c AS channel, c // 4 * 250.0 + CASE c % 4 WHEN 1 THEN 10.0 WHEN 3 THEN -10.0 ELSE 0.0 END AS px, CASE c % 4 WHEN 0 THEN 10.0 WHEN 2 THEN -10.0 ELSE 0.0 END AS py FROM (SELECT unnest(range(8)) AS c)),
+w AS (SELECT a.channel AS lost, b.channel, 1 / sqrt((a.px - b.px) ** 2 + (a.py - b.py) ** 2) AS w FROM g a JOIN g b ON a.channel = 2 AND b.channel NOT IN (2, 7) AND sqrt((a.px - b.px) ** 2 + (a.py - b.py) ** 2) <= 50), m AS (SELECT session_id, sample, lost AS channel, sum(w * value) / sum(w) AS made FROM x JOIN w USING (channel) GROUP BY 1, 2, 3),
+r AS (SELECT x.session_id, x.channel, x.sample, CASE WHEN x.channel = 2 THEN made ELSE value END AS value FROM x LEFT JOIN m ON m.session_id = x.session_id AND m.sample = x.sample AND m.channel = x.channel WHERE x.channel <> 7), s AS (SELECT session_id, channel, sample, value - coalesce(max(CASE WHEN channel = 5 THEN value END) OVER (PARTITION BY session_id, sample), 0) AS value FROM r)
+SELECT session_id, channel, sample, round(value - median(value) OVER (PARTITION BY session_id, sample), 5) + 0.0 AS value FROM s""", 5)(lambda fx: E.samples(R.preprocess_chunks(fx("fx_signal"), probe(fx), [7], [2], [5]), 64).select("session_id", "channel", "sample", (F.round("value", 5) + 0.0).alias("value")))
 query("e4_wakefulness_at")(lambda fx: (lambda rows: N.wakefulness_at(rows, N.wakefulness(rows, 64.0, 0, 1), 64.0))(signal(fx).withColumn("sample", F.col("k") + 64 * F.floor(F.col("chunk") / 80))))
 query("n15_amplitudes", "SELECT session_id, unit_id, CAST(row_number() OVER (PARTITION BY session_id, unit_id ORDER BY t, amplitude) AS INT) AS k, round(t, 6) AS t, amplitude FROM (SELECT concat('s', user_id) AS session_id, CAST(event_id % 3 AS INT) AS unit_id, event_id % 977 / 450.0 AS t, CAST(event_id % 101 AS DOUBLE) AS amplitude FROM events WHERE event_type <> 'error')")(lambda fx: P.amplitudes(linked(fx)))
 query("s17_pool_qualities", f"SELECT session_id, unit_id, round(snr, 6) AS snr, {LABEL} AS quality, CAST(substr(session_id, 2) AS INT) AS animal FROM fx_units WHERE {LABEL} IN ('good', 'mua')")(lambda fx: Y.pool_qualities({q: units(fx).filter(F.col("label") == q).select("session_id", "unit_id", "snr") for q in ("good", "mua")}, fx("fx_units").select("session_id", F.substring("session_id", 2, 9).cast("int").alias("animal")).distinct()))
