@@ -59,23 +59,23 @@ def write_warc(values: DataFrame, path: str, records_a_file: int = RECORDS_A_FIL
 CLASS_RATIO = 4
 
 
-def size_classes(records_a_file: int = RECORDS_A_FILE, bytes_a_file: int = BYTES_A_FILE) -> list[tuple[int, int]]:
+def size_classes(bytes_a_file: int) -> list[tuple[int, int]]:
     """(largest payload, records a file) of each class: the first by the number of records, the last with a record a file."""
-    out, top = [], bytes_a_file // records_a_file
+    out, top = [], bytes_a_file // RECORDS_A_FILE
     while top < bytes_a_file:
         out.append((top, bytes_a_file // top))
         top *= CLASS_RATIO
     return [*out, (1 << 62, 1)]
 
 
-def write_archives(records: DataFrame, revisits: DataFrame, path: str, bytes_a_file: int = BYTES_A_FILE) -> None:
-    """Writes all records, so that no file holds more than `bytes_a_file` of payload unless one record alone does.
+def write_archives(records: DataFrame, revisits: DataFrame, path: str, bytes_a_file: int | None = None) -> None:
+    """Writes all records, so that no file holds more than `bytes_a_file` (BYTES_A_FILE) of payload unless one record alone does.
 
     Payloads are written by class of size, each with as many records a file as its largest size allows. So a class's
     files are a quarter full but for the last of each task, and their number goes with the bytes, whatever the largest
     payload. One more pass over the sizes finds the classes that there are.
     """
-    written, classes = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), size_classes(bytes_a_file=bytes_a_file)
+    written, classes = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), size_classes(bytes_a_file or BYTES_A_FILE)
     of = F.lit(len(classes) - 1)
     for k in range(len(classes) - 2, -1, -1):
         of = F.when(F.col("payload_bytes") <= classes[k][0], k).otherwise(of)
