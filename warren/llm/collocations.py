@@ -29,6 +29,8 @@ SLOTS = 1 << 14
 FILTER_BITS, PAIR_SLOTS, WORDS_A_SLOT = (1 << 16, 1 << 27), (1 << 18, 1 << 26), 16
 #: Entries that a task counts before it passes them on, and bytes of text that it takes at once.
 HELD, PORTION = 250_000, 1 << 20
+#: Parts that a language's phrases are ranked in before they are ranked together.
+RANK_PARTS = 32
 
 _BREAKS = bytes(10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
 #: Stands between pieces; no UTF-8 text holds this byte.
@@ -188,7 +190,7 @@ def pair_filter(docs: DataFrame, words, slots: int, least: int = LEAST) -> bytea
             _, own = known.pairs(known.of(lang, portion), slots)
             found.append(own)
             size += len(own)
-            if size > 1_000_000:
+            if size > 3_000_000:
                 added()
         added()
         counted = total.astype(np.uint8)
@@ -403,8 +405,10 @@ def collocations(docs: DataFrame, folder: str, depth: int = DEPTH, least: int =
     scored = cuts.withColumn("__an", (long("a") * long("n")).cast("decimal(34,0)") * F.lit(1000).cast("decimal(4,0)")).withColumn("__lr", long("l") * long("r"))
     scored = scored.withColumn("score", F.expr("__an div __lr").cast("long"))
     best = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+    rank = lambda *keys: F.row_number().over(Window.partitionBy("lang", *keys).orderBy(F.desc("cut.score"), F.desc("a"), "phrase"))
+    # first among a part of a language's phrases, so that the last window has at most RANK_PARTS * top rows of a language
+    best = best.withColumn("__part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))).withColumn("__rank", rank("__part")).filter(F.col("__rank") <= top)
+    return best.withColumn("rank", rank()).filter(F.col("rank") <= top).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
 ORACLE = r"""
