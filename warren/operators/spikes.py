@@ -33,8 +33,8 @@ def interp_at(points: DataFrame, track: DataFrame, columns=("x", "y"), lead: flo
     found = {"t": F.when(F.col("__p") == 0, F.col("__t"))} | {c: F.col(f"__{c}") for c in columns}
     rows = scan(both, ["session_id"], ["__t", "__p"], block_of("__t", cell), last={f"__0{c}": of for c, of in found.items()}, next={f"__1{c}": of for c, of in found.items()})
     miss = {"null": lambda c: F.lit(None).cast("double"), "zero": lambda c: F.lit(0.0), "hold": lambda c: F.coalesce(f"__0{c}", f"__1{c}")}[outside]
-    share = (F.col("__t") - F.col("__0t")) / (F.col("__1t") - F.col("__0t"))
-    value = lambda c: F.when(F.col("__0t") == F.col("__t"), F.col(f"__0{c}")).when(F.col("__0t").isNull() | F.col("__1t").isNull(), miss(c)).otherwise(F.col(f"__0{c}") + (F.col(f"__1{c}") - F.col(f"__0{c}")) * share)
+    run, whole = F.col("__t") - F.col("__0t"), F.col("__1t") - F.col("__0t")
+    value = lambda c: F.when(F.col("__0t") == F.col("__t"), F.col(f"__0{c}")).when(F.col("__0t").isNull() | F.col("__1t").isNull(), miss(c)).otherwise(F.col(f"__0{c}") + (F.col(f"__1{c}") - F.col(f"__0{c}")) * run / whole)
     return rows.filter("__p = 1").select(*own, *[value(c).alias(c) for c in columns])
 
 
