@@ -15,3 +15,8 @@ def test_headings_next_to_a_diagonal(spark):
     got = [r["h"] for r in df.select("i", scalars.heading_bin(F.col("x"), F.col("y")).alias("h")).orderBy("i").collect()]
     assert got == [min(math.floor((math.atan2(y, x) + math.pi) / (2 * math.pi) * 8), 7) for y, x in pairs]
     assert spark.sql("select cast(null as double) x, 1d y").select(scalars.angle(F.col("y"), F.col("x")).alias("a")).first()["a"] is None
+
+
+def test_sizes_beyond_the_largest_unit(spark):
+    df = spark.createDataFrame([(10_080_000_000_000,), (999,)], "b bigint")
+    assert [tuple(r) for r in df.select(scalars.human_size(F.col("b")), scalars.human_size(F.col("b"), "GB")).collect()] == [("10.1 TB", "10080.0 GB"), ("999 B", "999 B")]

@@ -26,7 +26,7 @@ query("f18_overlap_share", """WITH p AS (SELECT session_id, frame_index, x1, y1,
 SELECT session_id, frame_index, x1, y1, round((least(x2, bx2) - greatest(x1, bx1)) * (least(y2, by2) - greatest(y1, by1)) / ((x2 - x1) * (y2 - y1)), 6) AS share FROM p""")(lambda fx: fx("fx_detections").selectExpr("*", "x1 + 20 as bx1", "y1 + 10 as by1", "x2 - 5 as bx2", "y2 + 30 as by2").select("session_id", "frame_index", "x1", "y1", S.overlap_share("", "b").alias("share")))
 query("f19_tetrode_channel", "SELECT p_partkey, CAST(p_partkey // 4 + 1 AS INT) AS nt, CAST(p_partkey % 4 + 1 AS INT) AS ch, CAST(p_partkey AS INT) AS channel FROM part")(lambda fx: fx("part").select("p_partkey", S.channel_tetrode(F.col("p_partkey"))[0].alias("nt"), S.channel_tetrode(F.col("p_partkey"))[1].alias("ch")).withColumn("channel", S.tetrode_channel(F.col("nt"), F.col("ch"))))
 query("f20_heading_bin", "SELECT session_id, frame_index, CAST(least(floor((atan2(y, x) + pi()) / (2 * pi()) * 8), 7) AS INT) AS h FROM fx_track WHERE x IS NOT NULL AND y IS NOT NULL AND NOT (y = 0) AND x <> 0 AND abs(x) <> abs(y)")(lambda fx: fx("fx_track").filter("x is not null and y is not null and y <> 0 and x <> 0 and abs(x) <> abs(y)").select("session_id", "frame_index", S.heading_bin(F.col("x"), F.col("y")).alias("h")))
-query("f25_human_size", "SELECT l_orderkey, l_linenumber, CASE WHEN b >= 1e9 THEN printf('%d.%d GB', (b * 10 + 500000000) // 1000000000 // 10, (b * 10 + 500000000) // 1000000000 % 10) WHEN b >= 1e6 THEN printf('%d.%d MB', (b * 10 + 500000) // 1000000 // 10, (b * 10 + 500000) // 1000000 % 10) WHEN b >= 1e3 THEN printf('%d.%d KB', (b * 10 + 500) // 1000 // 10, (b * 10 + 500) // 1000 % 10) ELSE printf('%d B', b) END AS s FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey * l_partkey * l_linenumber AS BIGINT) AS b FROM lineitem)")(lambda fx: fx("lineitem").select("l_orderkey", "l_linenumber", S.human_size((F.col("l_partkey") * F.col("l_partkey") * F.col("l_linenumber")).cast("bigint")).alias("s")))
+query("f25_human_size", "SELECT l_orderkey, l_linenumber, CASE WHEN b >= 1e9 THEN printf('%d.%d GB', (b * 10 + 500000000) // 1000000000 // 10, (b * 10 + 500000000) // 1000000000 % 10) WHEN b >= 1e6 THEN printf('%d.%d MB', (b * 10 + 500000) // 1000000 // 10, (b * 10 + 500000) // 1000000 % 10) WHEN b >= 1e3 THEN printf('%d.%d KB', (b * 10 + 500) // 1000 // 10, (b * 10 + 500) // 1000 % 10) ELSE printf('%d B', b) END AS s FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey * l_partkey * l_linenumber AS BIGINT) AS b FROM lineitem)")(lambda fx: fx("lineitem").select("l_orderkey", "l_linenumber", S.human_size((F.col("l_partkey") * F.col("l_partkey") * F.col("l_linenumber")).cast("bigint"), "GB").alias("s")))
 query("f27_clock_text", "SELECT event_id, printf('%02d:%02d:%02d.%03d', ms // 3600000, ms // 60000 % 60, ms // 1000 % 60, ms % 1000) AS t FROM (SELECT event_id, event_id * 7919 AS ms FROM events)")(lambda fx: fx("events").select("event_id", S.clock_text(F.col("event_id") * 7919).alias("t")))
 query("f28_integer_text", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS t FROM events")(lambda fx: fx("events").select("event_id", S.integer_text(F.when(F.col("event_id") % 3 == 0, "n/a").otherwise(F.format_string("%d.0", "event_id"))).alias("t")))
 query("s10_channel_of", "SELECT p_partkey, CAST(p_partkey % 32 AS INT) AS nt, CAST(p_partkey % 4 AS INT) AS ch FROM part")(lambda fx: fx("part").withColumn("p", F.format_string("d/rec_nt%dch%d.dat", F.col("p_partkey") % 32, F.col("p_partkey") % 4)).select("p_partkey", S.channel_of(F.col("p"))[0].alias("nt"), S.channel_of(F.col("p"))[1].alias("ch")))
