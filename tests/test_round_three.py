@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from warren.functions import scalars
+from warren.streaming import live
 
 
 def test_headings_next_to_a_diagonal(spark):
@@ -20,3 +21,10 @@ def test_headings_next_to_a_diagonal(spark):
 def test_sizes_beyond_the_largest_unit(spark):
     df = spark.createDataFrame([(10_080_000_000_000,), (999,)], "b bigint")
     assert [tuple(r) for r in df.select(scalars.human_size(F.col("b")), scalars.human_size(F.col("b"), "GB")).collect()] == [("10.1 TB", "10080.0 GB"), ("999 B", "999 B")]
+
+
+def test_boxes_that_tie_do_not_depend_on_the_order_of_rows(spark):
+    boxes = [("s", 0, "rat", 0.9, 10, 20, 50, 60), ("s", 0, "rat", 0.9, 10, 20, 90, 60), ("s", 0, "rat", 0.9, 10, 20, 90, 80), ("s", 0, "rat", 0.9, 11, 2, 99, 90)]
+    for rows in (boxes, boxes[::-1]):
+        df = spark.createDataFrame(rows, "session_id string, frame_index bigint, label string, conf double, x1 int, y1 int, x2 int, y2 int").coalesce(1)
+        assert [(r["x"], r["y"]) for r in live.frame_positions(df).collect()] == [(30.0, 40.0)]

@@ -19,7 +19,8 @@ VISIT = "session_id string, node_id int, t double"
 def frame_positions(detections: DataFrame, roi: list[tuple[float, float]] | None = None) -> DataFrame:
     """X11, a frame's part: the centre of its most confident rat that no researcher holds and that is inside the region.
 
-    One aggregate by frame, so a stream needs no join; a frame without such a rat has null.
+    One aggregate by frame, so a stream needs no join; a frame without such a rat has null. Of rats as confident the
+    leftmost, then the topmost, then the narrowest and the lowest box counts, whatever the order of the rows.
     """
     box = F.struct("conf", "x1", "y1", "x2", "y2")
     rows = detections.groupBy("session_id", "frame_index").agg(F.collect_list(F.when(F.col("label") == "rat", box)).alias("rats"), F.collect_list(F.when(F.col("label") == "researcher", box)).alias("people"))
@@ -33,7 +34,13 @@ def frame_positions(detections: DataFrame, roi: list[tuple[float, float]] | None
     free = F.filter("rats", lambda r: ~F.exists("people", lambda p: held(r, p)))
     if roi:
         free = F.filter(free, lambda r: in_polygon(cx(r), cy(r), roi))
-    best = F.get(F.array_sort(free, lambda a, b: F.when(a["conf"] > b["conf"], -1).when(a["conf"] < b["conf"], 1).when(a["x1"] < b["x1"], -1).when(a["x1"] > b["x1"], 1).when(a["y1"] < b["y1"], -1).when(a["y1"] > b["y1"], 1).otherwise(0)), F.lit(0))
+    def compare(a, b):
+        out = F.when(a["conf"] > b["conf"], -1).when(a["conf"] < b["conf"], 1)
+        for c in ("x1", "y1", "x2", "y2"):
+            out = out.when(a[c] < b[c], -1).when(a[c] > b[c], 1)
+        return out.otherwise(0)
+
+    best = F.get(F.array_sort(free, compare), F.lit(0))
     return rows.withColumn("b", best).select("session_id", "frame_index", cx(F.col("b")).cast("double").alias("x"), cy(F.col("b")).cast("double").alias("y"))
 
 
