@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from warren.operators.groups import dealt
 from warren.operators.scan import block_of, scan
 from warren.operators.track import finite
 
@@ -66,42 +67,48 @@ def acg(spikes: DataFrame, window: float, bins: int) -> DataFrame:
     Units stream through tasks in order of time. A sweep meets each spike with those up to a window before it, so a task
     holds a batch, the last window's spikes and one histogram, and no pair becomes a row. Spikes at one time have no lag.
     """
-    width = 2 * window / bins
     kinds = dict(spikes.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, late, counts, unit_kind = None, np.empty(0), np.zeros(bins, np.int64), None
-
-        def given() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([key[0]] * bins, pa.string()), pa.array([key[1]] * bins, unit_kind), pa.array(range(bins), pa.int32()), pa.array(counts)], names=["session_id", "unit_id", "bin", "n"])
-
-        for b in batches:
-            unit_kind, times = b.column("unit_id").type, b.column("t").to_numpy(zero_copy_only=False)
-            names = list(zip(b.column("session_id").to_pylist(), b.column("unit_id").to_pylist()))
-            cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
-            for low, high in zip(cuts, cuts[1:]):
-                if low == high:
-                    continue
-                if names[low] != key:
-                    if key is not None:
-                        yield given()
-                    key, late, counts = names[low], np.empty(0), np.zeros(bins, np.int64)
-                t = np.concatenate((late, times[low:high]))
-                at = np.arange(len(late), len(t))
-                for back in range(1, len(t)):
-                    at = at[at >= back]
-                    lag = t[at] - t[at - back]
-                    at, lag = at[lag <= window], lag[lag <= window]
-                    if not len(at):
-                        break
-                    for d in (lag[lag > 0], -lag[lag > 0]):
-                        counts += np.bincount(np.minimum(np.floor((d + window) / width), bins - 1).astype(np.int64), minlength=bins)
-                late = t[t >= t[-1] - window]
-        if key is not None:
-            yield given()
-
-    dealt = spikes.select("session_id", "unit_id", F.col("t").cast("double").alias("t")).filter("t is not null").repartition("session_id", "unit_id").sortWithinPartitions("session_id", "unit_id", "t")
-    return dealt.mapInArrow(run, f"session_id string, unit_id {kinds['unit_id']}, bin int, n bigint")
+        for session, unit, kind, counts in histograms(batches, window, bins):
+            yield pa.RecordBatch.from_arrays([pa.array([session] * bins, pa.string()), pa.array([unit] * bins, kind), pa.array(range(bins), pa.int32()), pa.array(counts)], names=["session_id", "unit_id", "bin", "n"])
+
+    return by_unit(spikes).mapInArrow(run, f"session_id string, unit_id {kinds['unit_id']}, bin int, n bigint")
+
+
+def by_unit(spikes: DataFrame) -> DataFrame:
+    """Spikes with a time, each unit's in one task and in order."""
+    return spikes.select("session_id", "unit_id", F.col("t").cast("double").alias("t")).filter("t is not null").transform(dealt, ["session_id", "unit_id"]).sortWithinPartitions("session_id", "unit_id", "t")
+
+
+def histograms(batches: Iterator[pa.RecordBatch], window: float, bins: int) -> Iterator[tuple[str, int, pa.DataType, np.ndarray]]:
+    """Session, unit, the unit's type and the autocorrelogram of each unit in a task of `by_unit`."""
+    width = 2 * window / bins
+    key, late, counts, kind = None, np.empty(0), np.zeros(bins, np.int64), None
+    for b in batches:
+        kind, times = b.column("unit_id").type, b.column("t").to_numpy(zero_copy_only=False)
+        names = list(zip(b.column("session_id").to_pylist(), b.column("unit_id").to_pylist()))
+        cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+        for low, high in zip(cuts, cuts[1:]):
+            if low == high:
+                continue
+            if names[low] != key:
+                if key is not None:
+                    yield *key, kind, counts
+                key, late, counts = names[low], np.empty(0), np.zeros(bins, np.int64)
+            t = np.concatenate((late, times[low:high]))
+            at = np.arange(len(late), len(t))
+            for back in range(1, len(t)):
+                at = at[at >= back]
+                lag = t[at] - t[at - back]
+                at, lag = at[lag <= window], lag[lag <= window]
+                if not len(at):
+                    break
+                for d in (lag[lag > 0], -lag[lag > 0]):
+                    counts += np.bincount(np.minimum(np.floor((d + window) / width), bins - 1).astype(np.int64), minlength=bins)
+            late = t[t >= t[-1] - window]
+    if key is not None:
+        yield *key, kind, counts
 
 
 def amplitudes(spikes: DataFrame) -> DataFrame:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from warren.operators import maps
-from warren.operators.spikes import acg, assign_fold, interp_at, within_trials
+from warren.operators.spikes import assign_fold, by_unit, histograms, interp_at, within_trials
 from warren.operators.track import HEIGHT_M, WIDTH_M, run_epochs, step_speed
 
 #: Fixed value: the speed in metres a second above which the animal runs.
@@ -255,46 +257,89 @@ def rise_curve(x: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 
 def fit_rise(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> float | None:
-    """The rise time of the curve nearest to y: damped least squares, each step cut at the bounds."""
-    low, high, p = np.array(RISE_LOW), np.array(RISE_HIGH), np.array(RISE_START)
-    loss = lambda q: float(((rise_curve(x, q) - y) ** 2).sum())
-    damp, best = 1e-2, loss(p)
-    for _ in range(rounds):
-        width = 1e-6 * np.maximum(np.abs(p), 1e-2)
-        width = np.where(p + width > high, -width, width)
-        base = rise_curve(x, p)
-        j = np.stack([(rise_curve(x, p + np.eye(len(p))[i] * width[i]) - base) / width[i] for i in range(len(p))], 1)
-        slope, curve = j.T @ (y - base), j.T @ j
-        free = ~((p <= low) & (slope < 0) | (p >= high) & (slope > 0))
-        step = np.zeros(len(p))
-        h = curve[np.ix_(free, free)]
-        step[free] = np.linalg.lstsq(h + damp * np.diag(np.diag(h) + 1e-12), slope[free], rcond=None)[0]
-        q = np.clip(p + step, low, high)
-        new = loss(q)
-        if new < best:
-            done = best - new < 1e-12 * (1 + best)
-            p, best, damp = q, new, max(damp / 3, 1e-12)
-            if done:
-                break
-        else:
-            damp *= 4
-            if damp > 1e12:
+    """The rise time of the curve nearest to y."""
+    found = fit_rises(x, y[None, :], rounds)[0]
+    return float(found) if np.isfinite(found) else None
+
+
+def fit_rises(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> np.ndarray:
+    """Rise times of the curves nearest to each row of y: damped least squares, each step cut at the bounds; NaN without one.
+
+    All rows take their steps at once, and those that have settled leave. Only the exponentials that a parameter is in
+    are computed anew for its slope.
+    """
+    low, high = np.array(RISE_LOW), np.array(RISE_HIGH)
+    p, damp = np.tile(np.array(RISE_START), (len(y), 1)), np.full(len(y), 1e-2)
+
+    def parts(decay, rise, burst, t0):
+        late = x - t0
+        return np.exp(-late / decay), np.exp(-late / rise), np.exp(-((late / burst) ** 2))
+
+    def curve(c, d, asymptote, h, slow, fast, bump):
+        return np.maximum(c * (slow - d * fast) + h * bump + asymptote, 0.0)
+
+    def loss(q: np.ndarray, y: np.ndarray) -> np.ndarray:
+        decay, rise, c, d, asymptote, burst, h, t0 = q.T[:, :, None]
+        return ((curve(c, d, asymptote, h, *parts(decay, rise, burst, t0)) - y) ** 2).sum(1)
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        best, live = loss(p, y), np.arange(len(y))
+        for _ in range(rounds):
+            if not len(live):
                 break
-    return float(p[1]) if np.isfinite(best) else None
+            at, of, by = p[live], y[live], damp[live]
+            width = 1e-6 * np.maximum(np.abs(at), 1e-2)
+            width = np.where(at + width > high, -width, width)
+            decay, rise, c, d, asymptote, burst, h, t0 = at.T[:, :, None]
+            m = (at + width).T[:, :, None]
+            slow, fast, bump = parts(decay, rise, burst, t0)
+            late = x - t0
+            base = curve(c, d, asymptote, h, slow, fast, bump)
+            moved = (
+                curve(c, d, asymptote, h, np.exp(-late / m[0]), fast, bump), curve(c, d, asymptote, h, slow, np.exp(-late / m[1]), bump),
+                curve(m[2], d, asymptote, h, slow, fast, bump), curve(c, m[3], asymptote, h, slow, fast, bump), curve(c, d, m[4], h, slow, fast, bump),
+                curve(c, d, asymptote, h, slow, fast, np.exp(-((late / m[5]) ** 2))), curve(c, d, asymptote, m[6], slow, fast, bump), curve(c, d, asymptote, h, *parts(decay, rise, burst, m[7])),
+            )
+            jacobian = np.stack([(v - base) / w for v, w in zip(moved, width.T[:, :, None])], 2)
+            off, step = of - base, np.zeros(at.shape)
+            for i, (j, y0, q, k) in enumerate(zip(jacobian, off, at, by)):
+                slope, square = j.T @ y0, j.T @ j
+                free = ~((q <= low) & (slope < 0) | (q >= high) & (slope > 0))
+                square = square[np.ix_(free, free)]
+                square.flat[:: len(square) + 1] += k * (square.diagonal() + 1e-12)
+                step[i, free] = np.linalg.lstsq(square, slope[free], rcond=None)[0]
+            q = np.clip(at + step, low, high)
+            new, old = loss(q, of), best[live]
+            better = new < old
+            p[live[better]], best[live[better]] = q[better], new[better]
+            damp[live] = np.where(better, np.maximum(by / 3, 1e-12), 4 * by)
+            live = live[np.where(better, old - new >= 1e-12 * (1 + old), 4 * by <= 1e12)]
+    return np.where(np.isfinite(best), p[:, 1], np.nan)
+
+
+#: Units whose curves are fitted at once.
+FITTED = 512
 
 
 def acg_rise_fit(spikes: DataFrame, window: float = 0.05, bins: int = 200) -> DataFrame:
     """Rise time (ms) of each unit's autocorrelogram, scaled to its peak; null without any pair of spikes or with fewer than 10 bins.
 
-    A group is one unit's histogram.
+    Histograms are fitted in the task that makes them, many at once.
     """
-
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("bin")
-        centres = (part["bin"].to_numpy() + 0.5) * (2000.0 * window / bins) - 1000.0 * window
-        x, y = centres[centres > 0], part["n"].to_numpy(float)[centres > 0]
-        tau = fit_rise(x, y / y.max()) if len(y) >= 10 and y.max() > 0 else None
-        return pd.DataFrame({"session_id": [part["session_id"].iloc[0]], "unit_id": [part["unit_id"].iloc[0]], "acg_tau_rise_ms": [np.nan if tau is None else tau]})
-
-    out = acg(spikes, window, bins).groupBy(*UNIT).applyInPandas(one, "session_id string, unit_id bigint, acg_tau_rise_ms double")
-    return out.withColumn("acg_tau_rise_ms", F.nanvl("acg_tau_rise_ms", F.lit(None).cast("double")))
+    centres = (np.arange(bins) + 0.5) * (2000.0 * window / bins) - 1000.0 * window
+    x = centres[centres > 0]
+
+    def given(units: list[tuple]) -> pa.RecordBatch:
+        y = np.stack([u[3][centres > 0] for u in units]).astype(float)
+        some = np.flatnonzero(y.max(1, initial=0) > 0) if len(x) >= 10 else np.zeros(0, int)
+        tau = np.full(len(units), np.nan)
+        if len(some):
+            tau[some] = fit_rises(x, y[some] / y[some].max(1, keepdims=True))
+        return pa.RecordBatch.from_arrays([pa.array([u[0] for u in units], pa.string()), pa.array([u[1] for u in units], pa.int64()), pa.array(tau, mask=np.isnan(tau))], names=["session_id", "unit_id", "acg_tau_rise_ms"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = histograms(batches, window, bins)
+        while units := list(islice(found, FITTED)):
+            yield given(units)
+
+    return by_unit(spikes).mapInArrow(run, "session_id string, unit_id bigint, acg_tau_rise_ms double")
