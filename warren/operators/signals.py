@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from warren.operators.groups import map_lines
+
 EDGE = ("session_id", "color")
 
 
@@ -144,34 +146,33 @@ def fir(taps: int, low: float, high: float, fs: float) -> np.ndarray:
 def filtered(chunks: DataFrame, taps: np.ndarray, size: int) -> DataFrame:
     """A symmetric filter over chunked channels, zero-padded at the ends, exact at every seam.
 
-    Each chunk is also sent to its neighbours within reach, so a group is one chunk with its halo.
+    A block of chunks goes to a task with its halo; its filtered chunks are a product of two matrices.
     """
-    half = len(taps) // 2
+    half, after = len(taps) // 2, (len(taps) - 1) // 2
     reach = -(-half // size)
+    # column i has what each place of a line gives to the chunk's i-th sample
+    k = np.arange(size)[None, :] + reach * size + after - np.arange((2 * reach + 1) * size)[:, None]
+    weights = np.where((k >= 0) & (k < len(taps)), taps[np.clip(k, 0, len(taps) - 1)], 0.0)
 
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        own = int(part["to"].iloc[0])
-        line = np.zeros((2 * reach + 1) * size)
-        for c, v in zip(part["chunk"], part["v"]):
-            at = (int(c) - own + reach) * size
-            line[at : at + len(v)] = v
-        here = part[part["chunk"] == own]
-        n = len(here["v"].iloc[0]) if len(here) else 0
-        out = np.convolve(line, taps, "same")[reach * size : reach * size + n]
-        return pd.DataFrame([{"session_id": part["session_id"].iloc[0], "channel": part["channel"].iloc[0], "chunk": own, "v": out}] if n else [], columns=["session_id", "channel", "chunk", "v"])
+    def work(lines: np.ndarray, chunk: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        sums = lines @ weights
+        for i in np.flatnonzero(~np.isfinite(lines).all(1)):  # beyond the taps' reach they count for nothing
+            sums[i] = np.convolve(lines[i], taps, "same")[reach * size : (reach + 1) * size]
+        return chunk, [v[:n] for v, n in zip(sums, lengths)]
 
-    sent = chunks.select("session_id", "channel", "chunk", F.col("v").cast("array<double>").alias("v"), F.explode(F.sequence(F.col("chunk") - reach, F.col("chunk") + reach)).alias("to"))
-    return sent.groupBy("session_id", "channel", "to").applyInPandas(one, "session_id string, channel int, chunk bigint, v array<double>")
+    return map_lines(chunks, size, reach, work, "chunk")
 
 
 def movement(chunks: DataFrame, taps: np.ndarray, size: int) -> DataFrame:
     """Summed absolute z-scores of the axes, then the filter."""
-    w = Window.partitionBy("session_id", "channel")
-    rows = samples(chunks, size)
-    sd = F.stddev_pop("value").over(w)
-    z = rows.withColumn("z", F.abs((F.col("value") - F.avg("value").over(w)) / F.when(sd == 0, 1.0).otherwise(sd)))
-    total = z.groupBy("session_id", "chunk", "k").agg(F.sum("z").alias("z"))
-    again = total.groupBy("session_id", "chunk").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "z"))), lambda s: s["z"]).alias("v")).withColumn("channel", F.lit(0))
+    key = ["session_id", "channel"]
+    sd = F.stddev_pop("value")
+    scale = samples(chunks, size).groupBy(*key).agg(F.avg("value").alias("mean"), F.when(sd == 0, 1.0).otherwise(sd).alias("sd"))
+    z = chunks.join(scale, key).select("session_id", "chunk", "channel", F.transform("v", lambda x: F.abs((x - F.col("mean")) / F.col("sd"))).alias("z"))
+    either = lambda a, b: F.coalesce(a + b, a, b)
+    axes = F.transform(F.sort_array(F.collect_list(F.struct("channel", "z"))), lambda s: s["z"])
+    total = F.aggregate(F.slice(axes, 2, F.greatest(F.size(axes) - 1, F.lit(0))), F.element_at(axes, 1), lambda a, b: F.zip_with(a, b, either))
+    again = z.groupBy("session_id", "chunk").agg(total.alias("v")).withColumn("channel", F.lit(0))
     return filtered(again, taps, size)
 
 
