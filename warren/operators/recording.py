@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from warren.operators.groups import map_groups, map_lines, starts
+
 Stage = tuple[int, int, np.ndarray]
 AT = ["session_id", "sample"]
 
@@ -48,8 +49,8 @@ def at_new_rate(x: np.ndarray, first: int, stage: Stage) -> tuple[np.ndarray, in
 def through(chunks: DataFrame, size: int, stages: list[Stage]) -> DataFrame:
     """V3: chunked channels through stages of filters and rate changes, exact at every seam, zero beyond both ends.
 
-    A chunk of `size` samples (the last may be shorter) is sent to the neighbours within the filters' reach, so a group
-    is one chunk with its halo and all stages run in it. Gives `start`, the number of a row's first new sample, and `v`.
+    A chunk of `size` samples (the last may be shorter) meets its neighbours within the filters' reach, and all stages run
+    over that line; one stage is a product of two matrices for a block of chunks. Gives `start`, the number of a row's first new sample, and `v`.
     Missing chunks count as zero, empty ones give no row.
     """
     reach, scale = 0.0, 1.0
@@ -59,22 +60,56 @@ def through(chunks: DataFrame, size: int, stages: list[Stage]) -> DataFrame:
     reach = math.ceil(reach / size)
     ups, downs = math.prod(s[0] for s in stages), math.prod(s[1] for s in stages)
 
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        own = int(part["to"].iloc[0])
-        have = {int(c): np.asarray(v, dtype=float) for c, v in zip(part["chunk"], part["v"])}
-        if not len(have.get(own, ())):
-            return pd.DataFrame([], columns=["session_id", "channel", "start", "v"])
-        first = min(have) * size
-        x = np.zeros(max(c * size + len(v) for c, v in have.items()) - first)
-        for c, v in have.items():
-            x[c * size - first : c * size - first + len(v)] = v
+    by_phase = {}
+
+    def cut(x: np.ndarray, first: int, own: int, n: int) -> np.ndarray:
         for stage in stages:
             x, first = at_new_rate(x, first, stage)
-        a, b = (-(-at * ups // downs) for at in (own * size, own * size + len(have[own])))
-        return pd.DataFrame([{"session_id": part["session_id"].iloc[0], "channel": part["channel"].iloc[0], "start": a, "v": x[a - first : b - first]}] if b > a else [], columns=["session_id", "channel", "start", "v"])
-
-    sent = chunks.select("session_id", "channel", "chunk", F.col("v").cast("array<double>").alias("v"), F.explode(F.sequence(F.col("chunk") - reach, F.col("chunk") + reach)).alias("to"))
-    return sent.groupBy("session_id", "channel", "to").applyInPandas(one, "session_id string, channel int, start bigint, v array<double>")
+        a, b = (-(-at * ups // downs) for at in (own * size, own * size + n))
+        return x[a - first : b - first]
+
+    def weights(own: int) -> np.ndarray:
+        """What each place of a line gives to the new samples of its chunk; alike for chunks of one phase."""
+        phase = own * size % downs
+        if phase not in by_phase:
+            by_phase[phase] = np.stack([cut(x, (own - reach) * size, own, size) for x in np.eye((2 * reach + 1) * size)])
+        return by_phase[phase]
+
+    def work(lines: np.ndarray, chunk: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        start, out = -(-chunk * size * ups // downs), [np.zeros(0)] * len(chunk)
+        stop = -(-(chunk * size + lengths) * ups // downs)
+        plain = np.isfinite(lines).all(1)
+        for phase in np.unique(chunk * size % downs):
+            some = np.flatnonzero(plain & (chunk * size % downs == phase))
+            for i, v in zip(some, lines[some] @ weights(int(chunk[some[0]])) if len(some) else ()):
+                out[i] = v[: stop[i] - start[i]]
+        for i in np.flatnonzero(~plain):
+            out[i] = cut(lines[i], int(chunk[i] - reach) * size, int(chunk[i]), int(lengths[i]))
+        return start, out
+
+    if len(stages) == 1:
+        return map_lines(chunks, size, reach, work, "start")
+
+    def many(table: pa.Table) -> pa.Table:
+        """Several stages: what lies beyond a signal's ends counts as zero to each stage, so each line begins and ends with its chunks."""
+        ends, rows = starts(table, ["session_id", "channel", "to"]), []
+        number, to, lists = table.column("chunk").to_numpy(), table.column("to").to_numpy(), table.column("v").to_pylist()
+        for low, high in zip(ends, ends[1:]):
+            own, have = int(to[low]), {int(number[i]): np.array(lists[i], dtype=float) for i in range(low, high)}
+            if not len(have.get(own, ())):
+                continue
+            first = min(have) * size
+            x = np.zeros(max(c * size + len(v) for c, v in have.items()) - first)
+            for c, v in have.items():
+                x[c * size - first : c * size - first + len(v)] = v
+            v = cut(x, first, own, len(have[own]))
+            if len(v):
+                rows.append((low, -(-own * size * ups // downs), v))
+        taken = table.take(pa.array([r[0] for r in rows], pa.int64()))
+        return pa.table({"session_id": taken.column("session_id"), "channel": taken.column("channel"), "start": pa.array([r[1] for r in rows], pa.int64()), "v": pa.array([r[2] for r in rows], pa.list_(pa.float64()))})
+
+    sent = chunks.select("session_id", F.col("channel").cast("int").alias("channel"), "chunk", F.col("v").cast("array<double>").alias("v"), F.explode(F.sequence(F.col("chunk") - reach, F.col("chunk") + reach)).alias("to"))
+    return map_groups(sent, ["session_id", "channel", "to"], ["chunk"], many, "session_id string, channel int, start bigint, v array<double>")
 
 
 def decimate(chunks: DataFrame, size: int, factor: int) -> DataFrame:
