@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections import deque
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from warren.operators.groups import doubles, map_groups, starts
 from warren.operators.scan import SECONDS, block_of, scan
 from warren.operators.spikes import interp_at
 from warren.operators.track import HEIGHT_M, WIDTH_M, bins, clipped_bin
@@ -89,42 +88,60 @@ def spatial_info(maps: DataFrame) -> DataFrame:
     return rows.groupBy("session_id", "unit_id").agg(F.when(F.max("mean") > 0, F.sum(bit)).alias("information"), F.try_divide(F.max("rate"), F.max("mean")).alias("selectivity"), F.max("rate").alias("peak"))
 
 
-def _fields(cells: dict[tuple[int, int], float], least_cells: int, least_peak: float) -> list[list[tuple[int, int]]]:
-    """Connected sets of cells at half of the peak or above, neighbours sharing an edge."""
-    top = max(cells.values(), default=0.0)
-    left = {c for c, v in cells.items() if v >= 0.5 * top and top > 0}
-    out = []
-    for seed in sorted(left):
-        if seed in left:
-            left.discard(seed)
-            queue, one = deque([seed]), []
-            while queue:
-                x, y = queue.popleft()
-                one.append((x, y))
-                for c in ((x + 1, y), (x - 1, y), (x, y + 1), (x, y - 1)):
-                    if c in left:
-                        left.discard(c)
-                        queue.append(c)
-            if len(one) >= least_cells and max(cells[c] for c in one) >= least_peak:
-                out.append(one)
-    return out
+def _fields(group: np.ndarray, x: np.ndarray, y: np.ndarray, rate: np.ndarray, least_cells: int, least_peak: float) -> tuple[np.ndarray, ...]:
+    """Connected sets of cells at half of their group's peak or above, neighbours sharing an edge, all groups at once.
+
+    Gives group, place (largest first, of equal ones the later in reading order), cells, peak and mean cell of each.
+    """
+    n = int(group.max()) + 1 if len(group) else 0
+    top = np.zeros(n)
+    np.maximum.at(top, group, rate)
+    keep = (rate >= 0.5 * top[group]) & (top[group] > 0)
+    group, x, y, rate = group[keep], x[keep], y[keep], rate[keep]
+    if not len(group):
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0),) * 3
+    wide, high = x.max() - x.min() + 3, y.max() - y.min() + 3
+    place = (group * high + y - y.min() + 1) * wide + x - x.min() + 1  # in reading order
+    order = np.argsort(place)
+    group, x, y, rate, place = group[order], x[order], y[order], rate[order], place[order]
+    near = []
+    for step in (1, -1, wide, -wide):
+        at = np.minimum(np.searchsorted(place, place + step), len(place) - 1)
+        near.append(np.where(place[at] == place + step, at, np.arange(len(place))))
+    label, before = np.arange(len(place)), None
+    while before is None or (label != before).any():
+        before = label
+        for at in near:
+            label = np.minimum(label, label[at])
+        label = label[label]
+    first, of = np.unique(label, return_inverse=True)
+    cells, peak = np.bincount(of), np.zeros(len(first))
+    np.maximum.at(peak, of, rate)
+    cx, cy = np.bincount(of, x) / cells, np.bincount(of, y) / cells
+    good = np.flatnonzero((cells >= least_cells) & (peak >= least_peak))
+    good = good[np.lexsort((-first[good], -cells[good], group[first[good]]))]
+    own = group[first[good]]
+    number = np.arange(len(own)) - np.searchsorted(own, own)
+    return own, number, cells[good], peak[good], cx[good], cy[good]
 
 
 def place_fields(maps: DataFrame, least_cells: int = 6, least_peak: float = 0.5) -> DataFrame:
     """M4: fields of each unit, the largest first (of equal ones the later in reading order), with their size, peak and mean cell.
 
-    A group is one unit's grid.
+    A task works on many units' grids at once.
     """
+    unit = ["session_id", "unit_id"]
 
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        cells = {(int(x), int(y)): float(v) for x, y, v in zip(part["bx"], part["by"], part["rate"]) if v == v}
-        reading = sorted(_fields(cells, least_cells, least_peak), key=lambda f: min((y, x) for x, y in f), reverse=True)
-        rows = []
-        for i, f in enumerate(sorted(reading, key=len, reverse=True)):
-            rows.append((part["session_id"].iloc[0], part["unit_id"].iloc[0], i, len(f), max(cells[c] for c in f), sum(x for x, _ in f) / len(f), sum(y for _, y in f) / len(f)))
-        return pd.DataFrame(rows, columns=["session_id", "unit_id", "field", "cells", "peak", "cx", "cy"])
+    def work(table: pa.Table) -> pa.Table:
+        ends, rate = starts(table, unit), doubles(table.column("rate"))
+        group, there = np.repeat(np.arange(len(ends) - 1), np.diff(ends)), ~np.isnan(rate)
+        x, y = (table.column(c).to_numpy().astype(np.int64)[there] for c in CELL)
+        own, number, cells, peak, cx, cy = _fields(group[there], x, y, rate[there], least_cells, least_peak)
+        named = table.select(unit).take(pa.array(ends[:-1][own]))
+        return pa.table({c: named.column(c) for c in unit} | {"field": pa.array(number, pa.int32()), "cells": pa.array(cells, pa.int32()), "peak": pa.array(peak), "cx": pa.array(cx), "cy": pa.array(cy)})
 
-    return maps.select("session_id", "unit_id", *CELL, "rate").groupBy("session_id", "unit_id").applyInPandas(one, "session_id string, unit_id int, field int, cells int, peak double, cx double, cy double")
+    rows = maps.select("session_id", F.col("unit_id").cast("int").alias("unit_id"), *CELL, F.col("rate").cast("double").alias("rate"))
+    return map_groups(rows, unit, [], work, "session_id string, unit_id int, field int, cells int, peak double, cx double, cy double")
 
 
 def field_metrics(fields: DataFrame, goals: DataFrame, units: DataFrame, nx: int = 18, ny: int = 10) -> DataFrame:
@@ -160,31 +177,39 @@ def decode(counts: DataFrame, curves: DataFrame, width: float, least_s: float =
     units and a maze's cells.
     """
     keys, logs = ["session_id", "block"], 1e-3
-    spikes = counts.select("session_id", F.floor(F.col("bin") / block).alias("block"), "bin", "unit_id", "n")
+    spikes = counts.select("session_id", F.floor(F.col("bin") / block).alias("block"), "unit_id", F.lit(1).alias("kind"), F.col("bin").cast("bigint").alias("bin"), F.lit(0).alias("bx"), F.lit(0).alias("by"), F.col("n").cast("double").alias("value"))
     cells = curves.filter(F.col("occupied_s") >= least_s).select("session_id", "unit_id", *CELL, "rate")
-    copies = spikes.select(*keys).distinct().join(cells, "session_id").toDF("session_id", "block", "unit_id", *CELL, "rate")
-
-    def one(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"session_id": pa.array([], pa.string()), "bin": pa.array([], pa.int64()), "bx": pa.array([], pa.int32()), "by": pa.array([], pa.int32()), "log_posterior": pa.array([], pa.float64())})
-        if not left.num_rows or not right.num_rows:
-            return empty
-        own, cell_of = np.unique(np.stack([right.column(c).to_numpy().astype(np.int64) for c in CELL], 1), axis=0, return_inverse=True)
-        if len(own) < 3:
-            return empty
-        units, unit_of = np.unique(right.column("unit_id").to_numpy(), return_inverse=True)
-        rate = np.full((len(units), len(own)), np.nan)
-        rate[unit_of, cell_of.ravel()] = right.column("rate").to_numpy(zero_copy_only=False).astype(float)
-        bins_, bin_of = np.unique(left.column("bin").to_numpy(), return_inverse=True)
-        n, unit = left.column("n").to_numpy().astype(float), left.column("unit_id").to_numpy()
-        at = np.searchsorted(units, unit)
-        held = (n > 0) & (at < len(units)) & (units[np.minimum(at, len(units) - 1)] == unit)
-        seen = np.zeros((len(bins_), len(units)))
-        np.add.at(seen, (bin_of[held], at[held]), n[held])
-        value = np.round(seen @ np.nan_to_num(np.log(rate + logs)) - width * np.nansum(rate, 0), 9)
-        best = value.argmax(1)
-        return pa.table({"session_id": pa.array([left.column("session_id")[0].as_py()] * len(bins_), pa.string()), "bin": pa.array(bins_.astype(np.int64)), "bx": pa.array(own[best, 0].astype(np.int32)), "by": pa.array(own[best, 1].astype(np.int32)), "log_posterior": pa.array(value[np.arange(len(bins_)), best])})
-
-    return spikes.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(one, "session_id string, bin bigint, bx int, by int, log_posterior double")
+    copies = spikes.select(*keys).distinct().join(cells, "session_id").select(*keys, "unit_id", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("bin"), F.col("bx").cast("int").alias("bx"), F.col("by").cast("int").alias("by"), F.col("rate").cast("double").alias("value"))
+
+    def work(table: pa.Table) -> pa.Table:
+        ends = starts(table, [*keys, "kind"])
+        kinds, units_, bins_, xs, ys, values = (table.column(c).to_numpy() for c in ("kind", "unit_id", "bin", *CELL, "value"))
+        names, out = table.column("session_id"), []
+        blocks = table.column("block").to_numpy()
+        for (low, mid), high in zip(zip(ends, ends[1:]), ends[2:]):
+            # a group's curves, and its counts right behind them
+            if kinds[low] or not kinds[mid] or blocks[low] != blocks[mid] or names[int(low)] != names[int(mid)]:
+                continue
+            cell = xs[low:mid].astype(np.int64) << 32 | ys[low:mid]
+            own, cell_of = np.unique(cell, return_inverse=True)
+            if len(own) < 3:
+                continue
+            units, unit_of = np.unique(units_[low:mid], return_inverse=True)
+            rate = np.full((len(units), len(own)), np.nan)
+            rate[unit_of, cell_of] = values[low:mid]
+            bins, bin_of = np.unique(bins_[mid:high], return_inverse=True)
+            n, unit = values[mid:high], units_[mid:high]
+            at = np.minimum(np.searchsorted(units, unit), len(units) - 1)
+            held = (n > 0) & (units[at] == unit)
+            seen = np.bincount(bin_of[held] * len(units) + at[held], n[held], len(bins) * len(units)).reshape(len(bins), len(units))
+            value = np.round(seen @ np.nan_to_num(np.log(rate + logs)) - width * np.nansum(rate, 0), 9)
+            best = value.argmax(1)
+            out.append((low, bins, own[best] >> 32, own[best] & 0xFFFFFFFF, value[np.arange(len(bins)), best]))
+        bins, bx, by, value = (np.concatenate(x) if x else np.zeros(0) for x in (list(zip(*out))[1:] if out else [()] * 4))
+        named = names.take(pa.array(np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64)))
+        return pa.table({"session_id": named, "bin": pa.array(bins.astype(np.int64)), "bx": pa.array(bx.astype(np.int32)), "by": pa.array(by.astype(np.int32)), "log_posterior": pa.array(value)})
+
+    return map_groups(copies.unionByName(spikes), keys, ["kind"], work, "session_id string, bin bigint, bx int, by int, log_posterior double")
 
 
 def decode_error(decoded: DataFrame, actual: DataFrame, nx: int = 18, ny: int = 10) -> DataFrame:
