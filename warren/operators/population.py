@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from warren.operators.maps import kernel
+from warren.operators.scan import block_of, scan
 from warren.operators.signals import welch
-from warren.operators.spikes import interp_at, spike_counts
+from warren.operators.spikes import spike_counts
 from warren.operators.track import finite
 
 
@@ -80,6 +81,19 @@ def wakefulness(rows: DataFrame, fs: float, muscle: int, field: int) -> DataFram
 
 
 def wakefulness_at(samples: DataFrame, epochs: DataFrame, fs: float) -> DataFrame:
-    """E4, up-sampled: the epochs' values at each sample, by straight lines between the epochs' middles, held beyond them."""
-    track = epochs.withColumn("seconds", (F.col("epoch") + 0.5) * int(fs))
-    return interp_at(samples.select("session_id", "sample").distinct(), track, ("wakefulness", "rms", "ratio"), outside="hold", time="sample", cell=600.0 * int(fs))
+    """E4, up-sampled: the epochs' values at each sample, by straight lines between the epochs' middles, held beyond them.
+
+    Epochs are scanned by epochs, so a row for each sample takes part in a join only.
+    """
+    n, values = int(fs), ("wakefulness", "rms", "ratio")
+    cell = F.floor(F.col("sample") / n - 0.5)  # the epoch whose middle lies before the sample
+    at = samples.select("session_id", "sample").distinct().withColumn("cell", cell)
+    known = epochs.select("session_id", F.col("epoch").cast("bigint").alias("cell"), F.lit(0).alias("p"), *[F.col(c).alias(f"__{c}") for c in values])
+    both = at.select("session_id", "cell").distinct().withColumn("p", F.lit(1)).unionByName(known, allowMissingColumns=True)
+    found = {"e": F.when(F.col("p") == 0, F.col("cell"))} | {c: F.col(f"__{c}") for c in values}
+    rows = scan(both, ["session_id"], ["cell", "p"], block_of("cell", 600.0), last={f"__0{c}": of for c, of in found.items()}, next={f"__1{c}": of for c, of in found.items()})
+    held = rows.filter("p = 1").select("session_id", "cell", *[f"__{i}{c}" for i in (0, 1) for c in found])
+    middle = lambda c: (F.col(c) + 0.5) * n
+    run, whole = F.col("sample") - middle("__0e"), middle("__1e") - middle("__0e")
+    value = lambda c: F.when(run == 0, F.col(f"__0{c}")).when(F.col("__0e").isNull() | F.col("__1e").isNull(), F.coalesce(f"__0{c}", f"__1{c}")).otherwise(F.col(f"__0{c}") + (F.col(f"__1{c}") - F.col(f"__0{c}")) * run / whole)
+    return at.join(held, ["session_id", "cell"]).select("session_id", "sample", *[value(c).alias(c) for c in values])
