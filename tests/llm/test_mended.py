@@ -99,3 +99,26 @@ def test_families_of_a_template(spark):
     df = spark.createDataFrame([(k, t, zlib.crc32(t.encode())) for k, t in enumerate(texts)], "doc_id bigint, text string, extra bigint")
     kept = sorted(r["doc_id"] for r in simhash.keep_one(df, shingle=5, similarity=0.8).select("doc_id").collect())
     assert kept == list(range(200))
+
+
+def test_every_token_of_a_text_is_tagged(tagger):
+    """Secrets without a digit, a long run or a cue near them, and texts tagged together or alone."""
+    plain = "some words of a walk by the river, and no more (than that)!"
+    (places,) = (p for p, _ in secret_scan.stretches(plain))
+    assert [plain[a:b] for a, b in places] == plain.replace(",", " ,").replace("(", "( ").replace(")!", " ) !").split()
+    line = "connect to ssh joe:qwErTyUiop@host and walk"
+    found = [line[a:b] for a, b, _ in secret_scan.all_spans(line, tagger)]
+    assert any("qwErTyUiop" in x for x in found)
+    rng = random.Random(3)
+    texts = ["", plain, *(secret_scan.planted(rng)[0] for _ in range(80)), " ", " a1b2c3d4 ".join(secret_scan.planted(rng)[0] for _ in range(90))]
+    assert list(secret_scan.spans_of(texts, tagger)) == [secret_scan.all_spans(t, tagger) for t in texts]
+
+
+def test_texts_cut_at_blanks_give_the_same_tokens(tagger, monkeypatch):
+    rng = random.Random(9)
+    text = "\n".join(secret_scan.planted(rng)[0] for _ in range(50))
+    whole = secret_scan.Tokens([text])
+    wanted = whole.features(0, len(whole)), secret_scan.all_spans(text, tagger)
+    monkeypatch.setattr(secret_scan, "TOGETHER", 40)
+    cut = secret_scan.Tokens([text])
+    assert np.array_equal(wanted[0], cut.features(0, len(cut))) and wanted[1] == secret_scan.all_spans(text, tagger)
