@@ -115,3 +115,21 @@ def test_behaviour_of_moving_bins(spark, walk):
     assert [got[i]["trial_num"] for i in range(5)] == [1, 2, None, 3, None] and got[3]["goal_distance"] is None
     assert got[0]["goal_distance"] == pytest.approx(np.hypot(got[0]["x"], got[0]["y"])) and len(got) == 5
     assert tuning.bin_behaviour(bins, track, trials, nodes, most=2).count() == 2
+
+
+def test_axes_of_many_sessions_come_from_batches_of_them(spark):
+    rng = np.random.default_rng(3)
+    sessions = {f"s{i}": rng.normal(size=(6, 2 + i % 3)) * (1 + np.arange(2 + i % 3)) for i in range(300)}
+    matrix = [(s, u, b, float(z[b, u])) for s, z in sessions.items() for b in range(len(z)) for u in range(z.shape[1])]
+    df = tuning.embed_pca(spark.createDataFrame(matrix, "session_id string, unit_id int, bin bigint, z double"))
+    assert "InPandas" not in df._jdf.queryExecution().toString()  # no call for each session
+    got = {(r["session_id"], r["bin"]): r for r in df.collect()}
+    assert len(got) == 300 * 6
+    for s, z in sessions.items():
+        _, v = np.linalg.eigh(np.cov(z.T, bias=True))
+        axes = v[:, ::-1][:, :3].T
+        axes = axes * np.sign(axes[np.arange(len(axes)), np.abs(axes).argmax(1)])[:, None]
+        want = (z - z.mean(0)) @ axes.T
+        for b in range(len(z)):
+            mine = [got[s, b][f"pc{i + 1}"] for i in range(3)]
+            assert np.allclose(mine[: len(axes)], want[b]) and mine[len(axes) :] == [None] * (3 - len(axes))

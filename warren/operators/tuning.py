@@ -8,10 +8,11 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from warren.operators import maps
+from warren.operators import groups, maps
 from warren.operators.spikes import assign_fold, by_unit, histograms, interp_at, within_trials
 from warren.operators.track import HEIGHT_M, WIDTH_M, run_epochs, step_speed
 
@@ -203,42 +204,74 @@ def bin_behaviour(bins: DataFrame, track: DataFrame, trials: DataFrame, nodes: D
     return out.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= most).drop("__r")
 
 
-def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of products of units' values over the bins of a batch, a row per unit (index 0 is the constant 1)."""
+#: Bins of a session that are dealt together, and entries of products that are held at once.
+BLOCK_BINS, HELD_PRODUCTS = 4096, 1 << 20
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of products of units' values over each session's bins in a batch, a row per unit (index 0 is the constant 1)."""
     for batch in batches:
-        for session, part in batch.groupby("session_id"):
-            z = np.column_stack([np.ones(len(part)), np.stack(part["z"].to_numpy())])
-            yield pd.DataFrame({"session_id": session, "a": np.arange(z.shape[1]), "s": list(z.T @ z)})
+        batch = batch.filter(pc.is_valid(batch.column("session_id")))
+        session, lists = batch.column("session_id").dictionary_encode(), batch.column("z")
+        flat, length = lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        code, begin = session.indices.to_numpy(zero_copy_only=False), np.cumsum(length) - length
+        for m in np.unique(length).tolist():
+            of = np.flatnonzero(length == m)
+            of = of[np.argsort(code[of], kind="stable")]
+            step = max(1, HELD_PRODUCTS // (m + 1) ** 2)
+            for at in range(0, len(of), step):
+                some = of[at : at + step]
+                z = np.column_stack([np.ones(len(some)), flat[begin[some][:, None] + np.arange(m)]])
+                first = np.flatnonzero(np.append(True, code[some][1:] != code[some][:-1]))
+                sums = np.add.reduceat(z[:, :, None] * z[:, None, :], first, axis=0)
+                names = session.dictionary.take(pa.array(np.repeat(code[some][first], m + 1)))
+                offsets = pa.array(np.arange(len(names) + 1, dtype=np.int32) * (m + 1))
+                yield pa.RecordBatch.from_arrays([names, pa.array(np.tile(np.arange(m + 1, dtype=np.int32), len(first))), pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))], names=["session_id", "a", "s"])
 
 
 def _axes(k: int):
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        g = np.stack(part.sort_values("a")["s"].to_numpy())
-        mean = g[0, 1:] / g[0, 0]
-        _, vectors = np.linalg.eigh(g[1:, 1:] / g[0, 0] - np.outer(mean, mean))
-        axes = vectors[:, ::-1][:, :k].T
-        axes = axes * np.sign(axes[np.arange(len(axes)), np.abs(axes).argmax(1)])[:, None]
-        return pd.DataFrame({"session_id": part["session_id"].iloc[0], "mean": [mean], "axes": [list(axes)]})
-
-    return one
+    """Means and principal axes of whole sessions' sums of products, those of as many units at once."""
+
+    def work(table: pa.Table) -> pa.Table:
+        begins = groups.starts(table, ["session_id"])[:-1]
+        lists = table.column("s").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        length = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, place = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(length) - length
+        mean, axes = [None] * len(begins), [None] * len(begins)
+        for n in np.unique(length[begins]).tolist():
+            of = np.flatnonzero(length[begins] == n)
+            g = flat[place[begins[of]][:, None] + np.arange(n * n)].reshape(-1, n, n)
+            middle = g[:, 0, 1:] / g[:, 0, :1]
+            _, vectors = np.linalg.eigh(g[:, 1:, 1:] / g[:, :1, :1] - middle[:, :, None] * middle[:, None, :])
+            found = vectors[:, :, ::-1][:, :, :k].transpose(0, 2, 1)
+            found = found * np.sign(np.take_along_axis(found, np.abs(found).argmax(2)[:, :, None], 2))
+            for i, x, y in zip(of.tolist(), middle.tolist(), found.tolist()):
+                mean[i], axes[i] = x, y
+        kinds = pa.list_(pa.float64()), pa.list_(pa.list_(pa.float64()))
+        return pa.table({"session_id": table.column("session_id").take(pa.array(begins)), "mean": pa.array(mean, kinds[0]), "axes": pa.array(axes, kinds[1])})
+
+    return work
 
 
 def embed_pca(matrix: DataFrame, k: int = 3) -> DataFrame:
     """Each bin of the long matrix (session_id, unit_id, bin, z) on its session's first k principal axes.
 
-    Products are summed by batch and then by session, so that one task sees units by units, never the bins. An
-    axis' largest loading is positive. A session with fewer than k units has null for the rest.
+    Products are summed by batch and then by session, so that one task sees units by units, never the bins; bins are
+    dealt by blocks, so a session has few sums. An axis' largest loading is positive. A session with fewer than k units
+    has null for the rest.
     """
-    rows = matrix.groupBy("session_id", "bin").agg(F.transform(F.sort_array(F.collect_list(F.struct("unit_id", "z"))), lambda x: x["z"].cast("double")).alias("z"))
-    return on_axes(rows, k).select("session_id", "bin", *[f"pc{i + 1}" for i in range(k)])
+    dealt = matrix.withColumn("__block", F.floor(F.col("bin") / BLOCK_BINS)).repartition("session_id", "__block")
+    rows = dealt.groupBy("session_id", "__block", "bin").agg(F.transform(F.sort_array(F.collect_list(F.struct("unit_id", "z"))), lambda x: x["z"].cast("double")).alias("z"))
+    return on_axes(rows.drop("__block").sortWithinPartitions("session_id"), k).select("session_id", "bin", *[f"pc{i + 1}" for i in range(k)])
 
 
 def on_axes(rows: DataFrame, k: int) -> DataFrame:
     """Rows (session_id, z and others; z of one length in a session) with their places on the session's k principal axes."""
-    partial = rows.select("session_id", "z").mapInPandas(_grams, "session_id string, a int, s array<double>")
+    partial = rows.select("session_id", "z").mapInArrow(_grams, "session_id string, a int, s array<double>")
     entries = partial.select("session_id", "a", F.posexplode("s").alias("b", "v")).groupBy("session_id", "a", "b").agg(F.sum("v").alias("v"))
     gram = entries.groupBy("session_id", "a").agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "v"))), lambda x: x["v"]).alias("s"))
-    axes = gram.groupBy("session_id").applyInPandas(_axes(k), "session_id string, mean array<double>, axes array<array<double>>")
+    axes = groups.map_groups(gram, ["session_id"], ["a"], _axes(k), "session_id string, mean array<double>, axes array<array<double>>")
     centred = F.zip_with("z", "mean", lambda a, b: a - b)
     dot = lambda i: F.aggregate(F.zip_with(centred, F.get("axes", F.lit(i)), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
     return rows.join(axes, "session_id").select(*rows.columns, *[dot(i).alias(f"pc{i + 1}") for i in range(k)])
