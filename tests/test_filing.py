@@ -59,3 +59,10 @@ def test_sheets_have_session_values_in_the_first_row(spark):
     raw = spark.createDataFrame([(1, 1, 1, 2, None, None, 5, 7, 2), (1, 1, 1, 1, 20260601, 3, None, 7, 2), (1, 1, 1, 3, 20260601, 3, 6, 8, None), (1, 2, 1, 1, None, None, 5, None, 1), (1, 3, 1, 1, None, None, 5, 9, 1)], "subject int, day int, session int, trial int, date int, repeat int, start_node_n int, goal_node_n int, trial_type int")
     got = [(r["day"], r["trial_num"], r["date"], r["prev_goal_node"], r["num_trials"], r["trial_type"]) for r in filing.build_trial_meta(raw).orderBy("day", "trial_num").collect()]
     assert got == [(1, 1, 20260601, None, 2, 2), (1, 2, None, None, None, 1), (2, 1, None, 7, 1, 1), (3, 1, None, 7, 1, 1)]
+
+
+def test_a_plan_of_renames_reads_its_files_once(spark):
+    files = spark.range(60).selectExpr("'2024-01-02_09-08-07' as folder", "concat('2024-01-02_10-11-12.Eye', id % 20, '.mp4') as name")
+    plan = filing.plan_renames(files)
+    assert "Range" not in plan._jdf.queryExecution().toString()  # the different files are kept, the input is not read again
+    assert plan.count() == 20 and {r["action"] for r in plan.collect()} == {"rename"}

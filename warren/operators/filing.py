@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from warren.functions.scalars import channel_of
+from warren.operators.base import checkpointed
 from warren.operators.catalog import PHASES, flag_short, phase_size
 from warren.operators.sessions import CANONICAL_FILE, camera_name, recording_start
 
@@ -94,13 +95,15 @@ def plan_renames(files: DataFrame) -> DataFrame:
     """Renames of a folder's camera files (folder, name) to their right names.
 
     Of files that want one name the first takes it, if it is free; a re-encoded file (`fixed`) may take it from the
-    broken original, which is set aside as `.broken` unless there is one already. Others are conflicts.
+    broken original, which is set aside as `.broken` unless there is one already. Others are conflicts. Each file is
+    read once, and only different ones are kept.
     """
+    files = checkpointed(files.select("folder", "name").distinct())
     want = camera_name(F.col("name"), F.col("folder"))
-    odd = files.select("folder", "name").distinct().filter(~F.col("name").rlike(CANONICAL_FILE)).withColumn("wanted", want)
+    odd = files.filter(~F.col("name").rlike(CANONICAL_FILE)).withColumn("wanted", want)
     unknown = odd.filter(F.col("wanted").isNull() & F.col("name").rlike(r"(?i)eye\d+.*\.mp4$")).select("folder", "name", F.lit(None).cast("string").alias("new"), F.lit("unknown").alias("action"))
-    there = files.select("folder", F.col("name").alias("wanted"), F.lit(True).alias("taken")).distinct()
-    aside = files.filter(F.col("name").endswith(".broken")).select("folder", F.regexp_replace("name", r"\.broken$", "").alias("wanted"), F.lit(True).alias("stashed")).distinct()
+    there = files.select("folder", F.col("name").alias("wanted"), F.lit(True).alias("taken"))
+    aside = files.filter(F.col("name").endswith(".broken")).select("folder", F.regexp_replace("name", r"\.broken$", "").alias("wanted"), F.lit(True).alias("stashed"))
     rows = odd.filter("wanted is not null").join(there, ["folder", "wanted"], "left").join(aside, ["folder", "wanted"], "left")
     may = F.col("taken").isNull() | (F.col("name").rlike("(?i)fixed") & F.col("stashed").isNull())
     first = F.row_number().over(Window.partitionBy("folder", "wanted", "may").orderBy("name"))

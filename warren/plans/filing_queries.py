@@ -39,6 +39,11 @@ def camera_folders(fx):
     return fx("fx_names").filter("phase = 'video'").select(F.concat("path", F.lit("/"), "q").alias("path"), F.to_date("day").alias("session_date"), (q % 24).cast("string").alias("start"), (q % 11 == 0).alias("aborted"), (q % 3 == 0).alias("is_filed"), (F.col("rat_no") + q % 2).cast("int").alias("filed_rat"), F.to_date("day").alias("filed_date")).distinct()
 
 
+def camera_files(fx):
+    seen = fx("fx_names").select("folder", "camera", ((F.col("q") % 5 == 0) & (F.col("q") % 4 != 3)).alias("again")).distinct()
+    return seen.select("folder", F.explode(F.when(F.col("again"), F.array("camera", F.concat(F.lit("fixed_"), "camera"))).otherwise(F.array("camera"))).alias("name"))
+
+
 query("i6_assign_videos", f"""WITH {VIDEOS}, m AS (SELECT *, row_number() OVER (PARTITION BY session_date ORDER BY start, path, filed_rat) AS n FROM v WHERE NOT aborted), s AS (SELECT session_date, rat_no, row_number() OVER (PARTITION BY session_date ORDER BY train_order, rat_no) AS n FROM fx_roster),
 g AS (SELECT path, session_date, start, rat_no, CASE WHEN rat_no IS NULL THEN 'extra' WHEN NOT is_filed THEN 'fills' WHEN filed_rat = rat_no THEN 'filed' ELSE 'refile' END AS status FROM m LEFT JOIN s USING (session_date, n))
 SELECT * FROM g QUALIFY bool_or(status <> 'filed') OVER (PARTITION BY session_date) UNION ALL SELECT path, session_date, start, NULL, 'aborted' FROM v WHERE aborted AND NOT is_filed""")(lambda fx: L.assign_videos(camera_folders(fx), fx("fx_roster")))
@@ -47,7 +52,7 @@ o AS (SELECT folder, name, regexp_extract(name, '(?i)eye([0-9]+)', 1) AS e, coal
 w AS (SELECT folder, name, e, CASE WHEN e <> '' AND t IS NOT NULL THEN concat('eye', lpad(CAST(CAST(nullif(e, '') AS INT) AS VARCHAR), 2, '0'), '_', d, '_', t, '.mp4') END AS wanted FROM o),
 k AS (SELECT w.*, x.name IS NOT NULL AS taken, x.name IS NULL OR w.name LIKE '%fixed%' AS may FROM w LEFT JOIN a x ON x.folder = w.folder AND x.name = w.wanted WHERE wanted IS NOT NULL), n AS (SELECT *, may AND row_number() OVER (PARTITION BY folder, wanted, may ORDER BY name) = 1 AS wins FROM k)
 SELECT folder, name, wanted AS new, CASE WHEN wins THEN 'rename' ELSE 'conflict' END AS action FROM n UNION ALL SELECT folder, wanted, concat(wanted, '.broken'), 'broken' FROM n WHERE wins AND taken UNION ALL SELECT folder, name, NULL, 'unknown' FROM w WHERE wanted IS NULL AND regexp_matches(name, '(?i)eye[0-9]+.*[.]mp4$')""")(
-    lambda fx: L.plan_renames(fx("fx_names").select("folder", F.col("camera").alias("name")).union(fx("fx_names").filter("q % 5 = 0 and q % 4 <> 3").select("folder", F.concat(F.lit("fixed_"), "camera"))))
+    lambda fx: L.plan_renames(camera_files(fx))
 )
 RESET = "f AS (SELECT volume AS root, concat(path, '/', folder, '_', q) AS path, concat(folder, '_', q % 8) AS name, q % 6 = 0 AS in_raw, volume <> 'D3' OR q % 2 = 0 AS writable, min(CASE WHEN q % 9 <> 4 THEN concat(q % 3) END) AS signature FROM fx_names GROUP BY 1, 2, 3, 4, 5)"
 query("i10_plan_reset", f"""WITH {RESET}, r AS (SELECT root, name, min_by(signature, path) FILTER (signature IS NOT NULL) AS raw, true AS there FROM f WHERE in_raw GROUP BY 1, 2),
