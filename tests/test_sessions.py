@@ -80,3 +80,11 @@ def test_cameras_are_filled_between_and_after_but_not_before(spark):
     levels = spark.createDataFrame([("s", "red", 1, 0.0, 1.0), ("s", "red", 1, 2.0, 3.0), ("s", "red", 2, 1.0, 10.0), ("s", "red", 2, 3.0, 30.0)], "session_id string, color string, camera int, ts double, value double")
     assert rows(sessions.merge_cameras(levels).select("ts", "total")) == [(0.0, 1.0), (1.0, 12.0), (2.0, 23.0), (3.0, 33.0)]
     assert sessions.merge_cameras(levels.limit(0)).count() == 0
+
+
+def test_split_phases_matches_patterns_once_for_a_name(spark):
+    df = spark.range(100).selectExpr("'s' as s", "concat('Rat1_HM_neurons_20240102_', lpad(id % 3, 2, '0'), '0500_pre.rec') as name")
+    found = sessions.split_phases(df, ["s"])
+    below = found._jdf.queryExecution().optimizedPlan().toString().lower().split("aggregate")[-1]
+    assert "rlike" not in below and "regexp" not in below  # below the first aggregate
+    assert [tuple(r) for r in found.collect()] == [("s", "pre", 3)]

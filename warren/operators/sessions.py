@@ -99,8 +99,10 @@ def score_regression(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFr
 
 def split_phases(entries: DataFrame, keys: list[str]) -> DataFrame:
     """Phases recorded in several parts: several acquisition times, or a part's suffix (two at least)."""
+    once = entries.groupBy(*keys, "name").agg(F.count("*").alias("__n"))
+    # the count keeps what follows behind the aggregate, so patterns are matched once for a name
+    own = once.withColumn("name", F.when(F.col("__n") > 0, F.col("name"))).filter(~F.col("name").rlike(CAMERA_FOLDER) & ~F.lower("name").endswith("_merged.rec"))
     stem = F.regexp_replace("name", r"(?i)\.rec$", "")
-    own = entries.filter(~F.col("name").rlike(CAMERA_FOLDER) & ~F.lower("name").endswith("_merged.rec"))
     taken = F.coalesce(F.nullif(F.regexp_extract("name", ACQUIRED, 1), F.lit("")), stem)
     phases = own.select(*keys, phase(stem).alias("phase"), taken.alias("taken"), stem.rlike(PART_SUFFIX).alias("part")).filter("phase is not null")
     found = phases.groupBy(*keys, "phase").agg(F.count_distinct("taken").alias("n"), F.bool_or("part").alias("forced"))
