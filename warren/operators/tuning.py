@@ -295,11 +295,19 @@ def fit_rise(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> float | None:
     return float(found) if np.isfinite(found) else None
 
 
+def _steps(square: np.ndarray, slope: np.ndarray) -> np.ndarray:
+    """Solutions of many small damped systems at once; where one has no unique solution, the shortest of each."""
+    try:
+        return np.linalg.solve(square, slope[:, :, None])[:, :, 0]
+    except np.linalg.LinAlgError:
+        return (np.linalg.pinv(square, hermitian=True) @ slope[:, :, None])[:, :, 0]
+
+
 def fit_rises(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> np.ndarray:
     """Rise times of the curves nearest to each row of y: damped least squares, each step cut at the bounds; NaN without one.
 
     All rows take their steps at once, and those that have settled leave. Only the exponentials that a parameter is in
-    are computed anew for its slope.
+    are computed anew for its slope. A parameter that a bound holds has a row of the identity in its system.
     """
     low, high = np.array(RISE_LOW), np.array(RISE_HIGH)
     p, damp = np.tile(np.array(RISE_START), (len(y), 1)), np.full(len(y), 1e-2)
@@ -334,13 +342,13 @@ def fit_rises(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> np.ndarray:
                 curve(c, d, asymptote, h, slow, fast, np.exp(-((late / m[5]) ** 2))), curve(c, d, asymptote, m[6], slow, fast, bump), curve(c, d, asymptote, h, *parts(decay, rise, burst, m[7])),
             )
             jacobian = np.stack([(v - base) / w for v, w in zip(moved, width.T[:, :, None])], 2)
-            off, step = of - base, np.zeros(at.shape)
-            for i, (j, y0, q, k) in enumerate(zip(jacobian, off, at, by)):
-                slope, square = j.T @ y0, j.T @ j
-                free = ~((q <= low) & (slope < 0) | (q >= high) & (slope > 0))
-                square = square[np.ix_(free, free)]
-                square.flat[:: len(square) + 1] += k * (square.diagonal() + 1e-12)
-                step[i, free] = np.linalg.lstsq(square, slope[free], rcond=None)[0]
+            across = jacobian.transpose(0, 2, 1)
+            slope, square = (across @ (of - base)[:, :, None])[:, :, 0], across @ jacobian
+            held = (at <= low) & (slope < 0) | (at >= high) & (slope > 0)
+            square[held[:, :, None] | held[:, None, :]] = 0.0
+            diagonal = np.einsum("nii->ni", square)  # a view
+            diagonal[:] = np.where(held, 1.0, diagonal + by[:, None] * (diagonal + 1e-12))
+            step = _steps(square, np.where(held, 0.0, slope))
             q = np.clip(at + step, low, high)
             new, old = loss(q, of), best[live]
             better = new < old
