@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from warren.operators import groups, maps
+from warren.operators.leads import decode_cases
 from warren.operators.spikes import assign_fold, by_unit, histograms, interp_at, within_trials
 from warren.operators.track import HEIGHT_M, WIDTH_M, run_epochs, step_speed
 
@@ -62,39 +63,33 @@ def time_counts(spikes: DataFrame, bins: DataFrame, width: float) -> DataFrame:
 def decode_leads(track: DataFrame, spikes: DataFrame, leads: tuple[float, ...] = (0.0, 1.0, 3.0), qualities: dict[str, tuple[str, ...]] | None = None, folds: int = 5, width: float = 0.5, nx: int = 18, ny: int = 10, sigma: float = 1.0, least_s: float = 0.3, threshold: float = RUN_SPEED) -> DataFrame:
     """U6, DE7: decoded positions of every lead and set of units in one job, cross-validated.
 
-    `spikes` has session_id, unit_id, label, t. Each lead, set and fold is a session of its own to the maps: curves
-    are those of the other folds' bins, and the fold's bins are decoded with them. The position meant is that of the
-    bin's middle plus the lead; bins without one are left out. Only samples, spikes and bins (by their mean) faster than
-    `threshold` count; zero disables the gate.
+    `spikes` has session_id, unit_id, label, t. For each lead, set and fold curves are those of the other folds' bins, and
+    the fold's bins are decoded with them (`leads.decode_cases`). The position meant is that of the bin's middle plus the
+    lead; bins without one are left out. Only samples, spikes and bins (by their mean) faster than `threshold` count; zero
+    disables the gate.
     """
     sets = qualities or {"good": ("good",), "good_mua": ("good", "mua")}
     known = step_speed(track.filter("x is not null and y is not null"), ("session_id",))
-    bin_of = lambda c: F.floor(F.col(c) / width)
-    bins = assign_fold(run_bins(known, width, threshold).drop("speed"), folds)
-    case = lambda fold: F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string"), fold.cast("string")).alias("session_id")
-    grid = F.explode(F.array(*[F.struct(F.lit(x).alias("lead"), F.lit(q).alias("quality")) for x in leads for q in sets]))
-    train = F.explode(F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col("fold")))
-    samples = known.withColumn("bin", bin_of("seconds")).join(assign_fold(known.select("session_id", bin_of("seconds").alias("bin")).distinct(), folds), ["session_id", "bin"])
-    at = lambda df: df.select("*", grid.alias("c")).select("*", "c.lead", "c.quality").drop("c")
-    # curves: samples and spikes of the training bins, the spikes where the animal is a lead later
-    own = at(run_epochs(samples, threshold)).withColumn("f", train).select(case(F.col("f")), "seconds", "x", "y")
-    labelled = at(spikes).filter(F.array_contains(F.element_at(F.create_map(*[v for q, k in sets.items() for v in (F.lit(q), F.array(*map(F.lit, k)))]), F.col("quality")), F.col("label")))
-    later = labelled.withColumn("bin", bin_of("t")).withColumn("t", F.col("t") + F.col("lead"))
-    placed = run_epochs(interp_at(later, known, ("x", "y", "speed")).filter("x is not null"), threshold).join(bins, ["session_id", "bin"]).withColumn("f", train).select(case(F.col("f")), "unit_id", "x", "y")
-    every = labelled.select("session_id", "unit_id", "lead", "quality").distinct().withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).select(case(F.col("f")), "unit_id")
-    usual = maps.sample_s(known).withColumnRenamed("session_id", "__s").join(every.select("session_id").distinct(), F.substring_index("session_id", "|", 1) == F.col("__s")).select("session_id", "dt")
-    curves = maps.placed_rates(own, placed, every, nx, ny, sigma, usual, maps.CURVE_HZ)
-    # the bins of the fold itself
-    tested = at(bins)
-    counts = time_counts(labelled.select("session_id", "unit_id", "t", "lead", "quality").select(F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string")).alias("session_id"), "unit_id", "t"), tested.select(F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string")).alias("session_id"), "bin"), width)
-    fold_of = tested.select(F.concat_ws("|", "session_id", "quality", F.col("lead").cast("string")).alias("session_id"), "bin", "fold")
-    counts = counts.join(fold_of, ["session_id", "bin"]).select(F.concat_ws("|", "session_id", F.col("fold").cast("string")).alias("session_id"), "unit_id", "bin", "n")
-    decoded = maps.decode(counts, curves, width, least_s)
-    middle = tested.withColumn("t", (F.col("bin") + 0.5) * width + F.col("lead"))
-    meant = interp_at(middle, known).filter("x is not null and y is not null").select(case(F.col("fold")).alias("key"), "session_id", "lead", "quality", "bin", "x", "y")
-    px, py = (F.col("bx") + 0.5) * (WIDTH_M / nx), (F.col("by") + 0.5) * (HEIGHT_M / ny)
-    out = decoded.withColumnRenamed("session_id", "key").join(meant, ["key", "bin"]).withColumn("decoded_x", px).withColumn("decoded_y", py)
-    return out.select("session_id", "lead", "quality", "bin", "x", "y", "decoded_x", "decoded_y", F.hypot(F.col("decoded_x") - F.col("x"), F.col("decoded_y") - F.col("y")).alias("err"))
+    bins = assign_fold(mean_bins(known, width, threshold), folds)
+    mask = F.lit(0)
+    for i, labels in enumerate(sets.values()):
+        mask = mask + F.when(F.col("label").isin(*labels), 1 << i).otherwise(0)
+    masked = spikes.select("session_id", "unit_id", "t", mask.alias("mask"), F.lit(0).alias("rep")).filter("mask > 0")
+    found = decode_cases(known, masked, bins, leads, len(sets), folds, 1, width, nx, ny, sigma, least_s, threshold)
+    named = lambda c, values: F.element_at(F.array(*map(F.lit, values)), F.col(c) + 1).alias(c)
+    out = found.select("session_id", named("lead", map(float, leads)), named("quality", sets), "bin", "x", "y", *decoded_at(nx, ny))
+    return out.withColumn("err", F.hypot(F.col("decoded_x") - F.col("x"), F.col("decoded_y") - F.col("y")))
+
+
+def decoded_at(nx: int, ny: int) -> list[Column]:
+    """The middle of the decoded cell."""
+    return [((F.col("bx") + 0.5) * (WIDTH_M / nx)).alias("decoded_x"), ((F.col("by") + 0.5) * (HEIGHT_M / ny)).alias("decoded_y")]
+
+
+def mean_bins(known: DataFrame, width: float, threshold: float = RUN_SPEED) -> DataFrame:
+    """(session_id, bin, speed, run): the tracked bins of clock time, their mean speed and whether it is above the threshold, if there is one."""
+    speeds = known.groupBy("session_id", F.floor(F.col("seconds") / width).alias("bin")).agg(F.avg("speed").alias("speed"))
+    return speeds.withColumn("run", F.coalesce(F.col("speed") > threshold, F.lit(False)) if threshold else F.lit(True))
 
 
 def run_bins(known: DataFrame, width: float, threshold: float = RUN_SPEED) -> DataFrame:
