@@ -54,6 +54,13 @@ def test_leads_sets_and_folds_copy_no_spikes(run):
     assert found.count("Exchange hashpartitioning") <= 24 and found.count("Join") <= 4
 
 
+def test_turned_trains_are_shuffled_once_for_all_leads(run):
+    """63 shuffles and 18 joins before."""
+    track, spikes = run
+    found = plan(tuning.shuffle_null(track, spikes.drop("label"), (0.0, 1.0, 2.0), 4))
+    assert found.count("Exchange hashpartitioning") <= 26 and found.count("Join") <= 7
+
+
 def test_smoothing_by_matrices_is_that_of_cells(spark):
     rows = [("s", x, y, float((7 * x + 3 * y) % 5)) for x in range(4) for y in range(3)]
     df = spark.createDataFrame(rows, "session_id string, bx int, by int, v double")

@@ -92,11 +92,6 @@ def mean_bins(known: DataFrame, width: float, threshold: float = RUN_SPEED) -> D
     return speeds.withColumn("run", F.coalesce(F.col("speed") > threshold, F.lit(False)) if threshold else F.lit(True))
 
 
-def run_bins(known: DataFrame, width: float, threshold: float = RUN_SPEED) -> DataFrame:
-    """(session_id, bin, speed): the tracked bins of clock time whose mean speed is above the threshold, or all."""
-    return run_epochs(known.groupBy("session_id", F.floor(F.col("seconds") / width).alias("bin")).agg(F.avg("speed").alias("speed")), threshold)
-
-
 def turned(spikes: DataFrame, track: DataFrame, replicates: int, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """DE3: `replicates` copies of every train (rep), each unit's turned by its own share of the track's span.
 
@@ -112,27 +107,16 @@ def turned(spikes: DataFrame, track: DataFrame, replicates: int, low: float = 0.
 def shuffle_null(track: DataFrame, spikes: DataFrame, leads: tuple[float, ...] = (0.0, 1.0, 3.0), replicates: int = 20, width: float = 0.5, nx: int = 18, ny: int = 10, sigma: float = 1.0, least_s: float = 0.3, threshold: float = RUN_SPEED) -> DataFrame:
     """DE3, DE10: (session_id, lead, rep, bin, speed, neural): errors of decoding turned trains, all leads and replicates in one job.
 
-    Curves are fitted to a replicate's own turned spikes and decode all of its bins, as the rule has it. A unit of each
-    lead and replicate is a unit of its own to the maps, so the time spent in cells is counted and smoothed once.
+    Curves are fitted to a replicate's own turned spikes and decode all of its bins, as the rule has it. A turned spike is
+    one row for all leads (`leads.decode_cases`).
     """
     known = step_speed(track.filter("x is not null and y is not null"), ("session_id",))
-    grid = F.explode(F.array(*map(F.lit, leads)))
-    shifted = turned(spikes.select("session_id", "unit_id", "t"), known, replicates).withColumn("lead", grid)
-    unit = F.concat_ws("|", F.col("lead").cast("string"), F.col("rep").cast("string"), F.col("unit_id").cast("string")).alias("unit_id")
-    case = F.concat_ws("|", "session_id", F.col("lead").cast("string"), F.col("rep").cast("string")).alias("session_id")
-    at = shifted.select("session_id", unit, (F.col("t") + F.col("lead")).alias("t"))
-    placed = run_epochs(interp_at(at, known, ("x", "y", "speed")).filter("x is not null"), threshold)
-    curves = maps.placed_rates(run_epochs(known, threshold), placed, shifted.select("session_id", unit).distinct(), nx, ny, sigma, maps.sample_s(known), maps.CURVE_HZ)
-    part = F.split("unit_id", r"\|")
-    curves = curves.select(F.concat_ws("|", "session_id", part[0], part[1]).alias("session_id"), part[2].cast("bigint").alias("unit_id"), "bx", "by", "occupied_s", "rate")
-    bins = run_bins(known, width, threshold).withColumn("lead", grid)
-    meant = interp_at(bins.withColumn("t", (F.col("bin") + 0.5) * width + F.col("lead")), known).filter("x is not null and y is not null")
-    tested = meant.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    counts = time_counts(shifted.select(case, F.col("unit_id").cast("bigint").alias("unit_id"), "t"), tested.select(case, "bin"), width)
-    decoded = maps.decode(counts, curves, width, least_s).withColumnRenamed("session_id", "key")
-    out = tested.withColumn("key", case).join(decoded, ["key", "bin"])
-    err = F.hypot((F.col("bx") + 0.5) * (WIDTH_M / nx) - F.col("x"), (F.col("by") + 0.5) * (HEIGHT_M / ny) - F.col("y"))
-    return out.select("session_id", "lead", "rep", "bin", "speed", err.alias("neural"))
+    shifted = turned(spikes.select("session_id", "unit_id", "t"), known, replicates).withColumn("mask", F.lit(1))
+    bins = mean_bins(known, width, threshold).withColumn("fold", F.lit(0))
+    found = decode_cases(known, shifted, bins, leads, 1, None, replicates, width, nx, ny, sigma, least_s, threshold)
+    lead = F.element_at(F.array(*map(F.lit, map(float, leads))), F.col("lead") + 1).alias("lead")
+    out = found.select("session_id", lead, "rep", "bin", "speed", "x", "y", *decoded_at(nx, ny))
+    return out.select("session_id", "lead", "rep", "bin", "speed", F.hypot(F.col("decoded_x") - F.col("x"), F.col("decoded_y") - F.col("y")).alias("neural"))
 
 
 def lead_summary(decoded: DataFrame) -> DataFrame:
