@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -20,15 +21,17 @@ LARGE_SHARD = 4096
 SHARD = 2048
 #: Places of trees that a step of a search holds at once.
 VISITS = 4_000_000
-#: Similar texts (exact Jaccard of their shingle sets) meet in shards of BANDS keys, each of ROWS minima: a pair at
-#: 0.8 misses all of them with probability (1 - 0.8 ** ROWS) ** BANDS = 1.3e-7, a pair above it more rarely.
-SIMILARITY, BANDS, ROWS = 0.8, 40, 5
-#: A band's key that more sets than this share is crowded: its sets are compared by clusters, not pair by pair.
+#: Similar texts have an exact Jaccard of their shingle sets of this or more.
+SIMILARITY = 0.8
+#: Slots in which shingles are counted, and those of a part of them; the counts order the shingles, rare ones first.
+SLOTS, PART = 1 << 20, 1 << 16
+#: A shingle by which more sets than this meet is crowded: its sets are compared by clusters, not pair by pair.
 CROWD = 16
 #: Sets, and shingles of them, aimed at in a block of a cluster; a task compares two blocks.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 300_000
-#: The trees' radius there. A pair at 0.8 lies 10 bits apart on average (12 for sets of four and five), deviation 3.
-WIDE = 28
+#: The trees' radius there. A bit may differ wherever a set's balance of ones and zeros is within a quarter of its size,
+#: which holds for nearly all bits of longer texts, so a smaller radius could lose pairs.
+WIDE = BITS
 
 
 def fingerprint(text: bytes, words: int = SHINGLE, seed: int = SEED) -> int:
@@ -212,37 +215,72 @@ def jaccard(a: set, b: set) -> float:
     return (both := len(a & b)) / (len(a) + len(b) - both) if a or b else 1.0
 
 
-_SCALES = np.random.default_rng(SEED).integers(0, 1 << 31, (2, BANDS * ROWS), np.uint32) * np.uint32(2) + np.uint32(1)
+def _digests(shingles: set[bytes], seed: int = SEED) -> bytes:
+    return b"".join(sorted([xxhash.xxh64_digest(s, seed) for s in shingles]))
 
 
-def set_print(shingles: set[bytes], seed: int = SEED) -> tuple[int, int, int, np.ndarray]:
-    """A key of the set (equal sets only share it), its size, its SimHash and the keys of its bands."""
+def shingle_levels(docs: DataFrame, shingle: int) -> bytes:
+    """A level for each slot of shingles, rising with how often its shingles are in a text; 1 if it is once.
+
+    Tasks count by slots and pass parts of the slots on; a part's counts are added in one task and become levels of a
+    byte. Levels order the shingles only, so their coarseness costs time and loses nothing.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.uint32)
+        for batch in batches:
+            for t in batch.column("text"):
+                found = np.frombuffer(_digests(shingle_set(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle)), np.uint64)
+                np.add.at(total, (found % np.uint64(SLOTS)).astype(np.int64), np.uint32(1))
+        parts = [(k, x) for k, x in enumerate(total.reshape(-1, PART)) if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([np.minimum(x, 65535).astype("<u2").tobytes() for _, x in parts], pa.binary())], names=["part", "counts"])
+
+    def levels(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PART, np.int64)
+        for b in batches:
+            for x in b.column("counts"):
+                total += np.frombuffer(x.as_buffer(), "<u2")
+        step = max(1, int(total.mean()) // 16)
+        level = np.where(total <= 1, total, np.minimum(255, 1 + np.maximum(1, total // step))).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary())], names=["part", "levels"])
+
+    out = bytearray(SLOTS)
+    for k, x in docs.select("text").mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(levels, "part int, levels binary").toLocalIterator():
+        out[k * PART : (k + 1) * PART] = x
+    return bytes(out)
+
+
+def set_print(shingles: set[bytes], seed: int = SEED, levels: np.ndarray | None = None, similarity: float = SIMILARITY) -> tuple[int, int, int, int, np.ndarray]:
+    """A key of the set (equal sets only share it), its size, its SimHash, and its first shingles by level and hash.
+
+    A set that is similar shares one of its own first shingles with these: of n shingles at least similarity * n are
+    common, so the n - similarity * n + 1 first ones of both, in one order for all sets, can't all differ. Those at level
+    1 are in no other set; they are left out and their number comes before the others.
+    """
     if not shingles:
-        return 0, 0, 0, np.zeros(0, np.int64)
-    digests = sorted(xxhash.xxh64_digest(s, seed) for s in shingles)
-    key = xxhash.xxh64_intdigest(b"".join(digests), seed)
-    found = np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 8)
-    low, set_bits = np.ascontiguousarray(found[:, 4:]).view(np.uint32)[:, 0], np.zeros(BITS, np.int64)
-    minima = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+        return 0, 0, 0, 0, np.zeros(0, np.int64)
+    digests = _digests(shingles, seed)
+    key, found, set_bits = xxhash.xxh64_intdigest(digests, seed), np.frombuffer(digests, np.uint8).reshape(-1, 8), np.zeros(BITS, np.int64)
     for at in range(0, len(found), 4096):
         set_bits += np.unpackbits(found[at : at + 4096], axis=1).sum(0, dtype=np.int64)
-    for at in range(0, len(low), 512):
-        np.minimum(minima, (_SCALES[0][:, None] * low[None, at : at + 512] + _SCALES[1][:, None]).min(1), out=minima)
-    fp = int.from_bytes(np.packbits(2 * set_bits > len(found)).tobytes(), "big")
-    bands = [_signed(xxhash.xxh64_intdigest(b.tobytes(), i)) for i, b in enumerate(minima.reshape(BANDS, ROWS))]
-    return _signed(key), len(found), _signed(fp), np.array(bands, np.int64)
+    fp, n, tokens = int.from_bytes(np.packbits(2 * set_bits > len(found)).tobytes(), "big"), len(found), np.frombuffer(digests, np.uint64)
+    level = np.full(n, 2, np.uint8) if levels is None else levels[(tokens % np.uint64(SLOTS)).astype(np.int64)]
+    order = np.lexsort((tokens, level))[: n - math.ceil(similarity * n - 1e-6) + 1]
+    alone = int((level[order] == 1).sum())
+    return _signed(key), n, _signed(fp), alone, tokens[order[alone:]].view(np.int64)
 
 
-def set_prints(docs: DataFrame, keys: list[str], shingle: int) -> DataFrame:
-    """`keys`, the set's key `fp`, `size`, SimHash `near` and `bands` of every row of `docs` (with text)."""
-    kinds = dict(docs.dtypes)
+def set_prints(docs: DataFrame, keys: list[str], shingle: int, similarity: float) -> DataFrame:
+    """`keys`, the set's key `fp`, `size`, SimHash `near` and first shingles (`firsts`, behind `alone` others) of every row of `docs` (with text)."""
+    kinds, levels = dict(docs.dtypes), docs.sparkSession.sparkContext.broadcast(shingle_levels(docs, shingle))
 
     def rows(batch: pa.RecordBatch) -> dict:
-        fp, size, near, bands = zip(*(set_print(shingle_set(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle)) for t in batch.column("text")))
-        new = {"fp": pa.array(fp, pa.int64()), "size": pa.array(size, pa.int32()), "near": pa.array(near, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64()))}
+        order = np.frombuffer(levels.value, np.uint8)
+        fp, size, near, alone, firsts = zip(*(set_print(shingle_set(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle), SEED, order, similarity) for t in batch.column("text")))
+        new = {"fp": pa.array(fp, pa.int64()), "size": pa.array(size, pa.int32()), "near": pa.array(near, pa.int64()), "alone": pa.array(alone, pa.int32()), "firsts": pa.array(firsts, pa.list_(pa.int64()))}
         return {k: batch.column(k) for k in keys} | new
 
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "fp bigint, size int, near bigint, bands array<bigint>"])
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "fp bigint, size int, near bigint, alone int, firsts array<bigint>"])
     return map_arrow(docs.select(*keys, "text"), rows, schema)
 
 
@@ -262,13 +300,14 @@ def _by_shard(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatc
 
 
 def _pairs(similarity: float):
-    """Rows (shard, fp, size, near, cluster) to pairs of sets that may be similar, by the shard's BK-tree.
+    """Rows (shard, fp, size, near, place, cluster) to pairs of sets that may be similar, by the shard's BK-tree.
 
+    A pair's sizes, and what follows the first shingle that both have, must leave room for what they need in common.
     Sets of one cluster are compared already.
     """
 
-    def pairs(shard, fp, size, near, cluster) -> pa.RecordBatch:
-        out, starts = [], np.r_[True, shard[1:] != shard[:-1]]
+    def pairs(shard, fp, size, near, place, cluster) -> pa.RecordBatch:
+        out, starts, rest = [], np.r_[True, shard[1:] != shard[:-1]], size - place
         number = np.cumsum(starts) - 1
         mixed = np.zeros(number[-1] + 1, bool)
         mixed[number[cluster != cluster[np.flatnonzero(starts)[number]]]] = True  # shards with more than one cluster
@@ -278,6 +317,7 @@ def _pairs(similarity: float):
             for q, m, _ in within(prints, of, WIDE):
                 q, m = here[q], here[m]
                 ok = (fp[m] < fp[q]) & (cluster[m] != cluster[q]) & (np.minimum(size[q], size[m]) >= similarity * np.maximum(size[q], size[m]) - 1e-6)
+                ok &= np.minimum(rest[q], rest[m]) >= similarity / (1 + similarity) * (size[q] + size[m]) - 1e-6
                 out.append((fp[q[ok]], fp[m[ok]]))
         u, v = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
@@ -286,11 +326,11 @@ def _pairs(similarity: float):
 
 
 def _crowded(prints: DataFrame) -> DataFrame:
-    """(shard, fp, n, hub) of shards with more than one set: their number and the smallest of them.
+    """(shard, fp, place, n, hub) of shards with more than one set, a shard being a shingle: their number and the smallest of them.
 
     Shards are counted by partial aggregation, and the join back leaves hot shards to be split, so no task holds one.
     """
-    spread = prints.select("fp", "bands").dropDuplicates(["fp"]).select(F.explode("bands").alias("shard"), "fp")
+    spread = prints.select("fp", "alone", "firsts").dropDuplicates(["fp"]).select("fp", "alone", F.posexplode("firsts").alias("place", "shard")).select("shard", "fp", (F.col("alone") + F.col("place")).alias("place"))
     counts = spread.groupBy("shard").agg(F.count("*").alias("n"), F.min("fp").alias("hub")).filter("n > 1")
     return spread.join(counts, "shard")
 
@@ -351,46 +391,52 @@ def _linked_blocks(shingle: int, similarity: float):
     return run
 
 
-def _clusters(crowded: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame] | None:
-    """(fp, cluster) of the sets in crowded shards, and the links within clusters; None where no shard is crowded.
-
-    Shards that share sets are one cluster. Its sets are dealt to blocks and every two blocks meet in one task, so
-    neither a row for each pair nor a whole cluster in a task is needed.
-    """
+def _clusters(crowded: DataFrame) -> DataFrame | None:
+    """(fp, cluster, size, near) of the sets in crowded shards, those that share sets being one cluster; None where no shard is crowded."""
     members = crowded.filter(F.col("n") > CROWD)
     if members.isEmpty():
         return None
-    whole = checkpointed(components(members.select(F.col("fp").alias("u"), F.col("hub").alias("v"))).select(F.col("node").alias("fp"), F.col("component").alias("cluster")))
-    sized = whole.join(members.select("fp", "size", "near").dropDuplicates(["fp"]), "fp")
+    whole = components(members.select(F.col("fp").alias("u"), F.col("hub").alias("v"))).select(F.col("node").alias("fp"), F.col("component").alias("cluster"))
+    return checkpointed(whole.join(members.select("fp", "size", "near").dropDuplicates(["fp"]), "fp"))
+
+
+def _cluster_links(sized: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The links within clusters.
+
+    A cluster's sets are dealt to blocks and every two blocks meet in one task, so neither a row for each pair nor a
+    whole cluster in a task is needed.
+    """
     blocks = sized.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
     own = sized.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("fp"), "blocks"))
     met = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).filter("own <> other or blocks = 1")
     keyed = met.select(F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "fp", "near")
     rows = keyed.join(texts, "fp").select("key", "fp", "near", "text").repartition(F.col("key")).sortWithinPartitions("key")
-    return whole, checkpointed(rows.mapInArrow(_linked_blocks(shingle, similarity), "u bigint, v bigint").distinct())
+    return checkpointed(rows.mapInArrow(_linked_blocks(shingle, similarity), "u bigint, v bigint").distinct())
 
 
 def similar_links(docs: DataFrame, prints: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Edges (u, v) that connect all sets of `prints` at this exact Jaccard or above, directly or by others.
 
-    Sets meet by shared bands; wherever they meet, BK-trees over their SimHashes name the pairs within WIDE and the texts
-    decide. What meets in a band's key shared by more than CROWD sets is dealt by clusters; in other shards a set has
-    at most CROWD / 2 pairs for each of its bands.
+    Sets meet by the first shingles that they share, which every similar pair does; wherever they meet, BK-trees over their
+    SimHashes give the pairs and the texts decide. What meets in a shingle that more than CROWD sets share is dealt by
+    clusters; in other shards a set has at most CROWD - 1 pairs for each of its first shingles.
     """
     sets = prints.select("fp", "size", "near").dropDuplicates(["fp"])
     crowded = checkpointed(_crowded(prints).join(sets, "fp"))
-    rows = prints.join(crowded.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("__row").alias("__row"))
-    texts = checkpointed(docs.select("__row", "text").join(rows, "__row").dropDuplicates(["fp"]).select("fp", F.coalesce("text", F.lit("")).alias("text")))
-
-    found = _clusters(crowded, texts, shingle, similarity)
+    clusters = _clusters(crowded)
     rows = crowded.withColumn("cluster", F.col("fp"))
-    if found:
-        rows = crowded.filter(F.col("n") <= CROWD).join(found[0], "fp", "left").withColumn("cluster", F.coalesce("cluster", "fp"))
-    shards = rows.select("shard", "fp", "size", "near", "cluster").repartition(F.col("shard")).sortWithinPartitions("shard")
-    pairs = shards.mapInArrow(_pairs(similarity), "u bigint, v bigint").distinct()
+    if clusters:
+        rows = crowded.filter(F.col("n") <= CROWD).join(clusters.select("fp", "cluster"), "fp", "left").withColumn("cluster", F.coalesce("cluster", "fp"))
+    shards = rows.select("shard", "fp", "size", "near", "place", "cluster").repartition(F.col("shard")).sortWithinPartitions("shard")
+    pairs = checkpointed(shards.mapInArrow(_pairs(similarity), "u bigint, v bigint").distinct())
+
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("fp"))
+    wanted = (wanted.unionByName(clusters.select("fp")) if clusters else wanted).distinct()
+    rows = prints.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("__row").alias("__row"))
+    texts = checkpointed(docs.select("__row", "text").join(rows, "__row").dropDuplicates(["fp"]).select("fp", F.coalesce("text", F.lit("")).alias("text")))
     of_u, of_v = texts.select(F.col("fp").alias("u"), F.col("text").alias("a")), texts.select(F.col("fp").alias("v"), F.col("text").alias("b"))
     links = checkpointed(map_arrow(pairs.join(of_v, "v").join(of_u, "u").select("u", "v", "a", "b"), _similar(shingle, similarity), "u bigint, v bigint"))
-    return links.unionByName(found[1]) if found else links
+    return links.unionByName(_cluster_links(clusters, texts, shingle, similarity)) if clusters else links
 
 
 def groups(prints: DataFrame, member: Column, radius: int = RADIUS, links: DataFrame | None = None) -> DataFrame:
@@ -422,8 +468,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component the row with the smallest id stays.
 
-    Near is a SimHash within the radius or, with `similarity` (SIMILARITY at least), an exact Jaccard of the shingle
-    sets at or above it; texts without words are then copies of each other.
+    Near is a SimHash within the radius or, with `similarity`, an exact Jaccard of the shingle sets at or above it, and no
+    such pair is left out; texts without words are then copies of each other.
 
     Defined results: rows are told apart by a cryptographic digest of all their columns, so repeated ids and null ids
     are safe (a null id stays only in a group without another), and of wholly equal rows one stays; null and empty
@@ -436,7 +482,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, simi
     if similarity is None:
         prints, links = checkpointed(fingerprints(keyed, ["__row", "doc_id"], shingle=shingle)), None
     else:
-        prints = checkpointed(set_prints(keyed, ["__row", "doc_id"], shingle))
+        prints = checkpointed(set_prints(keyed, ["__row", "doc_id"], shingle, similarity))
         links = similar_links(keyed, prints, shingle, similarity)
         prints = prints.select("__row", "doc_id", "fp")
     rest = groups(prints, member, radius, links).filter("__row = component_id.r").select("__row").distinct()
